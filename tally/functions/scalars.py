@@ -34,8 +34,8 @@ def parse_date(c, dtype: T.DataType | None = None) -> Column:
         return c.cast("timestamp_ntz")
     s = F.trim(c.cast("string"))
     return F.coalesce(
-        F.try_to_date(s, F.lit(DAY_FIRST)),
-        F.try_to_date(s, F.lit(ISO_DATE)),
+        F.try_to_date(s, DAY_FIRST),
+        F.try_to_date(s, ISO_DATE),
         F.to_date(F.try_to_timestamp(s, F.lit(ISO_DATETIME))),
     ).cast("timestamp_ntz")
 

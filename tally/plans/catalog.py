@@ -84,3 +84,418 @@ def q_default_contact(spark, sf_dir):
     t = ledger(spark, sf_dir)
     return views.default_contact(t.CONTATO).select(F.col("PESSOA_ID").alias("pessoa_id"),
                                                    F.col("Fone").alias("fone"))
+
+
+# --- shared inputs ---------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from tally.functions import csvbytes as cb  # noqa: E402
+from tally.functions import scalars as fx  # noqa: E402
+from tally.operators import buckets as bk  # noqa: E402
+from tally.operators import constraints as cn  # noqa: E402
+from tally.operators import parts as pt  # noqa: E402
+from tally.operators import quality as qa  # noqa: E402
+from tally.operators import verify as vf  # noqa: E402
+from tally.operators.conform import conform  # noqa: E402
+from tally.operators.impute import impute  # noqa: E402
+from tally.plans import pipelines as pl  # noqa: E402
+
+AS_OF = _dt.datetime(2001, 1, 1)
+SMALL_LIMIT = 64000  # a split limit small enough to give many parts on the test scales
+
+
+def _snake_select(df: DataFrame, cols) -> DataFrame:
+    return oracle_frame(df.select(*[F.col(f"`{c}`") for c in cols]))
+
+
+# --- P-3..P-21: scalar functions over derived columns ------------------------------
+
+@register("status_paid_flags")
+def q_status_paid_flags(spark, sf_dir):
+    i = ledger(spark, sf_dir).DOC_FINANCEIRO_PARCELA
+    q, v, paid = F.col("DT_DFINP_QUIT"), F.col("VL_DFINP_PARC"), F.col("VL_DFINP_QUIT")
+    return i.select(F.col("DOC_FINANCEIRO_PARCELA_ID").alias("id"),
+                    fx.balance_by_settlement(q, v).cast("double").alias("saldo_por_liquidacao"),
+                    fx.balance_by_amount(v, paid).cast("double").alias("saldo_por_valor"),
+                    fx.status_text(q).alias("situacao"), fx.paid_flag(q).alias("pago"))
+
+
+@register("competence_month")
+def q_competence_month(spark, sf_dir):
+    d = ledger(spark, sf_dir).DOC_FINANCEIRO
+    return d.select(F.col("DOC_FINANCEIRO_ID").alias("id"),
+                    fx.competence_month(F.col("DT_DFIN_EMISS")).alias("competencia"))
+
+
+@register("decode_person")
+def q_decode_person(spark, sf_dir):
+    p = ledger(spark, sf_dir).PESSOA
+    return p.select(F.col("PESSOA_ID").alias("id"), fx.person_type("NO_PESS_TIPO").alias("tipo_pessoa"),
+                    fx.active_label("ID_PESS_ATIVA").alias("situacao"),
+                    fx.marital_label("NO_PESS_EST_CIVIL").alias("estado_civil"),
+                    fx.sex_label("NO_PESS_SEXO").alias("sexo"),
+                    fx.taxpayer_flag("NO_PESS_TIPO").alias("contribuinte"))
+
+
+TOKEN_CHOICES = ["1", "sim", "yes", "true", "verdadeiro", "y", "s", "t", "v", "0", "não", "1.0", "talvez"]
+
+
+def _token(c):
+    expr = None
+    for i, tok in enumerate(TOKEN_CHOICES):
+        expr = F.when(c % 14 == i, F.lit(tok)) if expr is None else expr.when(c % 14 == i, F.lit(tok))
+    tok = expr  # 13 -> null
+    return F.when(c % 4 == 1, F.upper(tok)).otherwise(tok)
+
+
+@register("truthy_tokens")
+def q_truthy_tokens(spark, sf_dir):
+    p = ledger(spark, sf_dir).PESSOA
+    c = F.col("PESSOA_ID")
+    x = p.select(c.alias("id"), _token(c).alias("token"), fx.person_type("NO_PESS_TIPO").alias("tipo_pessoa"))
+    flag = fx.truthy(F.col("token"))
+    return x.select("id", "token", flag.alias("flag"),
+                    F.when(F.col("tipo_pessoa") == S.LEGAL_PERSON, F.lit(1)).otherwise(flag).alias("contribuinte"))
+
+
+def _amount_text(i):
+    ln = F.col("CD_DFINP_IDT")
+    return (F.when(ln == 1, F.col("VL_DFINP_PARC").cast("decimal(22,2)").cast("string"))
+             .when(ln == 2, F.lit(""))
+             .when(ln == 3, F.lit("abc"))
+             .when(ln == 4, F.concat(F.lit(" "), F.col("VL_DMOVI_TXCOBR").cast("decimal(22,2)").cast("string"),
+                                     F.lit(" ")))
+             .when(ln == 5, F.lit(None).cast("string"))
+             .when(ln == 6, F.lit("-1"))
+             .otherwise(F.lit("0")))
+
+
+@register("numeric_coerce")
+def q_numeric_coerce(spark, sf_dir):
+    i = ledger(spark, sf_dir).DOC_FINANCEIRO_PARCELA
+    x = i.select(F.col("DOC_FINANCEIRO_PARCELA_ID").alias("id"), _amount_text(i).alias("texto"))
+    return x.select("id", "texto", fx.to_money(F.col("texto")).cast("double").alias("valor"))
+
+
+@register("positive_flag")
+def q_positive_flag(spark, sf_dir):
+    i = ledger(spark, sf_dir).DOC_FINANCEIRO_PARCELA
+    x = i.select(F.col("DOC_FINANCEIRO_PARCELA_ID").alias("id"), _amount_text(i).alias("texto"))
+    return x.select("id", "texto", fx.positive_flag(F.col("texto")).alias("positivo"))
+
+
+def _date_text():
+    ln, d = F.col("CD_DFINP_IDT"), F.col("DT_DFINP_VENC")
+    return (F.when(ln == 1, F.date_format(d, "dd/MM/yyyy"))
+             .when(ln == 2, F.date_format(d, "yyyy-MM-dd"))
+             .when(ln == 3, F.concat(F.lit("31/02/"), F.year(d).cast("string")))
+             .when(ln == 4, F.lit(""))
+             .when(ln == 5, F.lit(None).cast("string"))
+             .when(ln == 6, F.lit("abc"))
+             .when(ln == 7, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+             .otherwise(F.date_format(d, "d/M/yyyy")))
+
+
+@register("date_coerce_format")
+def q_date_coerce_format(spark, sf_dir):
+    i = ledger(spark, sf_dir).DOC_FINANCEIRO_PARCELA
+    x = i.select(F.col("DOC_FINANCEIRO_PARCELA_ID").alias("id"), F.col("CD_DFINP_IDT").alias("linha"),
+                 _date_text().alias("texto"))
+    return x.select("id", "linha", "texto", F.coalesce(fx.format_date(F.col("texto")), F.lit("")).alias("data"))
+
+
+@register("digits_only")
+def q_digits_only(spark, sf_dir):
+    p = ledger(spark, sf_dir).PESSOA
+    return p.select(F.col("PESSOA_ID").alias("id"), F.col("NO_PESS_CNPJ_CPF").alias("cnpj_cpf"),
+                    fx.digits_only("NO_PESS_CNPJ_CPF").alias("digitos"))
+
+
+@register("status_relabel")
+def q_status_relabel(spark, sf_dir):
+    i = ledger(spark, sf_dir).DOC_FINANCEIRO_PARCELA
+    ln = F.col("CD_DFINP_IDT")
+    text = (F.when(ln % 4 == 0, F.lit("Liquidado")).when(ln % 4 == 1, F.lit("LIQUIDADO"))
+             .when(ln % 4 == 2, F.lit("liquidado ")).otherwise(fx.status_text(F.col("DT_DFINP_QUIT"))))
+    x = i.select(F.col("DOC_FINANCEIRO_PARCELA_ID").alias("id"), text.alias("texto"))
+    return x.select("id", "texto", fx.status_relabel(F.col("texto")).alias("situacao"))
+
+
+# --- P-13, P-19, P-24, I1-I11: templates and imputation -------------------------------
+
+@register("conform_payables")
+def q_conform_payables(spark, sf_dir):
+    return oracle_frame(pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF))
+
+
+@register("conform_receivables")
+def q_conform_receivables(spark, sf_dir):
+    return oracle_frame(pl.template_rows(ledger(spark, sf_dir), "contas_receber", AS_OF))
+
+
+@register("conform_contacts")
+def q_conform_contacts(spark, sf_dir):
+    return oracle_frame(pl.template_rows(ledger(spark, sf_dir), "contatos", AS_OF))
+
+
+@register("impute_accounts")
+def q_impute_accounts(spark, sf_dir):
+    df = impute(pl.export(ledger(spark, sf_dir), "contas_pagar"), "contas_pagar", AS_OF)
+    return oracle_frame(df)
+
+
+@register("impute_contacts")
+def q_impute_contacts(spark, sf_dir):
+    df = impute(pl.export(ledger(spark, sf_dir), "contatos"), "contatos", AS_OF)
+    return _snake_select(df, ["ID", "Nome", "CNPJ / CPF", "Endereço", "Bairro", "Cidade", "Estado", "Situação",
+                              "E-mail", "Data nascimento", "Tipo pessoa"])
+
+
+# --- D1-D7, A2, A3, A10, R3: audit ------------------------------------------------------
+
+VIOLATION_COLS = ["dataset", "rule", "coluna", "record_id"]
+
+
+def _violations(spark, sf_dir):
+    return pl.audit_all(ledger(spark, sf_dir), AS_OF)
+
+
+def _rule_query(rule):
+    def q(spark, sf_dir):
+        return _violations(spark, sf_dir).where(F.col("rule") == rule).select(*VIOLATION_COLS)
+    return q
+
+
+register("null_audit")(_rule_query(S.RULE_NULL))
+register("due_before_issue")(_rule_query(S.RULE_DUE_BEFORE_ISSUE))
+register("settled_before_issue")(_rule_query(S.RULE_SETTLED_BEFORE_ISSUE))
+register("nonpositive_amount")(_rule_query(S.RULE_BAD_AMOUNT))
+register("bad_taxid")(_rule_query(S.RULE_BAD_TAXID))
+register("future_dates")(_rule_query(S.RULE_FUTURE_DATE))
+register("old_dates")(_rule_query(S.RULE_OLD_DATE))
+
+
+@register("violations_sample5")
+def q_violations_sample5(spark, sf_dir):
+    return qa.sample_violations(_violations(spark, sf_dir), 5).select(*VIOLATION_COLS, "rn")
+
+
+@register("error_summary")
+def q_error_summary(spark, sf_dir):
+    return qa.error_summary(_violations(spark, sf_dir))
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    return qa.null_counts(pl.export(ledger(spark, sf_dir), "contas_pagar"))
+
+
+@register("date_range")
+def q_date_range(spark, sf_dir):
+    t = ledger(spark, sf_dir)
+    frames = []
+    for ds in pl.DATASETS:
+        df = pl.export(t, ds)
+        col = qa.split_date_column(df, ds)
+        d = fx.parse_date(F.col(f"`{col}`"))
+        frames.append(df.agg(F.date_format(F.min(d), "yyyy-MM-dd").alias("min_date"),
+                             F.date_format(F.max(d), "yyyy-MM-dd").alias("max_date"))
+                      .select(F.lit(ds).alias("dataset"), "min_date", "max_date"))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+# --- T1-T6: buckets --------------------------------------------------------------------
+
+def _bucket_input(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    x = pl.with_row_bytes(rows, cols).withColumn("_d", fx.parse_date(F.col("`Data Emissao`")))
+    daily = bk.daily_sizes(x, F.col("_d"), "_bytes").where(F.col("day").isNotNull())
+    return bk.level_sizes(daily, cb.header_bytes(cols))
+
+
+def _bucket_query(level):
+    def q(spark, sf_dir):
+        s = _bucket_input(spark, sf_dir).where(F.col("level") == level)
+        return s.select("label", F.col("rows").cast("long").alias("rows"), "bytes")
+    return q
+
+
+for _lv, _name in [("5y", "bucket_5y"), ("year", "bucket_year"), ("month", "bucket_month"),
+                   ("week", "bucket_week"), ("day", "bucket_day")]:
+    register(_name)(_bucket_query(_lv))
+
+
+@register("adaptive_granularity")
+def q_adaptive_granularity(spark, sf_dir):
+    sizes = _bucket_input(spark, sf_dir)
+    chosen = bk.choose_level(sizes, S.TEMPLATE_SPLIT_LIMIT)
+    return bk.level_summary(sizes, S.TEMPLATE_SPLIT_LIMIT).select(
+        "level", "buckets", "max_bytes", F.col("rows").cast("long").alias("rows"), "fits",
+        (F.col("level") == F.lit(chosen)).alias("chosen"))
+
+
+# --- A6-A8, P-22, P-23, R1, R5, K9: parts ------------------------------------------------
+
+def _est_month(spark, sf_dir, limit=S.TEMPLATE_SPLIT_LIMIT):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    return pl.split_by_establishment_month(rows, limit=limit)
+
+
+@register("est_month_groups")
+def q_est_month_groups(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    rows = rows.where(F.col("Estabelecimento_id").isin(*S.TARGET_ESTABLISHMENTS))
+    x = pl.with_row_bytes(rows, list(S.PAYABLES_TEMPLATE.columns)).withColumn(
+        "mes", fx.due_month(F.col("`Data vencimento`")))
+    g = x.groupBy(F.col("Estabelecimento_id").alias("estabelecimento_id"), "mes").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_bytes").alias("bytes"))
+    months = x.groupBy(F.col("Estabelecimento_id").alias("estabelecimento_id")).agg(
+        F.countDistinct("mes").alias("meses"))
+    return g.join(months, "estabelecimento_id").withColumn("mes_label", fx.month_label(F.col("mes")))
+
+
+@register("est_month_parts")
+def q_est_month_parts(spark, sf_dir):
+    out = _est_month(spark, sf_dir)
+    return out.select(F.col("Id").alias("id"), F.col("Estabelecimento_id").alias("estabelecimento_id"),
+                      "mes", "pos", "parte", "n_parts")
+
+
+@register("est_month_parts_small_limit")
+def q_est_month_parts_small(spark, sf_dir):
+    out = _est_month(spark, sf_dir, SMALL_LIMIT)
+    return out.select(F.col("Id").alias("id"), F.col("Estabelecimento_id").alias("estabelecimento_id"),
+                      "mes", "pos", "parte", "n_parts")
+
+
+@register("part_manifest")
+def q_part_manifest(spark, sf_dir):
+    out = _est_month(spark, sf_dir, SMALL_LIMIT)
+    header = cb.header_bytes(list(S.PAYABLES_TEMPLATE.columns))
+    return pt.manifest(out, ["Estabelecimento_id", "mes", "parte", "file_name"], "_bytes", header) \
+        .withColumnRenamed("Estabelecimento_id", "estabelecimento_id")
+
+
+@register("row_parts")
+def q_row_parts(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contatos", AS_OF)
+    out = pl.split_contacts_rows(rows, limit=SMALL_LIMIT)
+    return out.select(F.col("ID").alias("id"), "pos", "parte", "n_parts", "file_name")
+
+
+# --- R2, T7, K7, K8: data-dependent splits (no SQL form; rows-only check) ----------------
+
+@register("recursive_parts")
+def q_recursive_parts(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    out = pl.split_by_rows(rows, limit=S.TEMPLATE_SPLIT_LIMIT, columns=list(S.PAYABLES_TEMPLATE.columns))
+    header = cb.header_bytes(list(S.PAYABLES_TEMPLATE.columns))
+    return pt.manifest(out, ["parte"], "_bytes", header)
+
+
+@register("date_split")
+def q_date_split(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    out, level = pl.split_by_date(rows, "Data Emissao", S.TEMPLATE_SPLIT_LIMIT, cols, prefix="contas_a_pagar")
+    return pt.manifest(out, ["date_label", "file_name"], "_bytes", cb.header_bytes(cols)) \
+        .withColumn("level", F.lit(level))
+
+
+@register("resplit_parts")
+def q_resplit_parts(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    header = cb.header_bytes(cols)
+    out, _ = pl.split_by_date(rows, "Data Emissao", S.DATE_SPLIT_LIMIT, cols, prefix="contas_a_pagar")
+    threshold = S.RESPLIT_THRESHOLD * SMALL_LIMIT / S.DATE_SPLIT_LIMIT
+    re = pt.resplit(out.drop("pos"), ["date_label"], "Id", "_bytes", header, threshold=threshold,
+                    limit=SMALL_LIMIT)
+    return pt.manifest(re, ["date_label", "sub", "subsub"], "_bytes", header)
+
+
+# --- V1-V6, J7, U1-U3: verification -------------------------------------------------------
+
+def _verify_inputs(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    original = rows.where(F.col("Estabelecimento_id").isin(*S.TARGET_ESTABLISHMENTS))
+    parts = pl.split_by_establishment_month(rows, limit=SMALL_LIMIT)
+    return original, parts
+
+
+SUM_COLS = ["Valor documento", "Saldo", "Taxas"]
+
+
+@register("verify_counts")
+def q_verify_counts(spark, sf_dir):
+    original, parts = _verify_inputs(spark, sf_dir)
+    return vf.verify(original, parts, "Id", SUM_COLS).where(F.col("check") == "row_count")
+
+
+@register("verify_ids")
+def q_verify_ids(spark, sf_dir):
+    original, parts = _verify_inputs(spark, sf_dir)
+    return vf.verify(original, parts, "Id", SUM_COLS).where(F.col("check").startswith("ids_"))
+
+
+@register("verify_sums")
+def q_verify_sums(spark, sf_dir):
+    original, parts = _verify_inputs(spark, sf_dir)
+    return vf.verify(original, parts, "Id", SUM_COLS).where(F.col("check").startswith("sum:"))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Write est x month parts as BOM CSV, read them back, verify."""
+    from tally.session import scratch_path
+    from tally.sinks.writers import write_parts
+    from tally.sources.tables import part_headers, read_parts
+
+    original, parts = _verify_inputs(spark, sf_dir)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    path = scratch_path(spark, "parts")
+    write_parts(parts, path, ["file_name"], ["pos"], columns=cols)
+    back = read_parts(spark, path, columns=cols)
+    checks = vf.verify(original, back, "Id", SUM_COLS)
+    sizes = back.groupBy("file_name").agg(F.max("_part_size").alias("bytes"))
+    expect = pt.part_sizes(parts, ["file_name"], "_bytes", cb.header_bytes(cols))
+    size_ok = sizes.join(expect.withColumnRenamed("bytes", "expected"), "file_name", "full") \
+        .agg(F.count_if(F.col("bytes") == F.col("expected")).cast("double").alias("actual"),
+             F.count(F.lit(1)).cast("double").alias("expected")) \
+        .select(F.lit("file_bytes_exact").alias("check"), "expected", "actual",
+                (F.col("expected") == F.col("actual")).alias("passed"))
+    cols_ok = vf.column_checks(cols, part_headers(spark, path)) \
+        .agg(F.count_if("passed").cast("double").alias("actual"), F.count(F.lit(1)).cast("double").alias("expected")) \
+        .select(F.lit("columns").alias("check"), "expected", "actual", (F.col("expected") == F.col("actual")).alias("passed"))
+    return checks.unionByName(size_ok).unionByName(cols_ok)
+
+
+# --- C-N1..C-N5: declared constraints ---------------------------------------------------
+
+@register("pk_duplicates")
+def q_pk_duplicates(spark, sf_dir):
+    return cn.pk_duplicates(ledger(spark, sf_dir))
+
+
+@register("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    return cn.fk_orphans(ledger(spark, sf_dir))
+
+
+@register("not_null_audit")
+def q_not_null_audit(spark, sf_dir):
+    return cn.not_null_violations(ledger(spark, sf_dir))
+
+
+@register("length_audit")
+def q_length_audit(spark, sf_dir):
+    return cn.length_violations(ledger(spark, sf_dir))
+
+
+@register("defaults_applied")
+def q_defaults_applied(spark, sf_dir):
+    i = cn.apply_defaults(ledger(spark, sf_dir).DOC_FINANCEIRO_PARCELA, "DOC_FINANCEIRO_PARCELA")
+    return i.groupBy(F.col("TIPO_COBR_ID").alias("tipo_cobr_id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("VL_DMOVI_TXCOBR").cast("double").alias("taxas"))
