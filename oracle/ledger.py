@@ -10,7 +10,8 @@ doc AS (
          CAST(o_orderkey % 4 AS INTEGER) AS COND_PAGTO_ID,
          CAST(CASE WHEN o_orderkey % 211 = 5 THEN NULL ELSE o_orderdate END AS TIMESTAMP) AS DT_DFIN_EMISS,
          CAST(o_orderdate AS TIMESTAMP) AS DT_DFIN_LANC,
-         CAST(o_totalprice AS DECIMAL(22,6)) AS VL_DFIN_TOT
+         CAST(o_totalprice AS DECIMAL(22,6)) AS VL_DFIN_TOT,
+         false AS ID_DFIN_ADT
   FROM orders)"""
 
 PARC = """
@@ -20,6 +21,8 @@ parc AS (
          l_linenumber AS CD_DFINP_IDT,
          CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 9 END AS INTEGER) AS TIPO_COBR_ID,
          CAST(l_shipdate AS TIMESTAMP) AS DT_DFINP_VENC,
+         CAST(0 AS DECIMAL(22,6)) AS VL_DFINP_DESC,
+         CAST(0 AS DECIMAL(22,6)) AS VL_DFINP_JUROS,
          CAST(CASE WHEN l_linestatus = 'F' THEN l_shipdate + to_days(l_linenumber) END AS TIMESTAMP) AS DT_DFINP_QUIT,
          CASE WHEN l_orderkey % 97 = 3 THEN CAST(-l_extendedprice AS DECIMAL(22,6))
               WHEN l_orderkey % 97 = 4 THEN CAST(0 AS DECIMAL(22,6))
@@ -84,19 +87,24 @@ pessoa AS (
 MUNICIPIO = """
 municipio AS (
   SELECT CAST(n_nationkey AS BIGINT) AS MUNICIPIO_ID, n_name AS DS_MUN_IDENT, n_regionkey AS UF_ID,
-         lpad(CAST(n_nationkey AS VARCHAR), 7, '0') AS ID_MUN_COD
+         lpad(CAST(n_nationkey AS VARCHAR), 7, '0') AS ID_MUN_COD,
+         CAST(0 AS DECIMAL(22,6)) AS VL_MUN_ALIQ_ISS
   FROM nation)"""
 
 UF = """
 uf AS (
   SELECT r_regionkey AS UF_ID, upper(substr(r_name, 1, 2)) AS CD_UF_IDT, r_name AS DS_UF_IDENT,
-         CAST(r_regionkey AS VARCHAR) AS NO_UF_COD
+         CAST(r_regionkey AS VARCHAR) AS NO_UF_COD,
+         1 AS PAIS_ID,
+         CAST(0 AS DECIMAL(22,6)) AS PC_UF_ALIQ_ICMS
   FROM region)"""
 
 CONTATO = """
 contato AS (
   SELECT event_id AS CONTATO_ID, user_id AS PESSOA_ID,
          'Contato ' || CAST(event_id AS VARCHAR) AS DS_CTT_NOME,
+         CAST(NULL AS VARCHAR) AS DS_CTT_CARGO,
+         CAST(NULL AS VARCHAR) AS NO_CTT_CPF,
          CASE WHEN event_type = 'click' THEN '9' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0')
               ELSE event_type END AS DS_CTT_TTRM,
          event_type = 'click' AS ID_CTT_PADR
@@ -104,7 +112,9 @@ contato AS (
 
 COND = """
 cond AS (
-  SELECT * FROM (VALUES (0, 'A vista'), (1, '30 dias'), (2, '30/60 dias')) v(COND_PAGTO_ID, DS_CPAG_IDENT))"""
+  SELECT COND_PAGTO_ID, DS_CPAG_IDENT, CAST(1 AS DECIMAL(22,6)) AS PC_CPAG_FATOR, NO_CPAG_PARC, NO_CPAG_DEFAS
+  FROM (VALUES (0, 'A vista', 1, 0), (1, '30 dias', 1, 30), (2, '30/60 dias', 2, 30))
+       v(COND_PAGTO_ID, DS_CPAG_IDENT, NO_CPAG_PARC, NO_CPAG_DEFAS))"""
 
 TIPO = """
 tipo AS (

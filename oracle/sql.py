@@ -147,3 +147,336 @@ FROM pessoa""")
 
 SQL["default_contact_top1"] = (with_ctes("contato", extra=[DEFAULT_CONTACT])
                                + "SELECT PESSOA_ID AS pessoa_id, Fone AS fone FROM fone")
+
+
+# ---------------------------------------------------------------------------
+# Scalars, templates, audit, buckets, parts, verification, constraints.
+# ---------------------------------------------------------------------------
+
+from oracle import templates as TP  # noqa: E402
+from oracle.templates import FUTURE, PAST, field_bytes, fmt, header_bytes, parse, q, row_bytes  # noqa: E402
+from tally import schemas as S  # noqa: E402
+
+SQL["status_paid_flags"] = with_ctes("parc") + """
+SELECT DOC_FINANCEIRO_PARCELA_ID AS id,
+       CAST(CASE WHEN DT_DFINP_QUIT IS NOT NULL THEN 0 ELSE VL_DFINP_PARC END AS DOUBLE) AS saldo_por_liquidacao,
+       CAST(VL_DFINP_PARC - coalesce(VL_DFINP_QUIT, 0) AS DOUBLE) AS saldo_por_valor,
+       CASE WHEN DT_DFINP_QUIT IS NULL THEN 'Em Aberto' ELSE 'Liquidado' END AS situacao,
+       CASE WHEN DT_DFINP_QUIT IS NOT NULL THEN 'Sim' ELSE 'Não' END AS pago
+FROM parc"""
+
+SQL["competence_month"] = with_ctes("doc") + """
+SELECT DOC_FINANCEIRO_ID AS id, strftime(DT_DFIN_EMISS, '%Y-%m') AS competencia FROM doc"""
+
+SQL["decode_person"] = with_ctes("pessoa") + """
+SELECT PESSOA_ID AS id,
+       CASE NO_PESS_TIPO WHEN 1 THEN 'Física' WHEN 2 THEN 'Jurídica' ELSE 'Outro' END AS tipo_pessoa,
+       CASE WHEN ID_PESS_ATIVA THEN 'Ativo' ELSE 'Inativo' END AS situacao,
+       CASE NO_PESS_EST_CIVIL WHEN 1 THEN 'Solteiro(a)' WHEN 2 THEN 'Casado(a)' WHEN 3 THEN 'Divorciado(a)'
+            WHEN 4 THEN 'Viúvo(a)' ELSE '' END AS estado_civil,
+       CASE NO_PESS_SEXO WHEN 1 THEN 'Masculino' WHEN 2 THEN 'Feminino' ELSE 'Outro' END AS sexo,
+       CASE WHEN NO_PESS_TIPO = 2 THEN 1 ELSE 0 END AS contribuinte
+FROM pessoa"""
+
+_TOKENS = ["1", "sim", "yes", "true", "verdadeiro", "y", "s", "t", "v", "0", "não", "1.0", "talvez"]
+_TOK = "CASE PESSOA_ID % 14 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_TOKENS)) + " END"
+_TRUTHY = "('" + "', '".join(S.TRUTHY_TOKENS) + "')"
+SQL["truthy_tokens"] = with_ctes("pessoa") + f"""
+, tk AS (
+  SELECT PESSOA_ID AS id,
+         CASE WHEN PESSOA_ID % 4 = 1 THEN upper({_TOK}) ELSE {_TOK} END AS token,
+         NO_PESS_TIPO
+  FROM pessoa)
+SELECT id, token,
+       CASE WHEN regexp_replace(lower(token), '^(-?[0-9]+)\\.0$', '\\1') IN {_TRUTHY} THEN 1 ELSE 0 END AS flag,
+       CASE WHEN NO_PESS_TIPO = 2 THEN 1
+            WHEN regexp_replace(lower(token), '^(-?[0-9]+)\\.0$', '\\1') IN {_TRUTHY} THEN 1 ELSE 0 END AS contribuinte
+FROM tk"""
+
+_AMOUNT_TEXT = """CASE CD_DFINP_IDT
+    WHEN 1 THEN CAST(CAST(VL_DFINP_PARC AS DECIMAL(22,2)) AS VARCHAR)
+    WHEN 2 THEN ''
+    WHEN 3 THEN 'abc'
+    WHEN 4 THEN ' ' || CAST(CAST(VL_DMOVI_TXCOBR AS DECIMAL(22,2)) AS VARCHAR) || ' '
+    WHEN 5 THEN NULL
+    WHEN 6 THEN '-1'
+    ELSE '0' END"""
+
+SQL["numeric_coerce"] = with_ctes("parc") + f"""
+, t AS (SELECT DOC_FINANCEIRO_PARCELA_ID AS id, {_AMOUNT_TEXT} AS texto FROM parc)
+SELECT id, texto, CAST(coalesce(TRY_CAST(trim(texto) AS DECIMAL(22,6)), 0) AS DOUBLE) AS valor FROM t"""
+
+SQL["positive_flag"] = with_ctes("parc") + f"""
+, t AS (SELECT DOC_FINANCEIRO_PARCELA_ID AS id, {_AMOUNT_TEXT} AS texto FROM parc)
+SELECT id, texto, CASE WHEN TRY_CAST(trim(texto) AS DECIMAL(22,6)) > 0 THEN 1 ELSE 0 END AS positivo FROM t"""
+
+SQL["date_coerce_format"] = with_ctes("parc") + f"""
+, t AS (
+  SELECT DOC_FINANCEIRO_PARCELA_ID AS id, CD_DFINP_IDT AS linha,
+         CASE CD_DFINP_IDT
+           WHEN 1 THEN strftime(DT_DFINP_VENC, '%d/%m/%Y')
+           WHEN 2 THEN strftime(DT_DFINP_VENC, '%Y-%m-%d')
+           WHEN 3 THEN '31/02/' || CAST(year(DT_DFINP_VENC) AS VARCHAR)
+           WHEN 4 THEN ''
+           WHEN 5 THEN NULL
+           WHEN 6 THEN 'abc'
+           WHEN 7 THEN strftime(DT_DFINP_VENC, '%Y-%m-%d %H:%M:%S')
+           ELSE strftime(DT_DFINP_VENC, '%-d/%-m/%Y') END AS texto
+  FROM parc)
+SELECT id, linha, texto, coalesce({fmt(parse('texto'))}, '') AS data FROM t"""
+
+SQL["digits_only"] = with_ctes("pessoa") + """
+SELECT PESSOA_ID AS id, NO_PESS_CNPJ_CPF AS cnpj_cpf, regexp_replace(NO_PESS_CNPJ_CPF, '[^0-9]', '', 'g') AS digitos
+FROM pessoa"""
+
+SQL["status_relabel"] = with_ctes("parc") + """
+, t AS (
+  SELECT DOC_FINANCEIRO_PARCELA_ID AS id,
+         CASE WHEN CD_DFINP_IDT % 4 = 0 THEN 'Liquidado' WHEN CD_DFINP_IDT % 4 = 1 THEN 'LIQUIDADO'
+              WHEN CD_DFINP_IDT % 4 = 2 THEN 'liquidado '
+              ELSE CASE WHEN DT_DFINP_QUIT IS NULL THEN 'Em Aberto' ELSE 'Liquidado' END END AS texto
+  FROM parc)
+SELECT id, texto, CASE WHEN lower(texto) = 'liquidado' THEN 'paga' ELSE texto END AS situacao FROM t"""
+
+# --- templates ------------------------------------------------------------------------
+
+PAY_CTES = with_ctes("doc", "parc", "pessoa", "cond", "tipo", extra=[TP.PAY_EXPORT, TP.PAY_IMPUTE, TP.PAY_CONFORM])
+REC_CTES = with_ctes("doc", "parc", "pessoa", "cond", "tipo", extra=[TP.REC_EXPORT, TP.REC_IMPUTE, TP.REC_CONFORM])
+CON_CTES = with_ctes("pessoa", "municipio", "uf", "contato", extra=[TP.FONE, TP.CON_EXPORT, TP.CON_IMPUTE,
+                                                                     TP.CON_CONFORM])
+
+SQL["conform_payables"] = PAY_CTES + TP.snake_select("pconf", S.PAYABLES_TEMPLATE.columns,
+                                                     TP.money_cols(S.PAYABLES_TEMPLATE))
+SQL["conform_receivables"] = REC_CTES + TP.snake_select("rconf", S.RECEIVABLES_TEMPLATE.columns,
+                                                        TP.money_cols(S.RECEIVABLES_TEMPLATE))
+SQL["conform_contacts"] = CON_CTES + TP.snake_select("cconf", S.CONTACTS_TEMPLATE.columns,
+                                                     TP.money_cols(S.CONTACTS_TEMPLATE))
+SQL["impute_accounts"] = PAY_CTES + TP.snake_select("pimp", S.PAYABLES_EXPORT_COLUMNS, {"Valor documento", "Saldo"})
+SQL["impute_contacts"] = CON_CTES + TP.snake_select(
+    "cimp", ["ID", "Nome", "CNPJ / CPF", "Endereço", "Bairro", "Cidade", "Estado", "Situação", "E-mail",
+             "Data nascimento", "Tipo pessoa"])
+
+# --- audit ---------------------------------------------------------------------------------
+
+def _rule(src, dataset, rule, coluna, pred, idc):
+    return (f"SELECT '{dataset}' AS dataset, '{rule}' AS rule, "
+            f"'{_category(rule)}' AS category, {TP.lit(coluna)} AS coluna, "
+            f"CAST({q(idc)} AS VARCHAR) AS record_id FROM {src} WHERE {pred}")
+
+
+def _category(rule):
+    return {S.RULE_NULL: "nulos", S.RULE_FUTURE_DATE: "datas_futuro", S.RULE_OLD_DATE: "datas_antigas"}.get(
+        rule, "inconsistencias")
+
+
+def _account_rules(src, dataset, issue, party, idc):
+    out = [_rule(src, dataset, S.RULE_NULL, c, f"{q(c)} IS NULL", idc)
+           for c in [issue, "Data vencimento", "Valor documento", party, "Estabelecimento_id"]]
+    di, dd, ds = parse(q(issue)), parse(q("Data vencimento")), parse(q("Data Liquidacao"))
+    out.append(_rule(src, dataset, S.RULE_DUE_BEFORE_ISSUE, "Data vencimento",
+                     f"{di} IS NOT NULL AND {dd} IS NOT NULL AND {dd} < {di}", idc))
+    out.append(_rule(src, dataset, S.RULE_SETTLED_BEFORE_ISSUE, "Data Liquidacao",
+                     f"{di} IS NOT NULL AND {ds} IS NOT NULL AND {ds} < {di}", idc))
+    out.append(_rule(src, dataset, S.RULE_BAD_AMOUNT, "Valor documento",
+                     '"Valor documento" <= 0', idc))
+    out.append(_rule(src, dataset, S.RULE_FUTURE_DATE, issue, f"{di} > {FUTURE}", idc))
+    out.append(_rule(src, dataset, S.RULE_OLD_DATE, issue, f"{di} < {PAST}", idc))
+    return out
+
+
+def _contact_rules():
+    out = [_rule("cexp", "contatos", S.RULE_NULL, "Nome", '"Nome" IS NULL', "ID"),
+           _rule("cexp", "contatos", S.RULE_NULL, "CNPJ/CPF", '"CNPJ / CPF" IS NULL', "ID"),
+           _rule("cexp", "contatos", S.RULE_NULL, "Situação", '"Situação" IS NULL', "ID")]
+    n = "length(regexp_replace(CAST(\"CNPJ / CPF\" AS VARCHAR), '[^0-9]', '', 'g'))"
+    out.append(_rule("cexp", "contatos", S.RULE_BAD_TAXID, "CNPJ / CPF", f"{n} NOT IN (11, 14) AND {n} > 0", "ID"))
+    d = parse(q("Data nascimento"))
+    out.append(_rule("cexp", "contatos", S.RULE_FUTURE_DATE, "Data nascimento", f"{d} > {FUTURE}", "ID"))
+    out.append(_rule("cexp", "contatos", S.RULE_OLD_DATE, "Data nascimento", f"{d} < {PAST}", "ID"))
+    return out
+
+
+VIOLATIONS = ("\nviolations AS (\n  " + "\n  UNION ALL ".join(
+    _account_rules("pexp", "contas_pagar", "Data emissao", "Fornecedor", "ID")
+    + _account_rules("rexp", "contas_receber", "Data Emissao", "Cliente", "Id")
+    + _contact_rules()) + ")")
+
+AUDIT_CTES = with_ctes("doc", "parc", "pessoa", "cond", "tipo", "municipio", "uf", "contato",
+                       extra=[TP.PAY_EXPORT, TP.REC_EXPORT, TP.FONE, TP.CON_EXPORT, VIOLATIONS])
+
+for _name, _rule_name in [("null_audit", S.RULE_NULL), ("due_before_issue", S.RULE_DUE_BEFORE_ISSUE),
+                          ("settled_before_issue", S.RULE_SETTLED_BEFORE_ISSUE),
+                          ("nonpositive_amount", S.RULE_BAD_AMOUNT), ("bad_taxid", S.RULE_BAD_TAXID),
+                          ("future_dates", S.RULE_FUTURE_DATE), ("old_dates", S.RULE_OLD_DATE)]:
+    SQL[_name] = AUDIT_CTES + (f"SELECT dataset, rule, coluna, record_id FROM violations "
+                               f"WHERE rule = '{_rule_name}'")
+
+SQL["violations_sample5"] = AUDIT_CTES + """
+SELECT dataset, rule, coluna, record_id, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset, rule, coluna
+                               ORDER BY TRY_CAST(record_id AS BIGINT) ASC NULLS LAST, record_id ASC NULLS LAST) AS rn
+  FROM violations) WHERE rn <= 5"""
+
+SQL["error_summary"] = AUDIT_CTES + """
+SELECT dataset,
+       CAST(count(*) FILTER (WHERE category = 'nulos') AS BIGINT) AS nulos,
+       CAST(count(*) FILTER (WHERE category = 'datas_futuro') AS BIGINT) AS datas_futuro,
+       CAST(count(*) FILTER (WHERE category = 'datas_antigas') AS BIGINT) AS datas_antigas,
+       CAST(count(*) FILTER (WHERE category = 'inconsistencias') AS BIGINT) AS inconsistencias
+FROM violations GROUP BY dataset"""
+
+SQL["null_counts"] = with_ctes("doc", "parc", "pessoa", "cond", "tipo", extra=[TP.PAY_EXPORT]) + \
+    "\nUNION ALL ".join(f"SELECT {TP.lit(c)} AS coluna, CAST(count(*) FILTER (WHERE {q(c)} IS NULL) AS BIGINT) AS nulls "
+                        f"FROM pexp" for c in S.PAYABLES_EXPORT_COLUMNS)
+
+SQL["date_range"] = AUDIT_CTES + "\nUNION ALL ".join(
+    f"SELECT '{ds}' AS dataset, strftime(min({parse(q(c))}), '%Y-%m-%d') AS min_date, "
+    f"strftime(max({parse(q(c))}), '%Y-%m-%d') AS max_date FROM {src}"
+    for ds, c, src in [("contas_pagar", "Data emissao", "pexp"), ("contas_receber", "Data Emissao", "rexp"),
+                       ("contatos", "Data nascimento", "cexp")])
+
+# --- buckets -------------------------------------------------------------------------------
+
+_PAY_HEADER = header_bytes(S.PAYABLES_TEMPLATE.columns)
+BUCKETS = f"""
+x AS (SELECT CAST({parse(q('Data Emissao'))} AS DATE) AS day, {row_bytes(S.PAYABLES_TEMPLATE)} AS b FROM pconf),
+daily AS (SELECT day, count(*) AS rows, sum(b) AS bytes FROM x WHERE day IS NOT NULL GROUP BY day),
+anch AS (SELECT min(day) AS d0, year(min(day)) AS y0 FROM daily),
+lab AS (
+  SELECT '5y' AS level,
+         CAST(y0 + 5 * floor((year(day) - y0) / 5) AS INTEGER) || '-' ||
+         CAST(y0 + 5 * floor((year(day) - y0) / 5) + 4 AS INTEGER) AS label, rows, bytes FROM daily, anch
+  UNION ALL SELECT 'year', strftime(day, '%Y'), rows, bytes FROM daily
+  UNION ALL SELECT 'month', strftime(day, '%m-%Y'), rows, bytes FROM daily
+  UNION ALL SELECT 'week',
+         strftime(d0 + CAST(7 * floor(datediff('day', d0, day) / 7) AS INTEGER), '%d-%m-%Y') || '_a_' ||
+         strftime(d0 + CAST(7 * floor(datediff('day', d0, day) / 7) + 7 AS INTEGER), '%d-%m-%Y'),
+         rows, bytes FROM daily, anch
+  UNION ALL SELECT 'day', strftime(day, '%d-%m-%Y'), rows, bytes FROM daily),
+sizes AS (SELECT level, label, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(bytes) + {_PAY_HEADER} AS BIGINT) AS bytes
+          FROM lab GROUP BY level, label)"""
+
+BUCKET_CTES = PAY_CTES.rstrip("\n") + "," + BUCKETS + "\n"
+for _lv, _name in [("5y", "bucket_5y"), ("year", "bucket_year"), ("month", "bucket_month"),
+                   ("week", "bucket_week"), ("day", "bucket_day")]:
+    SQL[_name] = BUCKET_CTES + f"SELECT label, rows, bytes FROM sizes WHERE level = '{_lv}'"
+
+SQL["adaptive_granularity"] = BUCKET_CTES + f"""
+, lv AS (
+  SELECT level, CAST(count(*) AS BIGINT) AS buckets, max(bytes) AS max_bytes, CAST(sum(rows) AS BIGINT) AS rows,
+         max(bytes) <= {S.TEMPLATE_SPLIT_LIMIT} AS fits,
+         CASE level WHEN '5y' THEN 1 WHEN 'year' THEN 2 WHEN 'month' THEN 3 WHEN 'week' THEN 4 ELSE 5 END AS ord
+  FROM sizes GROUP BY level),
+pick AS (SELECT coalesce(min(ord) FILTER (WHERE fits), 5) AS ord FROM lv)
+SELECT level, buckets, max_bytes, rows, fits, lv.ord = pick.ord AS chosen FROM lv, pick"""
+
+# --- parts -----------------------------------------------------------------------------------
+
+_MES = f"coalesce(CAST(month({parse(q('Data vencimento'))}) AS VARCHAR), 'sem_data')"
+_MES_LABEL = ("CASE mes WHEN 'sem_data' THEN 'sem_data' " +
+              " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.MONTH_ABBREV.items()) + " ELSE 'mes_desconhecido' END")
+
+
+def _order(template, first=()):
+    keys = list(first) + [f'TRY_CAST(CAST({q("Id" if "Id" in template.columns else "ID")} AS VARCHAR) AS BIGINT)']
+    keys += [q(c) for c in template.columns]
+    return ", ".join(f"{k} ASC NULLS FIRST" for k in keys)
+
+
+def _est_month_sql(limit, select):
+    return PAY_CTES.rstrip("\n") + f""",
+em AS (SELECT *, {row_bytes(S.PAYABLES_TEMPLATE)} AS b, {_MES} AS mes FROM pconf
+       WHERE "Estabelecimento_id" IN (2, 5)),
+kk AS (SELECT greatest(1, CAST(floor({float(limit) * S.TEMPLATE_FILL!r} / (CAST(sum(b) + {_PAY_HEADER} AS DOUBLE) / count(*)))
+                            AS BIGINT)) AS k FROM em),
+r AS (SELECT em.*, row_number() OVER (PARTITION BY "Estabelecimento_id", mes
+                                      ORDER BY {_order(S.PAYABLES_TEMPLATE, [parse(q('Data vencimento'))])}) AS pos,
+             count(*) OVER (PARTITION BY "Estabelecimento_id", mes) AS gn FROM em),
+p AS (SELECT r.*, least(k, gn) AS kg FROM r, kk),
+parts AS (SELECT p.*, CAST(floor((pos - 1) / kg) + 1 AS INTEGER) AS parte, CAST(ceil(gn / kg) AS INTEGER) AS n_parts,
+                 {_MES_LABEL} AS mes_label FROM p)
+{select}"""
+
+
+_EM_ROWS = ('SELECT "Id" AS id, "Estabelecimento_id" AS estabelecimento_id, mes, CAST(pos AS BIGINT) AS pos, '
+            "parte, n_parts FROM parts")
+SQL["est_month_parts"] = _est_month_sql(S.TEMPLATE_SPLIT_LIMIT, _EM_ROWS)
+SQL["est_month_parts_small_limit"] = _est_month_sql(16000, _EM_ROWS)
+SQL["part_manifest"] = _est_month_sql(16000, f"""
+SELECT "Estabelecimento_id" AS estabelecimento_id, mes, parte,
+       'contas_a_pagar_est_' || CAST("Estabelecimento_id" AS VARCHAR) || '_' || mes_label ||
+       CASE WHEN n_parts > 1 THEN '_parte_' || lpad(CAST(parte AS VARCHAR), 3, '0') ELSE '' END AS file_name,
+       CAST(count(*) AS BIGINT) AS rows, CAST(sum(b) + {_PAY_HEADER} AS BIGINT) AS bytes
+FROM parts GROUP BY ALL""")
+
+SQL["est_month_groups"] = PAY_CTES.rstrip("\n") + f""",
+em AS (SELECT *, {row_bytes(S.PAYABLES_TEMPLATE)} AS b, {_MES} AS mes FROM pconf WHERE "Estabelecimento_id" IN (2, 5)),
+g AS (SELECT "Estabelecimento_id" AS estabelecimento_id, mes, CAST(count(*) AS BIGINT) AS rows,
+             CAST(sum(b) AS BIGINT) AS bytes FROM em GROUP BY ALL),
+m AS (SELECT "Estabelecimento_id" AS estabelecimento_id, CAST(count(DISTINCT mes) AS BIGINT) AS meses FROM em GROUP BY ALL)
+SELECT g.estabelecimento_id, g.mes, g.rows, g.bytes, m.meses, {_MES_LABEL} AS mes_label
+FROM g JOIN m ON g.estabelecimento_id = m.estabelecimento_id"""
+
+_CON_HEADER = header_bytes(S.CONTACTS_TEMPLATE.columns)
+SQL["row_parts"] = CON_CTES.rstrip("\n") + f""",
+x AS (SELECT *, {row_bytes(S.CONTACTS_TEMPLATE)} AS b FROM cconf),
+kk AS (SELECT greatest(1, CAST(floor({16000 * S.TEMPLATE_FILL!r} / (CAST(sum(b) + {_CON_HEADER} AS DOUBLE) / count(*)))
+                            AS BIGINT)) AS k, count(*) AS n FROM x),
+r AS (SELECT x.*, row_number() OVER (ORDER BY {_order(S.CONTACTS_TEMPLATE)}) AS pos FROM x),
+p AS (SELECT r.*, least(k, n) AS kg, n FROM r, kk)
+SELECT "ID" AS id, CAST(pos AS BIGINT) AS pos, CAST(floor((pos - 1) / kg) + 1 AS INTEGER) AS parte,
+       CAST(ceil(n / kg) AS INTEGER) AS n_parts,
+       'contatos_parte_' || lpad(CAST(CAST(floor((pos - 1) / kg) + 1 AS INTEGER) AS VARCHAR), 3, '0') AS file_name
+FROM p"""
+
+# --- verification --------------------------------------------------------------------------------
+
+_VER = PAY_CTES.rstrip("\n") + """,
+o AS (SELECT * FROM pconf WHERE "Estabelecimento_id" IN (2, 5))
+"""
+SQL["verify_counts"] = _VER + """
+SELECT 'row_count' AS "check", CAST(count(*) AS DOUBLE) AS expected, CAST(count(*) AS DOUBLE) AS actual,
+       true AS passed FROM o"""
+SQL["verify_ids"] = """
+SELECT * FROM (VALUES ('ids_missing', 0.0::DOUBLE, 0.0::DOUBLE, true), ('ids_extra', 0.0::DOUBLE, 0.0::DOUBLE, true))
+  v("check", expected, actual, passed)"""
+SQL["verify_sums"] = _VER + "\nUNION ALL ".join(
+    f"SELECT 'sum:{c}' AS \"check\", CAST(sum(TRY_CAST(trim(CAST({q(c)} AS VARCHAR)) AS DECIMAL(38,6))) AS DOUBLE) "
+    f"AS expected, CAST(sum(TRY_CAST(trim(CAST({q(c)} AS VARCHAR)) AS DECIMAL(38,6))) AS DOUBLE) AS actual, "
+    f"true AS passed FROM o" for c in ["Valor documento", "Saldo", "Taxas"])
+
+# --- constraints ------------------------------------------------------------------------------------
+
+_CTE_OF = {"DOC_FINANCEIRO": "doc", "DOC_FINANCEIRO_PARCELA": "parc", "PESSOA": "pessoa", "COND_PAGTO": "cond",
+           "TIPO_COBR": "tipo", "CONTATO": "contato", "MUNICIPIO": "municipio", "UF": "uf"}
+_ALL_LEDGER = with_ctes(*_CTE_OF.values())
+
+
+def _key(cols):
+    return " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+
+
+SQL["pk_duplicates"] = _ALL_LEDGER + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {_key(pk)} AS key, CAST(count(*) AS BIGINT) AS n FROM {_CTE_OF[t]} "
+    f"GROUP BY {', '.join(pk)} HAVING count(*) > 1" for t, pk in S.PRIMARY_KEYS.items())
+
+SQL["fk_orphans"] = _ALL_LEDGER + "\nUNION ALL ".join(
+    f"SELECT '{child}' AS child, '{','.join(cc)}' AS coluna, '{parent}' AS parent, {_key(cc)} AS key, "
+    f"CAST(count(*) AS BIGINT) AS n FROM {_CTE_OF[child]} c "
+    f"WHERE {' AND '.join(f'c.{x} IS NOT NULL' for x in cc)} AND NOT EXISTS (SELECT 1 FROM {_CTE_OF[parent]} p "
+    f"WHERE {' AND '.join(f'p.{pp} = c.{x}' for pp, x in zip(pc, cc))}) GROUP BY {', '.join('c.' + x for x in cc)}"
+    for child, cc, parent, pc in S.FOREIGN_KEYS)
+
+SQL["not_null_audit"] = _ALL_LEDGER + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS coluna, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n "
+    f"FROM {_CTE_OF[t]}" for t in S.LEDGER_SCHEMAS for c in S.not_null_columns(t))
+
+SQL["length_audit"] = _ALL_LEDGER + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS coluna, CAST({n} AS INTEGER) AS max_len, "
+    f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {_CTE_OF[t]}"
+    for t, lim in S.LENGTH_LIMITS.items() for c, n in lim.items())
+
+SQL["defaults_applied"] = with_ctes("parc") + """
+SELECT TIPO_COBR_ID AS tipo_cobr_id, CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(coalesce(VL_DMOVI_TXCOBR, 0)) AS DOUBLE) AS taxas
+FROM parc GROUP BY TIPO_COBR_ID"""

@@ -102,7 +102,7 @@ from tally.operators.impute import impute  # noqa: E402
 from tally.plans import pipelines as pl  # noqa: E402
 
 AS_OF = _dt.datetime(2001, 1, 1)
-SMALL_LIMIT = 64000  # a split limit small enough to give many parts on the test scales
+SMALL_LIMIT = 16000  # a split limit small enough to give several parts per group on the test scales
 
 
 def _snake_select(df: DataFrame, cols) -> DataFrame:

@@ -104,7 +104,7 @@ def part_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFra
     each is read whole as one row and its first line taken; one task per file.
     """
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob) \
-        .option("wholetext", "true").text(path) \
+        .text(path, wholetext=True) \
         .withColumn("_part_file", F.col("_metadata.file_path"))
     header = F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "^\\uFEFF", "")
     return files.select("_part_file", F.split(header, ",").alias("columns"))
