@@ -30,27 +30,28 @@ def fmt(ts: str) -> str:
     return f"strftime({ts}, '%d/%m/%Y')"
 
 
-def field_bytes(s: str) -> str:
+def field_bytes(s: str, first: bool = False) -> str:
+    lead = f" OR starts_with({s}, '#')" if first else ""
     return (f"CASE WHEN {s} IS NULL THEN 0 "
-            rf"""WHEN regexp_matches({s}, '[,"\r\n]') OR starts_with({s}, '#') """
+            rf"""WHEN regexp_matches({s}, '[,"\r\n]'){lead} """
             f"""THEN strlen({s}) + 2 + (length({s}) - length(replace({s}, '"', ''))) """
             f"ELSE strlen({s}) END")
 
 
 def row_bytes(template: S.Template) -> str:
     parts = []
-    for label in template.columns:
+    for i, label in enumerate(template.columns):
         kind = template.kind(label)
         s = q(label) if kind not in ("money", "int", "flag") else f"CAST({q(label)} AS VARCHAR)"
-        parts.append(f"({field_bytes(s)})")
+        parts.append(f"({field_bytes(s, first=(i == 0))})")
     return f"CAST({len(template.columns)} + " + " + ".join(parts) + " AS BIGINT)"
 
 
 def header_bytes(columns) -> int:
     total = 3 + len(columns)
-    for c in columns:
+    for i, c in enumerate(columns):
         b = len(c.encode("utf-8"))
-        if any(ch in c for ch in ',"\r\n') or c.startswith("#"):
+        if any(ch in c for ch in ',"\r\n') or (i == 0 and c.startswith("#")):
             b += 2 + c.count('"')
         total += b
     return total

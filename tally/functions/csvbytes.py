@@ -2,8 +2,9 @@
 
 The sinks write with: header, UTF-8, BOM on the header, '"' as quote and escape,
 empty strings as nothing, whitespace kept.  Under those options a field is
-quoted when it contains a comma, a quote, CR or LF, or starts with '#'; quotes
-inside are doubled.  A row is its fields joined by ',' plus '\\n'.
+quoted when it contains a comma, a quote, CR or LF, or -- first field of a line
+only, where it would read as a comment -- starts with '#'; quotes inside are
+doubled.  A row is its fields joined by ',' plus '\\n'.
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ def field_text(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
-def field_bytes(c: Column, dtype: T.DataType) -> Column:
+def field_bytes(c: Column, dtype: T.DataType, first: bool = False) -> Column:
     s = field_text(c, dtype)
     n = F.octet_length(s)
-    needs_quote = s.rlike('[,"\r\n]') | s.startswith("#")
+    needs_quote = s.rlike('[,"\r\n]')
+    if first:
+        needs_quote = needs_quote | s.startswith("#")
     quotes = F.length(s) - F.length(F.replace(s, F.lit('"'), F.lit("")))
     b = F.when(needs_quote, n + 2 + quotes).otherwise(n)
     return F.coalesce(b, F.lit(0)).cast("long")
@@ -48,19 +51,19 @@ def row_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:
     cols = columns or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
     total = F.lit(len(cols)).cast("long")  # (n-1) commas + 1 newline
-    for name in cols:
-        total = total + field_bytes(F.col(name), types[name])
+    for i, name in enumerate(cols):
+        total = total + field_bytes(F.col(f"`{name}`"), types[name], first=(i == 0))
     return total
 
 
-def _text_field_bytes(text: str) -> int:
+def _text_field_bytes(text: str, first: bool = False) -> int:
     b = len(text.encode("utf-8"))
-    if any(ch in text for ch in ',"\r\n') or text.startswith("#"):
+    if any(ch in text for ch in ',"\r\n') or (first and text.startswith("#")):
         b += 2 + text.count('"')
     return b
 
 
 def header_bytes(columns: list[str], bom: bool = True) -> int:
     """Bytes of the header line, plus the 3-byte BOM when written with one."""
-    line = sum(_text_field_bytes(c) for c in columns) + len(columns)
+    line = sum(_text_field_bytes(c, i == 0) for i, c in enumerate(columns)) + len(columns)
     return line + (S.BOM_BYTES if bom else 0)

@@ -62,19 +62,19 @@ def level_sizes(daily: DataFrame, header_bytes: int) -> DataFrame:
 
     Bytes include the header line and BOM each bucket file carries.  The
     anchors (earliest day and year) come from a window over the daily table,
-    which holds one row per calendar day, never one per data row.
+    which holds one row per calendar day, never one per data row; the five
+    levels are one ``explode`` over it, then one aggregation.
     """
     base = daily.where(F.col("day").isNotNull())
     base = base.withColumn("min_day", F.min("day").over(_all())).withColumn("min_year", F.year("min_day"))
-    frames = []
+    d = F.col("day").cast("timestamp_ntz")
+    keys = []
     for level in LEVELS:
-        label, start = bucket_expr(F.col("day").cast("timestamp_ntz"), level, F.col("min_day"), F.col("min_year"))
-        frames.append(base.select(F.lit(level).alias("level"), label.alias("label"), start.alias("start"),
-                                  "rows", "bytes"))
-    allb = frames[0]
-    for f in frames[1:]:
-        allb = allb.unionByName(f)
-    return allb.groupBy("level", "label", "start").agg(
+        label, start = bucket_expr(d, level, F.col("min_day"), F.col("min_year"))
+        keys.append(F.struct(F.lit(level).alias("level"), label.alias("label"), start.alias("start")))
+    x = base.select(F.explode(F.array(*keys)).alias("k"), "rows", "bytes")
+    return x.groupBy(F.col("k.level").alias("level"), F.col("k.label").alias("label"),
+                     F.col("k.start").alias("start")).agg(
         F.sum("rows").alias("rows"), (F.sum("bytes") + F.lit(header_bytes)).cast("long").alias("bytes"))
 
 
@@ -95,7 +95,17 @@ def choose_level(sizes: DataFrame, limit: float) -> str:
 
 
 def level_summary(sizes: DataFrame, limit: float) -> DataFrame:
-    """Per level: bucket count, largest bucket, whether it fits (chosen is the first fitting level)."""
-    return sizes.groupBy("level").agg(
+    """Per level: bucket count, largest bucket, whether it fits, and whether it is the chosen level.
+
+    The choice (first fitting level, else 'day') is made in the plan over the
+    five summary rows, so reporting it needs no driver round-trip.
+    """
+    rank = F.lit(len(LEVELS))
+    for i, level in reversed(list(enumerate(LEVELS))):
+        rank = F.when(F.col("level") == level, F.lit(i)).otherwise(rank)
+    s = sizes.groupBy("level").agg(
         F.count(F.lit(1)).alias("buckets"), F.max("bytes").alias("max_bytes"),
-        F.sum("rows").alias("rows")).withColumn("fits", F.col("max_bytes") <= F.lit(limit))
+        F.sum("rows").alias("rows")).withColumn("fits", F.col("max_bytes") <= F.lit(limit)) \
+        .withColumn("_rank", rank)
+    first_fit = F.coalesce(F.min(F.when(F.col("fits"), F.col("_rank"))).over(_all()), F.lit(len(LEVELS) - 1))
+    return s.withColumn("chosen", F.col("_rank") == first_fit).drop("_rank")

@@ -51,10 +51,10 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     The only driver round-trip is one aggregate row (count, bytes).
     """
     g = list(group_cols)
-    tot = df.agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_col).alias("b")).first()
+    with_pos = positions(df, g, order_cols)  # checkpointed: the totals below re-read it, not the plan
+    tot = with_pos.agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_col).alias("b")).first()
     n, b = int(tot["n"] or 0), int(tot["b"] or 0)
     k = rows_per_part(b + header_bytes, n, limit, fill)
-    with_pos = positions(df, g, order_cols)
     sizes = with_pos.groupBy(*g).agg(F.max("pos").alias("_gn"))
     x = _join(with_pos, sizes, g)
     kg = F.least(F.lit(k).cast("long"), F.col("_gn"))

@@ -330,10 +330,8 @@ for _lv, _name in [("5y", "bucket_5y"), ("year", "bucket_year"), ("month", "buck
 @register("adaptive_granularity")
 def q_adaptive_granularity(spark, sf_dir):
     sizes = _bucket_input(spark, sf_dir)
-    chosen = bk.choose_level(sizes, S.TEMPLATE_SPLIT_LIMIT)
     return bk.level_summary(sizes, S.TEMPLATE_SPLIT_LIMIT).select(
-        "level", "buckets", "max_bytes", F.col("rows").cast("long").alias("rows"), "fits",
-        (F.col("level") == F.lit(chosen)).alias("chosen"))
+        "level", "buckets", "max_bytes", F.col("rows").cast("long").alias("rows"), "fits", "chosen")
 
 
 # --- A6-A8, P-22, P-23, R1, R5, K9: parts ------------------------------------------------

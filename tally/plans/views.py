@@ -1,10 +1,12 @@
 """Ledger exports: payables, receivables, contacts.
 
 Joins are declared and left to Catalyst/AQE: the filters on document type and
-establishment reach the scan; the small dimension tables (payment terms,
-collection types, cities, states) are broadcast by the planner's own size
-check; the two large joins (installment->document, document->party) shuffle on
-their keys and AQE splits a skewed key.
+establishment reach the scan; the dimension tables (payment terms, collection
+types, cities, states) are broadcast only after a bounded row-count check
+(``broadcast_if_small``); the two large joins (installment->document,
+document->party) are left to the planner's size estimate -- broadcast when the
+filtered side is small, else a shuffle join on the key, where AQE splits a
+skewed key.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tally import schemas as S
 from tally.functions import scalars as fx
+from tally.operators.sizing import broadcast_if_small
 from tally.sources.ledger_view import Ledger
 
 
@@ -31,8 +34,8 @@ def _installments(t: Ledger, doc_type: int, establishments: Sequence[int] | None
 
 
 def _with_dims(base: DataFrame, t: Ledger) -> DataFrame:
-    cp = t.COND_PAGTO.alias("cp")
-    tc = t.TIPO_COBR.alias("tc")
+    cp = broadcast_if_small(t.COND_PAGTO).alias("cp")
+    tc = broadcast_if_small(t.TIPO_COBR).alias("tc")
     return (base.join(cp, F.col("d.COND_PAGTO_ID") == F.col("cp.COND_PAGTO_ID"), "left")
                 .join(tc, F.col("i.TIPO_COBR_ID") == F.col("tc.TIPO_COBR_ID"), "left"))
 
@@ -101,8 +104,8 @@ def default_contact(contato: DataFrame) -> DataFrame:
 def contacts(t: Ledger) -> DataFrame:
     """One row per party, export labels, decoded codes and looked-up names."""
     p = t.PESSOA.alias("p")
-    m = t.MUNICIPIO.alias("m")
-    u = t.UF.alias("u")
+    m = broadcast_if_small(t.MUNICIPIO).alias("m")
+    u = broadcast_if_small(t.UF).alias("u")
     fone = default_contact(t.CONTATO).alias("f")
     df = (p.join(m, F.col("p.MUNICIPIO_ID") == F.col("m.MUNICIPIO_ID"), "left")
            .join(u, F.col("m.UF_ID") == F.col("u.UF_ID"), "left")

@@ -200,12 +200,16 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
         click.alias("ID_CTT_PADR"),
     )
 
-    cond = spark.createDataFrame(
-        [(0, "A vista", 1, 0), (1, "30 dias", 1, 30), (2, "30/60 dias", 2, 30)],
-        "COND_PAGTO_ID int, DS_CPAG_IDENT string, NO_CPAG_PARC int, NO_CPAG_DEFAS int",
-    ).select("COND_PAGTO_ID", "DS_CPAG_IDENT", _money(F.lit(1)).alias("PC_CPAG_FATOR"),
-             "NO_CPAG_PARC", "NO_CPAG_DEFAS")
-    tipo = spark.createDataFrame([(1, "Boleto"), (2, "Pix")], "TIPO_COBR_ID int, DS_TCOBR_IDENT string")
+    # Inline reference rows as SQL VALUES: a local relation with known size.
+    cond = spark.sql(
+        "SELECT CAST(COND_PAGTO_ID AS INT) AS COND_PAGTO_ID, DS_CPAG_IDENT, "
+        "CAST(1 AS DECIMAL(22,6)) AS PC_CPAG_FATOR, CAST(NO_CPAG_PARC AS INT) AS NO_CPAG_PARC, "
+        "CAST(NO_CPAG_DEFAS AS INT) AS NO_CPAG_DEFAS "
+        "FROM VALUES (0, 'A vista', 1, 0), (1, '30 dias', 1, 30), (2, '30/60 dias', 2, 30) "
+        "AS v(COND_PAGTO_ID, DS_CPAG_IDENT, NO_CPAG_PARC, NO_CPAG_DEFAS)")
+    tipo = spark.sql(
+        "SELECT CAST(TIPO_COBR_ID AS INT) AS TIPO_COBR_ID, DS_TCOBR_IDENT "
+        "FROM VALUES (1, 'Boleto'), (2, 'Pix') AS v(TIPO_COBR_ID, DS_TCOBR_IDENT)")
 
     return Ledger(DOC_FINANCEIRO=doc, DOC_FINANCEIRO_PARCELA=parc, PESSOA=pessoa, COND_PAGTO=cond,
                   TIPO_COBR=tipo, CONTATO=contato, MUNICIPIO=municipio, UF=uf)
