@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally import schemas as S
 from tally.operators.positions import positions
+from tally.operators.sizing import broadcast_if_small
 
 MAX_ROUNDS = 64
 
@@ -51,12 +52,10 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     The only driver round-trip is one aggregate row (count, bytes).
     """
     g = list(group_cols)
-    with_pos = positions(df, g, order_cols)  # checkpointed: the totals below re-read it, not the plan
-    tot = with_pos.agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_col).alias("b")).first()
+    x = positions(df, g, order_cols, size_col="_gn")  # rows are checkpointed inside
+    tot = x.agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_col).alias("b")).first()
     n, b = int(tot["n"] or 0), int(tot["b"] or 0)
     k = rows_per_part(b + header_bytes, n, limit, fill)
-    sizes = with_pos.groupBy(*g).agg(F.max("pos").alias("_gn"))
-    x = _join(with_pos, sizes, g)
     kg = F.least(F.lit(k).cast("long"), F.col("_gn"))
     return (x.withColumn("_k", F.greatest(F.lit(1).cast("long"), kg))
              .withColumn(part_col, (F.floor((F.col("pos") - 1) / F.col("_k")) + 1).cast("int"))
@@ -88,12 +87,14 @@ def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, li
             "_k", F.greatest(F.lit(1).cast("long"),
                              F.floor(F.lit(target) / ((F.lit(header_bytes) + F.col("_sb")) / F.col("_sn")))
                              .cast("long")))
+        # one row per pending segment (per group in round 1): size-checked broadcast
+        segs = broadcast_if_small(segs.checkpoint(eager=True))
         x = _join(pending, segs, [*g, "_seg"])
         x = x.withColumn("_slice", F.col("_seg") + F.floor((F.col(pos_col) - F.col("_seg")) / F.col("_k"))
                          .cast("long") * F.col("_k"))
         x = x.withColumn("_slen", F.least(F.col("_k"), F.col("_seg") + F.col("_sn") - F.col("_slice")))
-        sl = x.groupBy(*g, "_slice").agg(F.sum(bytes_col).alias("_sz"))
-        x = _join(x, sl, [*g, "_slice"])
+        # a slice holds at most k rows (about limit*fill bytes): a window per slice is bounded, never skewed
+        x = x.withColumn("_sz", F.sum(bytes_col).over(Window.partitionBy(*g, "_slice")))
         x = x.withColumn("_over", ((F.col("_sz") + header_bytes) > F.lit(limit)) & (F.col("_slen") > 1))
         x = x.select(*g, pos_col, bytes_col, "_slice", "_slen", "_over").checkpoint(eager=True)
         done.append(x.where(~F.col("_over")).select(*g, pos_col, F.col("_slice").alias("_part_start")))

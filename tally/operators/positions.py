@@ -15,8 +15,9 @@ that task would sort a third of the data.  Instead:
 4. position = offset of (partition, group) + in-partition index - first index
    of the group in that partition + 1.
 
-The offsets table is joined back as a regular join; AQE broadcasts it after
-measuring it (it is bounded by partitions + groups, not by rows).
+The offsets table has at most partitions + groups - 1 rows, never one per
+data row; it is checkpointed, its size checked, and broadcast, so attaching
+it to the rows is a map-side hash join with no shuffle of the data.
 """
 
 from __future__ import annotations
@@ -26,9 +27,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tally.operators.sizing import broadcast_if_small
 from tally.session import ensure_checkpoint_dir, shuffle_partitions
 
 LOW_BITS = 33
+# partitions + groups bound on the offsets table; above it the join is left to the planner
+OFFSETS_MAX_ROWS = 2_000_000
 
 
 def _names(cols) -> list[str]:
@@ -45,11 +49,14 @@ def ordered_checkpoint(df: DataFrame, keys: Sequence[Column | str], num_partitio
 
 
 def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
-              pos_col: str = "pos", num_partitions: int | None = None) -> DataFrame:
+              pos_col: str = "pos", num_partitions: int | None = None,
+              size_col: str | None = None) -> DataFrame:
     """``df`` plus ``pos_col``: 1-based position of each row inside its group by ``order_cols``.
 
     ``order_cols`` should make the order total (end with unique columns);
     rows equal on every key get consecutive positions in an arbitrary order.
+    With ``size_col`` the group's row count is added as well (from the same
+    small table, no extra pass).
     """
     group_cols = list(group_cols)
     keys = [*group_cols, *order_cols]
@@ -59,14 +66,17 @@ def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Col
     stats = tagged.groupBy("_pid", *group_cols).agg(F.min("_idx").alias("_first"),
                                                    F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    offsets = offsets.withColumn("_gn", F.sum("_n").over(Window.partitionBy(*group_cols))).drop("_n")
+    offsets = broadcast_if_small(offsets.checkpoint(eager=True), OFFSETS_MAX_ROWS)
     o = offsets.alias("o")
     t = tagged.alias("t")
     cond = F.col("t._pid") == F.col("o._pid")
     for g in group_cols:
         cond = cond & F.col(f"t.`{g}`").eqNullSafe(F.col(f"o.`{g}`"))
+    extra = [F.col("o._gn").alias(size_col)] if size_col else []
     out = t.join(o, cond, "inner").select(
-        "t.*", (F.col("o._before") + F.col("t._idx") - F.col("o._first") + 1).alias(pos_col))
+        "t.*", (F.col("o._before") + F.col("t._idx") - F.col("o._first") + 1).alias(pos_col), *extra)
     return out.drop("_mid", "_pid", "_idx")
 
 

@@ -143,7 +143,8 @@ def split_by_date(df: DataFrame, date_col: str, limit: float = S.DATE_SPLIT_LIMI
     label, _start = bk.bucket_expr(F.col("_d"), level, F.lit(d0), F.lit(d0.year))
     x = base.withColumn("_label", label)
     bsize = x.groupBy("_label").agg((F.sum("_bytes") + F.lit(header)).alias("_bb"))
-    x = pt._join(x, bsize, ["_label"])
+    # one row per bucket (bounded by the calendar span, not by rows): checked broadcast
+    x = pt._join(x, pt.broadcast_if_small(bsize.checkpoint(eager=True)), ["_label"])
     fits = x.where(F.col("_bb") <= F.lit(limit)).withColumn("parte", F.lit(0))
     big = x.where(F.col("_bb") > F.lit(limit))
     big = positions(big, ["_label"], total_order(big, [F.col("_d")], cols))
@@ -168,3 +169,59 @@ def audit_all(t: Ledger, as_of: dt.datetime, establishments: Sequence[int] = S.T
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+# --- the whole job --------------------------------------------------------------------------
+
+def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
+                establishments: Sequence[int] = S.TARGET_ESTABLISHMENTS, split: str = "template",
+                limit: float | None = None, impute_rows: bool = True) -> DataFrame:
+    """Export, audit, impute, write the full copy, split, write the parts, verify them.
+
+    ``split``: 'template' (establishment x month for accounts, row parts for
+    contacts, at the template limit), 'date' (adaptive date ranges at the date
+    limit) or 'rows' (recursive row split).  Writes under ``out_dir``:
+    ``violations/`` (K6), ``<name>_completo/`` (K1), ``parts/`` (one CSV per part,
+    K2-K5) and ``manifest/`` (K9).  Returns the verification checks (W10), made
+    by reading the written part files back.
+    """
+    from tally.operators.verify import column_checks, verify
+    from tally.sinks.writers import write_full, write_parts, write_violations
+    from tally.sources.tables import part_headers, read_parts
+
+    _, template, renames, name = DATASETS[dataset]
+    cols = list(template.columns)
+    exported = export(t, dataset, establishments)
+    write_violations(audit(exported, dataset, as_of, with_record=True), f"{out_dir}/violations")
+    rows = impute(exported, dataset, as_of) if impute_rows else exported
+    rows = conform(rows, template, renames)
+    write_full(rows, f"{out_dir}/{name}_completo")
+    header = cb.header_bytes(cols)
+    if split == "template" and dataset != "contatos":
+        parts = split_by_establishment_month(rows, template, limit or S.TEMPLATE_SPLIT_LIMIT, establishments,
+                                             prefix=name)
+        original = rows.where(F.col("Estabelecimento_id").isin(list(establishments)))
+        order = ["pos"]
+    elif split == "template":
+        parts = split_contacts_rows(rows, template, limit or S.TEMPLATE_SPLIT_LIMIT, prefix=name)
+        original, order = rows, ["pos"]
+    elif split == "date":
+        date_col = "Data Emissao" if dataset != "contatos" else "Data nascimento"
+        parts, _ = split_by_date(rows, date_col, limit or S.DATE_SPLIT_LIMIT, cols, prefix=name)
+        original, order = rows, [F.col("_d")] + total_order(rows, [], cols)
+    else:
+        parts = split_by_rows(rows, limit or S.DATE_SPLIT_LIMIT, cols, prefix=name)
+        original, order = rows, ["pos"]
+    parts = parts.checkpoint(eager=True)  # written and reported from one materialisation
+    write_parts(parts, f"{out_dir}/parts", ["file_name"], order, columns=cols)
+    pt.manifest(parts, ["file_name"], "_bytes", header).write.mode("overwrite").parquet(f"{out_dir}/manifest")
+    back = read_parts(t.PESSOA.sparkSession, f"{out_dir}/parts", columns=cols)
+    idc = cols[0]
+    sums = [c for c in cols if template.kind(c) == "money"]
+    checks = verify(original, back, idc, sums)
+    heads = column_checks(cols, part_headers(t.PESSOA.sparkSession, f"{out_dir}/parts"))
+    col_check = heads.agg(F.count_if("passed").cast("double").alias("actual"),
+                          F.count(F.lit(1)).cast("double").alias("expected")) \
+        .select(F.lit("columns").alias("check"), "expected", "actual",
+                (F.col("expected") == F.col("actual")).alias("passed"))
+    return checks.unionByName(col_check)

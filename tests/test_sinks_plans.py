@@ -73,3 +73,16 @@ def test_positions_plan_has_no_unpartitioned_window_over_rows(spark):
     plan = _plan(out)
     # the only global window is over the per-partition count table, never a row-level sort into one task
     assert "SinglePartition" not in plan.split("Scan ExistingRDD")[0] or "Window" not in plan
+
+
+def test_run_dataset_end_to_end(spark):
+    t = from_driver_tables(spark, SMOKE)
+    for dataset, split in [("contas_pagar", "template"), ("contatos", "date"), ("contas_receber", "rows")]:
+        out = scratch_path(spark, f"run-{dataset}")
+        checks = {r.check: r.passed for r in pl.run_dataset(t, dataset, out, AS_OF, split=split,
+                                                            limit=8000).collect()}
+        assert checks and all(checks.values()), (dataset, checks)
+        v = spark.read.parquet(f"{out}/violations")
+        assert v.count() > 0 and "record" in v.columns
+        m = spark.read.parquet(f"{out}/manifest")
+        assert m.where("bytes > 8000 AND rows > 1").count() == 0
