@@ -1 +1,8 @@
+"""Streaming: nothing to build.
 
+The source has no streams, watermarks, windows over event time or state.  The
+audit (``tally.operators.quality.audit``), imputation and template conformance
+are stateless column expressions, so they apply unchanged to a streaming
+DataFrame (e.g. ``spark.readStream.schema(...).csv(folder)``) and can be sunk
+with ``writeStream.foreachBatch``; no separate streaming operator exists.
+"""
