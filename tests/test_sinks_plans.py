@@ -86,3 +86,40 @@ def test_run_dataset_end_to_end(spark):
         assert v.count() > 0 and "record" in v.columns
         m = spark.read.parquet(f"{out}/manifest")
         assert m.where("bytes > 8000 AND rows > 1").count() == 0
+
+
+def test_read_sheet_keeps_text_and_strips_bom(spark):
+    from tally.sinks.writers import write_csv
+    from tally.sources.tables import read_sheet
+    df = spark.createDataFrame([("00123", "1.0"), ("000045678901", None)], "`CNPJ / CPF` string, Contribuinte string")
+    path = scratch_path(spark, "sheet")
+    write_csv(df.coalesce(1), path)
+    back = read_sheet(spark, path, columns=["CNPJ / CPF", "Contribuinte"])
+    assert sorted(r[0] for r in back.collect()) == ["000045678901", "00123"]   # leading zeros kept
+    raw = read_sheet(spark, path)
+    assert raw.columns == ["CNPJ / CPF", "Contribuinte"]                             # BOM not in the name
+
+
+def test_id_differences_sample(spark):
+    a = spark.createDataFrame([(str(i),) for i in range(30)], "Id string")
+    b = spark.createDataFrame([(str(i),) for i in range(5, 30)] + [("x",)], "Id string")
+    d = vf.id_differences(a, b, "Id")
+    assert d.where("kind = 'missing'").count() == 5 and d.where("kind = 'extra'").count() == 1
+    assert d.where("kind = 'missing'").limit(11).count() <= 10   # shown only when at most 10
+
+
+def test_audit_applies_to_a_stream(spark):
+    from tally.operators import quality as qa
+    from tally.sinks.writers import write_csv
+    from tally.sources.tables import template_schema
+    rows = [("1", "Ana", "123", "Ativo", "01/01/1950"), ("2", None, "12345678901", "Ativo", "01/01/2030")]
+    cols = ["ID", "Nome", "CNPJ / CPF", "Situação", "Data nascimento"]
+    src = scratch_path(spark, "stream-src")
+    write_csv(spark.createDataFrame(rows, template_schema(cols)).coalesce(1), src, bom=False)
+    stream = spark.readStream.schema(template_schema(cols)).option("header", "true").csv(src)
+    v = qa.audit(stream, "contatos", AS_OF)
+    q = v.writeStream.format("memory").queryName("audit_stream_test").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.rule, r.record_id) for r in spark.sql("SELECT * FROM audit_stream_test").collect())
+    assert got == [("cpf_cnpj_invalido", "1"), ("datas_antigas", "1"), ("datas_futuras", "2"), ("nulos", "2")]
