@@ -52,10 +52,9 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     The only driver round-trip is one aggregate row (count, bytes).
     """
     g = list(group_cols)
-    x = positions(df, g, order_cols, size_col="_gn")  # rows are checkpointed inside
-    tot = x.agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_col).alias("b")).first()
-    n, b = int(tot["n"] or 0), int(tot["b"] or 0)
-    k = rows_per_part(b + header_bytes, n, limit, fill)
+    totals: dict = {}
+    x = positions(df, g, order_cols, size_col="_gn", sum_col=bytes_col, totals=totals)
+    k = rows_per_part(totals["s"] + header_bytes, totals["n"], limit, fill)
     kg = F.least(F.lit(k).cast("long"), F.col("_gn"))
     return (x.withColumn("_k", F.greatest(F.lit(1).cast("long"), kg))
              .withColumn(part_col, (F.floor((F.col("pos") - 1) / F.col("_k")) + 1).cast("int"))

@@ -50,25 +50,33 @@ def ordered_checkpoint(df: DataFrame, keys: Sequence[Column | str], num_partitio
 
 def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
               pos_col: str = "pos", num_partitions: int | None = None,
-              size_col: str | None = None) -> DataFrame:
+              size_col: str | None = None, sum_col: str | None = None, totals: dict | None = None) -> DataFrame:
     """``df`` plus ``pos_col``: 1-based position of each row inside its group by ``order_cols``.
 
     ``order_cols`` should make the order total (end with unique columns);
     rows equal on every key get consecutive positions in an arbitrary order.
     With ``size_col`` the group's row count is added as well (from the same
-    small table, no extra pass).
+    small table, no extra pass).  With ``sum_col`` and a ``totals`` dict, the
+    overall row count and sum of ``sum_col`` are stored in ``totals`` (read
+    from the small table, not from the rows).
     """
     group_cols = list(group_cols)
     keys = [*group_cols, *order_cols]
     tagged = ordered_checkpoint(df, keys, num_partitions)
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", LOW_BITS)) \
                    .withColumn("_idx", F.col("_mid").bitwiseAND((1 << LOW_BITS) - 1))
-    stats = tagged.groupBy("_pid", *group_cols).agg(F.min("_idx").alias("_first"),
-                                                   F.count(F.lit(1)).alias("_n"))
+    aggs = [F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n")]
+    if sum_col:
+        aggs.append(F.sum(sum_col).alias("_s"))
+    stats = tagged.groupBy("_pid", *group_cols).agg(*aggs)
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    offsets = offsets.withColumn("_gn", F.sum("_n").over(Window.partitionBy(*group_cols))).drop("_n")
-    offsets = broadcast_if_small(offsets.checkpoint(eager=True), OFFSETS_MAX_ROWS)
+    offsets = offsets.withColumn("_gn", F.sum("_n").over(Window.partitionBy(*group_cols)))
+    offsets = offsets.checkpoint(eager=True)
+    if totals is not None:
+        tot = offsets.agg(F.sum("_n").alias("n"), *([F.sum("_s").alias("s")] if sum_col else [])).first()
+        totals.update(n=int(tot["n"] or 0), s=int((tot["s"] if sum_col else 0) or 0))
+    offsets = broadcast_if_small(offsets.drop("_n", *(["_s"] if sum_col else [])), OFFSETS_MAX_ROWS)
     o = offsets.alias("o")
     t = tagged.alias("t")
     cond = F.col("t._pid") == F.col("o._pid")

@@ -18,5 +18,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame
     bound the join falls back to a shuffle join (AQE may still broadcast it at
     run time from measured sizes).
     """
+    if df.isLocal():  # literal rows held by the driver: their size is already known
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -44,7 +44,11 @@ _LEDGERS: dict = {}
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
-    return from_driver_tables(spark, sf_dir)
+    """The ledger view for a folder; plan objects are immutable, so one per session and folder is reused."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LEDGERS:
+        _LEDGERS[key] = from_driver_tables(spark, sf_dir)
+    return _LEDGERS[key]
 
 
 # --- W1-W4, J6 ---------------------------------------------------------------

@@ -9,8 +9,6 @@ derives the same values with the same rules.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +18,35 @@ from tally.sources.tables import read_table
 MONEY = S.MONEY
 
 
-@dataclass
 class Ledger:
-    DOC_FINANCEIRO: DataFrame
-    DOC_FINANCEIRO_PARCELA: DataFrame
-    PESSOA: DataFrame
-    COND_PAGTO: DataFrame
-    TIPO_COBR: DataFrame
-    CONTATO: DataFrame
-    MUNICIPIO: DataFrame
-    UF: DataFrame
+    """The nine tables by name; each is built on first use (a plan, not data)."""
+
+    def __init__(self, **tables):
+        self._tables: dict = {}
+        self._builders: dict = {}
+        for name, value in tables.items():
+            if callable(value) and not isinstance(value, DataFrame):
+                self._builders[name] = value
+            else:
+                self._tables[name] = value
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        if name not in self._tables:
+            self._tables[name] = self._builders.pop(name)()
+        return self._tables[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name in S.LEDGER_SCHEMAS:
+            return self.table(name)
+        raise AttributeError(name)
+
+    def replace(self, **tables) -> "Ledger":
+        """A copy with some tables replaced."""
+        merged = {n: self.table(n) for n in S.LEDGER_SCHEMAS}
+        merged.update(tables)
+        return Ledger(**merged)
 
     def names(self) -> list[str]:
         return list(S.LEDGER_SCHEMAS)
@@ -73,12 +87,19 @@ def _days_after(ts: Column, days: Column) -> Column:
 
 
 def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
-    r = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    orders, lineitem, customer = r("orders"), r("lineitem"), r("customer")
-    nation, region, events = r("nation"), r("region"), r("events")
+    """Ledger view over the driver tables; each table's plan is built when first used."""
+    def r(name):
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    return Ledger(DOC_FINANCEIRO=lambda: _doc(r("orders")), DOC_FINANCEIRO_PARCELA=lambda: _parc(r("lineitem")),
+                  PESSOA=lambda: _pessoa(r("customer")), COND_PAGTO=lambda: _cond(spark),
+                  TIPO_COBR=lambda: _tipo(spark), CONTATO=lambda: _contato(r("events")),
+                  MUNICIPIO=lambda: _municipio(r("nation")), UF=lambda: _uf(r("region")))
+
 
+def _doc(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    doc = orders.select(
+    return orders.select(
         k.alias("DOC_FINANCEIRO_ID"),
         F.col("o_custkey").alias("PESSOA_ID"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("ESTABELECIMENTO_ID"),
@@ -94,13 +115,15 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
         F.lit(False).alias("ID_DFIN_ADT"),
     )
 
+
+def _parc(lineitem: DataFrame) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice")
     parc_value = (F.when(ok % 97 == 3, _money(-price))
                   .when(ok % 97 == 4, _money(F.lit(0)))
                   .otherwise(_money(price)))
     settled = F.col("l_linestatus") == "F"
-    parc = lineitem.select(
+    return lineitem.select(
         (ok * 10 + ln).alias("DOC_FINANCEIRO_PARCELA_ID"),
         ok.alias("DOC_FINANCEIRO_ID"),
         ln.alias("CD_DFINP_IDT"),
@@ -122,6 +145,8 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
         _money(price * F.col("l_tax")).alias("VL_DMOVI_TXCOBR"),
     )
 
+
+def _pessoa(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
     seg = F.col("c_mktsegment")
     tax11, tax14 = _lpad_key(c, 11), _lpad_key(c, 14)
@@ -136,7 +161,7 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
              .otherwise(F.concat(F.substring(tax14, 1, 2), F.lit("."), F.substring(tax14, 3, 3), F.lit("."),
                                  F.substring(tax14, 6, 3), F.lit("/"), F.substring(tax14, 9, 4), F.lit("-"),
                                  F.substring(tax14, 13, 2))))
-    pessoa = customer.select(
+    return customer.select(
         c.alias("PESSOA_ID"),
         F.when(seg.isin("BUILDING", "MACHINERY"), 2).when(seg == "HOUSEHOLD", 3).otherwise(1).alias("NO_PESS_TIPO"),
         (F.col("c_acctbal") > 0).alias("ID_PESS_ATIVA"),
@@ -170,14 +195,19 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
         F.lower(seg).alias("DS_PESS_CARG"),
     )
 
-    municipio = nation.select(
+
+def _municipio(nation: DataFrame) -> DataFrame:
+    return nation.select(
         F.col("n_nationkey").cast("long").alias("MUNICIPIO_ID"),
         F.col("n_name").alias("DS_MUN_IDENT"),
         F.col("n_regionkey").alias("UF_ID"),
         _lpad_key(F.col("n_nationkey"), 7).alias("ID_MUN_COD"),
         _money(F.lit(0)).alias("VL_MUN_ALIQ_ISS"),
     )
-    uf = region.select(
+
+
+def _uf(region: DataFrame) -> DataFrame:
+    return region.select(
         F.col("r_regionkey").alias("UF_ID"),
         F.upper(F.substring("r_name", 1, 2)).alias("CD_UF_IDT"),
         F.col("r_name").alias("DS_UF_IDENT"),
@@ -186,9 +216,11 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
         _money(F.lit(0)).alias("PC_UF_ALIQ_ICMS"),
     )
 
+
+def _contato(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     click = F.col("event_type") == "click"
-    contato = events.select(
+    return events.select(
         e.alias("CONTATO_ID"),
         F.col("user_id").alias("PESSOA_ID"),
         F.concat(F.lit("Contato "), e.cast("string")).alias("DS_CTT_NOME"),
@@ -200,16 +232,18 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
         click.alias("ID_CTT_PADR"),
     )
 
+
+def _cond(spark: SparkSession) -> DataFrame:
     # Inline reference rows as SQL VALUES: a local relation with known size.
-    cond = spark.sql(
+    return spark.sql(
         "SELECT CAST(COND_PAGTO_ID AS INT) AS COND_PAGTO_ID, DS_CPAG_IDENT, "
         "CAST(1 AS DECIMAL(22,6)) AS PC_CPAG_FATOR, CAST(NO_CPAG_PARC AS INT) AS NO_CPAG_PARC, "
         "CAST(NO_CPAG_DEFAS AS INT) AS NO_CPAG_DEFAS "
         "FROM VALUES (0, 'A vista', 1, 0), (1, '30 dias', 1, 30), (2, '30/60 dias', 2, 30) "
         "AS v(COND_PAGTO_ID, DS_CPAG_IDENT, NO_CPAG_PARC, NO_CPAG_DEFAS)")
-    tipo = spark.sql(
+
+
+def _tipo(spark: SparkSession) -> DataFrame:
+    return spark.sql(
         "SELECT CAST(TIPO_COBR_ID AS INT) AS TIPO_COBR_ID, DS_TCOBR_IDENT "
         "FROM VALUES (1, 'Boleto'), (2, 'Pix') AS v(TIPO_COBR_ID, DS_TCOBR_IDENT)")
-
-    return Ledger(DOC_FINANCEIRO=doc, DOC_FINANCEIRO_PARCELA=parc, PESSOA=pessoa, COND_PAGTO=cond,
-                  TIPO_COBR=tipo, CONTATO=contato, MUNICIPIO=municipio, UF=uf)

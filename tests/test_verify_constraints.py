@@ -48,12 +48,11 @@ def test_constraint_audits_on_ledger(spark):
 
 
 def test_constraint_edges(spark):
-    from tally.sources.ledger_view import Ledger
     t = from_driver_tables(spark, "/root/testdata/sf0.001")
     contato = spark.createDataFrame(
         [(1, 1, "n", None, None, "123456", None, True), (1, 999999, "n", None, None, None, None, False)],
         t.CONTATO.schema)
-    t2 = Ledger(**{**t.__dict__, "CONTATO": contato})
+    t2 = t.replace(CONTATO=contato)
     assert cn.pk_duplicates(t2).where("table = 'CONTATO'").first().n == 2
     assert cn.fk_orphans(t2).where("child = 'CONTATO'").first().key == "999999"
     assert {r.coluna: r.n for r in cn.length_violations(t2).where("table = 'CONTATO'").collect()}["DS_CTT_TTRM"] == 1
