@@ -21,6 +21,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(value) -> Column:
+    """A timestamp_ntz literal from a Python datetime/date, independent of any time zone."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def parse_date(c, dtype: T.DataType | None = None) -> Column:
     """Text or typed date -> timestamp_ntz at day precision for text; bad text -> null.
 
@@ -41,13 +46,13 @@ def parse_date(c, dtype: T.DataType | None = None) -> Column:
 
 
 def format_date(c, dtype: T.DataType | None = None) -> Column:
-    """'dd/MM/yyyy' text; null when missing or unparseable."""
-    return F.date_format(parse_date(c, dtype), OUT_DATE)
+    """'dd/MM/yyyy' text; null when missing or unparseable (formatted from the date: zone-free)."""
+    return F.date_format(F.to_date(parse_date(c, dtype)), OUT_DATE)
 
 
 def competence_month(c) -> Column:
     """Competence month 'yyyy-MM' of a date."""
-    return F.date_format(_col(c), "yyyy-MM")
+    return F.date_format(F.to_date(_col(c)), "yyyy-MM")
 
 
 def null_or_empty(c) -> Column:

@@ -33,7 +33,7 @@ def _id_text(df: DataFrame) -> Column:
 
 def impute(df: DataFrame, dataset: str, as_of: dt.datetime) -> DataFrame:
     """Fill gaps with the dataset's defaults; other columns pass through."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = fx.ts_literal(as_of)
     repl: dict[str, Column] = {}
     ident = _id_text(df)
 

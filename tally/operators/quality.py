@@ -91,8 +91,8 @@ def rules(df: DataFrame, dataset: str, as_of: dt.datetime | None = None,
     if as_of is not None and date_col:
         future, past = outlier_limits(as_of)
         d = fx.parse_date(col(date_col), types[date_col])
-        out.append((S.RULE_FUTURE_DATE, date_col, d > F.lit(future).cast("timestamp_ntz")))
-        out.append((S.RULE_OLD_DATE, date_col, d < F.lit(past).cast("timestamp_ntz")))
+        out.append((S.RULE_FUTURE_DATE, date_col, d > fx.ts_literal(future)))
+        out.append((S.RULE_OLD_DATE, date_col, d < fx.ts_literal(past)))
     return out
 
 

@@ -34,7 +34,9 @@ def oracle_frame(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            c = c.cast("string")          # zone-free text (no DST gap can move it)
+        elif isinstance(f.dataType, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(S.snake(f.name)))
     return df.select(*cols)
@@ -197,7 +199,7 @@ def _date_text():
              .when(ln == 4, F.lit(""))
              .when(ln == 5, F.lit(None).cast("string"))
              .when(ln == 6, F.lit("abc"))
-             .when(ln == 7, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+             .when(ln == 7, d.cast("string"))
              .otherwise(F.date_format(d, "d/M/yyyy")))
 
 
