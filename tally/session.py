@@ -16,6 +16,8 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files once their DataFrames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,5 +67,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tally-{name}-{uuid.uuid4().hex[:12]}"
 
 
+POSITION_PARTITIONS_CONF = "spark.tally.positionPartitions"
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Range partitions for the ordered (position) steps.
+
+    ``spark.tally.positionPartitions`` when set, else ``spark.sql.shuffle.partitions``.
+    AQE can merge small partitions but never splits a range partition, so on a
+    large input set it to about input bytes / 1 GB (e.g. 100000 for 100 TB).
+    """
+    v = spark.conf.get(POSITION_PARTITIONS_CONF, None)
+    return int(v) if v else int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
