@@ -59,3 +59,16 @@ def test_constraint_edges(spark):
     d = spark.createDataFrame([(1, None)], "id int, VL_DMOVI_TXCOBR decimal(22,6)")
     assert float(cn.apply_defaults(d, "DOC_FINANCEIRO_PARCELA").first().VL_DMOVI_TXCOBR) == 0.0
     assert F  # keep import used
+
+
+def test_default_contact_cases(spark):
+    from tally.plans.views import default_contact
+    rows = [(10, 1, "n", None, None, "1111", None, True),                       # one default
+            (20, 2, "n", None, None, "2222", None, True),                       # two defaults: lowest id wins
+            (21, 2, "n", None, None, "2121", None, True),
+            (19, 2, "n", None, None, "1919", None, False),                      # lower id but not default
+            (30, 3, "n", None, None, "3333", None, False)]                      # only non-default
+    schema = ("CONTATO_ID long, PESSOA_ID long, DS_CTT_NOME string, DS_CTT_CARGO string, "
+              "DT_CTT_NASC timestamp_ntz, DS_CTT_TTRM string, NO_CTT_CPF string, ID_CTT_PADR boolean")
+    got = {r.PESSOA_ID: r.Fone for r in default_contact(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: "1111", 2: "2222"}                                        # person 3 and 4 (none): no row
