@@ -74,7 +74,6 @@ def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, li
     plus ``part_col`` (dense from 1 within each group).
     """
     g = list(group_cols)
-    spark = df.sparkSession
     narrow = df.select(*g, pos_col, bytes_col).withColumn("_seg", F.lit(1).cast("long"))
     narrow = narrow.checkpoint(eager=True)
     pending = narrow
@@ -108,9 +107,9 @@ def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, li
     starts = mapping.select(*g, "_part_start").distinct()
     numbered = positions(starts, g, ["_part_start"], pos_col=part_col)
     numbered = numbered.withColumn(part_col, F.col(part_col).cast("int"))
-    out = _join(_join(df, mapping, [*g, pos_col]), numbered, [*g, "_part_start"])
-    del spark
-    return out.drop("_part_start")
+    # narrow (group, position) -> part number first, so the wide rows are shuffled once
+    row_part = _join(mapping, numbered, [*g, "_part_start"]).select(*g, pos_col, part_col)
+    return _join(df, row_part, [*g, pos_col])
 
 
 def part_sizes(df: DataFrame, part_cols: Sequence[str], bytes_col: str, header_bytes: int) -> DataFrame:

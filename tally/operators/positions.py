@@ -35,10 +35,6 @@ LOW_BITS = 33
 OFFSETS_MAX_ROWS = 2_000_000
 
 
-def _names(cols) -> list[str]:
-    return [c for c in cols if isinstance(c, str)]
-
-
 def ordered_checkpoint(df: DataFrame, keys: Sequence[Column | str], num_partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted, tagged and checkpointed copy of ``df``."""
     spark = df.sparkSession
