@@ -225,3 +225,34 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
         .select(F.lit("columns").alias("check"), "expected", "actual",
                 (F.col("expected") == F.col("actual")).alias("passed"))
     return checks.unionByName(col_check)
+
+
+def resplit_written_parts(spark, path: str, columns: Sequence[str], out_path: str,
+                          threshold: float = S.RESPLIT_THRESHOLD, targets: Sequence[float] = S.RESPLIT_TARGETS,
+                          limit: float = S.DATE_SPLIT_LIMIT, order: Sequence[Column] | None = None) -> DataFrame:
+    """Second pass over written part files; files over ``threshold`` bytes are split again.
+
+    The file sizes come from the file metadata (``_part_size``), so only rows
+    of over-size files are re-split; rows are ordered by ``order`` (default:
+    the total order the splitters wrote them in).  Writes every part (split
+    or not) under ``out_path`` as ``<file>``, ``<file>_parte_<i>`` or
+    ``<file>_parte_<i>_<j>`` and returns the manifest.
+    """
+    from tally.sinks.writers import write_parts
+    from tally.sources.tables import read_parts
+
+    cols = list(columns)
+    header = cb.header_bytes(cols)
+    rows = read_parts(spark, path, columns=cols)
+    base = F.regexp_extract(F.col("_part_file"), r"file_name=([^/]+)/[^/]*$", 1)
+    rows = rows.withColumn("_base", F.when(base == "", F.col("_part_file")).otherwise(base))
+    rows = with_row_bytes(rows, cols).select(*[F.col(f"`{c}`") for c in cols], "_base", "_bytes")
+    order = list(order) if order is not None else total_order(rows, [], cols)
+    rows = positions(rows, ["_base"], order, pos_col="_pos")
+    out = pt.resplit(rows, ["_base"], "_pos", "_bytes", header, threshold, targets, limit)
+    sub, subsub = F.col("sub"), F.col("subsub")
+    name = F.when(sub == 0, F.col("_base")).when(subsub == 0, F.concat_ws("_", "_base", F.lit("parte"), sub)) \
+        .otherwise(F.concat_ws("_", "_base", F.lit("parte"), sub, subsub))
+    out = out.withColumn("file_name", name).checkpoint(eager=True)
+    write_parts(out, out_path, ["file_name"], ["_pos"], columns=cols)
+    return pt.manifest(out, ["file_name"], "_bytes", header)

@@ -66,13 +66,31 @@ def test_pushdown_reaches_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
 
 
-def test_positions_plan_has_no_unpartitioned_window_over_rows(spark):
+def test_part_assignment_moves_no_rows_after_positions(spark):
+    """After the ordered checkpoint, attaching positions and group sizes is a broadcast join: no row shuffle."""
     t = from_driver_tables(spark, SMOKE)
     rows = pl.template_rows(t, "contatos", AS_OF)
-    out = pl.split_contacts_rows(rows, limit=4000)
-    plan = _plan(out)
-    # the only global window is over the per-partition count table, never a row-level sort into one task
-    assert "SinglePartition" not in plan.split("Scan ExistingRDD")[0] or "Window" not in plan
+    plan = _plan(pl.split_contacts_rows(rows, limit=4000))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_resplit_written_parts(spark):
+    t = from_driver_tables(spark, SMOKE)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    rows = pl.template_rows(t, "contas_pagar", AS_OF)
+    parts = pl.split_by_establishment_month(rows, limit=20000)
+    src = scratch_path(spark, "w11-src")
+    write_parts(parts, src, ["file_name"], ["pos"], columns=cols)
+    dst = scratch_path(spark, "w11-dst")
+    m = pl.resplit_written_parts(spark, src, cols, dst, threshold=3000, limit=5000)
+    got = m.collect()
+    assert sum(r.rows for r in got) == parts.count()
+    # re-split files are bounded by limit * 0.4 (single rows excepted); the rest were under the threshold
+    assert all(r.bytes <= 2000 or r.rows == 1 if "_parte_" in r.file_name else r.bytes <= 3000 for r in got)
+    assert any("_parte_" in r.file_name for r in got)
+    sizes = {r.file_name: r.b for r in read_parts(spark, dst, columns=cols).groupBy("file_name")
+             .agg(F.max("_part_size").alias("b")).collect()}
+    assert sizes == {r.file_name: r.bytes for r in got}
 
 
 def test_run_dataset_end_to_end(spark):
