@@ -62,31 +62,30 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
              .drop("_k", "_gn"))
 
 
-def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, limit: float,
-                    header_bytes: int, fill: float = S.ROW_SPLIT_FILL, pos_col: str = "pos",
-                    part_col: str = "parte") -> DataFrame:
-    """R2: row split whose slices are halved while over ``limit`` (single rows stay whole).
+# Over-size first-round slices the broadcast path handles; above these it falls back to joins.
+OVERSIZE_MAX_ROWS = 200_000
+OVERSIZE_MAX_PER_GROUP = 1024
 
-    Per segment: k = max(1, floor(limit*fill / bytes_per_row)), with
-    bytes_per_row including the part's header; slices of k rows; a slice
-    over the limit with more than one row is halved and each half split again.
-    ``df`` must carry ``pos_col`` (1-based, dense within group).  Returns ``df``
-    plus ``part_col`` (dense from 1 within each group).
+
+def _k_expr(target: float, header_bytes: int) -> Column:
+    """k = max(1, floor(limit*fill / bytes_per_row)), bytes_per_row counting the part's header."""
+    return F.greatest(F.lit(1).cast("long"),
+                      F.floor(F.lit(target) / ((F.lit(header_bytes) + F.col("_sb")) / F.col("_sn"))).cast("long"))
+
+
+def _halving_rounds(pending: DataFrame, g: list, pos_col: str, bytes_col: str, limit: float,
+                    header_bytes: int, target: float, carry: Sequence[str] = ()) -> DataFrame:
+    """Split segments (``_seg`` = start position) round by round; returns (g, pos, carry, _part_start).
+
+    Each round: k per segment from its own average row size, slices of k rows,
+    slices over the limit with more than one row are halved into the next
+    round.  Every round is checkpointed; segments shrink by half each round.
     """
-    g = list(group_cols)
-    narrow = df.select(*g, pos_col, bytes_col).withColumn("_seg", F.lit(1).cast("long"))
-    narrow = narrow.checkpoint(eager=True)
-    pending = narrow
+    carry = list(carry)
     done = []
-    target = float(limit) * float(fill)
     for _ in range(MAX_ROUNDS):
         segs = pending.groupBy(*g, "_seg").agg(F.count(F.lit(1)).alias("_sn"), F.sum(bytes_col).alias("_sb"))
-        segs = segs.withColumn(
-            "_k", F.greatest(F.lit(1).cast("long"),
-                             F.floor(F.lit(target) / ((F.lit(header_bytes) + F.col("_sb")) / F.col("_sn")))
-                             .cast("long")))
-        # one row per pending segment (per group in round 1): size-checked broadcast
-        segs = broadcast_if_small(segs.checkpoint(eager=True))
+        segs = broadcast_if_small(segs.withColumn("_k", _k_expr(target, header_bytes)).checkpoint(eager=True))
         x = _join(pending, segs, [*g, "_seg"])
         x = x.withColumn("_slice", F.col("_seg") + F.floor((F.col(pos_col) - F.col("_seg")) / F.col("_k"))
                          .cast("long") * F.col("_k"))
@@ -94,16 +93,91 @@ def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, li
         # a slice holds at most k rows (about limit*fill bytes): a window per slice is bounded, never skewed
         x = x.withColumn("_sz", F.sum(bytes_col).over(Window.partitionBy(*g, "_slice")))
         x = x.withColumn("_over", ((F.col("_sz") + header_bytes) > F.lit(limit)) & (F.col("_slen") > 1))
-        x = x.select(*g, pos_col, bytes_col, "_slice", "_slen", "_over").checkpoint(eager=True)
-        done.append(x.where(~F.col("_over")).select(*g, pos_col, F.col("_slice").alias("_part_start")))
+        x = x.select(*g, pos_col, bytes_col, *carry, "_slice", "_slen", "_over").checkpoint(eager=True)
+        done.append(x.where(~F.col("_over")).select(*g, pos_col, *carry, F.col("_slice").alias("_part_start")))
         half = F.floor(F.col("_slen") / 2).cast("long")
         pending = x.where(F.col("_over")).select(
-            *g, pos_col, bytes_col,
+            *g, pos_col, bytes_col, *carry,
             F.when(F.col(pos_col) - F.col("_slice") >= half, F.col("_slice") + half)
              .otherwise(F.col("_slice")).alias("_seg"))
         if pending.isEmpty():
             break
-    mapping = reduce(lambda a, b: a.unionByName(b), done)
+    return reduce(lambda a, b: a.unionByName(b), done)
+
+
+def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, limit: float,
+                    header_bytes: int, fill: float = S.ROW_SPLIT_FILL, pos_col: str = "pos",
+                    part_col: str = "parte") -> DataFrame:
+    """R2: row split whose slices are halved while over ``limit`` (single rows stay whole).
+
+    Per segment: k = max(1, floor(limit*fill / bytes_per_row)), with
+    bytes_per_row including the part's header; slices of k rows; a slice
+    over the limit with more than one row is halved and each half split again.
+    ``df`` must carry ``pos_col`` (1-based, dense within group).  Returns ``df``
+    plus ``part_col`` (dense from 1 within each group).
+
+    First-round slices follow from the position by arithmetic.  Rows of slices
+    that fit get their part number as slice index + 1 + the extra parts of the
+    over-size slices before them, read from a small broadcast table; only rows
+    of over-size slices go through the halving rounds and one join.  When the
+    over-size table is not small, the join-based form is used instead.
+    """
+    g = list(group_cols)
+    target = float(limit) * float(fill)
+    segs = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_sn"), F.sum(bytes_col).alias("_sb"))
+    segs = broadcast_if_small(segs.withColumn("_k", _k_expr(target, header_bytes)).checkpoint(eager=True))
+    x = _join(df, segs, g)
+    x = x.withColumn("_idx", F.floor((F.col(pos_col) - 1) / F.col("_k")).cast("long"))
+    x = x.withColumn("_slice", F.col("_idx") * F.col("_k") + 1)
+    x = x.withColumn("_slen", F.least(F.col("_k"), F.col("_sn") - F.col("_slice") + 1))
+    sl = x.groupBy(*g, "_slice").agg(F.sum(bytes_col).alias("_sz"), F.max("_slen").alias("_slen"))
+    over = sl.where(((F.col("_sz") + header_bytes) > F.lit(limit)) & (F.col("_slen") > 1)) \
+             .select(*g, "_slice", "_slen").checkpoint(eager=True)
+    helpers = ["_sn", "_sb", "_k", "_idx", "_slice", "_slen"]
+    n_over = over.limit(OVERSIZE_MAX_ROWS + 1).count()
+    if n_over == 0:
+        return x.withColumn(part_col, (F.col("_idx") + 1).cast("int")).drop(*helpers)
+    per_group = over.groupBy(*g).count().agg(F.max("count")).first()[0] if g else n_over
+    if n_over > OVERSIZE_MAX_ROWS or per_group > OVERSIZE_MAX_PER_GROUP:
+        return _recursive_parts_joined(df, g, bytes_col, limit, header_bytes, target, pos_col, part_col)
+
+    # rows of over-size slices: halves become the segments of the next rounds
+    o = F.broadcast(over.select(*g, "_slice"))
+    pend = x.select(*g, pos_col, bytes_col, "_slice", "_slen").alias("a").join(
+        o.alias("b"), _join_cond("a", "b", [*g, "_slice"]), "left_semi")
+    half = F.floor(F.col("_slen") / 2).cast("long")
+    pend = pend.select(*g, pos_col, bytes_col, F.col("_slice").alias("_s1"),
+                       F.when(F.col(pos_col) - F.col("_slice") >= half, F.col("_slice") + half)
+                        .otherwise(F.col("_slice")).alias("_seg")).checkpoint(eager=True)
+    mapping = _halving_rounds(pend, g, pos_col, bytes_col, limit, header_bytes, target, carry=["_s1"])
+
+    # sub-part number inside each over-size slice, and the extra parts each one adds
+    subs = positions(mapping.select(*g, "_s1", "_part_start").distinct(), [*g, "_s1"], ["_part_start"],
+                     pos_col="_sub", size_col="_subn")
+    ext = subs.select(*g, "_s1", "_subn").distinct()
+    w = Window.partitionBy(*g).orderBy("_s1").rowsBetween(Window.unboundedPreceding, 0)
+    ext = ext.withColumn("_through", F.sum(F.col("_subn") - 1).over(w))
+    arrs = ext.groupBy(*g).agg(F.sort_array(F.collect_list(F.struct(F.col("_s1").alias("s"),
+                                                                    F.col("_through").alias("t")))).alias("_arr"))
+    arrs = F.broadcast(arrs.checkpoint(eager=True))   # at most OVERSIZE_MAX_ROWS entries in all (checked above)
+    y = _join(x, arrs, g, "left")
+    earlier = F.filter(F.coalesce(F.col("_arr"), F.array()), lambda e: e["s"] < F.col("_slice"))
+    extra = F.coalesce(F.try_element_at(earlier, F.lit(-1))["t"], F.lit(0))
+    in_over = F.exists(F.coalesce(F.col("_arr"), F.array()), lambda e: e["s"] == F.col("_slice"))
+    y = y.withColumn("_base", F.col("_idx") + 1 + extra).withColumn("_in_over", in_over)
+    fits = y.where(~F.col("_in_over")).withColumn(part_col, F.col("_base").cast("int"))
+    sub_of_row = _join(mapping.select(*g, pos_col, "_s1", "_part_start"), subs.select(*g, "_s1", "_part_start", "_sub"),
+                       [*g, "_s1", "_part_start"]).select(*g, pos_col, "_sub")
+    split = _join(y.where(F.col("_in_over")), sub_of_row, [*g, pos_col]) \
+        .withColumn(part_col, (F.col("_base") + F.col("_sub") - 1).cast("int")).drop("_sub")
+    return fits.unionByName(split).drop(*helpers, "_arr", "_base", "_in_over")
+
+
+def _recursive_parts_joined(df: DataFrame, g: list, bytes_col: str, limit: float, header_bytes: int,
+                            target: float, pos_col: str, part_col: str) -> DataFrame:
+    """R2 through joins only: the fallback when there are too many over-size slices to broadcast."""
+    narrow = df.select(*g, pos_col, bytes_col).withColumn("_seg", F.lit(1).cast("long")).checkpoint(eager=True)
+    mapping = _halving_rounds(narrow, g, pos_col, bytes_col, limit, header_bytes, target)
     starts = mapping.select(*g, "_part_start").distinct()
     numbered = positions(starts, g, ["_part_start"], pos_col=part_col)
     numbered = numbered.withColumn(part_col, F.col(part_col).cast("int"))

@@ -160,3 +160,23 @@ def test_split_by_date_oversize_bucket_gets_row_parts(spark):
     header = cb.header_bytes(df.columns)
     m = pt.part_sizes(out, ["date_label"], "_bytes", header).collect()
     assert all(r.bytes <= 600 for r in m) and sum(r.rows for r in m) == 80
+
+
+def test_recursive_split_grouped_both_paths(spark, monkeypatch):
+    rng = random.Random(11)
+    groups = {"a": [rng.choice([5, 10, 400]) for _ in range(90)], "b": [30] * 40,
+              "c": [rng.randint(1, 200) for _ in range(70)]}
+    rows = [(grp, i + 1, b) for grp, sizes in groups.items() for i, b in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "g string, pos long, b long")
+    want = {grp: brute_row_split(sizes, 900, 25) for grp, sizes in groups.items()}
+
+    def run():
+        out = pt.recursive_parts(df, ["g"], "b", 900, 25)
+        got = {}
+        for r in out.groupBy("g", "parte").agg(F.count("*").alias("n")).orderBy("g", "parte").collect():
+            got.setdefault(r.g, []).append(r.n)
+        return got
+
+    assert run() == want
+    monkeypatch.setattr(pt, "OVERSIZE_MAX_ROWS", 0)       # force the join-based fallback
+    assert run() == want
