@@ -27,7 +27,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.operators.sizing import broadcast_if_small
 from tally.session import ensure_checkpoint_dir, shuffle_partitions
 
 LOW_BITS = 33
@@ -69,10 +68,14 @@ def positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Col
     offsets = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     offsets = offsets.withColumn("_gn", F.sum("_n").over(Window.partitionBy(*group_cols)))
     offsets = offsets.checkpoint(eager=True)
+    # one small job: the table's own row count (the broadcast check) and the overall totals
+    tot = offsets.agg(F.count(F.lit(1)).alias("rows"), F.sum("_n").alias("n"),
+                      (F.sum("_s") if sum_col else F.lit(0)).alias("s")).first()
     if totals is not None:
-        tot = offsets.agg(F.sum("_n").alias("n"), *([F.sum("_s").alias("s")] if sum_col else [])).first()
-        totals.update(n=int(tot["n"] or 0), s=int((tot["s"] if sum_col else 0) or 0))
-    offsets = broadcast_if_small(offsets.drop("_n", *(["_s"] if sum_col else [])), OFFSETS_MAX_ROWS)
+        totals.update(n=int(tot["n"] or 0), s=int(tot["s"] or 0))
+    offsets = offsets.drop("_n", *(["_s"] if sum_col else []))
+    if tot["rows"] <= OFFSETS_MAX_ROWS:
+        offsets = F.broadcast(offsets)
     o = offsets.alias("o")
     t = tagged.alias("t")
     cond = F.col("t._pid") == F.col("o._pid")

@@ -476,6 +476,22 @@ def q_csv_roundtrip(spark, sf_dir):
     return checks.unionByName(size_ok).unionByName(cols_ok)
 
 
+@register("verify_columns")
+def q_verify_columns(spark, sf_dir):
+    """Write the parts, read each file's header, compare with the template columns."""
+    from tally.session import scratch_path
+    from tally.sinks.writers import write_parts
+    from tally.sources.tables import part_headers
+
+    _, parts = _verify_inputs(spark, sf_dir)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    path = scratch_path(spark, "columns")
+    write_parts(parts, path, ["file_name"], ["pos"], columns=cols)
+    checks = vf.column_checks(cols, part_headers(spark, path))
+    name = F.regexp_extract(F.col("_part_file"), r"file_name=([^/]+)/", 1)
+    return checks.select(name.alias("file_name"), "missing_columns", "extra_columns", "passed")
+
+
 # --- C-N1..C-N5: declared constraints ---------------------------------------------------
 
 @register("pk_duplicates")
