@@ -9,18 +9,26 @@ from pyspark.sql import types as T
 from tally.functions.csvbytes import CSV_WRITE_OPTIONS
 
 
-def read_table(spark: SparkSession, name: str, *, url: str | None = None, path: str | None = None,
-               properties: dict | None = None, partition_column: str | None = None,
+def read_table(spark: SparkSession, name: str | None = None, *, url: str | None = None, path: str | None = None,
+               query: str | None = None, properties: dict | None = None, partition_column: str | None = None,
                lower_bound: int | None = None, upper_bound: int | None = None,
                num_partitions: int | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """A ledger table, from JDBC (parallel range reads) or from parquet.
+    """A ledger table (or a query run inside the database) from JDBC, or a table from parquet.
 
     With JDBC, ``partition_column``/bounds split the read into ``num_partitions``
     range queries so no single connection streams the whole table; filters and
-    column pruning from the plan are pushed into each query.
+    column pruning from the plan are pushed into each query.  ``query`` sends a
+    SELECT to the database as is (wrapped as a derived table when the read is
+    range-partitioned, since Spark's ``query`` option cannot be partitioned).
     """
     if url is not None:
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
+        reader = spark.read.format("jdbc").option("url", url)
+        if query is not None and partition_column is None:
+            reader = reader.option("query", query)
+        elif query is not None:
+            reader = reader.option("dbtable", f"({query}) q")
+        else:
+            reader = reader.option("dbtable", name)
         for k, v in (properties or {}).items():
             reader = reader.option(k, v)
         if partition_column is not None:
