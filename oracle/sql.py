@@ -480,3 +480,43 @@ SQL["defaults_applied"] = with_ctes("parc") + """
 SELECT TIPO_COBR_ID AS tipo_cobr_id, CAST(count(*) AS BIGINT) AS rows,
        CAST(sum(coalesce(VL_DMOVI_TXCOBR, 0)) AS DOUBLE) AS taxas
 FROM parc GROUP BY TIPO_COBR_ID"""
+
+
+# --- R2: the recursive row split as a recursive CTE ---------------------------------------
+
+def _row_split_sql(limit: int, fill: float) -> str:
+    target = repr(float(limit) * float(fill))
+    h = _PAY_HEADER
+    return PAY_CTES.rstrip("\n") + f""",
+r AS (SELECT row_number() OVER (ORDER BY {_order(S.PAYABLES_TEMPLATE)}) AS pos,
+             {row_bytes(S.PAYABLES_TEMPLATE)} AS b FROM pconf),
+pre AS (SELECT 0::BIGINT AS pos, 0::BIGINT AS cum
+        UNION ALL SELECT pos, CAST(sum(b) OVER (ORDER BY pos) AS BIGINT) FROM r),
+seg(s, n, done) AS (
+  WITH RECURSIVE seg(s, n, done) AS (
+    SELECT 1::BIGINT, count(*)::BIGINT, false FROM r
+    UNION ALL
+    SELECT CASE WHEN h.part = 0 THEN sl.st ELSE sl.st + sl.ln // 2 END,
+           CASE WHEN NOT sl.over THEN sl.ln WHEN h.part = 0 THEN sl.ln // 2 ELSE sl.ln - sl.ln // 2 END,
+           NOT sl.over
+    FROM (
+      SELECT q.st, q.ln, (p2.cum - p1.cum) + {h} > {limit} AND q.ln > 1 AS over
+      FROM (
+        SELECT k.s + i * k.k AS st, least(k.k, k.s + k.n - (k.s + i * k.k)) AS ln
+        FROM (
+          SELECT g.s, g.n, greatest(1, CAST(floor({target} / (CAST({h} + (e.cum - b.cum) AS DOUBLE) / g.n)) AS BIGINT)) AS k
+          FROM seg g JOIN pre b ON b.pos = g.s - 1 JOIN pre e ON e.pos = g.s + g.n - 1
+          WHERE NOT g.done) k,
+        LATERAL (SELECT unnest(range(0, CAST(ceil(k.n / k.k) AS BIGINT))) AS i) t) q
+      JOIN pre p1 ON p1.pos = q.st - 1
+      JOIN pre p2 ON p2.pos = q.st + q.ln - 1) sl
+    JOIN (VALUES (0), (1)) h(part) ON sl.over OR h.part = 0)
+  SELECT * FROM seg)
+SELECT CAST(row_number() OVER (ORDER BY seg.s) AS INTEGER) AS parte, CAST(seg.n AS BIGINT) AS rows,
+       CAST(p2.cum - p1.cum + {h} AS BIGINT) AS bytes
+FROM seg JOIN pre p1 ON p1.pos = seg.s - 1 JOIN pre p2 ON p2.pos = seg.s + seg.n - 1
+WHERE seg.done"""
+
+
+SQL["recursive_parts"] = _row_split_sql(S.TEMPLATE_SPLIT_LIMIT, S.ROW_SPLIT_FILL)
+SQL["recursive_parts_small_limit"] = _row_split_sql(1000, S.ROW_SPLIT_FILL)

@@ -106,6 +106,7 @@ def q_default_contact(spark, sf_dir):
 
 AS_OF = _dt.datetime(2001, 1, 1)
 SMALL_LIMIT = 16000  # a split limit small enough to give several parts per group on the test scales
+TINY_LIMIT = 1000    # a few rows per part: first-round slices overflow and get halved
 
 
 def _snake_select(df: DataFrame, cols) -> DataFrame:
@@ -396,6 +397,15 @@ def q_recursive_parts(spark, sf_dir):
     return pt.manifest(out, ["parte"], "_bytes", header)
 
 
+@register("recursive_parts_small_limit")
+def q_recursive_parts_small(spark, sf_dir):
+    """R2 with a limit of a few rows per part, so slices overflow and are halved."""
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    out = pl.split_by_rows(rows, limit=TINY_LIMIT, columns=cols)
+    return pt.manifest(out, ["parte"], "_bytes", cb.header_bytes(cols))
+
+
 @register("date_split")
 def q_date_split(spark, sf_dir):
     rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
