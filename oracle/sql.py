@@ -520,3 +520,72 @@ WHERE seg.done"""
 
 SQL["recursive_parts"] = _row_split_sql(S.TEMPLATE_SPLIT_LIMIT, S.ROW_SPLIT_FILL)
 SQL["recursive_parts_small_limit"] = _row_split_sql(1000, S.ROW_SPLIT_FILL)
+
+
+# --- W8/T6/T7: adaptive date split, over-size buckets row-split ---------------------------
+
+def _date_split_sql(limit: int, fill: float = S.ROW_SPLIT_FILL) -> str:
+    h, target = _PAY_HEADER, repr(float(limit) * float(fill))
+    order = _order(S.PAYABLES_TEMPLATE)
+    return BUCKET_CTES.rstrip("\n") + f""",
+lv AS (SELECT level, max(bytes) AS mb,
+              CASE level WHEN '5y' THEN 1 WHEN 'year' THEN 2 WHEN 'month' THEN 3 WHEN 'week' THEN 4 ELSE 5 END AS ord
+       FROM sizes GROUP BY level),
+pick AS (SELECT coalesce((SELECT level FROM lv WHERE mb <= {limit} ORDER BY ord LIMIT 1), 'day') AS level),
+rl AS (SELECT c.*, {row_bytes(S.PAYABLES_TEMPLATE)} AS b, CAST({parse(q('Data Emissao'))} AS DATE) AS day FROM pconf c),
+lab2 AS (
+  SELECT rl.*, coalesce(CASE pick.level
+      WHEN '5y' THEN CAST(anch.y0 + 5 * floor((year(day) - anch.y0) / 5) AS INTEGER) || '-' ||
+                     CAST(anch.y0 + 5 * floor((year(day) - anch.y0) / 5) + 4 AS INTEGER)
+      WHEN 'year' THEN strftime(day, '%Y')
+      WHEN 'month' THEN strftime(day, '%m-%Y')
+      WHEN 'week' THEN strftime(anch.d0 + CAST(7 * floor(datediff('day', anch.d0, day) / 7) AS INTEGER), '%d-%m-%Y')
+                       || '_a_' ||
+                       strftime(anch.d0 + CAST(7 * floor(datediff('day', anch.d0, day) / 7) + 7 AS INTEGER), '%d-%m-%Y')
+      ELSE strftime(day, '%d-%m-%Y') END, 'sem_data') AS label
+  FROM rl, pick, anch),
+bs AS (SELECT label, sum(b) + {h} AS bb FROM lab2 GROUP BY label),
+big AS (SELECT lab2.label, lab2.b,
+               row_number() OVER (PARTITION BY lab2.label ORDER BY day ASC NULLS FIRST, {order}) AS pos
+        FROM lab2 JOIN bs ON lab2.label = bs.label WHERE bs.bb > {limit}),
+pre AS (SELECT label, 0::BIGINT AS pos, 0::BIGINT AS cum FROM bs WHERE bb > {limit}
+        UNION ALL SELECT label, pos, CAST(sum(b) OVER (PARTITION BY label ORDER BY pos) AS BIGINT) FROM big),
+seg AS (
+  WITH RECURSIVE seg(label, s, n, done) AS (
+    SELECT label, 1::BIGINT, count(*)::BIGINT, false FROM big GROUP BY label
+    UNION ALL
+    SELECT sl.label,
+           CASE WHEN h.part = 0 THEN sl.st ELSE sl.st + sl.ln // 2 END,
+           CASE WHEN NOT sl.over THEN sl.ln WHEN h.part = 0 THEN sl.ln // 2 ELSE sl.ln - sl.ln // 2 END,
+           NOT sl.over
+    FROM (
+      SELECT q.label, q.st, q.ln, (p2.cum - p1.cum) + {h} > {limit} AND q.ln > 1 AS over
+      FROM (
+        SELECT k.label, k.s + i * k.k AS st, least(k.k, k.s + k.n - (k.s + i * k.k)) AS ln
+        FROM (
+          SELECT g.label, g.s, g.n,
+                 greatest(1, CAST(floor({target} / (CAST({h} + (e.cum - b.cum) AS DOUBLE) / g.n)) AS BIGINT)) AS k
+          FROM seg g JOIN pre b ON b.label = g.label AND b.pos = g.s - 1
+                     JOIN pre e ON e.label = g.label AND e.pos = g.s + g.n - 1
+          WHERE NOT g.done) k,
+        LATERAL (SELECT unnest(range(0, CAST(ceil(k.n / k.k) AS BIGINT))) AS i) t) q
+      JOIN pre p1 ON p1.label = q.label AND p1.pos = q.st - 1
+      JOIN pre p2 ON p2.label = q.label AND p2.pos = q.st + q.ln - 1) sl
+    JOIN (VALUES (0), (1)) h(part) ON sl.over OR h.part = 0)
+  SELECT * FROM seg),
+parts AS (
+  SELECT seg.label || ' (parte ' || CAST(row_number() OVER (PARTITION BY seg.label ORDER BY seg.s) AS VARCHAR) || ')'
+           AS date_label, seg.n AS rows, p2.cum - p1.cum + {h} AS bytes
+  FROM seg JOIN pre p1 ON p1.label = seg.label AND p1.pos = seg.s - 1
+           JOIN pre p2 ON p2.label = seg.label AND p2.pos = seg.s + seg.n - 1
+  WHERE seg.done
+  UNION ALL
+  SELECT lab2.label, count(*), sum(lab2.b) + {h}
+  FROM lab2 JOIN bs ON lab2.label = bs.label WHERE bs.bb <= {limit} GROUP BY lab2.label)
+SELECT date_label, 'contas_a_pagar_' || replace(replace(date_label, ' ', '_'), ':', '') AS file_name,
+       CAST(rows AS BIGINT) AS rows, CAST(bytes AS BIGINT) AS bytes, (SELECT level FROM pick) AS level
+FROM parts"""
+
+
+SQL["date_split"] = _date_split_sql(S.TEMPLATE_SPLIT_LIMIT)
+SQL["date_split_small_limit"] = _date_split_sql(2000)

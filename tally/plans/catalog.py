@@ -415,6 +415,16 @@ def q_date_split(spark, sf_dir):
         .withColumn("level", F.lit(level))
 
 
+@register("date_split_small_limit")
+def q_date_split_small(spark, sf_dir):
+    """T6/T7 with a limit below the largest day: the day level is chosen and big days are row-split."""
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    out, level = pl.split_by_date(rows, "Data Emissao", 2 * TINY_LIMIT, cols, prefix="contas_a_pagar")
+    return pt.manifest(out, ["date_label", "file_name"], "_bytes", cb.header_bytes(cols)) \
+        .withColumn("level", F.lit(level))
+
+
 @register("resplit_parts")
 def q_resplit_parts(spark, sf_dir):
     rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
