@@ -22,7 +22,7 @@ HEADLINE = [
     "conform_payables", "conform_contacts", "impute_accounts",
     "error_summary", "violations_sample5",
     "adaptive_granularity", "est_month_parts", "part_manifest", "row_parts",
-    "recursive_parts", "date_split",
+    "recursive_parts", "date_split", "recursive_parts_small_limit", "date_split_small_limit",
     "verify_sums", "pk_duplicates", "fk_orphans", "not_null_audit",
 ]
 
