@@ -180,3 +180,32 @@ def test_recursive_split_grouped_both_paths(spark, monkeypatch):
     assert run() == want
     monkeypatch.setattr(pt, "OVERSIZE_MAX_ROWS", 0)       # force the join-based fallback
     assert run() == want
+
+
+def test_month_key_with_year_option(spark):
+    rows = [("1", "10/01/2020", 2), ("2", "10/01/2021", 2), ("3", "", 2)]
+    df = spark.createDataFrame(rows, "Id string, `Data vencimento` string, Estabelecimento_id int")
+    from tally.operators.conform import conform
+    t = conform(df, S.PAYABLES_TEMPLATE)
+    plain = {r.mes for r in pl.split_by_establishment_month(t).select("mes").collect()}
+    yearly = {r.mes for r in pl.split_by_establishment_month(t, with_year=True).select("mes").collect()}
+    assert plain == {"1", "sem_data"}                    # Jan 2020 and Jan 2021 share a key by default
+    assert yearly == {"2020-01", "2021-01", "sem_data"}
+
+
+def test_splitters_on_empty_input(spark):
+    from tally.operators.conform import conform
+    empty = conform(spark.createDataFrame([], "Id string"), S.PAYABLES_TEMPLATE)
+    assert pl.split_by_establishment_month(empty).count() == 0
+    assert pl.split_by_rows(empty, limit=1000).count() == 0
+    out, level = pl.split_by_date(empty, "Data Emissao", limit=1000)
+    assert out.count() == 0 and level == "rows"
+
+
+def test_no_valid_dates_falls_back_to_rows(spark):
+    rows = [(i, "sem data", "x" * 30) for i in range(40)]
+    df = spark.createDataFrame(rows, "Id long, `Data Emissao` string, t string")
+    out, level = pl.split_by_date(df, "Data Emissao", limit=400)
+    assert level == "rows"
+    m = pt.part_sizes(out, ["parte"], "_bytes", cb.header_bytes(df.columns)).collect()
+    assert sum(r.rows for r in m) == 40 and all(r.bytes <= 400 for r in m)
