@@ -29,8 +29,10 @@ def _installments(t: Ledger, doc_type: int, establishments: Sequence[int] | None
     i = t.DOC_FINANCEIRO_PARCELA.alias("i")
     d = doc.alias("d")
     p = t.PESSOA.alias("p")
-    return (i.join(d, F.col("i.DOC_FINANCEIRO_ID") == F.col("d.DOC_FINANCEIRO_ID"), "inner")
-             .join(p, F.col("d.PESSOA_ID") == F.col("p.PESSOA_ID"), "inner"))
+    # documents meet their parties first (the smaller join), so the installment rows --
+    # the largest table -- are shuffled once, on the document key, instead of twice
+    dp = d.join(p, F.col("d.PESSOA_ID") == F.col("p.PESSOA_ID"), "inner")
+    return i.join(dp, F.col("i.DOC_FINANCEIRO_ID") == F.col("d.DOC_FINANCEIRO_ID"), "inner")
 
 
 def _with_dims(base: DataFrame, t: Ledger) -> DataFrame:
