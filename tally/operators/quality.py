@@ -108,17 +108,21 @@ def audit(df: DataFrame, dataset: str, as_of: dt.datetime | None = None, id_col:
     if not checks:
         return df.sparkSession.createDataFrame(
             [], "dataset string, rule string, category string, coluna string, record_id string")
+    # Clean rows are dropped by one OR of the predicates (generated code); only rows that
+    # break a rule are exploded into one row per broken rule.
+    any_hit = F.lit(False)
+    for _, _, pred in checks:
+        any_hit = any_hit | F.coalesce(pred, F.lit(False))
     hits = F.array(*[
         F.when(pred, F.struct(F.lit(rule).alias("rule"), F.lit(CATEGORY[rule]).alias("category"),
                               F.lit(label).alias("coluna")))
         for rule, label, pred in checks
     ])
-    hits = F.filter(hits, lambda x: x.isNotNull())
     rid = F.col(f"`{id_col}`").cast("string") if id_col else F.lit(None).cast("string")
-    cols = [rid.alias("record_id"), hits.alias("_hits")]
+    cols = [rid.alias("record_id"), F.explode(hits).alias("_h")]
     if with_record:
         cols.append(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("record"))
-    v = df.select(*cols).where(F.size("_hits") > 0).select("*", F.explode("_hits").alias("_h"))
+    v = df.where(any_hit).select(*cols).where(F.col("_h").isNotNull())
     out = [F.lit(dataset).alias("dataset"), F.col("_h.rule").alias("rule"),
            F.col("_h.category").alias("category"), F.col("_h.coluna").alias("coluna"), "record_id"]
     if with_record:
