@@ -33,7 +33,12 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", app="tally-bench", shuffle_partitions=cpus * 2,
                         extra={"spark.driver.memory": "16g"})
-    QUERIES["contacts_simple"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    # JIT warm-up of the main code paths on the smallest tables (not timed)
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
+    for name in ("payables", "contacts", "est_month_parts", "error_summary"):
+        QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         t0 = time.perf_counter()
