@@ -18,8 +18,15 @@ SCALE_CONF = {
     "spark.ui.enabled": "false",
     # remove reliable-checkpoint files once their DataFrames are garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # long sessions run many small jobs: keep bounded execution/job/stage history on the driver
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
+# Driver heap for local sessions (all executors live in the driver JVM there).
+LOCAL_DRIVER_MEMORY = "8g"
+
 
 def get_session(master: str | None = None, app: str = "tally", shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -30,6 +37,8 @@ def get_session(master: str | None = None, app: str = "tally", shuffle_partition
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if (master or "").startswith("local") and "spark.driver.memory" not in (extra or {}):
+        builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
