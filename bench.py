@@ -1,7 +1,8 @@
 """Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; print one JSON line.
 
 Each query is fully evaluated with the no-op sink (every row computed, nothing
-collected to the driver).
+collected to the driver).  ``BENCH_EVENT_LOG=<folder>`` also writes Spark's event
+log there, for stage and task times.
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(f"local[{cpus}]", app="tally-bench", shuffle_partitions=cpus * 2,
-                        extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG")   # optional: stage/task times for offline reading
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = get_session(f"local[{cpus}]", app="tally-bench", shuffle_partitions=cpus * 2, extra=extra)
     # JIT warm-up of the main code paths on the smallest tables (not timed)
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if not os.path.isdir(warm_dir):
