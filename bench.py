@@ -35,7 +35,8 @@ def main() -> None:
     extra = {"spark.driver.memory": "16g"}
     event_dir = os.environ.get("BENCH_EVENT_LOG")   # optional: stage/task times for offline reading
     if event_dir:
-        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+                      "spark.eventLog.compress": "false"})
     spark = get_session(f"local[{cpus}]", app="tally-bench", shuffle_partitions=cpus * 2, extra=extra)
     # JIT warm-up of the main code paths on the smallest tables (not timed)
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
