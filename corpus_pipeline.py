@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.llm import packing, quality_rules
+from tally.llm import jaccard_join, language_id, mixture, packing, quality_rules
 from tally.llm.common import stash, table
 
 STAGES = [
+    ("language ID", language_id.stage),
     ("quality rules", quality_rules.stage),
+    ("n-gram Jaccard join", jaccard_join.stage),
+    ("source mixing", mixture.stage),
     ("best-fit packing", packing.stage),
 ]
 

@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
-from tally.llm import packing, quality_rules, sharding, token_rollup, warc
+from tally.llm import (
+    html_text,
+    jaccard_join,
+    language_id,
+    mixture,
+    packing,
+    posting_search,
+    quality_rules,
+    sharding,
+    token_rollup,
+    warc,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.query,
     "op2_token_counts": token_rollup.query,
+    "op3_nearest_neighbours": posting_search.query,
+    "op4_language_id": language_id.query,
     "op5_warc": warc.query,
+    "op6_source_mixing": mixture.query,
     "op7_sharding": sharding.query,
+    "op8_html_extraction": html_text.query,
+    "op9_jaccard_join": jaccard_join.query,
     "op10_quality_rules": quality_rules.query,
 }
 
 SQL = {
     "op5_warc": warc.SQL,
+    "op6_source_mixing": mixture.SQL,
+    "op9_jaccard_join": jaccard_join.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }
