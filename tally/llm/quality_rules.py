@@ -131,9 +131,9 @@ def clean(df: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFram
     df = df.withColumns({"cleaned": F.array_join(good, "\n"), "base_failed": base_failed, "n_removed_words": lost})
     df = df.drop("_lines", "_judged")
     verdict = ~F.col("base_failed") & (F.col("n_removed_words") * 100 <= F.col("n_words") * rules.max_loss_percent)
-    # The random term (always true) keeps a filter on ``kept`` above this projection: pushed below
+    # The random term (always 0) keeps a filter on ``kept`` above this projection: pushed below
     # it, the filter would spell out the word and line expressions inside their own lambdas.
-    return df.withColumn("kept", F.when(F.rand(0) >= 0, verdict))
+    return df.withColumn("kept", verdict.cast("int") + F.floor(F.rand(0)).cast("int") == 1)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
