@@ -20,16 +20,18 @@ parc AS (
          l_orderkey AS DOC_FINANCEIRO_ID,
          l_linenumber AS CD_DFINP_IDT,
          CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 9 END AS INTEGER) AS TIPO_COBR_ID,
-         CAST(l_shipdate AS TIMESTAMP) AS DT_DFINP_VENC,
+         CAST(CASE WHEN l_orderkey % 223 <> 9 THEN l_shipdate END AS TIMESTAMP) AS DT_DFINP_VENC,
          CAST(0 AS DECIMAL(22,6)) AS VL_DFINP_DESC,
          CAST(0 AS DECIMAL(22,6)) AS VL_DFINP_JUROS,
          CAST(CASE WHEN l_linestatus = 'F' THEN l_shipdate + to_days(l_linenumber) END AS TIMESTAMP) AS DT_DFINP_QUIT,
-         CASE WHEN l_orderkey % 97 = 3 THEN CAST(-l_extendedprice AS DECIMAL(22,6))
+         CASE WHEN l_orderkey % 131 = 7 THEN NULL
+              WHEN l_orderkey % 97 = 3 THEN CAST(-l_extendedprice AS DECIMAL(22,6))
               WHEN l_orderkey % 97 = 4 THEN CAST(0 AS DECIMAL(22,6))
               ELSE CAST(l_extendedprice AS DECIMAL(22,6)) END AS VL_DFINP_PARC,
          CASE WHEN l_linestatus = 'F' AND l_linenumber = 2 THEN CAST(l_extendedprice * 0.5 AS DECIMAL(22,6))
               WHEN l_linestatus = 'F' THEN
-                CASE WHEN l_orderkey % 97 = 3 THEN CAST(-l_extendedprice AS DECIMAL(22,6))
+                CASE WHEN l_orderkey % 131 = 7 THEN NULL
+              WHEN l_orderkey % 97 = 3 THEN CAST(-l_extendedprice AS DECIMAL(22,6))
                      WHEN l_orderkey % 97 = 4 THEN CAST(0 AS DECIMAL(22,6))
                      ELSE CAST(l_extendedprice AS DECIMAL(22,6)) END
               ELSE CAST(0 AS DECIMAL(22,6)) END AS VL_DFINP_QUIT,
@@ -38,7 +40,7 @@ parc AS (
               ELSE 'Parcela ' || CAST(l_linenumber AS VARCHAR) || ' do pedido ' || CAST(l_orderkey AS VARCHAR)
          END AS DS_DFINP_HIST,
          CAST(l_suppkey AS INTEGER) AS NO_DFINP_COBR_ELE,
-         CAST(l_extendedprice * l_tax AS DECIMAL(22,6)) AS VL_DMOVI_TXCOBR
+         CASE WHEN l_orderkey % 13 <> 5 THEN CAST(l_extendedprice * l_tax AS DECIMAL(22,6)) END AS VL_DMOVI_TXCOBR
   FROM lineitem)"""
 
 PESSOA = """
@@ -81,7 +83,12 @@ pessoa AS (
          CASE WHEN c_custkey % 5 = 0 THEN 'Perto da praca ' || CAST(c_custkey % 30 AS VARCHAR) END AS DS_PESS_ENDER_REFER,
          CASE WHEN c_custkey % 8 = 1 THEN NULL ELSE 'cliente' || CAST(c_custkey AS VARCHAR) || '@mail.test' END AS NO_PESS_EMAIL_COBR,
          CASE WHEN c_custkey % 50 = 0 THEN 'Obs, "vip"' WHEN c_custkey % 50 = 1 THEN '#interno' END AS DS_PESS_OBS,
-         lower(c_mktsegment) AS DS_PESS_CARG
+         lower(c_mktsegment) AS DS_PESS_CARG,
+         CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 17 AS INTEGER) END AS PESSOA_ESTABELECIMENTO_ID,
+         CASE WHEN c_custkey % 3 <> 0 THEN c_custkey % 30 END AS COBRANCA_MUNICIPIO_ID,
+         CASE WHEN c_custkey % 4 <> 0 THEN c_custkey - 1 END AS INDICADOR_PESSOA_ID,
+         CASE WHEN c_custkey % 6 = 1 THEN c_custkey * 2 END AS VENDEDOR_PESSOA_ID,
+         CASE WHEN c_custkey % 10 = 7 THEN CAST(c_custkey % 8 AS INTEGER) END AS VEICULO_UF_ID
   FROM customer)"""
 
 MUNICIPIO = """
@@ -118,10 +125,17 @@ cond AS (
 
 TIPO = """
 tipo AS (
-  SELECT * FROM (VALUES (1, 'Boleto'), (2, 'Pix')) v(TIPO_COBR_ID, DS_TCOBR_IDENT))"""
+  SELECT * FROM (VALUES (1, 'Boleto', 1), (2, 'Pix', 9)) v(TIPO_COBR_ID, DS_TCOBR_IDENT, COND_PAGTO_ID))"""
+
+ESTAB = """
+estab AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS ESTABELECIMENTO_ID, s_name AS DS_ESTAB_NOME_FANTA,
+         s_name || ' Ltda' AS DS_ESTAB_RAZAO_SOCIA, lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS NO_ESTAB_CNPJ,
+         CAST(s_nationkey AS BIGINT) AS MUNICIPIO_ID
+  FROM supplier)"""
 
 ALL = {"doc": DOC, "parc": PARC, "pessoa": PESSOA, "municipio": MUNICIPIO, "uf": UF,
-       "contato": CONTATO, "cond": COND, "tipo": TIPO}
+       "contato": CONTATO, "cond": COND, "tipo": TIPO, "estab": ESTAB}
 
 
 def with_ctes(*names: str, extra: list[str] | None = None) -> str:

@@ -270,7 +270,7 @@ def _category(rule):
 
 
 def _account_rules(src, dataset, issue, party, idc):
-    out = [_rule(src, dataset, S.RULE_NULL, c, f"{q(c)} IS NULL", idc)
+    out = [_rule(src, dataset, S.RULE_NULL, c, f"({q(c)} IS NULL OR CAST({q(c)} AS VARCHAR) = '')", idc)
            for c in [issue, "Data vencimento", "Valor documento", party, "Estabelecimento_id"]]
     di, dd, ds = parse(q(issue)), parse(q("Data vencimento")), parse(q("Data Liquidacao"))
     out.append(_rule(src, dataset, S.RULE_DUE_BEFORE_ISSUE, "Data vencimento",
@@ -285,9 +285,9 @@ def _account_rules(src, dataset, issue, party, idc):
 
 
 def _contact_rules():
-    out = [_rule("cexp", "contatos", S.RULE_NULL, "Nome", '"Nome" IS NULL', "ID"),
-           _rule("cexp", "contatos", S.RULE_NULL, "CNPJ/CPF", '"CNPJ / CPF" IS NULL', "ID"),
-           _rule("cexp", "contatos", S.RULE_NULL, "Situação", '"Situação" IS NULL', "ID")]
+    out = [_rule("cexp", "contatos", S.RULE_NULL, "Nome", "coalesce(\"Nome\", '') = ''", "ID"),
+           _rule("cexp", "contatos", S.RULE_NULL, "CNPJ/CPF", "coalesce(\"CNPJ / CPF\", '') = ''", "ID"),
+           _rule("cexp", "contatos", S.RULE_NULL, "Situação", "coalesce(\"Situação\", '') = ''", "ID")]
     n = "length(regexp_replace(CAST(\"CNPJ / CPF\" AS VARCHAR), '[^0-9]', '', 'g'))"
     out.append(_rule("cexp", "contatos", S.RULE_BAD_TAXID, "CNPJ / CPF", f"{n} NOT IN (11, 14) AND {n} > 0", "ID"))
     d = parse(q("Data nascimento"))
@@ -318,15 +318,16 @@ SELECT dataset, rule, coluna, record_id, CAST(rn AS INTEGER) AS rn FROM (
   FROM violations) WHERE rn <= 5"""
 
 SQL["error_summary"] = AUDIT_CTES + """
-SELECT dataset,
+SELECT d.dataset,
        CAST(count(*) FILTER (WHERE category = 'nulos') AS BIGINT) AS nulos,
        CAST(count(*) FILTER (WHERE category = 'datas_futuro') AS BIGINT) AS datas_futuro,
        CAST(count(*) FILTER (WHERE category = 'datas_antigas') AS BIGINT) AS datas_antigas,
        CAST(count(*) FILTER (WHERE category = 'inconsistencias') AS BIGINT) AS inconsistencias
-FROM violations GROUP BY dataset"""
+FROM (VALUES ('contas_pagar'), ('contas_receber'), ('contatos')) d(dataset)
+LEFT JOIN violations v ON v.dataset = d.dataset GROUP BY d.dataset"""
 
 SQL["null_counts"] = with_ctes("doc", "parc", "pessoa", "cond", "tipo", extra=[TP.PAY_EXPORT]) + \
-    "\nUNION ALL ".join(f"SELECT {TP.lit(c)} AS coluna, CAST(count(*) FILTER (WHERE {q(c)} IS NULL) AS BIGINT) AS nulls "
+    "\nUNION ALL ".join(f"SELECT {TP.lit(c)} AS coluna, CAST(count(*) FILTER (WHERE coalesce(CAST({q(c)} AS VARCHAR), '') = '') AS BIGINT) AS nulls "
                         f"FROM pexp" for c in S.PAYABLES_EXPORT_COLUMNS)
 
 SQL["date_range"] = AUDIT_CTES + "\nUNION ALL ".join(
@@ -338,8 +339,11 @@ SQL["date_range"] = AUDIT_CTES + "\nUNION ALL ".join(
 # --- buckets -------------------------------------------------------------------------------
 
 _PAY_HEADER = header_bytes(S.PAYABLES_TEMPLATE.columns)
-BUCKETS = f"""
-x AS (SELECT CAST({parse(q('Data Emissao'))} AS DATE) AS day, {row_bytes(S.PAYABLES_TEMPLATE)} AS b FROM pconf),
+
+
+def _buckets(src, template, date_col):
+    return f"""
+x AS (SELECT CAST({parse(q(date_col))} AS DATE) AS day, {row_bytes(template)} AS b FROM {src}),
 daily AS (SELECT day, count(*) AS rows, sum(b) AS bytes FROM x WHERE day IS NOT NULL GROUP BY day),
 anch AS (SELECT min(day) AS d0, year(min(day)) AS y0 FROM daily),
 lab AS (
@@ -353,10 +357,11 @@ lab AS (
          strftime(d0 + CAST(7 * floor(datediff('day', d0, day) / 7) + 7 AS INTEGER), '%d-%m-%Y'),
          rows, bytes FROM daily, anch
   UNION ALL SELECT 'day', strftime(day, '%d-%m-%Y'), rows, bytes FROM daily),
-sizes AS (SELECT level, label, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(bytes) + {_PAY_HEADER} AS BIGINT) AS bytes
+sizes AS (SELECT level, label, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(bytes) + {header_bytes(template.columns)} AS BIGINT) AS bytes
           FROM lab GROUP BY level, label)"""
 
-BUCKET_CTES = PAY_CTES.rstrip("\n") + "," + BUCKETS + "\n"
+
+BUCKET_CTES = PAY_CTES.rstrip("\n") + "," + _buckets("pconf", S.PAYABLES_TEMPLATE, "Data Emissao") + "\n"
 for _lv, _name in [("5y", "bucket_5y"), ("year", "bucket_year"), ("month", "bucket_month"),
                    ("week", "bucket_week"), ("day", "bucket_day")]:
     SQL[_name] = BUCKET_CTES + f"SELECT label, rows, bytes FROM sizes WHERE level = '{_lv}'"
@@ -383,14 +388,14 @@ def _order(template, first=()):
     return ", ".join(f"{k} ASC NULLS FIRST" for k in keys)
 
 
-def _est_month_sql(limit, select):
-    return PAY_CTES.rstrip("\n") + f""",
-em AS (SELECT *, {row_bytes(S.PAYABLES_TEMPLATE)} AS b, {_MES} AS mes FROM pconf
+def _est_month_sql(limit, select, ctes=None, src="pconf", template=S.PAYABLES_TEMPLATE):
+    return (ctes or PAY_CTES).rstrip("\n") + f""",
+em AS (SELECT *, {row_bytes(template)} AS b, {_MES} AS mes FROM {src}
        WHERE "Estabelecimento_id" IN (2, 5)),
-kk AS (SELECT greatest(1, CAST(floor({float(limit) * S.TEMPLATE_FILL!r} / (CAST(sum(b) + {_PAY_HEADER} AS DOUBLE) / count(*)))
+kk AS (SELECT greatest(1, CAST(floor({float(limit) * S.TEMPLATE_FILL!r} / (CAST(sum(b) + {header_bytes(template.columns)} AS DOUBLE) / count(*)))
                             AS BIGINT)) AS k FROM em),
 r AS (SELECT em.*, row_number() OVER (PARTITION BY "Estabelecimento_id", mes
-                                      ORDER BY {_order(S.PAYABLES_TEMPLATE, [parse(q('Data vencimento'))])}) AS pos,
+                                      ORDER BY {_order(template, [parse(q('Data vencimento'))])}) AS pos,
              count(*) OVER (PARTITION BY "Estabelecimento_id", mes) AS gn FROM em),
 p AS (SELECT r.*, least(k, gn) AS kg FROM r, kk),
 parts AS (SELECT p.*, CAST(floor((pos - 1) / kg) + 1 AS INTEGER) AS parte, CAST(ceil(gn / kg) AS INTEGER) AS n_parts,
@@ -402,6 +407,7 @@ _EM_ROWS = ('SELECT "Id" AS id, "Estabelecimento_id" AS estabelecimento_id, mes,
             "parte, n_parts FROM parts")
 SQL["est_month_parts"] = _est_month_sql(S.TEMPLATE_SPLIT_LIMIT, _EM_ROWS)
 SQL["est_month_parts_small_limit"] = _est_month_sql(16000, _EM_ROWS)
+SQL["est_month_parts_receivables"] = _est_month_sql(16000, _EM_ROWS, REC_CTES, "rconf", S.RECEIVABLES_TEMPLATE)
 SQL["part_manifest"] = _est_month_sql(16000, f"""
 SELECT "Estabelecimento_id" AS estabelecimento_id, mes, parte,
        'contas_a_pagar_est_' || CAST("Estabelecimento_id" AS VARCHAR) || '_' || mes_label ||
@@ -447,34 +453,59 @@ SQL["verify_sums"] = _VER + "\nUNION ALL ".join(
 
 # --- constraints ------------------------------------------------------------------------------------
 
-_CTE_OF = {"DOC_FINANCEIRO": "doc", "DOC_FINANCEIRO_PARCELA": "parc", "PESSOA": "pessoa", "COND_PAGTO": "cond",
-           "TIPO_COBR": "tipo", "CONTATO": "contato", "MUNICIPIO": "municipio", "UF": "uf"}
-_ALL_LEDGER = with_ctes(*_CTE_OF.values())
-
-
-def _key(cols):
-    return " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
-
+# What the DDL declares, stated here on its own (fixed values): CTE, primary key, NOT NULL columns, nvarchar limits.
+_DDL = {
+    "DOC_FINANCEIRO": ("doc", "DOC_FINANCEIRO_ID", "DOC_FINANCEIRO_ID PESSOA_ID ESTABELECIMENTO_ID CD_DFIN_DOCUM NO_DFIN_TIPO"
+                       " COND_PAGTO_ID DT_DFIN_EMISS DT_DFIN_LANC VL_DFIN_TOT ID_DFIN_ADT", {}),
+    "DOC_FINANCEIRO_PARCELA": ("parc", "DOC_FINANCEIRO_PARCELA_ID", "DOC_FINANCEIRO_PARCELA_ID DOC_FINANCEIRO_ID CD_DFINP_IDT"
+                               " TIPO_COBR_ID DT_DFINP_VENC VL_DFINP_DESC VL_DFINP_JUROS VL_DFINP_PARC VL_DFINP_QUIT"
+                               " NO_DFINP_COBR_ELE VL_DMOVI_TXCOBR", {}),
+    "PESSOA": ("pessoa", "PESSOA_ID", "PESSOA_ID NO_PESS_TIPO ID_PESS_ATIVA DS_PESS_FANTA NM_PESS_IDENT MUNICIPIO_ID",
+               {"NO_PESS_IDENT": 20, "NM_PESS_IDENT": 70, "DS_PESS_NATUR": 50, "DS_PESS_ENDER": 80, "NO_PESS_ENDER": 20,
+                "DS_PESS_BAIRRO": 65, "NO_PESS_INSCR_ESTAD": 20}),
+    "ESTABELECIMENTO": ("estab", "ESTABELECIMENTO_ID", "ESTABELECIMENTO_ID DS_ESTAB_NOME_FANTA DS_ESTAB_RAZAO_SOCIA"
+                        " NO_ESTAB_CNPJ MUNICIPIO_ID",
+                        {"DS_ESTAB_NOME_FANTA": 50, "DS_ESTAB_RAZAO_SOCIA": 50, "NO_ESTAB_CNPJ": 20}),
+    "COND_PAGTO": ("cond", "COND_PAGTO_ID", "COND_PAGTO_ID DS_CPAG_IDENT PC_CPAG_FATOR NO_CPAG_PARC NO_CPAG_DEFAS",
+                   {"DS_CPAG_IDENT": 30}),
+    "TIPO_COBR": ("tipo", "TIPO_COBR_ID", "TIPO_COBR_ID DS_TCOBR_IDENT", {"DS_TCOBR_IDENT": 30}),
+    "CONTATO": ("contato", "CONTATO_ID", "CONTATO_ID PESSOA_ID DS_CTT_NOME ID_CTT_PADR",
+                {"DS_CTT_NOME": 50, "DS_CTT_CARGO": 30, "DS_CTT_TTRM": 5, "NO_CTT_CPF": 11}),
+    "MUNICIPIO": ("municipio", "MUNICIPIO_ID", "MUNICIPIO_ID DS_MUN_IDENT UF_ID VL_MUN_ALIQ_ISS",
+                  {"DS_MUN_IDENT": 100, "ID_MUN_COD": 10}),
+    "UF": ("uf", "UF_ID", "UF_ID CD_UF_IDT DS_UF_IDENT NO_UF_COD PAIS_ID PC_UF_ALIQ_ICMS",
+           {"CD_UF_IDT": 5, "DS_UF_IDENT": 50, "NO_UF_COD": 10}),
+}
+# child.column -> parent (whose key it names)
+_REFERENCES = [
+    ("CONTATO", "PESSOA_ID", "PESSOA"), ("DOC_FINANCEIRO", "COND_PAGTO_ID", "COND_PAGTO"),
+    ("DOC_FINANCEIRO", "ESTABELECIMENTO_ID", "ESTABELECIMENTO"), ("DOC_FINANCEIRO", "PESSOA_ID", "PESSOA"),
+    ("DOC_FINANCEIRO_PARCELA", "DOC_FINANCEIRO_ID", "DOC_FINANCEIRO"), ("DOC_FINANCEIRO_PARCELA", "TIPO_COBR_ID", "TIPO_COBR"),
+    ("MUNICIPIO", "UF_ID", "UF"), ("PESSOA", "MUNICIPIO_ID", "MUNICIPIO"),
+    ("PESSOA", "PESSOA_ESTABELECIMENTO_ID", "ESTABELECIMENTO"), ("PESSOA", "COBRANCA_MUNICIPIO_ID", "MUNICIPIO"),
+    ("PESSOA", "INDICADOR_PESSOA_ID", "PESSOA"), ("PESSOA", "VENDEDOR_PESSOA_ID", "PESSOA"),
+    ("PESSOA", "VEICULO_UF_ID", "UF"), ("TIPO_COBR", "COND_PAGTO_ID", "COND_PAGTO"),
+]
+_ALL_LEDGER = with_ctes(*[d[0] for d in _DDL.values()])
 
 SQL["pk_duplicates"] = _ALL_LEDGER + "\nUNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", {_key(pk)} AS key, CAST(count(*) AS BIGINT) AS n FROM {_CTE_OF[t]} "
-    f"GROUP BY {', '.join(pk)} HAVING count(*) > 1" for t, pk in S.PRIMARY_KEYS.items())
+    f"SELECT '{t}' AS \"table\", CAST({pk} AS VARCHAR) AS key, CAST(count(*) AS BIGINT) AS n FROM {cte} "
+    f"GROUP BY {pk} HAVING count(*) > 1" for t, (cte, pk, _, _) in _DDL.items())
 
 SQL["fk_orphans"] = _ALL_LEDGER + "\nUNION ALL ".join(
-    f"SELECT '{child}' AS child, '{','.join(cc)}' AS coluna, '{parent}' AS parent, {_key(cc)} AS key, "
-    f"CAST(count(*) AS BIGINT) AS n FROM {_CTE_OF[child]} c "
-    f"WHERE {' AND '.join(f'c.{x} IS NOT NULL' for x in cc)} AND NOT EXISTS (SELECT 1 FROM {_CTE_OF[parent]} p "
-    f"WHERE {' AND '.join(f'p.{pp} = c.{x}' for pp, x in zip(pc, cc))}) GROUP BY {', '.join('c.' + x for x in cc)}"
-    for child, cc, parent, pc in S.FOREIGN_KEYS)
+    f"SELECT '{child}' AS child, '{c}' AS coluna, '{parent}' AS parent, CAST({c} AS VARCHAR) AS key, "
+    f"CAST(count(*) AS BIGINT) AS n FROM {_DDL[child][0]} c WHERE c.{c} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM {_DDL[parent][0]} p WHERE p.{_DDL[parent][1]} = c.{c}) GROUP BY c.{c}"
+    for child, c, parent in _REFERENCES)
 
 SQL["not_null_audit"] = _ALL_LEDGER + "\nUNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", '{c}' AS coluna, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n "
-    f"FROM {_CTE_OF[t]}" for t in S.LEDGER_SCHEMAS for c in S.not_null_columns(t))
+    f"SELECT '{t}' AS \"table\", '{c}' AS coluna, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n FROM {cte}"
+    for t, (cte, _, columns, _) in _DDL.items() for c in columns.split())
 
 SQL["length_audit"] = _ALL_LEDGER + "\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", '{c}' AS coluna, CAST({n} AS INTEGER) AS max_len, "
-    f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {_CTE_OF[t]}"
-    for t, lim in S.LENGTH_LIMITS.items() for c, n in lim.items())
+    f"CAST(count(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {cte}"
+    for t, (cte, _, _, limits) in _DDL.items() for c, n in limits.items())
 
 SQL["defaults_applied"] = with_ctes("parc") + """
 SELECT TIPO_COBR_ID AS tipo_cobr_id, CAST(count(*) AS BIGINT) AS rows,
@@ -524,15 +555,17 @@ SQL["recursive_parts_small_limit"] = _row_split_sql(1000, S.ROW_SPLIT_FILL)
 
 # --- W8/T6/T7: adaptive date split, over-size buckets row-split ---------------------------
 
-def _date_split_sql(limit: int, fill: float = S.ROW_SPLIT_FILL) -> str:
-    h, target = _PAY_HEADER, repr(float(limit) * float(fill))
-    order = _order(S.PAYABLES_TEMPLATE)
-    return BUCKET_CTES.rstrip("\n") + f""",
+def _date_split_sql(limit: int, fill: float = S.ROW_SPLIT_FILL, ctes=None, src="pconf", template=S.PAYABLES_TEMPLATE,
+                    date_col="Data Emissao", prefix="contas_a_pagar") -> str:
+    h, target = header_bytes(template.columns), repr(float(limit) * float(fill))
+    order = _order(template)
+    return (ctes or PAY_CTES).rstrip("\n") + "," + _buckets(src, template, date_col) + f""",
+total AS (SELECT sum(b) + {h} AS bytes, count(*) AS rows, sum(b) + {h} <= {limit} AS fits FROM x),
 lv AS (SELECT level, max(bytes) AS mb,
               CASE level WHEN '5y' THEN 1 WHEN 'year' THEN 2 WHEN 'month' THEN 3 WHEN 'week' THEN 4 ELSE 5 END AS ord
        FROM sizes GROUP BY level),
 pick AS (SELECT coalesce((SELECT level FROM lv WHERE mb <= {limit} ORDER BY ord LIMIT 1), 'day') AS level),
-rl AS (SELECT c.*, {row_bytes(S.PAYABLES_TEMPLATE)} AS b, CAST({parse(q('Data Emissao'))} AS DATE) AS day FROM pconf c),
+rl AS (SELECT c.*, {row_bytes(template)} AS b, CAST({parse(q(date_col))} AS DATE) AS day FROM {src} c),
 lab2 AS (
   SELECT rl.*, coalesce(CASE pick.level
       WHEN '5y' THEN CAST(anch.y0 + 5 * floor((year(day) - anch.y0) / 5) AS INTEGER) || '-' ||
@@ -582,10 +615,120 @@ parts AS (
   UNION ALL
   SELECT lab2.label, count(*), sum(lab2.b) + {h}
   FROM lab2 JOIN bs ON lab2.label = bs.label WHERE bs.bb <= {limit} GROUP BY lab2.label)
-SELECT date_label, 'contas_a_pagar_' || replace(replace(date_label, ' ', '_'), ':', '') AS file_name,
+SELECT date_label, '{prefix}_' || replace(replace(date_label, ' ', '_'), ':', '') AS file_name,
        CAST(rows AS BIGINT) AS rows, CAST(bytes AS BIGINT) AS bytes, (SELECT level FROM pick) AS level
-FROM parts"""
+FROM parts WHERE NOT (SELECT fits FROM total)
+UNION ALL SELECT NULL, '{prefix}', CAST(rows AS BIGINT), CAST(bytes AS BIGINT), 'whole' FROM total WHERE fits"""
 
 
 SQL["date_split"] = _date_split_sql(S.TEMPLATE_SPLIT_LIMIT)
 SQL["date_split_small_limit"] = _date_split_sql(2000)
+SQL["date_split_fits"] = _date_split_sql(S.DATE_SPLIT_LIMIT * 1000, ctes=CON_CTES, src="cconf", template=S.CONTACTS_TEMPLATE,
+                                         date_col="Data nascimento", prefix="contatos")
+SQL["date_split_contacts"] = _date_split_sql(60000, ctes=CON_CTES, src="cconf", template=S.CONTACTS_TEMPLATE,
+                                             date_col="Data nascimento", prefix="contatos")
+
+
+# --- K8: parts over the threshold are row-split again ---------------------------------------
+
+def _resplit_sql(split_limit: int, limit: int, threshold: float) -> str:
+    """First level only: its parts are far below the threshold, so the second level leaves them alone."""
+    first = limit * 0.4
+    base = _date_split_sql(split_limit)
+    head = base[:base.index("bs AS (")]
+    return head + f"""
+named AS (SELECT CASE WHEN (SELECT fits FROM total) THEN '' ELSE label END AS label, b, day, lab2.* EXCLUDE (label, b, day) FROM lab2),
+size AS (SELECT label, count(*) AS rows, sum(b) + {_PAY_HEADER} AS bb FROM named GROUP BY label),
+r AS (SELECT n.label, n.b, row_number() OVER (PARTITION BY n.label ORDER BY day ASC NULLS FIRST, {_order(S.PAYABLES_TEMPLATE)}) AS pos
+      FROM named n JOIN size USING (label) WHERE bb > {threshold!r}),
+pre AS (SELECT label, 0::BIGINT AS pos, 0::BIGINT AS cum FROM size WHERE bb > {threshold!r}
+        UNION ALL SELECT label, pos, CAST(sum(b) OVER (PARTITION BY label ORDER BY pos) AS BIGINT) FROM r),
+seg AS (
+  WITH RECURSIVE seg(label, s, n, done) AS (
+    SELECT label, 1::BIGINT, count(*)::BIGINT, false FROM r GROUP BY label
+    UNION ALL
+    SELECT t.label, CASE WHEN h.half = 1 THEN t.st + t.ln // 2 ELSE t.st END,
+           CASE WHEN NOT t.big THEN t.ln WHEN h.half = 0 THEN t.ln // 2 ELSE t.ln - t.ln // 2 END, NOT t.big
+    FROM (
+      SELECT y.label, y.st, y.ln, c2.cum - c1.cum + {_PAY_HEADER} > {first!r} AND y.ln > 1 AS big
+      FROM (
+        SELECT k.label, k.s + i * k.k AS st, least(k.k, k.n - i * k.k) AS ln
+        FROM (SELECT g.label, g.s, g.n, greatest(1, CAST(floor({first * S.ROW_SPLIT_FILL!r}
+                     / (CAST({_PAY_HEADER} + (e.cum - a.cum) AS DOUBLE) / g.n)) AS BIGINT)) AS k
+              FROM seg g JOIN pre a ON a.label = g.label AND a.pos = g.s - 1
+                         JOIN pre e ON e.label = g.label AND e.pos = g.s + g.n - 1 WHERE NOT g.done) k,
+        LATERAL (SELECT unnest(range(0, CAST(ceil(k.n / k.k) AS BIGINT))) AS i) t) y
+      JOIN pre c1 ON c1.label = y.label AND c1.pos = y.st - 1
+      JOIN pre c2 ON c2.label = y.label AND c2.pos = y.st + y.ln - 1) t
+    JOIN (VALUES (0), (1)) h(half) ON t.big OR h.half = 0)
+  SELECT * FROM seg WHERE done)
+SELECT nullif(seg.label, '') AS date_label, CAST(row_number() OVER (PARTITION BY seg.label ORDER BY s) AS INTEGER) AS sub,
+       0 AS subsub, n AS rows, CAST(c2.cum - c1.cum + {_PAY_HEADER} AS BIGINT) AS bytes
+FROM seg JOIN pre c1 ON c1.label = seg.label AND c1.pos = seg.s - 1
+         JOIN pre c2 ON c2.label = seg.label AND c2.pos = seg.s + seg.n - 1
+UNION ALL SELECT nullif(label, ''), 0, 0, rows, CAST(bb AS BIGINT) FROM size WHERE bb <= {threshold!r}"""
+
+
+SQL["resplit_parts"] = _resplit_sql(2048000, 16000, 1900 * 1024 * 16000 / 2048000)
+
+
+# --- files written and read back; damaged parts ---------------------------------------------
+
+_N_FILES = """(SELECT CAST(count(DISTINCT ("Estabelecimento_id", mes, parte)) AS DOUBLE) FROM parts)"""
+_SUM = "CAST(sum(TRY_CAST(trim(CAST({} AS VARCHAR)) AS DECIMAL(38,6))) AS DOUBLE)"
+SQL["csv_roundtrip"] = _est_month_sql(16000, "\nUNION ALL ".join(
+    ['SELECT \'row_count\' AS "check", CAST(count(*) AS DOUBLE) AS expected, CAST(count(*) AS DOUBLE) AS actual, true AS passed FROM em',
+     "SELECT 'ids_missing', 0.0, 0.0, true", "SELECT 'ids_extra', 0.0, 0.0, true",
+     f"SELECT 'file_bytes_exact', {_N_FILES}, {_N_FILES}, true", f"SELECT 'columns', {_N_FILES}, {_N_FILES}, true"]
+    + [f"SELECT 'sum:{c}', {_SUM.format(q(c))}, {_SUM.format(q(c))}, true FROM em" for c in ["Valor documento", "Saldo", "Taxas"]]))
+SQL["verify_columns"] = _est_month_sql(16000, """
+SELECT DISTINCT 'contas_a_pagar_est_' || CAST("Estabelecimento_id" AS VARCHAR) || '_' || mes_label ||
+       CASE WHEN n_parts > 1 THEN '_parte_' || lpad(CAST(parte AS VARCHAR), 3, '0') ELSE '' END AS file_name,
+       '' AS missing_columns, '' AS extra_columns, true AS passed
+FROM parts""")
+
+_DAMAGED = _VER.rstrip("\n") + """,
+k AS (SELECT o.*, CAST("Id" AS BIGINT) AS n FROM o),
+dam AS (SELECT CASE WHEN n % 4000 = 21 THEN '-' || "Id" ELSE "Id" END AS "Id", "Valor documento",
+               CASE WHEN n % 30 = 3 THEN "Saldo" + 0.5 ELSE "Saldo" END AS "Saldo", "Taxas"
+        FROM k WHERE n % 50 <> 1),
+miss AS (SELECT DISTINCT 'missing' AS kind, "Id" AS id FROM o WHERE "Id" NOT IN (SELECT "Id" FROM dam)),
+ext AS (SELECT DISTINCT 'extra' AS kind, "Id" AS id FROM dam WHERE "Id" NOT IN (SELECT "Id" FROM o)),
+both_ids AS (SELECT * FROM miss UNION ALL SELECT * FROM ext),
+chk AS (
+  SELECT 'row_count' AS "check", CAST((SELECT count(*) FROM o) AS DOUBLE) AS expected,
+         CAST((SELECT count(*) FROM dam) AS DOUBLE) AS actual, (SELECT count(*) FROM o) = (SELECT count(*) FROM dam) AS passed
+  UNION ALL SELECT 'ids_missing', 0.0, CAST((SELECT count(*) FROM miss) AS DOUBLE), (SELECT count(*) FROM miss) = 0
+  UNION ALL SELECT 'ids_extra', 0.0, CAST((SELECT count(*) FROM ext) AS DOUBLE), (SELECT count(*) FROM ext) = 0
+""" + "".join(f"""  UNION ALL SELECT 'sum:{c}', (SELECT {_SUM.format(q(c))} FROM o), (SELECT {_SUM.format(q(c))} FROM dam),
+         (SELECT abs(a.v - b.v) <= 0.01 FROM (SELECT sum(TRY_CAST({q(c)} AS DECIMAL(38,6))) AS v FROM o) a,
+          (SELECT sum(TRY_CAST({q(c)} AS DECIMAL(38,6))) AS v FROM dam) b)
+""" for c in ["Valor documento", "Saldo", "Taxas"]) + ")\n"
+SQL["verify_damaged"] = _DAMAGED + 'SELECT "check", expected, actual, passed FROM chk'
+SQL["verify_overall"] = _DAMAGED + 'SELECT bool_and(passed) AS passed, CAST(count(*) AS BIGINT) AS checks FROM chk'
+SQL["verify_id_listing"] = _DAMAGED + """SELECT kind, id FROM both_ids
+WHERE kind IN (SELECT kind FROM both_ids GROUP BY kind HAVING count(*) <= 10)"""
+
+# --- blank cells: missing as after a read from a file -----------------------------------------
+
+_BLANK_P = """
+bexp AS (SELECT * REPLACE (
+    CASE WHEN "ID" % 29 = 1 THEN '' WHEN "ID" % 29 = 2 THEN NULL ELSE "Situação" END AS "Situação",
+    CASE WHEN "ID" % 31 = 1 THEN '' ELSE "Fornecedor" END AS "Fornecedor",
+    CASE WHEN "ID" % 37 = 1 THEN '' ELSE "Data emissao" END AS "Data emissao") FROM pexp)"""
+_BLANK_C = """
+bexp AS (SELECT * REPLACE (
+    CASE WHEN "ID" % 5 = 1 THEN '' ELSE "Nome" END AS "Nome", CASE WHEN "ID" % 6 = 1 THEN '' ELSE "Endereço" END AS "Endereço",
+    CASE WHEN "ID" % 7 = 2 THEN '' ELSE "Bairro" END AS "Bairro", CASE WHEN "ID" % 8 = 3 THEN '' ELSE "Cidade" END AS "Cidade",
+    CASE WHEN "ID" % 9 = 4 THEN '' ELSE "Estado" END AS "Estado", CASE WHEN "ID" % 10 = 5 THEN '' ELSE "E-mail" END AS "E-mail",
+    CASE WHEN "ID" % 11 = 6 THEN '' ELSE "Situação" END AS "Situação") FROM cexp)"""
+SQL["impute_blank_accounts"] = with_ctes("doc", "parc", "pessoa", "cond", "tipo", extra=[
+    TP.PAY_EXPORT, _BLANK_P, TP.impute_accounts("bexp", "bimp", "Data emissao", "Fornecedor", "Situação", "ID")]) + \
+    TP.snake_select("bimp", S.PAYABLES_EXPORT_COLUMNS, {"Valor documento", "Saldo"})
+SQL["impute_blank_contacts"] = with_ctes("pessoa", "municipio", "uf", "contato", extra=[
+    TP.FONE, TP.CON_EXPORT, _BLANK_C, TP.impute_contacts("bexp", "bimp")]) + TP.snake_select(
+    "bimp", ["ID", "Nome", "CNPJ / CPF", "Endereço", "Bairro", "Cidade", "Estado", "Situação", "E-mail", "Data nascimento"])
+SQL["null_audit_blank"] = with_ctes("pessoa", "municipio", "uf", "contato", extra=[TP.FONE, TP.CON_EXPORT, _BLANK_C]) + \
+    "\nUNION ALL ".join(f"SELECT {TP.lit(c)} AS coluna, CAST(\"ID\" AS VARCHAR) AS record_id FROM bexp "
+                        f"WHERE coalesce({q(x)}, '') = ''"
+                        for c, x in [("Nome", "Nome"), ("CNPJ/CPF", "CNPJ / CPF"), ("Situação", "Situação")])

@@ -138,29 +138,33 @@ def impute_accounts(src: str, name: str, issue: str, party: str, status: str, id
   SELECT * REPLACE (
     {fmt(issue_v)} AS {q(issue)},
     {fmt(f"coalesce({parse(q('Data vencimento'))}, {issue_v})")} AS "Data vencimento",
-    coalesce({q(party)}, 'Cliente ' || {_ident(idc)}) AS {q(party)},
+    coalesce(nullif({q(party)}, ''), 'Cliente ' || {_ident(idc)}) AS {q(party)},
     coalesce("Valor documento", CAST(1.00 AS DECIMAL(22,6))) AS "Valor documento",
-    coalesce({q(status)}, 'Em Aberto') AS {q(status)})
+    coalesce(nullif({q(status)}, ''), 'Em Aberto') AS {q(status)})
   FROM {src})"""
 
 
 PAY_IMPUTE = impute_accounts("pexp", "pimp", "Data emissao", "Fornecedor", "Situação", "ID")
 REC_IMPUTE = impute_accounts("rexp", "rimp", "Data Emissao", "Cliente", "Situacao", "Id")
 
-CON_IMPUTE = f"""
-cimp AS (
+def impute_contacts(src: str, name: str) -> str:
+    return f"""
+{name} AS (
   SELECT * REPLACE (
     {fmt(f"coalesce({parse(q('Data nascimento'))}, {AS_OF})")} AS "Data nascimento",
-    coalesce(CAST("CNPJ / CPF" AS VARCHAR), CASE WHEN "Tipo pessoa" = 'Jurídica' THEN '00000000000000'
+    coalesce(nullif(CAST("CNPJ / CPF" AS VARCHAR), ''), CASE WHEN "Tipo pessoa" = 'Jurídica' THEN '00000000000000'
              ELSE '00000000000' END) AS "CNPJ / CPF",
-    coalesce("Nome", 'Cliente ' || {_ident('ID')}) AS "Nome",
-    coalesce("Endereço", 'N/A') AS "Endereço",
-    coalesce("Bairro", 'N/A') AS "Bairro",
-    coalesce("Cidade", 'N/A') AS "Cidade",
-    coalesce("Situação", 'N/A') AS "Situação",
-    coalesce("Estado", 'UF') AS "Estado",
-    coalesce("E-mail", 'contato' || {_ident('ID')} || '@exemplo.com') AS "E-mail")
-  FROM cexp)"""
+    coalesce(nullif("Nome", ''), 'Cliente ' || {_ident('ID')}) AS "Nome",
+    coalesce(nullif("Endereço", ''), 'N/A') AS "Endereço",
+    coalesce(nullif("Bairro", ''), 'N/A') AS "Bairro",
+    coalesce(nullif("Cidade", ''), 'N/A') AS "Cidade",
+    coalesce(nullif("Situação", ''), 'N/A') AS "Situação",
+    coalesce(nullif("Estado", ''), 'UF') AS "Estado",
+    coalesce(nullif("E-mail", ''), 'contato' || {_ident('ID')} || '@exemplo.com') AS "E-mail")
+  FROM {src})"""
+
+
+CON_IMPUTE = impute_contacts("cexp", "cimp")
 
 
 # --- conform to template -------------------------------------------------------------------

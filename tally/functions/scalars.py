@@ -60,11 +60,22 @@ def null_or_empty(c) -> Column:
     return c.isNull() | (c.cast("string") == F.lit(""))
 
 
+def missing(c, dtype: T.DataType | None = None) -> Column:
+    """Null, or blank where the column is text: as a blank cell of a file reads back."""
+    c = _col(c)
+    return null_or_empty(c) if dtype is None or isinstance(dtype, T.StringType) else c.isNull()
+
+
+def present(c, dtype: T.DataType | None = None) -> Column:
+    """The value, or null where it is missing."""
+    return F.when(~missing(c, dtype), _col(c))
+
+
 def to_money(c, dtype: T.DataType | None = None, default=0) -> Column:
     """Numeric coercion to decimal(22,6); blank/bad -> default (null keeps null)."""
     c = _col(c)
     if isinstance(dtype, T.NumericType):
-        v = c.cast(S.MONEY)
+        v = c.try_cast(S.MONEY)
     else:
         v = _try_decimal(F.trim(c.cast("string")))
     if default is None:
@@ -80,7 +91,7 @@ def _try_decimal(s: Column) -> Column:
 def to_int(c, dtype: T.DataType | None = None, default=0) -> Column:
     c = _col(c)
     if isinstance(dtype, T.IntegralType):
-        v = c.cast("int")
+        v = c.try_cast("int")
     else:
         v = F.trim(c.cast("string")).try_cast(S.MONEY).try_cast("int")
     return v if default is None else F.coalesce(v, F.lit(default).cast("int"))

@@ -17,6 +17,11 @@ def _col(n: str) -> Column:
     return F.col(f"`{n}`")
 
 
+def _fill(df: DataFrame, label: str, value: Column) -> Column:
+    """The column with ``value`` where it is missing (null, or blank text)."""
+    return F.coalesce(fx.present(_col(label), df.schema[label].dataType), value)
+
+
 def _fill_date(df: DataFrame, label: str, fallback: Column) -> tuple[Column, Column]:
     """(output column, parsed value) for a date filled with ``fallback`` (a timestamp)."""
     dtype = df.schema[label].dataType
@@ -46,17 +51,17 @@ def impute(df: DataFrame, dataset: str, as_of: dt.datetime) -> DataFrame:
             zeros = F.lit(S.TAXID_DEFAULT_NATURAL)
             if ptype:
                 zeros = F.when(_col(ptype) == F.lit(S.LEGAL_PERSON), F.lit(S.TAXID_DEFAULT_LEGAL)).otherwise(zeros)
-            repl[taxid] = F.coalesce(_col(taxid).cast("string"), zeros)
+            repl[taxid] = F.coalesce(fx.present(_col(taxid).cast("string")), zeros)
         if "Nome" in df.columns:
-            repl["Nome"] = F.coalesce(_col("Nome"), F.concat(F.lit(S.NAME_DEFAULT_PREFIX), ident))
+            repl["Nome"] = _fill(df, "Nome", F.concat(F.lit(S.NAME_DEFAULT_PREFIX), ident))
         for label in S.CONTACT_TEXT_IMPUTE_COLUMNS:
             if label in df.columns:
-                repl[label] = F.coalesce(_col(label), F.lit(S.TEXT_DEFAULT))
+                repl[label] = _fill(df, label, F.lit(S.TEXT_DEFAULT))
         if "Estado" in df.columns:
-            repl["Estado"] = F.coalesce(_col("Estado"), F.lit(S.STATE_DEFAULT))
+            repl["Estado"] = _fill(df, "Estado", F.lit(S.STATE_DEFAULT))
         if "E-mail" in df.columns:
-            repl["E-mail"] = F.coalesce(
-                _col("E-mail"), F.concat(F.lit(S.EMAIL_DEFAULT_PREFIX), ident, F.lit(S.EMAIL_DEFAULT_SUFFIX)))
+            repl["E-mail"] = _fill(
+                df, "E-mail", F.concat(F.lit(S.EMAIL_DEFAULT_PREFIX), ident, F.lit(S.EMAIL_DEFAULT_SUFFIX)))
     else:
         issue = resolve(df, S.VARIANTS["issue_date"])
         issue_value = now
@@ -67,14 +72,14 @@ def impute(df: DataFrame, dataset: str, as_of: dt.datetime) -> DataFrame:
             repl[due] = _fill_date(df, due, issue_value)[0]
         party = resolve(df, S.VARIANTS["party"])
         if party:
-            repl[party] = F.coalesce(_col(party), F.concat(F.lit(S.NAME_DEFAULT_PREFIX), ident))
+            repl[party] = _fill(df, party, F.concat(F.lit(S.NAME_DEFAULT_PREFIX), ident))
         amount = resolve(df, S.VARIANTS["amount"])
         if amount:
             dtype = df.schema[amount].dataType
             default = F.lit(S.AMOUNT_DEFAULT).cast(dtype if isinstance(dtype, T.NumericType) else S.MONEY)
-            repl[amount] = F.coalesce(_col(amount), default.cast(dtype))
+            repl[amount] = _fill(df, amount, default.cast(dtype))
         status = resolve(df, S.VARIANTS["status"])
         if status:
-            repl[status] = F.coalesce(_col(status), F.lit(S.STATUS_OPEN))
+            repl[status] = _fill(df, status, F.lit(S.STATUS_OPEN))
 
     return df.select(*[(repl[c].alias(c) if c in repl else _col(c)) for c in df.columns])

@@ -2,9 +2,8 @@
 
 Sizes are exact CSV bytes (``tally.functions.csvbytes``), known before any
 file is written, so "write, stat, delete, rewrite" becomes part-id refinement.
-The recursion of the row split runs over aggregates: each round sees only the
-rows of segments still over the limit, keeps (group, position, bytes), and is
-checkpointed; the number of rounds is at most log2 of the largest segment.
+The recursion of the row split runs over slices, whose sizes are differences of
+running totals; slices halve, so the rounds are at most log2 of the longest.
 """
 
 from __future__ import annotations
@@ -17,16 +16,9 @@ from pyspark.sql import functions as F
 
 from tally import schemas as S
 from tally.operators.positions import positions
-from tally.operators.sizing import broadcast_if_small
-
-MAX_ROUNDS = 64
-
 
 def _join_cond(left: str, right: str, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
-    return cond
+    return reduce(lambda x, y: x & y, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in cols])
 
 
 def _join(a: DataFrame, b: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
@@ -49,12 +41,15 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     """Per group, parts of k rows, k from the average CSV row size of all rows being split.
 
     Adds ``pos`` (position in group), ``part_col`` (1-based) and ``n_parts``.
-    The only driver round-trip is one aggregate row (count, bytes).
+    The rows are checkpointed first, so what made them runs once; the size
+    pass, the range sample and the sort read the files.  The only driver
+    round-trip is one aggregate row (count, bytes).
     """
     g = list(group_cols)
-    totals: dict = {}
-    x = positions(df, g, order_cols, size_col="_gn", sum_col=bytes_col, totals=totals)
-    k = rows_per_part(totals["s"] + header_bytes, totals["n"], limit, fill)
+    df = df.checkpoint(eager=True)
+    n, s = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(bytes_col), F.lit(0))).first()
+    x = positions(df, g, order_cols, size_col="_gn", total_bytes=s)
+    k = rows_per_part(s + header_bytes, n, limit, fill)
     kg = F.least(F.lit(k).cast("long"), F.col("_gn"))
     return (x.withColumn("_k", F.greatest(F.lit(1).cast("long"), kg))
              .withColumn(part_col, (F.floor((F.col("pos") - 1) / F.col("_k")) + 1).cast("int"))
@@ -62,9 +57,25 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
              .drop("_k", "_gn"))
 
 
-# Over-size first-round slices the broadcast path handles; above these it falls back to joins.
-OVERSIZE_MAX_ROWS = 200_000
-OVERSIZE_MAX_PER_GROUP = 1024
+# Rows per block of a running total.  Two levels of blocks leave one row per BLOCK**2 rows of a group
+# for the last window, so no task ever orders more than a sliver of a group.
+BLOCK = 4096
+
+
+def running_total(df: DataFrame, g: Sequence[str], pos_col: str, value: str, out: str, levels: int = 2) -> DataFrame:
+    """``df`` plus ``out``: the sum of ``value`` up to each row's position within its group (positions dense from 1)."""
+    g = list(g)
+    if levels == 0:
+        w = Window.partitionBy(*g).orderBy(pos_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(value).over(w))
+    blk, upto = f"_blk{levels}", f"_upto{levels}"
+    x = df.withColumn(blk, F.floor((F.col(pos_col) - 1) / BLOCK).cast("long") + 1)
+    sums = x.groupBy(*g, blk).agg(F.sum(value).alias("_sum"))
+    sums = running_total(sums, g, blk, "_sum", upto, levels - 1)
+    before = sums.select(*g, blk, (F.col(upto) - F.col("_sum")).alias("_before"))
+    w = Window.partitionBy(*g, blk).orderBy(pos_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn(out, F.sum(value).over(w))
+    return _join(x, before, [*g, blk]).withColumn(out, F.col(out) + F.col("_before")).drop(blk, "_before")
 
 
 def _k_expr(target: float, header_bytes: int) -> Column:
@@ -73,36 +84,23 @@ def _k_expr(target: float, header_bytes: int) -> Column:
                       F.floor(F.lit(target) / ((F.lit(header_bytes) + F.col("_sb")) / F.col("_sn"))).cast("long"))
 
 
-def _halving_rounds(pending: DataFrame, g: list, pos_col: str, bytes_col: str, limit: float,
-                    header_bytes: int, target: float, carry: Sequence[str] = ()) -> DataFrame:
-    """Split segments (``_seg`` = start position) round by round; returns (g, pos, carry, _part_start).
+def _slice_bytes(slices: DataFrame, ends: DataFrame, g: list) -> DataFrame:
+    """Slices (g, _st, _ln) plus ``_sz``: their bytes, from the running totals at their two borders."""
+    def at(col: str, out: str) -> DataFrame:
+        return ends.select(*g, F.col("_pos").alias(col), F.col("_cum").alias(out))
+
+    x = slices.withColumns({"_en": F.col("_st") + F.col("_ln") - 1, "_pre": F.col("_st") - 1})
+    x = _join(x, at("_en", "_c1"), [*g, "_en"])
+    x = _join(x, at("_pre", "_c0"), [*g, "_pre"], "left")
+    return x.withColumn("_sz", F.col("_c1") - F.coalesce(F.col("_c0"), F.lit(0))).select(*g, "_st", "_ln", "_sz")
 
-    Each round: k per segment from its own average row size, slices of k rows,
-    slices over the limit with more than one row are halved into the next
-    round.  Every round is checkpointed; segments shrink by half each round.
-    """
-    carry = list(carry)
-    done = []
-    for _ in range(MAX_ROUNDS):
-        segs = pending.groupBy(*g, "_seg").agg(F.count(F.lit(1)).alias("_sn"), F.sum(bytes_col).alias("_sb"))
-        segs = broadcast_if_small(segs.withColumn("_k", _k_expr(target, header_bytes)).checkpoint(eager=True))
-        x = _join(pending, segs, [*g, "_seg"])
-        x = x.withColumn("_slice", F.col("_seg") + F.floor((F.col(pos_col) - F.col("_seg")) / F.col("_k"))
-                         .cast("long") * F.col("_k"))
-        x = x.withColumn("_slen", F.least(F.col("_k"), F.col("_seg") + F.col("_sn") - F.col("_slice")))
-        # a slice holds at most k rows (about limit*fill bytes): a window per slice is bounded, never skewed
-        x = x.withColumn("_sz", F.sum(bytes_col).over(Window.partitionBy(*g, "_slice")))
-        x = x.withColumn("_over", ((F.col("_sz") + header_bytes) > F.lit(limit)) & (F.col("_slen") > 1))
-        x = x.select(*g, pos_col, bytes_col, *carry, "_slice", "_slen", "_over").checkpoint(eager=True)
-        done.append(x.where(~F.col("_over")).select(*g, pos_col, *carry, F.col("_slice").alias("_part_start")))
-        half = F.floor(F.col("_slen") / 2).cast("long")
-        pending = x.where(F.col("_over")).select(
-            *g, pos_col, bytes_col, *carry,
-            F.when(F.col(pos_col) - F.col("_slice") >= half, F.col("_slice") + half)
-             .otherwise(F.col("_slice")).alias("_seg"))
-        if pending.isEmpty():
-            break
-    return reduce(lambda a, b: a.unionByName(b), done)
+
+def _halves(over: DataFrame, g: list) -> DataFrame:
+    """The two halves of each slice (the first one rounded down)."""
+    half = F.floor(F.col("_ln") / 2).cast("long")
+    both = F.array(F.struct(F.col("_st").alias("_st"), half.alias("_ln")),
+                   F.struct((F.col("_st") + half).alias("_st"), (F.col("_ln") - half).alias("_ln")))
+    return over.select(*g, F.explode(both).alias("_h")).select(*g, "_h.*")
 
 
 def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, limit: float,
@@ -116,74 +114,52 @@ def recursive_parts(df: DataFrame, group_cols: Sequence[str], bytes_col: str, li
     ``df`` must carry ``pos_col`` (1-based, dense within group).  Returns ``df``
     plus ``part_col`` (dense from 1 within each group).
 
-    First-round slices follow from the position by arithmetic.  Rows of slices
-    that fit get their part number as slice index + 1 + the extra parts of the
-    over-size slices before them, read from a small broadcast table; only rows
-    of over-size slices go through the halving rounds and one join.  When the
-    over-size table is not small, the join-based form is used instead.
+    One table (group, position, running bytes) serves all rounds: a slice's
+    size is the difference of two of its rows, so a round handles slices, not
+    rows.  Rounds go on until no slice is over; a round whose slices do not
+    shrink raises.  The part number of a row is the running count of part
+    starts, joined to the wide rows once.
     """
     g = list(group_cols)
     target = float(limit) * float(fill)
-    segs = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_sn"), F.sum(bytes_col).alias("_sb"))
-    segs = broadcast_if_small(segs.withColumn("_k", _k_expr(target, header_bytes)).checkpoint(eager=True))
-    x = _join(df, segs, g)
-    x = x.withColumn("_idx", F.floor((F.col(pos_col) - 1) / F.col("_k")).cast("long"))
-    x = x.withColumn("_slice", F.col("_idx") * F.col("_k") + 1)
-    x = x.withColumn("_slen", F.least(F.col("_k"), F.col("_sn") - F.col("_slice") + 1))
-    sl = x.groupBy(*g, "_slice").agg(F.sum(bytes_col).alias("_sz"), F.max("_slen").alias("_slen"))
-    over = sl.where(((F.col("_sz") + header_bytes) > F.lit(limit)) & (F.col("_slen") > 1)) \
-             .select(*g, "_slice", "_slen").checkpoint(eager=True)
-    helpers = ["_sn", "_sb", "_k", "_idx", "_slice", "_slen"]
-    n_over = over.limit(OVERSIZE_MAX_ROWS + 1).count()
-    if n_over == 0:
-        return x.withColumn(part_col, (F.col("_idx") + 1).cast("int")).drop(*helpers)
-    per_group = over.groupBy(*g).count().agg(F.max("count")).first()[0] if g else n_over
-    if n_over > OVERSIZE_MAX_ROWS or per_group > OVERSIZE_MAX_PER_GROUP:
-        return _recursive_parts_joined(df, g, bytes_col, limit, header_bytes, target, pos_col, part_col)
-
-    # rows of over-size slices: halves become the segments of the next rounds
-    o = F.broadcast(over.select(*g, "_slice"))
-    pend = x.select(*g, pos_col, bytes_col, "_slice", "_slen").alias("a").join(
-        o.alias("b"), _join_cond("a", "b", [*g, "_slice"]), "left_semi")
-    half = F.floor(F.col("_slen") / 2).cast("long")
-    pend = pend.select(*g, pos_col, bytes_col, F.col("_slice").alias("_s1"),
-                       F.when(F.col(pos_col) - F.col("_slice") >= half, F.col("_slice") + half)
-                        .otherwise(F.col("_slice")).alias("_seg")).checkpoint(eager=True)
-    mapping = _halving_rounds(pend, g, pos_col, bytes_col, limit, header_bytes, target, carry=["_s1"])
-
-    # sub-part number inside each over-size slice, and the extra parts each one adds
-    subs = positions(mapping.select(*g, "_s1", "_part_start").distinct(), [*g, "_s1"], ["_part_start"],
-                     pos_col="_sub", size_col="_subn")
-    ext = subs.select(*g, "_s1", "_subn").distinct()
-    w = Window.partitionBy(*g).orderBy("_s1").rowsBetween(Window.unboundedPreceding, 0)
-    ext = ext.withColumn("_through", F.sum(F.col("_subn") - 1).over(w))
-    arrs = ext.groupBy(*g).agg(F.sort_array(F.collect_list(F.struct(F.col("_s1").alias("s"),
-                                                                    F.col("_through").alias("t")))).alias("_arr"))
-    arrs = F.broadcast(arrs.checkpoint(eager=True))   # at most OVERSIZE_MAX_ROWS entries in all (checked above)
-    y = _join(x, arrs, g, "left")
-    earlier = F.filter(F.coalesce(F.col("_arr"), F.array()), lambda e: e["s"] < F.col("_slice"))
-    extra = F.coalesce(F.try_element_at(earlier, F.lit(-1))["t"], F.lit(0))
-    in_over = F.exists(F.coalesce(F.col("_arr"), F.array()), lambda e: e["s"] == F.col("_slice"))
-    y = y.withColumn("_base", F.col("_idx") + 1 + extra).withColumn("_in_over", in_over)
-    fits = y.where(~F.col("_in_over")).withColumn(part_col, F.col("_base").cast("int"))
-    sub_of_row = _join(mapping.select(*g, pos_col, "_s1", "_part_start"), subs.select(*g, "_s1", "_part_start", "_sub"),
-                       [*g, "_s1", "_part_start"]).select(*g, pos_col, "_sub")
-    split = _join(y.where(F.col("_in_over")), sub_of_row, [*g, pos_col]) \
-        .withColumn(part_col, (F.col("_base") + F.col("_sub") - 1).cast("int")).drop("_sub")
-    return fits.unionByName(split).drop(*helpers, "_arr", "_base", "_in_over")
-
-
-def _recursive_parts_joined(df: DataFrame, g: list, bytes_col: str, limit: float, header_bytes: int,
-                            target: float, pos_col: str, part_col: str) -> DataFrame:
-    """R2 through joins only: the fallback when there are too many over-size slices to broadcast."""
-    narrow = df.select(*g, pos_col, bytes_col).withColumn("_seg", F.lit(1).cast("long")).checkpoint(eager=True)
-    mapping = _halving_rounds(narrow, g, pos_col, bytes_col, limit, header_bytes, target)
-    starts = mapping.select(*g, "_part_start").distinct()
-    numbered = positions(starts, g, ["_part_start"], pos_col=part_col)
-    numbered = numbered.withColumn(part_col, F.col(part_col).cast("int"))
-    # narrow (group, position) -> part number first, so the wide rows are shuffled once
-    row_part = _join(mapping, numbered, [*g, "_part_start"]).select(*g, pos_col, part_col)
-    return _join(df, row_part, [*g, pos_col])
+    narrow = df.select(*g, F.col(pos_col).cast("long").alias("_pos"), F.col(bytes_col).alias("_b"))
+    ends = running_total(narrow, g, "_pos", "_b", "_cum").select(*g, "_pos", "_cum").checkpoint(eager=True)
+
+    # first round: a group is one segment; its slice ends are every k-th row and the last one
+    segs = ends.groupBy(*g).agg(F.max("_pos").alias("_sn"), F.max("_cum").alias("_sb"))
+    segs = segs.withColumn("_k", _k_expr(target, header_bytes)).checkpoint(eager=True)
+    if g:
+        x = _join(ends, segs, g)
+    else:
+        whole = segs.first()
+        x = ends.withColumns({"_sn": F.lit(whole["_sn"]), "_k": F.lit(whole["_k"])})
+    x = x.where((F.col("_pos") % F.col("_k") == 0) | (F.col("_pos") == F.col("_sn")))
+    x = x.withColumns({"_i": F.floor((F.col("_pos") - 1) / F.col("_k")).cast("long")})
+    x = x.withColumn("_st", F.col("_i") * F.col("_k") + 1).withColumn("_ln", F.col("_pos") - F.col("_st") + 1)
+    x = x.select(*g, "_st", "_ln")
+    done, longest = [], None
+    while True:
+        slices = _slice_bytes(x, ends, g).checkpoint(eager=True)
+        over = ((F.col("_sz") + header_bytes) > F.lit(limit)) & (F.col("_ln") > 1)
+        done.append(slices.where(~over).select(*g, "_st"))
+        pending = slices.where(over)
+        most = pending.agg(F.max("_ln")).first()[0]
+        if most is None:
+            break
+        if longest is not None and most >= longest:
+            raise RuntimeError(f"row split makes no progress: a slice of {most} rows after one of {longest}")
+        longest = most
+        segs = _slice_bytes(_halves(pending, g), ends, g).withColumnsRenamed({"_ln": "_sn", "_sz": "_sb"})
+        segs = segs.withColumn("_k", _k_expr(target, header_bytes))
+        i = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_sn") / F.col("_k")).cast("long") - 1))
+        x = segs.withColumn("_i", i).select(
+            *g, (F.col("_st") + F.col("_i") * F.col("_k")).alias("_st"),
+            F.least(F.col("_k"), F.col("_sn") - F.col("_i") * F.col("_k")).alias("_ln"))
+    starts = reduce(DataFrame.unionByName, done).select(*g, F.col("_st").alias("_pos"), F.lit(1).alias("_first"))
+    marked = _join(ends.select(*g, "_pos"), starts, [*g, "_pos"], "left").withColumn("_first", F.coalesce("_first", F.lit(0)))
+    number = running_total(marked, g, "_pos", "_first", part_col)
+    number = number.select(*g, F.col("_pos").alias(pos_col), F.col(part_col).cast("int").alias(part_col))
+    return _join(df, number, [*g, pos_col])
 
 
 def part_sizes(df: DataFrame, part_cols: Sequence[str], bytes_col: str, header_bytes: int) -> DataFrame:
@@ -193,7 +169,7 @@ def part_sizes(df: DataFrame, part_cols: Sequence[str], bytes_col: str, header_b
         (F.sum(bytes_col) + F.lit(header_bytes)).cast("long").alias("bytes"))
 
 
-def resplit(df: DataFrame, part_cols: Sequence[str], order_col: str, bytes_col: str, header_bytes: int,
+def resplit(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence[Column | str], bytes_col: str, header_bytes: int,
             threshold: float = S.RESPLIT_THRESHOLD, targets: Sequence[float] = S.RESPLIT_TARGETS,
             limit: float = S.DATE_SPLIT_LIMIT, level_cols: Sequence[str] = ("sub", "subsub")) -> DataFrame:
     """K7/K8: parts over ``threshold`` are row-split again at ``limit * target``; then the sub-parts.
@@ -204,22 +180,21 @@ def resplit(df: DataFrame, part_cols: Sequence[str], order_col: str, bytes_col:
     keys = list(part_cols)
     out = df
     for target, level in zip(targets, level_cols):
-        sizes = part_sizes(out, keys, bytes_col, header_bytes).where(F.col("bytes") > F.lit(threshold))
-        over = sizes.select(*keys).alias("b")
-        big = out.alias("a").join(over, _join_cond("a", "b", keys), "left_semi")
-        small = out.alias("a").join(over, _join_cond("a", "b", keys), "left_anti")
-        big = positions(big, keys, [order_col], pos_col="_rpos")
+        # sizes once; every row learns whether its part is over, so the rows are read once for both sides
+        sizes = part_sizes(out, keys, bytes_col, header_bytes).select(*keys, (F.col("bytes") > F.lit(threshold)).alias("_big"))
+        sized = _join(out, sizes, keys).checkpoint(eager=True)
+        big = positions(sized.where("_big").drop("_big"), keys, list(order_cols), pos_col="_rpos")
         big = recursive_parts(big, keys, bytes_col, limit * target, header_bytes, S.ROW_SPLIT_FILL,
                               pos_col="_rpos", part_col=level).drop("_rpos")
-        out = small.withColumn(level, F.lit(0)).unionByName(big)
+        out = sized.where(~F.col("_big")).drop("_big").withColumn(level, F.lit(0)).unionByName(big)
         keys = keys + [level]
     return out
 
 
 def manifest(df: DataFrame, part_cols: Sequence[str], bytes_col: str, header_bytes: int,
              name: Column | None = None) -> DataFrame:
-    """K9: one row per part with its row count, exact bytes and (optionally) file name."""
+    """K9/L2: one row per part with its row count, exact bytes and (optionally) file name, ordered by the part keys."""
     m = part_sizes(df, part_cols, bytes_col, header_bytes)
     if name is not None:
         m = m.withColumn("file_name", name)
-    return m
+    return m.orderBy(*part_cols)

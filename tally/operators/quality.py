@@ -52,8 +52,12 @@ def split_date_column(df: DataFrame, dataset: str) -> str | None:
 
 
 def rules(df: DataFrame, dataset: str, as_of: dt.datetime | None = None,
-          date_col: str | None = None, important: Sequence[str] | None = None) -> list[tuple[str, str, Column]]:
-    """(rule, column label, predicate) triples for a dataset."""
+          date_col: str | None = None, important: Sequence[str] | None = None,
+          only: Sequence[str] | None = None) -> list[tuple[str, str, Column]]:
+    """(rule, column label, predicate) triples for a dataset; with ``only``, of these rules.
+
+    Rules left out here ask for no column, so their inputs are not scanned.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     col = lambda n: F.col(f"`{n}`")
     out: list[tuple[str, str, Column]] = []
@@ -64,7 +68,7 @@ def rules(df: DataFrame, dataset: str, as_of: dt.datetime | None = None,
         if present is None and label in S.VARIANTS["taxid"]:
             present = resolve(df, S.VARIANTS["taxid"])
         if present is not None:
-            out.append((S.RULE_NULL, label, col(present).isNull()))
+            out.append((S.RULE_NULL, label, fx.missing(col(present), types[present])))
 
     if dataset in ACCOUNTS:
         issue = resolve(df, S.VARIANTS["issue_date"])
@@ -93,21 +97,22 @@ def rules(df: DataFrame, dataset: str, as_of: dt.datetime | None = None,
         d = fx.parse_date(col(date_col), types[date_col])
         out.append((S.RULE_FUTURE_DATE, date_col, d > fx.ts_literal(future)))
         out.append((S.RULE_OLD_DATE, date_col, d < fx.ts_literal(past)))
-    return out
+    return [r for r in out if only is None or r[0] in only]
 
 
 def audit(df: DataFrame, dataset: str, as_of: dt.datetime | None = None, id_col: str | None = None,
           date_col: str | None = None, important: Sequence[str] | None = None,
-          with_record: bool = False) -> DataFrame:
+          with_record: bool = False, only: Sequence[str] | None = None) -> DataFrame:
     """Long violations table (dataset, rule, category, coluna, record_id[, record]).
 
     One row per (row, broken rule); ``record`` holds the offending row as JSON.
     """
     id_col = id_col or resolve(df, S.VARIANTS["id"])
-    checks = rules(df, dataset, as_of, date_col, important)
+    checks = rules(df, dataset, as_of, date_col, important, only)
     if not checks:
         return df.sparkSession.createDataFrame(
-            [], "dataset string, rule string, category string, coluna string, record_id string")
+            [], "dataset string, rule string, category string, coluna string, record_id string"
+                + (", record string" if with_record else ""))
     # Clean rows are dropped by one OR of the predicates (generated code); only rows that
     # break a rule are exploded into one row per broken rule.
     any_hit = F.lit(False)
@@ -131,18 +136,24 @@ def audit(df: DataFrame, dataset: str, as_of: dt.datetime | None = None, id_col:
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """A2: null count per column in one aggregation pass, long form (coluna, nulls)."""
+    """A2: count of missing values per column in one aggregation pass, long form (coluna, nulls)."""
     columns = list(columns or df.columns)
-    agg = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    agg = df.agg(*[F.count_if(fx.missing(F.col(f"`{c}`"), types[c])).alias(f"c{i}") for i, c in enumerate(columns)])
     stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', c{i}" for i, c in enumerate(columns))
     return agg.selectExpr(f"stack({len(columns)}, {stack}) AS (coluna, nulls)")
 
 
-def error_summary(violations: DataFrame) -> DataFrame:
-    """A10: violations per dataset and category, categories as columns (fixed list, no extra job)."""
+def error_summary(violations: DataFrame, datasets: Sequence[str]) -> DataFrame:
+    """A10: violations per dataset and category, categories as columns (fixed list, no extra job).
+
+    Every one of ``datasets`` has a row; without violations its counts are 0.
+    """
+    spark = violations.sparkSession
+    listed = spark.createDataFrame([(d,) for d in datasets], "dataset string")
     p = violations.groupBy("dataset").pivot("category", S.SUMMARY_CATEGORIES).count()
-    return p.select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                                 for c in S.SUMMARY_CATEGORIES])
+    return F.broadcast(listed).join(p, "dataset", "left").select(
+        "dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in S.SUMMARY_CATEGORIES])
 
 
 def sample_violations(violations: DataFrame, n: int = 5) -> DataFrame:

@@ -42,6 +42,14 @@ def id_differences(original: DataFrame, parts: DataFrame, id_col: str,
     return missing.unionByName(extra)
 
 
+def id_listing(original: DataFrame, parts: DataFrame, id_col: str, parts_id_col: str | None = None,
+               at_most: int = 10) -> DataFrame:
+    """L4: the differing ids (kind, id) of each kind that has no more than ``at_most`` of them."""
+    diffs = id_differences(original, parts, id_col, parts_id_col)
+    few = diffs.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= at_most).select("kind")
+    return diffs.join(F.broadcast(few), "kind", "left_semi")     # two kinds at most
+
+
 def verify(original: DataFrame, parts: DataFrame, id_col: str, sum_cols: Sequence[str] = (),
            parts_id_col: str | None = None, tolerance: float = S.SUM_TOLERANCE) -> DataFrame:
     """Checks table with row count (V1), missing/extra ids (V2), sums within tolerance (V3)."""
@@ -75,4 +83,5 @@ def column_checks(expected_columns: Sequence[str], headers: DataFrame) -> DataFr
 
 def overall(checks: DataFrame) -> DataFrame:
     """One row, all checks passed?"""
-    return checks.agg(F.bool_and("passed").alias("passed"), F.count(F.lit(1)).alias("checks"))
+    return checks.agg(F.bool_and("passed").alias("passed"), F.count(F.lit(1)).alias("checks"),
+                      F.count_if("passed").alias("passed_checks"))

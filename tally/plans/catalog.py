@@ -256,6 +256,37 @@ def q_impute_contacts(spark, sf_dir):
                               "E-mail", "Data nascimento", "Tipo pessoa"])
 
 
+def _blanked(df: DataFrame, blanks: dict) -> DataFrame:
+    """Blank cells where ID % m = r for each column -> (m, r); as an empty cell in a hand-made sheet."""
+    return df.withColumns({c: F.when(F.col("ID") % m == r, F.lit("")).otherwise(F.col(f"`{c}`"))
+                           for c, (m, r) in blanks.items()})
+
+
+def _blanked_contacts(spark, sf_dir):
+    return _blanked(pl.export(ledger(spark, sf_dir), "contatos"), {
+        "Nome": (5, 1), "Endereço": (6, 1), "Bairro": (7, 2), "Cidade": (8, 3), "Estado": (9, 4), "E-mail": (10, 5),
+        "Situação": (11, 6)})
+
+
+@register("impute_blank_accounts")
+def q_impute_blank_accounts(spark, sf_dir):
+    df = _blanked(pl.export(ledger(spark, sf_dir), "contas_pagar"),
+                  {"Situação": (29, 1), "Fornecedor": (31, 1), "Data emissao": (37, 1)})
+    df = df.withColumn("Situação", F.when(F.col("ID") % 29 != 2, F.col("Situação")))
+    return oracle_frame(impute(df, "contas_pagar", AS_OF))
+
+
+@register("impute_blank_contacts")
+def q_impute_blank_contacts(spark, sf_dir):
+    return _snake_select(impute(_blanked_contacts(spark, sf_dir), "contatos", AS_OF), [
+        "ID", "Nome", "CNPJ / CPF", "Endereço", "Bairro", "Cidade", "Estado", "Situação", "E-mail", "Data nascimento"])
+
+
+@register("null_audit_blank")
+def q_null_audit_blank(spark, sf_dir):
+    return qa.audit(_blanked_contacts(spark, sf_dir), "contatos", only=[S.RULE_NULL]).select("coluna", "record_id")
+
+
 # --- D1-D7, A2, A3, A10, R3: audit ------------------------------------------------------
 
 VIOLATION_COLS = ["dataset", "rule", "coluna", "record_id"]
@@ -265,17 +296,17 @@ def _violations(spark, sf_dir):
     return pl.audit_all(ledger(spark, sf_dir), AS_OF)
 
 
-def _rule_query(rule):
+def _rule_query(rule, datasets=None):
     def q(spark, sf_dir):
-        return _violations(spark, sf_dir).where(F.col("rule") == rule).select(*VIOLATION_COLS)
+        return pl.audit_all(ledger(spark, sf_dir), AS_OF, only=[rule], datasets=datasets).select(*VIOLATION_COLS)
     return q
 
 
 register("null_audit")(_rule_query(S.RULE_NULL))
-register("due_before_issue")(_rule_query(S.RULE_DUE_BEFORE_ISSUE))
-register("settled_before_issue")(_rule_query(S.RULE_SETTLED_BEFORE_ISSUE))
-register("nonpositive_amount")(_rule_query(S.RULE_BAD_AMOUNT))
-register("bad_taxid")(_rule_query(S.RULE_BAD_TAXID))
+register("due_before_issue")(_rule_query(S.RULE_DUE_BEFORE_ISSUE, qa.ACCOUNTS))
+register("settled_before_issue")(_rule_query(S.RULE_SETTLED_BEFORE_ISSUE, qa.ACCOUNTS))
+register("nonpositive_amount")(_rule_query(S.RULE_BAD_AMOUNT, qa.ACCOUNTS))
+register("bad_taxid")(_rule_query(S.RULE_BAD_TAXID, ["contatos"]))
 register("future_dates")(_rule_query(S.RULE_FUTURE_DATE))
 register("old_dates")(_rule_query(S.RULE_OLD_DATE))
 
@@ -287,7 +318,7 @@ def q_violations_sample5(spark, sf_dir):
 
 @register("error_summary")
 def q_error_summary(spark, sf_dir):
-    return qa.error_summary(_violations(spark, sf_dir))
+    return qa.error_summary(_violations(spark, sf_dir), list(pl.DATASETS))
 
 
 @register("null_counts")
@@ -372,6 +403,14 @@ def q_est_month_parts_small(spark, sf_dir):
                       "mes", "pos", "parte", "n_parts")
 
 
+@register("est_month_parts_receivables")
+def q_est_month_parts_receivables(spark, sf_dir):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_receber", AS_OF)
+    out = pl.split_by_establishment_month(rows, S.RECEIVABLES_TEMPLATE, SMALL_LIMIT, prefix="contas_a_receber")
+    return out.select(F.col("Id").alias("id"), F.col("Estabelecimento_id").alias("estabelecimento_id"),
+                      "mes", "pos", "parte", "n_parts")
+
+
 @register("part_manifest")
 def q_part_manifest(spark, sf_dir):
     out = _est_month(spark, sf_dir, SMALL_LIMIT)
@@ -387,7 +426,7 @@ def q_row_parts(spark, sf_dir):
     return out.select(F.col("ID").alias("id"), "pos", "parte", "n_parts", "file_name")
 
 
-# --- R2, T7, K7, K8: data-dependent splits (no SQL form; rows-only check) ----------------
+# --- R2, T7-T9, K8: data-dependent splits (recursive CTEs in the oracle) ----------------------
 
 @register("recursive_parts")
 def q_recursive_parts(spark, sf_dir):
@@ -425,6 +464,25 @@ def q_date_split_small(spark, sf_dir):
         .withColumn("level", F.lit(level))
 
 
+def _contacts_date_split(spark, sf_dir, limit):
+    rows = pl.template_rows(ledger(spark, sf_dir), "contatos", AS_OF)
+    cols = list(S.CONTACTS_TEMPLATE.columns)
+    out, level = pl.split_by_date(rows, "Data nascimento", limit, cols, prefix="contatos")
+    return pt.manifest(out, ["date_label", "file_name"], "_bytes", cb.header_bytes(cols)) \
+        .withColumn("level", F.lit(level))
+
+
+@register("date_split_contacts")
+def q_date_split_contacts(spark, sf_dir):
+    return _contacts_date_split(spark, sf_dir, 60_000)
+
+
+@register("date_split_fits")
+def q_date_split_fits(spark, sf_dir):
+    """With a limit above the whole dataset nothing is split."""
+    return _contacts_date_split(spark, sf_dir, S.DATE_SPLIT_LIMIT * 1000)
+
+
 @register("resplit_parts")
 def q_resplit_parts(spark, sf_dir):
     rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
@@ -432,8 +490,8 @@ def q_resplit_parts(spark, sf_dir):
     header = cb.header_bytes(cols)
     out, _ = pl.split_by_date(rows, "Data Emissao", S.DATE_SPLIT_LIMIT, cols, prefix="contas_a_pagar")
     threshold = S.RESPLIT_THRESHOLD * SMALL_LIMIT / S.DATE_SPLIT_LIMIT
-    re = pt.resplit(out.drop("pos"), ["date_label"], "Id", "_bytes", header, threshold=threshold,
-                    limit=SMALL_LIMIT)
+    re = pt.resplit(out.drop("pos"), ["date_label"], pl.total_order(out, [F.col("_d")], cols), "_bytes", header,
+                    threshold=threshold, limit=SMALL_LIMIT)
     return pt.manifest(re, ["date_label", "sub", "subsub"], "_bytes", header)
 
 
@@ -467,6 +525,32 @@ def q_verify_sums(spark, sf_dir):
     return vf.verify(original, parts, "Id", SUM_COLS).where(F.col("check").startswith("sum:"))
 
 
+def _damaged_checks(spark, sf_dir):
+    """The original and a copy with rows lost, ids changed and balances changed."""
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    original = rows.where(F.col("Estabelecimento_id").isin(*S.TARGET_ESTABLISHMENTS))
+    n = F.col("Id").cast("long")
+    damaged = original.where(n % 50 != 1).withColumns({
+        "Id": F.when(n % 4000 == 21, F.concat(F.lit("-"), F.col("Id"))).otherwise(F.col("Id")),
+        "Saldo": F.when(n % 30 == 3, F.col("Saldo") + F.lit("0.5").cast(S.MONEY)).otherwise(F.col("Saldo")).cast(S.MONEY)})
+    return original, damaged
+
+
+@register("verify_damaged")
+def q_verify_damaged(spark, sf_dir):
+    return vf.verify(*_damaged_checks(spark, sf_dir), "Id", SUM_COLS)
+
+
+@register("verify_overall")
+def q_verify_overall(spark, sf_dir):
+    return vf.overall(vf.verify(*_damaged_checks(spark, sf_dir), "Id", SUM_COLS)).select("passed", "checks")
+
+
+@register("verify_id_listing")
+def q_verify_id_listing(spark, sf_dir):
+    return vf.id_listing(*_damaged_checks(spark, sf_dir), "Id")
+
+
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """Write est x month parts as BOM CSV, read them back, verify."""
@@ -506,7 +590,8 @@ def q_verify_columns(spark, sf_dir):
     write_parts(parts, path, ["file_name"], ["pos"], columns=cols)
     checks = vf.column_checks(cols, part_headers(spark, path))
     name = F.regexp_extract(F.col("_part_file"), r"file_name=([^/]+)/", 1)
-    return checks.select(name.alias("file_name"), "missing_columns", "extra_columns", "passed")
+    return checks.select(name.alias("file_name"), F.array_join("missing_columns", ",").alias("missing_columns"),
+                         F.array_join("extra_columns", ",").alias("extra_columns"), "passed")
 
 
 # --- C-N1..C-N5: declared constraints ---------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +112,8 @@ def split_by_rows(df: DataFrame, limit: float = S.DATE_SPLIT_LIMIT, columns: Seq
     if "_bytes" not in df.columns:
         df = with_row_bytes(df, cols)
     order = list(order) if order is not None else total_order(df, [], cols)
-    with_pos = positions(df, [], order)
+    df = df.checkpoint(eager=True)      # read by the size pass, the range sample and the sort
+    with_pos = positions(df, [], order, total_bytes=df.agg(F.sum("_bytes")).first()[0])
     out = pt.recursive_parts(with_pos, [], "_bytes", limit, cb.header_bytes(cols), fill)
     return out.withColumn("file_name", F.concat(F.lit(f"{prefix}_parte_"), F.col("parte").cast("string")))
 
@@ -124,7 +126,8 @@ def split_by_date(df: DataFrame, date_col: str, limit: float = S.DATE_SPLIT_LIMI
 
     The level is the coarsest of 5y/year/month/week/day whose largest bucket
     fits; buckets still over the limit at that level are row-split (R2) into
-    '<label> (parte i)'.  Rows without a date form a 'sem_data' bucket.
+    '<label> (parte i)'.  Rows without a date form a 'sem_data' bucket.  When all
+    rows fit into one file nothing is split (T9): level 'whole', no label.
     """
     cols = list(columns or df.columns)
     header = cb.header_bytes(cols)
@@ -132,6 +135,10 @@ def split_by_date(df: DataFrame, date_col: str, limit: float = S.DATE_SPLIT_LIMI
     base = with_row_bytes(df, cols).withColumn("_d", fx.parse_date(F.col(f"`{date_col}`"), dtype))
     base = base.checkpoint(eager=True)  # read by the size pass, the bucket pass and the split
     daily = bk.daily_sizes(base, F.col("_d"), "_bytes")
+    total = daily.agg(F.sum("bytes")).first()[0]
+    if total is not None and total + header <= limit:
+        whole = base.withColumns({"parte": F.lit(0), "date_label": F.lit(None).cast("string"), "file_name": F.lit(prefix)})
+        return whole, "whole"
     dated = daily.where(F.col("day").isNotNull())
     anchors = dated.agg(F.min("day").alias("d0")).first()
     if anchors["d0"] is None:
@@ -143,11 +150,10 @@ def split_by_date(df: DataFrame, date_col: str, limit: float = S.DATE_SPLIT_LIMI
     label, _start = bk.bucket_expr(F.col("_d"), level, F.lit(d0), F.lit(d0.year))
     x = base.withColumn("_label", label)
     bsize = x.groupBy("_label").agg((F.sum("_bytes") + F.lit(header)).alias("_bb"))
-    # one row per bucket (bounded by the calendar span, not by rows): checked broadcast
-    x = pt._join(x, pt.broadcast_if_small(bsize.checkpoint(eager=True)), ["_label"])
+    x = pt._join(x, bsize, ["_label"])       # one row per bucket: bounded by the calendar span, not by rows
     fits = x.where(F.col("_bb") <= F.lit(limit)).withColumn("parte", F.lit(0))
     big = x.where(F.col("_bb") > F.lit(limit))
-    big = positions(big, ["_label"], total_order(big, [F.col("_d")], cols))
+    big = positions(big, ["_label"], total_order(big, [F.col("_d")], cols), total_bytes=total)
     big = pt.recursive_parts(big, ["_label"], "_bytes", limit, header, S.ROW_SPLIT_FILL).drop("pos")
     out = fits.unionByName(big).drop("_bb")
     final = F.when(F.col("parte") > 0, F.concat(F.col("_label"), F.lit(" (parte "), F.col("parte").cast("string"),
@@ -159,16 +165,16 @@ def split_by_date(df: DataFrame, date_col: str, limit: float = S.DATE_SPLIT_LIMI
 # --- W5 + W6: audit and impute -------------------------------------------------
 
 def audit_dataset(t: Ledger, dataset: str, as_of: dt.datetime,
-                  establishments: Sequence[int] = S.TARGET_ESTABLISHMENTS, with_record: bool = False) -> DataFrame:
-    return audit(export(t, dataset, establishments), dataset, as_of, with_record=with_record)
+                  establishments: Sequence[int] = S.TARGET_ESTABLISHMENTS, with_record: bool = False,
+                  only: Sequence[str] | None = None) -> DataFrame:
+    return audit(export(t, dataset, establishments), dataset, as_of, with_record=with_record, only=only)
 
 
-def audit_all(t: Ledger, as_of: dt.datetime, establishments: Sequence[int] = S.TARGET_ESTABLISHMENTS) -> DataFrame:
-    frames = [audit_dataset(t, d, as_of, establishments) for d in DATASETS]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def audit_all(t: Ledger, as_of: dt.datetime, establishments: Sequence[int] = S.TARGET_ESTABLISHMENTS,
+              only: Sequence[str] | None = None, datasets: Sequence[str] | None = None) -> DataFrame:
+    """Violations of all datasets (or of ``datasets``), of all rules (or of ``only``)."""
+    frames = [audit_dataset(t, d, as_of, establishments, only=only) for d in datasets or DATASETS]
+    return reduce(DataFrame.unionByName, frames)
 
 
 # --- the whole job --------------------------------------------------------------------------
@@ -183,9 +189,9 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
     limit) or 'rows' (recursive row split).  Writes under ``out_dir``:
     ``violations/`` (K6), ``<name>_completo/`` (K1), ``parts/`` (one CSV per part,
     K2-K5) and ``manifest/`` (K9).  Returns the verification checks (W10), made
-    by reading the written part files back.
+    by reading the written part files back, and an ``overall`` row (V6).
     """
-    from tally.operators.verify import column_checks, verify
+    from tally.operators.verify import column_checks, overall, verify
     from tally.sinks.writers import write_full, write_parts, write_violations
     from tally.sources.tables import part_headers, read_parts
 
@@ -215,7 +221,10 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
     parts = parts.checkpoint(eager=True)  # written and reported from one materialisation
     write_parts(parts, f"{out_dir}/parts", ["file_name"], order, columns=cols)
     pt.manifest(parts, ["file_name"], "_bytes", header).write.mode("overwrite").parquet(f"{out_dir}/manifest")
-    back = read_parts(t.PESSOA.sparkSession, f"{out_dir}/parts", columns=cols)
+    # fields with line breaks need a reader that does not cut files at lines
+    text = [F.col(f"`{c}`") for c in cols if template.kind(c) not in ("money", "int", "flag")]
+    broken = reduce(lambda a, b: a | b, [F.coalesce(c.rlike("[\\r\\n]"), F.lit(False)) for c in text])
+    back = read_parts(t.PESSOA.sparkSession, f"{out_dir}/parts", columns=cols, multi_line=not parts.where(broken).isEmpty())
     idc = cols[0]
     sums = [c for c in cols if template.kind(c) == "money"]
     checks = verify(original, back, idc, sums)
@@ -224,17 +233,21 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
                           F.count(F.lit(1)).cast("double").alias("expected")) \
         .select(F.lit("columns").alias("check"), "expected", "actual",
                 (F.col("expected") == F.col("actual")).alias("passed"))
-    return checks.unionByName(col_check)
+    checks = checks.unionByName(col_check).checkpoint(eager=True)
+    return checks.unionByName(overall(checks).select(
+        F.lit("overall").alias("check"), F.col("checks").cast("double").alias("expected"),
+        F.col("passed_checks").cast("double").alias("actual"), "passed"))
 
 
 def resplit_written_parts(spark, path: str, columns: Sequence[str], out_path: str,
                           threshold: float = S.RESPLIT_THRESHOLD, targets: Sequence[float] = S.RESPLIT_TARGETS,
-                          limit: float = S.DATE_SPLIT_LIMIT, order: Sequence[Column] | None = None) -> DataFrame:
+                          limit: float = S.DATE_SPLIT_LIMIT, order: Sequence[Column] | None = None,
+                          multi_line: bool = False) -> DataFrame:
     """Second pass over written part files; files over ``threshold`` bytes are split again.
 
     The file sizes come from the file metadata (``_part_size``), so only rows
-    of over-size files are re-split; rows are ordered by ``order`` (default:
-    the total order the splitters wrote them in).  Writes every part (split
+    of over-size files are re-split; rows keep their order in the file, unless
+    ``order`` gives another.  Writes every part (split
     or not) under ``out_path`` as ``<file>``, ``<file>_parte_<i>`` or
     ``<file>_parte_<i>_<j>`` and returns the manifest.
     """
@@ -243,13 +256,15 @@ def resplit_written_parts(spark, path: str, columns: Sequence[str], out_path: st
 
     cols = list(columns)
     header = cb.header_bytes(cols)
-    rows = read_parts(spark, path, columns=cols)
+    rows = read_parts(spark, path, columns=cols, multi_line=multi_line).withColumn("_line", F.monotonically_increasing_id())
     base = F.regexp_extract(F.col("_part_file"), r"file_name=([^/]+)/[^/]*$", 1)
     rows = rows.withColumn("_base", F.when(base == "", F.col("_part_file")).otherwise(base))
-    rows = with_row_bytes(rows, cols).select(*[F.col(f"`{c}`") for c in cols], "_base", "_bytes")
-    order = list(order) if order is not None else total_order(rows, [], cols)
+    rows = with_row_bytes(rows, cols).select(*[F.col(f"`{c}`") for c in cols], "_base", "_bytes", "_part_start", "_line")
+    rows = rows.checkpoint(eager=True)                  # fixes the line numbers
+    # a file's blocks in order, and the lines of a block as its one task met them
+    order = list(order) if order is not None else ["_part_start", "_line"]
     rows = positions(rows, ["_base"], order, pos_col="_pos")
-    out = pt.resplit(rows, ["_base"], "_pos", "_bytes", header, threshold, targets, limit)
+    out = pt.resplit(rows, ["_base"], ["_pos"], "_bytes", header, threshold, targets, limit)
     sub, subsub = F.col("sub"), F.col("subsub")
     name = F.when(sub == 0, F.col("_base")).when(subsub == 0, F.concat_ws("_", "_base", F.lit("parte"), sub)) \
         .otherwise(F.concat_ws("_", "_base", F.lit("parte"), sub, subsub))

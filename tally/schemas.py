@@ -137,7 +137,6 @@ DATE_SPLIT_LIMIT = 2000 * 1024
 TEMPLATE_SPLIT_LIMIT = 500 * 1024
 TEMPLATE_FILL = 0.95
 ROW_SPLIT_FILL = 0.90
-AFTER_WRITE_FILL = 0.95
 RESPLIT_THRESHOLD = 1900 * 1024
 RESPLIT_TARGETS = (0.4, 0.25)
 SUM_TOLERANCE = 0.01
@@ -249,11 +248,15 @@ LEDGER_SCHEMAS = {
         ("DS_PESS_ENDER_COMPL", S, True), ("DS_PESS_BAIRRO", S, True), ("MUNICIPIO_ID", L, False),
         ("DT_PESS_NASC", TS, True), ("NO_PESS_CEP", S, True), ("NO_PESS_INSCR_ESTAD", S, True),
         ("DS_PESS_ENDER_REFER", S, True), ("NO_PESS_EMAIL_COBR", S, True), ("DS_PESS_OBS", S, True),
-        ("DS_PESS_CARG", S, True)),
+        ("DS_PESS_CARG", S, True), ("PESSOA_ESTABELECIMENTO_ID", I, True), ("COBRANCA_MUNICIPIO_ID", L, True),
+        ("INDICADOR_PESSOA_ID", L, True), ("VENDEDOR_PESSOA_ID", L, True), ("VEICULO_UF_ID", I, True)),
+    "ESTABELECIMENTO": _s(
+        ("ESTABELECIMENTO_ID", I, False), ("DS_ESTAB_NOME_FANTA", S, False), ("DS_ESTAB_RAZAO_SOCIA", S, False),
+        ("NO_ESTAB_CNPJ", S, False), ("MUNICIPIO_ID", L, False)),
     "COND_PAGTO": _s(
         ("COND_PAGTO_ID", I, False), ("DS_CPAG_IDENT", S, False), ("PC_CPAG_FATOR", MONEY, False),
         ("NO_CPAG_PARC", I, False), ("NO_CPAG_DEFAS", I, False)),
-    "TIPO_COBR": _s(("TIPO_COBR_ID", I, False), ("DS_TCOBR_IDENT", S, False)),
+    "TIPO_COBR": _s(("TIPO_COBR_ID", I, False), ("DS_TCOBR_IDENT", S, False), ("COND_PAGTO_ID", I, True)),
     "CONTATO": _s(
         ("CONTATO_ID", L, False), ("PESSOA_ID", L, False), ("DS_CTT_NOME", S, False),
         ("DS_CTT_CARGO", S, True), ("DT_CTT_NASC", TS, True), ("DS_CTT_TTRM", S, True),
@@ -270,6 +273,7 @@ PRIMARY_KEYS = {
     "DOC_FINANCEIRO": ["DOC_FINANCEIRO_ID"],
     "DOC_FINANCEIRO_PARCELA": ["DOC_FINANCEIRO_PARCELA_ID"],
     "PESSOA": ["PESSOA_ID"],
+    "ESTABELECIMENTO": ["ESTABELECIMENTO_ID"],
     "COND_PAGTO": ["COND_PAGTO_ID"],
     "TIPO_COBR": ["TIPO_COBR_ID"],
     "CONTATO": ["CONTATO_ID"],
@@ -281,17 +285,25 @@ PRIMARY_KEYS = {
 FOREIGN_KEYS = [
     ("CONTATO", ["PESSOA_ID"], "PESSOA", ["PESSOA_ID"]),
     ("DOC_FINANCEIRO", ["COND_PAGTO_ID"], "COND_PAGTO", ["COND_PAGTO_ID"]),
+    ("DOC_FINANCEIRO", ["ESTABELECIMENTO_ID"], "ESTABELECIMENTO", ["ESTABELECIMENTO_ID"]),
     ("DOC_FINANCEIRO", ["PESSOA_ID"], "PESSOA", ["PESSOA_ID"]),
     ("DOC_FINANCEIRO_PARCELA", ["DOC_FINANCEIRO_ID"], "DOC_FINANCEIRO", ["DOC_FINANCEIRO_ID"]),
     ("DOC_FINANCEIRO_PARCELA", ["TIPO_COBR_ID"], "TIPO_COBR", ["TIPO_COBR_ID"]),
     ("MUNICIPIO", ["UF_ID"], "UF", ["UF_ID"]),
     ("PESSOA", ["MUNICIPIO_ID"], "MUNICIPIO", ["MUNICIPIO_ID"]),
+    ("PESSOA", ["PESSOA_ESTABELECIMENTO_ID"], "ESTABELECIMENTO", ["ESTABELECIMENTO_ID"]),
+    ("PESSOA", ["COBRANCA_MUNICIPIO_ID"], "MUNICIPIO", ["MUNICIPIO_ID"]),
+    ("PESSOA", ["INDICADOR_PESSOA_ID"], "PESSOA", ["PESSOA_ID"]),
+    ("PESSOA", ["VENDEDOR_PESSOA_ID"], "PESSOA", ["PESSOA_ID"]),
+    ("PESSOA", ["VEICULO_UF_ID"], "UF", ["UF_ID"]),
+    ("TIPO_COBR", ["COND_PAGTO_ID"], "COND_PAGTO", ["COND_PAGTO_ID"]),
 ]
 
 # nvarchar(n) limits of the columns in scope.
 LENGTH_LIMITS = {
     "PESSOA": {"NO_PESS_IDENT": 20, "NM_PESS_IDENT": 70, "DS_PESS_NATUR": 50, "DS_PESS_ENDER": 80,
                "NO_PESS_ENDER": 20, "DS_PESS_BAIRRO": 65, "NO_PESS_INSCR_ESTAD": 20},
+    "ESTABELECIMENTO": {"DS_ESTAB_NOME_FANTA": 50, "DS_ESTAB_RAZAO_SOCIA": 50, "NO_ESTAB_CNPJ": 20},
     "COND_PAGTO": {"DS_CPAG_IDENT": 30},
     "TIPO_COBR": {"DS_TCOBR_IDENT": 30},
     "CONTATO": {"DS_CTT_NOME": 50, "DS_CTT_CARGO": 30, "DS_CTT_TTRM": 5, "NO_CTT_CPF": 11},

@@ -94,7 +94,8 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Ledger:
     return Ledger(DOC_FINANCEIRO=lambda: _doc(r("orders")), DOC_FINANCEIRO_PARCELA=lambda: _parc(r("lineitem")),
                   PESSOA=lambda: _pessoa(r("customer")), COND_PAGTO=lambda: _cond(spark),
                   TIPO_COBR=lambda: _tipo(spark), CONTATO=lambda: _contato(r("events")),
-                  MUNICIPIO=lambda: _municipio(r("nation")), UF=lambda: _uf(r("region")))
+                  MUNICIPIO=lambda: _municipio(r("nation")), UF=lambda: _uf(r("region")),
+                  ESTABELECIMENTO=lambda: _estabelecimento(r("supplier")))
 
 
 def _doc(orders: DataFrame) -> DataFrame:
@@ -119,7 +120,8 @@ def _doc(orders: DataFrame) -> DataFrame:
 def _parc(lineitem: DataFrame) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice")
-    parc_value = (F.when(ok % 97 == 3, _money(-price))
+    parc_value = (F.when(ok % 131 == 7, F.lit(None).cast(MONEY))
+                  .when(ok % 97 == 3, _money(-price))
                   .when(ok % 97 == 4, _money(F.lit(0)))
                   .otherwise(_money(price)))
     settled = F.col("l_linestatus") == "F"
@@ -129,7 +131,7 @@ def _parc(lineitem: DataFrame) -> DataFrame:
         ln.alias("CD_DFINP_IDT"),
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
          .otherwise(9).alias("TIPO_COBR_ID"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("DT_DFINP_VENC"),
+        F.when(ok % 223 != 9, F.col("l_shipdate")).cast("timestamp_ntz").alias("DT_DFINP_VENC"),
         F.when(settled, _days_after(F.col("l_shipdate"), ln)).cast("timestamp_ntz").alias("DT_DFINP_QUIT"),
         _money(F.lit(0)).alias("VL_DFINP_DESC"),
         _money(F.lit(0)).alias("VL_DFINP_JUROS"),
@@ -142,7 +144,7 @@ def _parc(lineitem: DataFrame) -> DataFrame:
          .otherwise(F.concat(F.lit("Parcela "), ln.cast("string"), F.lit(" do pedido "), ok.cast("string")))
          .alias("DS_DFINP_HIST"),
         F.col("l_suppkey").cast("int").alias("NO_DFINP_COBR_ELE"),
-        _money(price * F.col("l_tax")).alias("VL_DMOVI_TXCOBR"),
+        F.when(ok % 13 != 5, _money(price * F.col("l_tax"))).alias("VL_DMOVI_TXCOBR"),
     )
 
 
@@ -193,6 +195,22 @@ def _pessoa(customer: DataFrame) -> DataFrame:
         F.when(c % 50 == 0, F.lit('Obs, "vip"')).when(c % 50 == 1, F.lit("#interno"))
          .alias("DS_PESS_OBS"),
         F.lower(seg).alias("DS_PESS_CARG"),
+        F.when(c % 5 != 0, c % 17).cast("int").alias("PESSOA_ESTABELECIMENTO_ID"),
+        F.when(c % 3 != 0, c % 30).cast("long").alias("COBRANCA_MUNICIPIO_ID"),
+        F.when(c % 4 != 0, c - 1).cast("long").alias("INDICADOR_PESSOA_ID"),
+        F.when(c % 6 == 1, c * 2).cast("long").alias("VENDEDOR_PESSOA_ID"),
+        F.when(c % 10 == 7, c % 8).cast("int").alias("VEICULO_UF_ID"),
+    )
+
+
+def _estabelecimento(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    return supplier.select(
+        k.cast("int").alias("ESTABELECIMENTO_ID"),
+        F.col("s_name").alias("DS_ESTAB_NOME_FANTA"),
+        F.concat(F.col("s_name"), F.lit(" Ltda")).alias("DS_ESTAB_RAZAO_SOCIA"),
+        _lpad_key(k, 14).alias("NO_ESTAB_CNPJ"),
+        F.col("s_nationkey").cast("long").alias("MUNICIPIO_ID"),
     )
 
 
@@ -245,5 +263,5 @@ def _cond(spark: SparkSession) -> DataFrame:
 
 def _tipo(spark: SparkSession) -> DataFrame:
     return spark.sql(
-        "SELECT CAST(TIPO_COBR_ID AS INT) AS TIPO_COBR_ID, DS_TCOBR_IDENT "
-        "FROM VALUES (1, 'Boleto'), (2, 'Pix') AS v(TIPO_COBR_ID, DS_TCOBR_IDENT)")
+        "SELECT CAST(TIPO_COBR_ID AS INT) AS TIPO_COBR_ID, DS_TCOBR_IDENT, CAST(COND_PAGTO_ID AS INT) AS COND_PAGTO_ID "
+        "FROM VALUES (1, 'Boleto', 1), (2, 'Pix', 9) AS v(TIPO_COBR_ID, DS_TCOBR_IDENT, COND_PAGTO_ID)")

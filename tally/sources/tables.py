@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,17 +51,22 @@ def template_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_sheet(spark: SparkSession, path: str, columns=None, fmt: str = "csv") -> DataFrame:
+def _csv(spark: SparkSession, multi_line: bool):
+    """A reader of header-row CSV.  Without ``multi_line`` a file is cut at lines and read by many tasks."""
+    return spark.read.option("header", "true").option("encoding", "UTF-8") \
+        .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower())
+
+
+def read_sheet(spark: SparkSession, path: str, columns=None, fmt: str = "csv", multi_line: bool = False) -> DataFrame:
     """A header-row table file read with an explicit schema.
 
     CSV is read as text for every template column; a BOM on the header is
-    dropped by the reader.  Parquet keeps its own types.
+    dropped by the reader.  Parquet keeps its own types.  ``multi_line`` is for
+    files whose quoted fields hold line breaks; such a file is read by one task.
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
-    reader = spark.read.option("header", "true").option("encoding", "UTF-8") \
-        .option("quote", '"').option("escape", '"').option("multiLine", "true") \
-        .option("mode", "PERMISSIVE")
+    reader = _csv(spark, multi_line).option("mode", "PERMISSIVE")
     if columns is not None:
         reader = reader.schema(template_schema(columns)).option("enforceSchema", "false")
     else:
@@ -77,45 +84,72 @@ def list_columns(df: DataFrame) -> list[str]:
     return list(df.columns)
 
 
-def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv",
-               exclude_prefixes=("erros_",), exclude_suffixes=("_completo.csv",),
-               recursive: bool = False) -> DataFrame:
-    """All part files under a folder as one DataFrame.
+# Reports and full copies beside the parts: files by name, and folders as Spark writes them.
+EXCLUDED = r"(^|/)erros_[^/]*$|_completo\.[a-z]+$|(^|/)[^/]*_completo/|(^|/)violations/"
+
 
+def _relative(path_col, root: str):
+    """A file's path below the folder that is read (so that a folder above it cannot match an exclusion)."""
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    return F.regexp_replace(path_col, "^.*/" + "\\Q" + base + "\\E/", "")
+
+
+def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv", excluded: str = EXCLUDED,
+               recursive: bool = False, multi_line: bool = False) -> DataFrame:
+    """All part files under a folder as one DataFrame, columns matched by name.
+
+    Files are grouped by their header; each group is read under its own
+    header, and the groups are united by name, a column that a file lacks being
+    null.  ``columns`` picks and orders the result's columns (all are text).
     Partition folders (``key=value``) come back as columns.  Every row carries
     ``_part_file`` and ``_part_size`` from the file metadata.  Reports and full
-    copies are excluded by name; only ``glob`` matches are read.
+    copies are left out by name or folder; only ``glob`` matches are read.
     """
-    reader = spark.read.option("header", "true").option("encoding", "UTF-8") \
-        .option("quote", '"').option("escape", '"').option("multiLine", "true") \
-        .option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if columns is not None:
-        reader = reader.schema(template_schema(columns))
-    df = reader.csv(path)
-    df = df.withColumn("_part_file", F.col("_metadata.file_path")) \
-           .withColumn("_part_size", F.col("_metadata.file_size"))
-    name = F.col("_metadata.file_name")
-    keep = F.lit(True)
-    for p in exclude_prefixes:
-        keep = keep & ~name.startswith(p)
-    for s in exclude_suffixes:
-        keep = keep & ~name.endswith(s)
-    return df.where(keep)
-
-
-def part_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """U3 input: the header line of every part file, as (part_file, columns array).
-
-    Part files are size-bounded by the splitter (at most the split limit), so
-    each is read whole as one row and its first line taken; one task per file.
+    headers = part_headers(spark, path, glob, excluded)
+    groups = [r["columns"] for r in headers.select("columns").distinct().collect()]     # a few distinct headers
+
+    def one(header) -> DataFrame:
+        reader = _csv(spark, multi_line)
+        if len(groups) == 1:
+            reader = reader.option("pathGlobFilter", glob)
+            if recursive:
+                reader = reader.option("recursiveFileLookup", "true")
+            df = reader.schema(template_schema(header)).csv(path)
+        else:       # the driver lists files in any read; here it passes on the lists of each group
+            files = [r["_part_file"] for r in headers.where(F.col("columns") == F.array(*map(F.lit, header)))
+                     .select("_part_file").collect()]
+            reader = reader if recursive else reader.option("basePath", path)
+            df = reader.schema(template_schema(header)).csv(files)
+        df = df.withColumn("_part_file", F.col("_metadata.file_path")).withColumn("_part_size", F.col("_metadata.file_size")) \
+               .withColumn("_part_start", F.col("_metadata.file_block_start"))
+        return df.where(~_relative(F.col("_part_file"), path).rlike(excluded))
+
+    if not groups:
+        empty = template_schema([*(columns or []), "_part_file"]).add("_part_size", "long").add("_part_start", "long")
+        return spark.createDataFrame([], empty)
+    df = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [one(h) for h in groups])
+    if columns is None:
+        return df
+    known = {c for h in groups for c in h}
+    lacking = {c: F.lit(None).cast("string") for c in columns if c not in known}
+    rest = [c for c in df.columns if c not in known and c not in columns]
+    return df.withColumns(lacking).select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`") for c in rest])
+
+
+def part_headers(spark: SparkSession, path: str, glob: str = "*.csv", excluded: str = EXCLUDED) -> DataFrame:
+    """U3 input: the header line of every part file, as (_part_file, columns array).
+
+    Files are read line by line; of each only its first block's lines compete for the first one.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob) \
-        .text(path, wholetext=True) \
-        .withColumn("_part_file", F.col("_metadata.file_path"))
-    header = F.regexp_replace(F.substring_index(F.col("value"), "\n", 1), "^\\uFEFF", "")
-    return files.select("_part_file", F.split(header, ",").alias("columns"))
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path) \
+        .select("value", F.col("_metadata.file_path").alias("_part_file"),
+                F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_n"))
+    first = lines.where((F.col("_start") == 0) & ~_relative(F.col("_part_file"), path).rlike(excluded)) \
+        .groupBy("_part_file").agg(F.min_by("value", "_n").alias("value"))
+    header = F.regexp_replace(F.regexp_replace("value", "^\\uFEFF", ""), "\r$", "")
+    names = F.transform(F.split(header, ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"),
+                        lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
+    return first.select("_part_file", names.alias("columns"))
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -124,8 +158,11 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def empty_frame(spark: SparkSession, columns, kinds=None) -> DataFrame:
-    """A typed, empty dataset with the template's columns."""
-    return spark.createDataFrame([], template_schema(columns))
+    """An empty dataset with the template's columns, typed by their ``kinds`` (text where none is given)."""
+    types = {"money": T.DecimalType(22, 6), "int": T.IntegerType(), "flag": T.IntegerType()}
+    kinds = kinds or {}
+    return spark.createDataFrame([], T.StructType(
+        [T.StructField(c, types.get(kinds.get(c), T.StringType()), True) for c in columns]))
 
 
 __all__ = ["read_table", "read_sheet", "has_column", "list_columns", "read_parts", "part_headers",

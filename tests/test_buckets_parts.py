@@ -1,9 +1,10 @@
 """Buckets (T1-T9), positions (R5), equal-row parts (R1), recursive split (R2) against brute force."""
 
 import datetime as dt
-import math
+import itertools
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -60,21 +61,23 @@ def test_positions_dense_with_a_hot_group(spark):
     assert parts > 1
 
 
-def brute_row_split(sizes, limit, header, fill=0.9):
-    """Plain-Python statement of the recursive row split, for small inputs."""
-    n = len(sizes)
-    per_row = (header + sum(sizes)) / n if n else 0
-    k = max(1, math.floor((limit * fill) / per_row) if per_row > 0 else 1000)
-    out = []
-    for i in range(0, n, k):
-        chunk = sizes[i:i + k]
-        if header + sum(chunk) > limit and len(chunk) > 1:
-            mid = len(chunk) // 2
-            out += brute_row_split(chunk[:mid], limit, header, fill)
-            out += brute_row_split(chunk[mid:], limit, header, fill)
-        else:
-            out.append(len(chunk))
-    return out
+def row_counts(sizes, limit, header, fill=0.9):
+    """Expected rows per part, from prefix sums: cut points of every interval that is too large, until none is."""
+    upto = [0, *itertools.accumulate(sizes)]
+    weigh = lambda a, b: header + upto[b] - upto[a]
+    cuts, todo = {0, len(sizes)}, [(0, len(sizes))]
+    while todo:
+        a, b = todo.pop()
+        step = max(1, int(limit * fill * (b - a) // weigh(a, b)))
+        for x in range(a, b, step):
+            y = min(x + step, b)
+            cuts |= {x, y}
+            if y - x > 1 and weigh(x, y) > limit:
+                middle = x + (y - x) // 2
+                cuts.add(middle)
+                todo += [(x, middle), (middle, y)]
+    edges = sorted(cuts)
+    return [y - x for x, y in zip(edges, edges[1:])]
 
 
 def _spark_row_split(spark, sizes, limit, header):
@@ -93,7 +96,7 @@ def test_recursive_split_matches_brute_force(spark):
     ]
     for sizes in cases:
         for limit in (1000, 2500):
-            want = brute_row_split(sizes, limit, 40)
+            want = row_counts(sizes, limit, 40)
             assert _spark_row_split(spark, sizes, limit, 40) == want, (sizes[:5], limit)
 
 
@@ -107,7 +110,7 @@ def test_recursive_split_properties(spark):
     assert all(r.bytes <= 2000 or r.rows == 1 for r in m)               # bounded
     assert sum(r.rows for r in m) == 400                                # a partition of the input
     # threshold re-split (K8) of a compliant set is a no-op
-    again = pt.resplit(out, ["parte"], "pos", "b", 50, threshold=2000, limit=2000)
+    again = pt.resplit(out, ["parte"], ["pos"], "b", 50, threshold=2000, limit=2000)
     assert again.where("sub != 0 OR subsub != 0").count() == 0 and again.count() == 400
 
 
@@ -162,13 +165,13 @@ def test_split_by_date_oversize_bucket_gets_row_parts(spark):
     assert all(r.bytes <= 600 for r in m) and sum(r.rows for r in m) == 80
 
 
-def test_recursive_split_grouped_both_paths(spark, monkeypatch):
+def test_recursive_split_grouped(spark, monkeypatch):
     rng = random.Random(11)
     groups = {"a": [rng.choice([5, 10, 400]) for _ in range(90)], "b": [30] * 40,
               "c": [rng.randint(1, 200) for _ in range(70)]}
     rows = [(grp, i + 1, b) for grp, sizes in groups.items() for i, b in enumerate(sizes)]
     df = spark.createDataFrame(rows, "g string, pos long, b long")
-    want = {grp: brute_row_split(sizes, 900, 25) for grp, sizes in groups.items()}
+    want = {grp: row_counts(sizes, 900, 25) for grp, sizes in groups.items()}
 
     def run():
         out = pt.recursive_parts(df, ["g"], "b", 900, 25)
@@ -178,10 +181,25 @@ def test_recursive_split_grouped_both_paths(spark, monkeypatch):
         return got
 
     assert run() == want
-    monkeypatch.setattr(pt, "OVERSIZE_MAX_ROWS", 0)       # force the join-based fallback
+    monkeypatch.setattr(pt, "BLOCK", 8)                   # running totals over several levels of blocks
     assert run() == want
 
 
+def test_a_split_without_progress_raises(spark, monkeypatch):
+    """No round limit can lose rows: the loop ends when nothing is over, or raises."""
+    df = spark.createDataFrame([(i + 1, 400) for i in range(20)], "pos long, b long")
+    monkeypatch.setattr(pt, "_halves", lambda over, g: over.select(*g, "_st", "_ln"))
+    monkeypatch.setattr(pt, "_k_expr", lambda target, header: F.lit(5).cast("long"))
+    with pytest.raises(RuntimeError, match="no progress"):
+        pt.recursive_parts(df, [], "b", 900, 25)
+
+
+def test_split_plan_has_no_nested_loop_join(spark):
+    df = spark.createDataFrame([(i + 1, 100) for i in range(50)], "pos long, b long")
+    plan = pt.recursive_parts(df, [], "b", 900, 25)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_month_key_with_year_option(spark):
     rows = [("1", "10/01/2020", 2), ("2", "10/01/2021", 2), ("3", "", 2)]
     df = spark.createDataFrame(rows, "Id string, `Data vencimento` string, Estabelecimento_id int")

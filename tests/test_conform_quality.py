@@ -81,9 +81,45 @@ def test_taxid_rule_and_summary(spark):
         "pyspark.sql.functions", fromlist=["lit"]).lit("n")).withColumn("Situação", __import__(
             "pyspark.sql.functions", fromlist=["lit"]).lit("Ativo"))
     v = qa.audit(df, "contatos")
-    assert sorted((r.rule, r.record_id) for r in v.collect()) == [("cpf_cnpj_invalido", "2"), ("nulos", "4")]
-    s = qa.error_summary(v).first().asDict()
-    assert s == {"dataset": "contatos", "nulos": 1, "datas_futuro": 0, "datas_antigas": 0, "inconsistencias": 1}
+    assert sorted((r.rule, r.record_id) for r in v.collect()) == [
+        ("cpf_cnpj_invalido", "2"), ("nulos", "3"), ("nulos", "4")]      # blank text is missing as null is
+    s = {r.dataset: r.asDict() for r in qa.error_summary(v, ["contatos", "contas_pagar"]).collect()}
+    assert s["contatos"] == {"dataset": "contatos", "nulos": 2, "datas_futuro": 0, "datas_antigas": 0, "inconsistencias": 1}
+    assert s["contas_pagar"] == {"dataset": "contas_pagar", "nulos": 0, "datas_futuro": 0, "datas_antigas": 0,
+                                 "inconsistencias": 0}           # a clean dataset has its row
+
+
+def test_blank_text_counts_the_same_in_memory_and_from_a_file(spark):
+    from tally.session import scratch_path
+    from tally.sinks.writers import write_csv
+    from tally.sources.tables import read_sheet
+    cols = ["ID", "Nome", "CNPJ / CPF", "Endereço", "Bairro", "Cidade", "Estado", "Situação", "E-mail", "Data nascimento"]
+    rows = [("1", *[""] * 9), ("2", "Ana", "12345678901", "Rua", "B", "C", "SP", "Ativo", "a@b", "01/01/1990")]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))
+    path = scratch_path(spark, "blank")
+    write_csv(df.coalesce(1), path)
+    back = read_sheet(spark, path, columns=cols)
+    seen = [sorted(map(tuple, impute(x, "contatos", AS_OF).collect())) for x in (df, back)]
+    assert seen[0] == seen[1]
+    assert seen[0][0] == ("1", "Cliente 1", "00000000000", "N/A", "N/A", "N/A", "UF", "N/A", "contato1@exemplo.com",
+                          "01/01/2001")
+    found = [sorted((r.rule, r.coluna, r.record_id) for r in qa.audit(x, "contatos", AS_OF).collect()) for x in (df, back)]
+    assert found[0] == found[1] == [("nulos", "CNPJ/CPF", "1"), ("nulos", "Nome", "1"), ("nulos", "Situação", "1")]
+
+
+def test_numbers_out_of_range_are_bad_numbers(spark):
+    from tally.functions import scalars as fx
+    df = spark.createDataFrame([(1e20, 2 ** 40), (5.5, 7)], "a double, b long")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    got = df.select(fx.to_money("a", types["a"]).cast("double"), fx.to_int("b", types["b"])).collect()
+    assert [tuple(r) for r in got] == [(0.0, 0), (5.5, 7)]
+
+
+def test_one_rule_scans_only_its_inputs(spark):
+    from tally.plans.catalog import QUERIES
+    for name, scans in [("bad_taxid", {"customer"}), ("nonpositive_amount", {"orders", "lineitem", "customer"})]:
+        files = {f.rsplit("/", 1)[-1].split(".")[0] for f in QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()}
+        assert files <= scans | {"nation", "region", "events"}, (name, files)
 
 
 def test_sample_keeps_first_five_by_id(spark):

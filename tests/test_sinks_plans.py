@@ -43,6 +43,8 @@ def test_parts_round_trip(spark):
 
 
 def test_source_helpers(spark):
+    typed = empty_frame(spark, S.PAYABLES_TEMPLATE.columns, S.PAYABLES_TEMPLATE.kinds)
+    assert typed.schema["Saldo"].dataType == S.MONEY and typed.schema["Estabelecimento_id"].dataType.simpleString() == "int"
     e = empty_frame(spark, S.PAYABLES_TEMPLATE.columns)
     assert e.columns == list(S.PAYABLES_TEMPLATE.columns) and is_empty(e)
     assert has_column(e, "Id") and not has_column(e, "ID")
@@ -59,11 +61,62 @@ def test_no_python_udfs_in_query_plans(spark):
 
 
 def test_pushdown_reaches_scan(spark):
-    df = spark.read.parquet(f"{SMOKE}/orders.parquet").where(F.col("o_orderstatus") == "F") \
-        .select("o_orderkey")
-    plan = _plan(df)
-    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
-    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+    """Document type and establishments reach the documents' scan when the ledger is stored as tables."""
+    from tally.sources.ledger_view import from_parquet
+    from tally.plans import views
+    t = from_driver_tables(spark, SMOKE)
+    folder = scratch_path(spark, "ledger")
+    for name in t.names():
+        t.table(name).write.parquet(f"{folder}/{name}.parquet")
+    plan = _plan(views.payables(from_parquet(spark, folder)))
+    scan = next(x for x in plan.split("FileScan") if "NO_DFIN_TIPO" in x.split("]")[0])
+    assert "EqualTo(NO_DFIN_TIPO,2)" in scan and "In(ESTABELECIMENTO_ID, [2,5])" in scan
+    assert "VL_DFIN_TOT" not in scan          # a column nobody asks for
+
+
+def _write_csv(folder, name, text):
+    os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+    open(os.path.join(folder, name), "w", encoding="utf-8").write(text)
+
+
+def test_parts_are_united_by_name(spark):
+    folder = scratch_path(spark, "by-name").replace("file:", "")
+    _write_csv(folder, "a.csv", "\ufeffId,Valor\n1,10\n")
+    _write_csv(folder, "b.csv", "Valor,Id\n20,2\n")
+    _write_csv(folder, "c.csv", "Id,\"Extra, quoted\"\n3,x\n")
+    _write_csv(folder, "erros_z.csv", "Id,Valor\n9,9\n")
+    _write_csv(folder, "tudo_completo/part-0.csv", "Id,Valor\n9,9\n")
+    _write_csv(folder, "violations/part-0.csv", "Id,Valor\n9,9\n")
+    rows = read_parts(spark, folder, columns=["Id", "Valor"], recursive=True)
+    assert rows.columns[:2] == ["Id", "Valor"]
+    assert sorted((r.Id, r.Valor) for r in rows.collect()) == [("1", "10"), ("2", "20"), ("3", None)]
+    every = read_parts(spark, folder, recursive=True)
+    assert {"Id", "Valor", "Extra, quoted"} <= set(every.columns)
+    assert read_parts(spark, folder, columns=["Novo"], recursive=True).where("Novo IS NOT NULL").count() == 0
+    heads = {os.path.basename(r._part_file): r.columns for r in part_headers(spark, folder).collect()}
+    assert heads == {"a.csv": ["Id", "Valor"], "b.csv": ["Valor", "Id"], "c.csv": ["Id", "Extra, quoted"]}
+
+
+def test_a_large_file_is_read_by_many_tasks(spark):
+    from tally.sources.tables import read_sheet
+    folder = scratch_path(spark, "large").replace("file:", "")
+    _write_csv(folder, "a.csv", "Id,Nome\n" + "\n".join(f"{i},nome {i}" for i in range(60_000)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        df = read_sheet(spark, folder, columns=["Id", "Nome"])
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 60_000
+        assert read_sheet(spark, folder, columns=["Id", "Nome"], multi_line=True).rdd.getNumPartitions() == 1
+        assert part_headers(spark, folder).first().columns == ["Id", "Nome"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_range_partitions_follow_the_bytes(spark, monkeypatch):
+    from tally.operators import positions as ps
+    assert ps.range_partitions(8, None) == 8 and ps.range_partitions(8, 100 * ps.PARTITION_BYTES + 1) == 101
+    monkeypatch.setattr(ps, "PARTITION_BYTES", 100)
+    df = spark.range(400).withColumn("b", F.lit(10))
+    assert ps.ordered_checkpoint(df, ["id"], total_bytes=4000).rdd.getNumPartitions() > 8
 
 
 def test_part_assignment_moves_no_rows_after_positions(spark):
@@ -123,7 +176,27 @@ def test_id_differences_sample(spark):
     b = spark.createDataFrame([(str(i),) for i in range(5, 30)] + [("x",)], "Id string")
     d = vf.id_differences(a, b, "Id")
     assert d.where("kind = 'missing'").count() == 5 and d.where("kind = 'extra'").count() == 1
-    assert d.where("kind = 'missing'").limit(11).count() <= 10   # shown only when at most 10
+    c = a.where("Id < 15")
+    listed = vf.id_listing(a, c.unionByName(spark.createDataFrame([("x",)], "Id string")), "Id").collect()
+    assert [(r.kind, r.id) for r in listed] == [("extra", "x")]      # 15 missing ids are too many to list
+
+
+def test_overall(spark):
+    checks = spark.createDataFrame([("a", True), ("b", False)], "check string, passed boolean")
+    assert tuple(vf.overall(checks).first()) == (False, 2, 1)
+    assert tuple(vf.overall(checks.where("passed")).first()) == (True, 1, 1)
+
+
+def test_resplit_keeps_the_order_of_the_file(spark):
+    folder = scratch_path(spark, "w11-order").replace("file:", "")
+    ids = [(i * 7919) % 500 for i in range(500)]
+    _write_csv(folder, "file_name=p/x.csv", "Id,Nome\n" + "\n".join(f"{i},nome" for i in ids) + "\n")
+    dst = scratch_path(spark, "w11-order-out")
+    pl.resplit_written_parts(spark, folder, ["Id", "Nome"], dst, threshold=1000, limit=3000)
+    files = glob.glob(os.path.join(dst.replace("file:", ""), "file_name=*", "*.csv"))
+    number = lambda f: [int(x) for x in f.split("_parte_")[1].split("/")[0].split("_")]
+    got = [int(x.split(",")[0]) for f in sorted(files, key=number) for x in open(f, encoding="utf-8-sig").read().split("\n")[1:-1]]
+    assert len(files) > 2 and got == ids
 
 
 def test_audit_applies_to_a_stream(spark):
