@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,19 +43,27 @@ def ship(df: DataFrame) -> DataFrame:
     """Hand this package's source to the executors' Python (once a session); returns ``df``.
 
     Needed wherever a function of the package runs in Python tasks and the cluster has no
-    installed copy of it.
+    installed copy of it.  The archive lies in the shared checkpoint folder.
     """
     sc = df.sparkSession.sparkContext
     if getattr(sc, "_tally_shipped", False):
         return df
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "tally_source.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for folder, _, names in os.walk(top):
             for name in sorted(names):
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    ensure_checkpoint_dir(df.sparkSession)
+    path = scratch_path(df.sparkSession, "source") + ".zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        stream.write(bytearray(packed.getvalue()))
+    finally:
+        stream.close()
     sc.addPyFile(path)
     sc._tally_shipped = True
     return df
