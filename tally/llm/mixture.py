@@ -170,11 +170,14 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     docs = docs.select(*DOCUMENT_COLUMNS).withColumn("_row", F.monotonically_increasing_id())
     docs = docs.withColumn("size", word_count(F.col("text")))
-    plan = stash(mix(docs.select("doc_id", "source", "size", "_row")).filter("taken > 0").select("_row", "_spans"),
-                 "mix-plan")
+    narrow = stash(docs.select("doc_id", "source", "size", "_row"), "sizes")
+    plan = stash(mix(narrow).filter("taken > 0").select("_row", "_spans"), "mix-plan")
     most = F.array_max(F.transform("_spans", lambda s: s["copies"]))
     least = F.array_min(F.transform("_spans", lambda s: s["copies"]))
-    rows = (docs.join(plan, "_row")
+    # rows are told apart by their place in the table (files): a text that does not fit its spans ends the job
+    fits = F.when(F.element_at("_spans", -1)["end"] == F.col("size"), True).otherwise(
+        F.raise_error(F.lit("rows were numbered differently when read again: pass a stable table")).cast("boolean"))
+    rows = (docs.join(plan, "_row").filter(fits)
             .withColumns({"_most": most, "_least": least})
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_most")))))
 
