@@ -4,7 +4,8 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
 Shingles are put in one global order, rare ones first.  If a pair links, the first
 |x| - ceil(t|x|) + l shingles of both share at least l.  Each document chooses its own l by the
 estimated cost of its candidates: a document whose prefix meets frequent shingles lengthens
-it and asks for more matches.  A pair must share min(l_x, l_y) prefix shingles to be compared.
+it and asks for more matches.  A pair must share min(l_x, l_y) prefix shingles to be compared,
+and in any case as many as its overlap needs beyond what the longer rest behind a prefix can give.
 
 The order rests on a sketch of document frequencies over all documents (`frequency_sketch`).
 It decides the cost alone; any order gives the same links.
@@ -31,13 +32,14 @@ from pyspark.sql import functions as F
 
 from tally.llm.common import DOCUMENT_COLUMNS, ship, stash, table
 from tally.llm.components import components
-from tally.llm.shingles import fingerprint, sets
+from tally.llm.shingles import fingerprint, mix, sets
 
 SKETCH_BITS = (16, 24)          # least and most, log2 of the counters
 SKETCH_CHUNK = 1 << 12
 MOST_MATCHES = 4                # largest l
 VERIFY_COST = 8.0               # of a candidate, in postings
 STAR_ROUNDS = 2
+BITMAP_BITS = 27                # most, log2 of the bits that tell rows apart when sets are made
 
 
 def frequency_sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
@@ -115,8 +117,13 @@ PROFILE = ("row long, doc_id long, n long, fp1 long, fp2 long, matches int, typi
            "prefix array<long>")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text); the same numbers whenever the same stable table is read."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def profiles(docs: DataFrame, sketch: np.ndarray, background: float, k: int, num: int, den: int) -> DataFrame:
-    """Set size, fingerprint and adaptive prefix of every document (``row`` numbers the rows)."""
+    """Set size, fingerprint and adaptive prefix of every row of `numbered`."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def batches(it):
@@ -132,8 +139,7 @@ def profiles(docs: DataFrame, sketch: np.ndarray, background: float, k: int, num
             if rows:
                 yield _profile_batch(rows)
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ship(numbered).mapInArrow(batches, PROFILE)
+    return ship(docs).mapInArrow(batches, PROFILE)
 
 
 def _profile_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -146,103 +152,158 @@ def _profile_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[f.split()[0] for f in PROFILE.split(", ")])
 
 
+def row_bitmap(nodes: DataFrame) -> np.ndarray:
+    """Bits set at the hashes of ``node``, built by the tasks and joined by chunk; at most 2**BITMAP_BITS bits."""
+    n = nodes.count()
+    bits = min(BITMAP_BITS, max(16, int(16 * n).bit_length()))
+    chunk_bits = 15
+
+    def mark(it):
+        own: dict[int, np.ndarray] = {}
+        for batch in it:
+            place = _bit_of(batch.column(0).to_numpy(zero_copy_only=False), bits)
+            for c in np.unique(place >> chunk_bits).tolist():
+                flags = own.setdefault(c, np.zeros(1 << chunk_bits, dtype=bool))
+                flags[place[place >> chunk_bits == c] & ((1 << chunk_bits) - 1)] = True
+        for c, flags in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())],
+                                             names=["chunk", "flags"])
+
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        either = np.bitwise_or.reduce([np.frombuffer(x, dtype=np.uint8) for x in pdf["flags"]])
+        return pd.DataFrame({"chunk": [key[0]], "flags": [either.tobytes()]})
+
+    found = ship(nodes).select("node").mapInArrow(mark, "chunk int, flags binary").groupBy("chunk").applyInPandas(
+        merge, "chunk int, flags binary")
+    out = np.zeros((max(1, 1 << bits >> chunk_bits), 1 << chunk_bits >> 3), dtype=np.uint8)
+    for r in found.collect():
+        out[r["chunk"]] = np.frombuffer(r["flags"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _bit_of(rows: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(rows.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, shingles) of ``nodes`` (row, doc_id, n, fp1, fp2); reads the texts of these documents again."""
+    """(node, shingles) for the rows of `numbered` that ``nodes`` names, and some others.
+
+    A bitmap of the wanted rows goes to the tasks, which read the texts again; no text is
+    shuffled.  When more rows are wanted than the bitmap can tell apart, more sets are made, none is lost.
+    """
+    bitmap = row_bitmap(nodes)
+    bits = int(len(bitmap) * 8 - 1).bit_length()
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def batches(it):
         for batch in it:
-            ids = batch.column(0).to_pylist()
-            for doc_id, s in zip(ids, sets(batch.column(1), k)):
-                one, two = fingerprint(s)
+            place = _bit_of(batch.column(0).to_numpy(zero_copy_only=False), bits)
+            wanted = np.flatnonzero(shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+            for i in range(0, len(wanted), 512):
+                part = batch.take(pa.array(wanted[i:i + 512]))
+                found = [s.view(np.int64) for s in sets(part.column(1), k)]
+                offsets = pa.array(np.append(0, np.cumsum([len(s) for s in found])), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_id], pa.int64()), pa.array([len(s)], pa.int64()), pa.array([one], pa.int64()),
-                     pa.array([two], pa.int64()), pa.array([s.view(np.int64)], pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "fp1", "fp2", "shingles"])
+                    [part.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))],
+                    names=["node", "shingles"])
 
-    wanted = nodes.select(F.col("doc_id").alias("_id")).distinct()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]), "left_semi")
-    found = ship(texts).mapInArrow(batches, "doc_id long, n long, fp1 long, fp2 long, shingles array<long>").alias("f")
-    n = nodes.alias("n")
-    same = reduce(lambda a, b: a & b, [F.col(f"f.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("doc_id", "n", "fp1", "fp2")])
-    # repeated rows find the same node more than once
-    return found.join(n, same).select(F.col("n.row").alias("node"), "f.shingles").dropDuplicates(["node"])
+    return ship(docs).select("row", "text").mapInArrow(batches, "node long, shingles array<long>")
 
 
 def verify(pairs: DataFrame, shingles: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
+    """The pairs (a, b) whose sets reach the threshold.  A set of another size than na, nb says ends the job."""
     left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    union = F.size("sa") + F.size("sb") - common
-    return pairs.join(left, "a").join(right, "b").filter(common * den >= union * num).select("a", "b")
+    right_sets = (F.coalesce(F.size("sa"), F.lit(-1)) == F.col("na")) & (F.coalesce(F.size("sb"), F.lit(-1)) == F.col("nb"))
+    linked = F.when(~right_sets, F.raise_error(F.lit("rows were numbered differently when read again: pass a stable table"))
+                    .cast("boolean")).otherwise(common * den >= (F.col("na") + F.col("nb") - common) * num)
+    return pairs.join(left, "a", "left").join(right, "b", "left").filter(linked).select("a", "b")
 
 
 def similar_length(x, y, num: int, den: int):
     return F.least(x, y) * den >= F.greatest(x, y) * num
 
 
+def overlap_needed(pair_count: str, num: int, den: int):
+    """Whether a pair (na, pa, la, nb, pb, lb) shares enough prefix shingles to be compared.
+
+    Common shingles up to the earlier end of the two prefixes lie in both; the others lie in
+    the rest of the document whose prefix ends there.  So the overlap is at most the shared
+    count and the longer rest.
+    """
+    total = F.col("na") + F.col("nb")
+    overlap = F.ceil(total * num / (num + den) - 1e-6)
+    rest = F.greatest(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return F.col(pair_count) >= F.greatest(F.least("la", "lb").cast("long"), overlap - rest)
+
+
 def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text); links at similarity >= num / den."""
+    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text); links at similarity >= num / den.
+
+    ``docs`` is a stable table (files): it is read several times.
+    """
     docs = docs.select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # about one counter for every 32 bytes of text, within bounds
-    bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], int(size // 32).bit_length()))
+    # about one counter for every 64 bytes of text, within bounds
+    bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], int(size // 64).bit_length()))
     sketch = frequency_sketch(docs, k, bits)
     background = float(np.exp2(np.median(sketch) / 8.0) - 1)
+    docs = numbered(docs)
     found = stash(profiles(docs, sketch, background, k, num, den), "profiles")
 
     # equal sets are one node: the row that comes first
     key = ["n", "fp1", "fp2"]
     alike = stash(found.filter("n > 0").groupBy(*key).agg(F.min("row").alias("node"), F.count("*").alias("copies"))
                   .filter("copies > 1").drop("copies"), "copies")
-    members = found.select("row", "doc_id", *key).join(alike, key, "left").select(
-        "row", "doc_id", *key, F.coalesce("node", "row").alias("node"))
-    members = stash(members, "members")
-    nodes = members.filter("row = node AND n > 0").select("row", "doc_id", *key)
+    members = stash(found.select("row", "doc_id", *key).join(alike, key, "left").select(
+        "row", "doc_id", "n", F.coalesce("node", "row").alias("node")), "members")
 
     # postings of prefix shingles that two nodes or more share
-    postings = (found.join(alike.withColumnRenamed("node", "_node"), key, "left")
-                .filter("n > 0 AND (_node IS NULL OR _node = row)")
-                .select(F.col("row").alias("node"), "n", "matches", "typical", F.explode("prefix").alias("token")))
-    shared = postings.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("typical", "node")).alias("m")) \
-        .filter("c > 1").select("token", F.col("m.node").alias("hub"))
+    later = alike.select(*key, F.col("node").alias("_node"))
+    nodes = (found.join(later, key, "left").filter("n > 0 AND (_node IS NULL OR _node = row)")
+             .select(F.col("row").alias("node"), "n", "matches", "typical", "prefix") if not alike.isEmpty()
+             else found.filter("n > 0").select(F.col("row").alias("node"), "n", "matches", "typical", "prefix"))
+    postings = nodes.select("node", "typical", F.explode("prefix").alias("token"))
+    shared = (postings.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("typical", "node")).alias("m"))
+              .filter("c > 1").select("token", F.col("m.node").alias("hub")))
     hits = stash(postings.join(shared, "token"), "postings")
-    involved = hits.select(F.col("node").alias("row")).distinct()
-    shingles = stash(sets_of(docs, nodes.join(involved, "row", "left_semi"), k), "sets")
-
-    sizes = hits.select("node", "n").distinct()
-    root = None
-    links, tried = [], []
-    for _ in range(STAR_ROUNDS):
-        pairs = hits.filter("node <> hub").select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "n",
-            F.col("hub")).distinct()
-        other = sizes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-        pairs = pairs.join(other, "hub").filter(similar_length(F.col("n"), F.col("hub_n"), num, den)).select("a", "b").distinct()
+    facts = stash(nodes.select("node", "n", F.size("prefix").cast("long").alias("p"), F.col("matches").alias("l")), "nodes")
+
+    def with_facts(counted: DataFrame) -> DataFrame:
+        for side in "ab":
+            counted = counted.join(facts.select(*[F.col(c).alias(side if c == "node" else c + side) for c in facts.columns]), side)
+        return counted.filter(similar_length(F.col("na"), F.col("nb"), num, den) & overlap_needed("c", num, den)).select("a", "b", "na", "nb")
+
+    links, tried, root, shingles = [], [], None, None
+    for step in range(STAR_ROUNDS + 1):
+        if step < STAR_ROUNDS:
+            counted = hits.filter("node <> hub").groupBy(
+                F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.count("*").alias("c"))
+        else:       # what is left: all pairs of different components
+            x, y = (hits.select("token", F.col("node").alias(s), F.col("root").alias("r" + s)) for s in "ab")
+            counted = (x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
+                       .groupBy("a", "b").agg(F.count("*").alias("c")))
+        pairs = with_facts(counted)
         if tried:
-            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
-        pairs = stash(pairs, "star-pairs")
-        tried.append(pairs)
-        links.append(stash(verify(pairs, shingles, num, den), "star-links"))
-        root = stash(components(reduce(DataFrame.unionByName, links)), "roots")
-        # postings that still hold several components, each with a new hub from outside the old hub's component
-        labelled = _labelled(hits.drop("root", "hub_root"), root)
-        outside = (labelled.filter("root <> hub_root").groupBy("token")
-                   .agg(F.max(F.struct("typical", "node")).alias("m"))
-                   .select("token", F.col("m.node").alias("_hub")))
-        hits = stash(labelled.join(outside, "token").drop("hub", "hub_root").withColumnRenamed("_hub", "hub"), "postings")
-
-    # what is left: all pairs of different components that share enough of their prefixes
-    x = hits.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("matches").alias("la"), F.col("root").alias("ra"))
-    y = hits.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("matches").alias("lb"), F.col("root").alias("rb"))
-    pairs = (x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-                                       & similar_length(F.col("na"), F.col("nb"), num, den))
-             .groupBy("a", "b").agg(F.count("*").alias("c"), F.min(F.least("la", "lb")).alias("need"))
-             .filter("c >= need").select("a", "b"))
-    pairs = stash(pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti"), "pairs")
-    links.append(stash(verify(pairs, shingles, num, den), "pair-links"))
-    root = stash(components(reduce(DataFrame.unionByName, links)), "roots")
+            pairs = pairs.join(reduce(DataFrame.unionByName, tried).select("a", "b"), ["a", "b"], "left_anti")
+        pairs = stash(pairs, "pairs")
+        if not pairs.isEmpty():
+            tried.append(pairs)
+            wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+            shingles = stash(sets_of(docs, wanted, k), "sets")
+            links.append(stash(verify(pairs, shingles, num, den), "pair-links"))
+        if links:
+            root = stash(components(reduce(DataFrame.unionByName, links)), "roots")
+        else:
+            root = docs.sparkSession.createDataFrame([], "node long, root long")
+        if step < STAR_ROUNDS:
+            # postings that still hold several components, each with a new hub from outside the old hub's component
+            labelled = _labelled(hits.drop("root", "hub_root"), root)
+            outside = (labelled.filter("root <> hub_root").groupBy("token")
+                       .agg(F.max(F.struct("typical", "node")).alias("m"))
+                       .select("token", F.col("m.node").alias("_hub")))
+            hits = stash(labelled.join(outside, "token").drop("hub", "hub_root").withColumnRenamed("_hub", "hub"), "postings")
 
     grouped = members.join(root, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"))
