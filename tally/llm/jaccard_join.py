@@ -39,6 +39,7 @@ SKETCH_CHUNK = 1 << 12
 MOST_MATCHES = 4                # largest l
 VERIFY_COST = 8.0               # of a candidate, in postings
 STAR_ROUNDS = 2
+BLOCK_NODES = 1024              # of a group that meet in one task at a time
 BITMAP_BITS = 27                # most, log2 of the bits that tell rows apart when sets are made
 
 
@@ -221,21 +222,98 @@ def verify(pairs: DataFrame, shingles: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(left, "a", "left").join(right, "b", "left").filter(linked).select("a", "b")
 
 
-def similar_length(x, y, num: int, den: int):
-    return F.least(x, y) * den >= F.greatest(x, y) * num
+def may_link(c, na, pa_, la, nb, pb, lb, num: int, den: int, least=F.least, greatest=F.greatest, ceil=F.ceil):
+    """Whether a pair that shares ``c`` prefix shingles has to be compared (on columns, or on numpy arrays).
 
-
-def overlap_needed(pair_count: str, num: int, den: int):
-    """Whether a pair (na, pa, la, nb, pb, lb) shares enough prefix shingles to be compared.
-
-    Common shingles up to the earlier end of the two prefixes lie in both; the others lie in
-    the rest of the document whose prefix ends there.  So the overlap is at most the shared
-    count and the longer rest.
+    Sizes must allow the threshold, and c must reach l.  Common shingles up to the earlier end of the two
+    prefixes lie in both; the others lie in the rest of the document whose prefix ends there.  So the
+    overlap is at most c and the longer rest.
+    """
+    overlap = ceil((na + nb) * num / (num + den) - 1e-6)
+    return (least(na, nb) * den >= greatest(na, nb) * num) & (c >= least(la, lb)) & (c >= overlap - greatest(na - pa_, nb - pb))
+
+
+def shared_counts(run: np.ndarray, node: np.ndarray, token: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, count) of nodes (numbered below n) that share tokens within a run; a before b."""
+    order = np.lexsort((node, token, run))
+    run, node, token = run[order], node[order], token[order]
+    starts = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (token[1:] != token[:-1])))
+    left = np.diff(np.append(starts, len(run)))          # entries of each run's token, from its start
+    places = np.arange(len(run)) - np.repeat(starts, left)
+    room = np.repeat(left, left) - places - 1             # entries of the same token that follow
+    codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, waiting, held = np.flatnonzero(room > 0), [], 0
+    step = 1
+    while len(at):
+        waiting.append(node[at].astype(np.int64) * n + node[at + step])
+        held += len(at)
+        step += 1
+        at = at[room[at] >= step]
+        if held > 1 << 21 or not len(at):
+            found, k = np.unique(np.concatenate([codes, *waiting]), return_inverse=True)
+            counts = np.bincount(k, weights=np.concatenate([counts, np.ones(held)])).astype(np.int64)
+            codes, waiting, held = found, [], 0
+    return codes // n, codes % n, counts
+
+
+def cross_pairs(hits: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, na, nb): pairs of different components that share enough prefix shingles to be compared.
+
+    The nodes of a hub's shingles meet in blocks of at most ``BLOCK_NODES``, each node with all its
+    prefix shingles that others share.  A task counts what the pairs of a block share and hands on only those
+    that may link, so no table holds all pairs of a group.
     """
-    total = F.col("na") + F.col("nb")
-    overlap = F.ceil(total * num / (num + den) - 1e-6)
-    rest = F.greatest(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return F.col(pair_count) >= F.greatest(F.least("la", "lb").cast("long"), overlap - rest)
+    tokens = hits.groupBy("node").agg(F.collect_set("token").alias("tokens"), F.first("root").alias("root"))
+    tokens = tokens.join(facts, "node")                    # bounded by a document's prefix
+    meet = hits.select("hub", "node").distinct()
+    parts = meet.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = meet.join(parts, "hub").select("hub", "node", own.alias("own"), other.alias("other"))
+    met = met.select("hub", "node", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = met.join(tokens, "node").repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j", "node")
+    columns = ["hub", "i", "j", "own", "node", "root", "n", "p", "l", "tokens"]
+
+    def candidates(held: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(held)
+        c = {x: t.column(x).combine_chunks().to_numpy(zero_copy_only=False) for x in columns[:-1]}
+        listed = t.column("tokens").combine_chunks()
+        run = np.cumsum(np.append(0, (c["hub"][1:] != c["hub"][:-1]) | (c["i"][1:] != c["i"][:-1]) | (c["j"][1:] != c["j"][:-1])))
+        row = np.repeat(np.arange(t.num_rows), np.diff(listed.offsets.to_numpy()))
+        a, b, shared = shared_counts(run[row], row, listed.flatten().to_numpy(zero_copy_only=False), t.num_rows)
+        keep = (c["root"][a] != c["root"][b]) & ((c["i"][a] == c["j"][a]) | (c["own"][a] != c["own"][b]))
+        keep &= may_link(shared, c["n"][a], c["p"][a], c["l"][a], c["n"][b], c["p"][b], c["l"][b], num, den,
+                         np.minimum, np.maximum, np.ceil)
+        a, b = a[keep], b[keep]
+        a, b = np.where(c["node"][a] < c["node"][b], (a, b), (b, a))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (c["node"][a], c["node"][b], c["n"][a], c["n"][b])],
+                                          names=["a", "b", "na", "nb"])
+
+    def blocks(it):
+        held, size = [], 0
+        for batch in it:
+            key = [batch.column(x).to_numpy(zero_copy_only=False) for x in range(3)]
+            ends = np.flatnonzero(np.append(False, np.logical_or.reduce([k[1:] != k[:-1] for k in key])))
+            first = 0
+            if held:        # does the batch go on with the run that is held?
+                last = held[-1].slice(held[-1].num_rows - 1)
+                if any(last.column(x)[0].as_py() != batch.column(x)[0].as_py() for x in range(3)):
+                    ends = np.append(0, ends)
+            for e in ends.tolist():
+                if e > first:
+                    held.append(batch.slice(first, e - first))
+                    size += e - first
+                    first = e
+                if size >= BLOCK_NODES:
+                    yield candidates(held)
+                    held, size = [], 0
+            if first < batch.num_rows:
+                held.append(batch.slice(first))
+                size += batch.num_rows - first
+        if held:
+            yield candidates(held)
+
+    return ship(rows).select(*columns).mapInArrow(blocks, "a long, b long, na long, nb long").distinct()
 
 
 def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -268,31 +346,25 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     shared = (postings.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("typical", "node")).alias("m"))
               .filter("c > 1").select("token", F.col("m.node").alias("hub")))
     hits = stash(postings.join(shared, "token"), "postings")
-    facts = stash(nodes.select("node", "n", F.size("prefix").cast("long").alias("p"), F.col("matches").alias("l")), "nodes")
-
-    def with_facts(counted: DataFrame) -> DataFrame:
-        for side in "ab":
-            counted = counted.join(facts.select(*[F.col(c).alias(side if c == "node" else c + side) for c in facts.columns]), side)
-        return counted.filter(similar_length(F.col("na"), F.col("nb"), num, den) & overlap_needed("c", num, den)).select("a", "b", "na", "nb")
+    facts = stash(nodes.select("node", "n", F.size("prefix").cast("long").alias("p"), F.col("matches").cast("long").alias("l")), "nodes")
 
-    links, tried, root, shingles = [], [], None, None
+    links, tried, root = [], [], None
     for step in range(STAR_ROUNDS + 1):
         if step < STAR_ROUNDS:
-            counted = hits.filter("node <> hub").groupBy(
+            pairs = hits.filter("node <> hub").groupBy(
                 F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).agg(F.count("*").alias("c"))
+            for side in "ab":
+                pairs = pairs.join(facts.select(*[F.col(x).alias(side if x == "node" else x + side) for x in facts.columns]), side)
+            pairs = pairs.filter(may_link(*map(F.col, ("c", "na", "pa", "la", "nb", "pb", "lb")), num, den)).select("a", "b", "na", "nb")
         else:       # what is left: all pairs of different components
-            x, y = (hits.select("token", F.col("node").alias(s), F.col("root").alias("r" + s)) for s in "ab")
-            counted = (x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
-                       .groupBy("a", "b").agg(F.count("*").alias("c")))
-        pairs = with_facts(counted)
+            pairs = cross_pairs(hits, facts, num, den)
         if tried:
             pairs = pairs.join(reduce(DataFrame.unionByName, tried).select("a", "b"), ["a", "b"], "left_anti")
         pairs = stash(pairs, "pairs")
         if not pairs.isEmpty():
             tried.append(pairs)
             wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-            shingles = stash(sets_of(docs, wanted, k), "sets")
-            links.append(stash(verify(pairs, shingles, num, den), "pair-links"))
+            links.append(stash(verify(pairs, stash(sets_of(docs, wanted, k), "sets"), num, den), "pair-links"))
         if links:
             root = stash(components(reduce(DataFrame.unionByName, links)), "roots")
         else:
