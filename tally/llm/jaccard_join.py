@@ -34,7 +34,7 @@ from tally.llm.common import DOCUMENT_COLUMNS, ship, stash, table
 from tally.llm.components import components
 from tally.llm.shingles import fingerprint, mix, sets
 
-SKETCH_BITS = (16, 24)          # least and most, log2 of the counters
+SKETCH_BITS = (16, 20)          # least and most, log2 of the counters; every task hands on as many bytes
 SKETCH_CHUNK = 1 << 12
 MOST_MATCHES = 4                # largest l
 VERIFY_COST = 8.0               # of a candidate, in postings
