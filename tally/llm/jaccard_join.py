@@ -153,9 +153,9 @@ def _profile_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[f.split()[0] for f in PROFILE.split(", ")])
 
 
-def row_bitmap(nodes: DataFrame) -> np.ndarray:
-    """Bits set at the hashes of ``node``, built by the tasks and joined by chunk; at most 2**BITMAP_BITS bits."""
-    n = nodes.count()
+def bitmap(numbers: DataFrame) -> np.ndarray:
+    """Bits set at the hashes of a one-column table, built by the tasks and joined by chunk; 2**BITMAP_BITS bits at most."""
+    n = numbers.count()
     bits = min(BITMAP_BITS, max(16, int(16 * n).bit_length()))
     chunk_bits = 15
 
@@ -174,7 +174,7 @@ def row_bitmap(nodes: DataFrame) -> np.ndarray:
         either = np.bitwise_or.reduce([np.frombuffer(x, dtype=np.uint8) for x in pdf["flags"]])
         return pd.DataFrame({"chunk": [key[0]], "flags": [either.tobytes()]})
 
-    found = ship(nodes).select("node").mapInArrow(mark, "chunk int, flags binary").groupBy("chunk").applyInPandas(
+    found = ship(numbers).mapInArrow(mark, "chunk int, flags binary").groupBy("chunk").applyInPandas(
         merge, "chunk int, flags binary")
     out = np.zeros((max(1, 1 << bits >> chunk_bits), 1 << chunk_bits >> 3), dtype=np.uint8)
     for r in found.collect():
@@ -182,8 +182,31 @@ def row_bitmap(nodes: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _bit_of(rows: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(rows.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+def _bit_of(numbers: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(numbers.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _maybe_in(numbers: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    place = _bit_of(numbers, int(len(flags) * 8 - 1).bit_length())
+    return flags[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1
+
+
+def postings_of(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """(row, token) of the prefix shingles that ``shared`` (token) holds.
+
+    A bitmap of the shared ones drops nearly all others before anything is shuffled; the join makes it exact.
+    """
+    flags = found.sparkSession.sparkContext.broadcast(bitmap(shared.select("token")))
+
+    def batches(it):
+        for batch in it:
+            prefix = batch.column(1)
+            tokens = prefix.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(prefix.offsets.to_numpy()))
+            keep = _maybe_in(tokens, flags.value) if len(tokens) else np.zeros(0, dtype=bool)
+            yield pa.RecordBatch.from_arrays([pa.array(row[keep]), pa.array(tokens[keep])], names=["row", "token"])
+
+    return ship(found).select("row", "prefix").mapInArrow(batches, "row long, token long").join(shared, "token")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -192,14 +215,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     A bitmap of the wanted rows goes to the tasks, which read the texts again; no text is
     shuffled.  When more rows are wanted than the bitmap can tell apart, more sets are made, none is lost.
     """
-    bitmap = row_bitmap(nodes)
-    bits = int(len(bitmap) * 8 - 1).bit_length()
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select("node")))
 
     def batches(it):
         for batch in it:
-            place = _bit_of(batch.column(0).to_numpy(zero_copy_only=False), bits)
-            wanted = np.flatnonzero(shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1)
+            wanted = np.flatnonzero(_maybe_in(batch.column(0).to_numpy(zero_copy_only=False), shared.value))
             for i in range(0, len(wanted), 512):
                 part = batch.take(pa.array(wanted[i:i + 512]))
                 found = [s.view(np.int64) for s in sets(part.column(1), k)]
@@ -337,16 +357,18 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     members = stash(found.select("row", "doc_id", *key).join(alike, key, "left").select(
         "row", "doc_id", "n", F.coalesce("node", "row").alias("node")), "members")
 
-    # postings of prefix shingles that two nodes or more share
-    later = alike.select(*key, F.col("node").alias("_node"))
-    nodes = (found.join(later, key, "left").filter("n > 0 AND (_node IS NULL OR _node = row)")
-             .select(F.col("row").alias("node"), "n", "matches", "typical", "prefix") if not alike.isEmpty()
-             else found.filter("n > 0").select(F.col("row").alias("node"), "n", "matches", "typical", "prefix"))
-    postings = nodes.select("node", "typical", F.explode("prefix").alias("token"))
-    shared = (postings.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("typical", "node")).alias("m"))
-              .filter("c > 1").select("token", F.col("m.node").alias("hub")))
-    hits = stash(postings.join(shared, "token"), "postings")
-    facts = stash(nodes.select("node", "n", F.size("prefix").cast("long").alias("p"), F.col("matches").cast("long").alias("l")), "nodes")
+    facts = stash(found.select(F.col("row").alias("node"), "n", F.size("prefix").cast("long").alias("p"),
+                               F.col("matches").cast("long").alias("l"), "typical"), "facts")
+
+    # postings of prefix shingles that two nodes or more share; the most typical node is a shingle's first hub
+    shared = stash(found.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c"))
+                   .filter("c > 1").select("token"), "shared-shingles")
+    hits = postings_of(found, shared).join(members.select("row", "node"), "row").select("node", "token").distinct()
+    hits = stash(hits.join(facts.select("node", "typical"), "node"), "postings")
+    hubs = (hits.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("typical", "node")).alias("m"))
+            .filter("c > 1").select("token", F.col("m.node").alias("hub")))
+    hits = stash(hits.join(hubs, "token"), "postings")
+    facts = facts.drop("typical")
 
     links, tried, root = [], [], None
     for step in range(STAR_ROUNDS + 1):
