@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.common import ship, table
+from tally.llm.common import ship, table, unit_interval
 
 SAMPLE_PAGES = 300          # of the given pages, for training
 TEMPLATE_PAGES = 1200
@@ -457,8 +457,10 @@ def own_labels(nodes: list[Node]) -> list[Node] | None:
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Model:
     """Fit the model; reads at most ``sample_pages`` pages of moderate length, chosen by a hash."""
-    sample = (pages.filter(F.length("html").between(1, 100_000)).select("html")
-              .orderBy(F.xxhash64("html")).limit(sample_pages).collect())
+    fit_for_it = pages.filter(F.length("html").between(1, 100_000)).select("html")
+    # about sample_pages rows by a hash, then at most that many: tasks send no more than is needed
+    share = min(1.0, 1.2 * sample_pages / max(1, fit_for_it.count()))
+    sample = fit_for_it.filter(unit_interval(F.lit("pages"), F.col("html")) <= share).limit(sample_pages).collect()
     parsed = [parse(r["html"]) for r in sample]
     marked = [own for own in map(own_labels, parsed) if own]
     templates = Templates([x.text for nodes in marked for x in nodes if x.text is not None and x.label])
