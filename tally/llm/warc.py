@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import ship, stash, table
+from tally.llm.common import ship, stash, table, unit_interval
 from tally.session import scratch_path
 
 MAGIC_DICTIONARY = 0x184D2A5D
@@ -287,8 +287,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = with_revisits(table(spark, sf_dir, "pages"))
     size = records.agg(F.count("*").alias("n"), F.sum("payload_bytes").alias("b")).first()
     per_archive = max(1, int(ARCHIVE_BYTES // max(1, (size["b"] or 0) / max(1, size["n"]))))
-    sample = (records.filter(F.col("payload_bytes").between(1, 1 << 16)).select("payload")
-              .orderBy(F.xxhash64("payload_digest", "page_id")).limit(DICTIONARY_PAGES))
+    share = min(1.0, 1.2 * DICTIONARY_PAGES / max(1, size["n"]))
+    sample = (records.filter(F.col("payload_bytes").between(1, 1 << 16)
+                             & (unit_interval(F.lit("dictionary"), F.col("page_id"), F.col("payload_digest")) <= share))
+              .select("payload").limit(DICTIONARY_PAGES))
     dictionary = train_dictionary([bytes(r[0]) for r in sample.collect()])
     path = scratch_path(spark, "warc")
     write_archives(records, path, dictionary, per_archive)
