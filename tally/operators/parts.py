@@ -41,14 +41,12 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     """Per group, parts of k rows, k from the average CSV row size of all rows being split.
 
     Adds ``pos`` (position in group), ``part_col`` (1-based) and ``n_parts``.
-    The rows are checkpointed first, so what made them runs once; the size
-    pass, the range sample and the sort read the files.  The only driver
-    round-trip is one aggregate row (count, bytes).
+    The only driver round-trip is one aggregate row (count, bytes), read from
+    the ordered copy that the positions rest on.
     """
     g = list(group_cols)
-    df = df.checkpoint(eager=True)
-    n, s = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(bytes_col), F.lit(0))).first()
-    x = positions(df, g, order_cols, size_col="_gn", total_bytes=s)
+    x = positions(df, g, order_cols, size_col="_gn")
+    n, s = x.agg(F.count(F.lit(1)), F.coalesce(F.sum(bytes_col), F.lit(0))).first()
     k = rows_per_part(s + header_bytes, n, limit, fill)
     kg = F.least(F.lit(k).cast("long"), F.col("_gn"))
     return (x.withColumn("_k", F.greatest(F.lit(1).cast("long"), kg))
@@ -57,12 +55,11 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
              .drop("_k", "_gn"))
 
 
-# Rows per block of a running total.  Two levels of blocks leave one row per BLOCK**2 rows of a group
-# for the last window, so no task ever orders more than a sliver of a group.
-BLOCK = 4096
+# Rows per block of a running total: the windows order one block each, and the last one a row per block.
+BLOCK = 16_384
 
 
-def running_total(df: DataFrame, g: Sequence[str], pos_col: str, value: str, out: str, levels: int = 2) -> DataFrame:
+def running_total(df: DataFrame, g: Sequence[str], pos_col: str, value: str, out: str, levels: int = 1) -> DataFrame:
     """``df`` plus ``out``: the sum of ``value`` up to each row's position within its group (positions dense from 1)."""
     g = list(g)
     if levels == 0:
