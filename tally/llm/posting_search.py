@@ -4,7 +4,8 @@ Centroids come from a balanced k-means on a bounded sample and are linked to a n
 every vector is indexed in the list of its nearest centroid and, near a boundary, in further
 lists as well.  A query searches the graph for its nearest centroids, keeps those whose
 distance is within a ratio of the best one's, and is compared exactly with the vectors of
-these lists.
+these lists.  How many lists that may be, and the ratio, is settled for each table: some of its
+queries are answered by brute force, and both grow until enough of these answers lie in the lists.
 
 Sizes: the centroids (at most ``MAX_CENTROIDS``) are broadcast, some MB.  A list may grow with the
 data; lists and their queries are cut into parts of bounded size, each part a group of its own.
@@ -32,8 +33,10 @@ ROUNDS = 8
 GRAPH_DEGREE = 16
 MAX_REPLICAS = 4
 REPLICA_RATIO = 1.15            # a vector joins lists whose centroid is at most so much further than its nearest
-PROBES = 64                     # most lists that a query searches
+PROBES = 64                     # most lists that a query searches, and their ratio, unless calibration asks for more
 PROBE_RATIO = 1.35
+CALIBRATION_QUERIES = 100       # answered by brute force
+CALIBRATION_RECALL = 0.95       # of these answers lie in the lists searched
 PART_VECTORS, PART_QUERIES = 4096, 1024
 ENOUGH = 4                      # a query's lists hold at least so many times k entries a replica
 
@@ -87,6 +90,10 @@ class Centroids:
         k, n = len(self.points), len(x)
         top = min(top, k)
         width = min(k, max(2 * top, 16))
+        if 8 * width >= k:      # a beam over much of the graph costs more than all distances
+            d = distances(x, self.points).astype(np.float32)
+            best = np.argsort(d, axis=1, kind="stable")[:, :top]
+            return best.astype(np.int32), np.take_along_axis(d, best, axis=1)
         seen = np.zeros((n, k), dtype=bool)
         rows = np.arange(n)[:, None]
         # the beam begins with the entry points
@@ -171,6 +178,78 @@ def fit(vectors: DataFrame, n: int, dim: int, seed: int = 1) -> Centroids:
     return Centroids(balanced_kmeans(x, k, rng), rng)
 
 
+def chosen_lists(ids: np.ndarray, d: np.ndarray, filled: np.ndarray, ratio: float, least: int) -> np.ndarray:
+    """Which of the lists found are searched: those within the ratio, and more while those before them hold too little."""
+    before = np.cumsum(filled[ids], axis=1) - filled[ids]
+    within = np.isinf(ratio) | (d <= min(ratio, 1e9) ** 2 * d[:, :1])
+    return np.isfinite(d) & (filled[ids] > 0) & (within | (before < least))
+
+
+def exact_nearest(found: DataFrame, ids: np.ndarray, x: np.ndarray, k: int) -> DataFrame:
+    """(query, vec_id) of the k nearest of a few queries by comparing them with every vector; query is a place in ids."""
+    shared = found.sparkSession.sparkContext.broadcast((ids, x.astype(np.float64)))
+
+    def scan(it):
+        own, q = shared.value
+        best_d, best_v = np.full((len(q), k), np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+        for batch in it:
+            for i in range(0, batch.num_rows, 2048):
+                part = batch.slice(i, 2048)
+                v = part.column(0).to_numpy()
+                d = distances(q, matrix(part.column(1)).astype(np.float64))
+                d[own[:, None] == v[None, :]] = np.inf
+                all_d = np.concatenate([best_d, d], axis=1)
+                all_v = np.concatenate([best_v, np.broadcast_to(v, d.shape)], axis=1)
+                order = np.lexsort((all_v, all_d), axis=1)[:, :k]
+                best_d, best_v = np.take_along_axis(all_d, order, axis=1), np.take_along_axis(all_v, order, axis=1)
+        query, col = np.nonzero(np.isfinite(best_d))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query.astype(np.int32)), pa.array(best_v[query, col]), pa.array(best_d[query, col])],
+            names=["query", "vec_id", "score"])
+
+    near = ship(found.select("vec_id", "embedding")).mapInArrow(scan, "query int, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
+    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query", "vec_id")
+
+
+def calibrate(found: DataFrame, queries: DataFrame, lists: DataFrame, centroids: Centroids, filled: np.ndarray,
+              k: int, least: int) -> tuple[int, float]:
+    """(lists, ratio) to search by, such that CALIBRATION_RECALL of the exact answers of some queries lie in the lists.
+
+    The queries are at most CALIBRATION_QUERIES, those with the smallest hashes; if there are no
+    more lists or the ratio has no bound, all answers do.
+    """
+    some = queries.orderBy(F.xxhash64(F.lit("calibrate"), "vec_id"), "vec_id").limit(CALIBRATION_QUERIES).toArrow()
+    probes, ratio, n_lists = min(PROBES, len(filled)), PROBE_RATIO, len(filled)
+    if not some.num_rows:
+        return probes, ratio
+    x = matrix(some.column("embedding").combine_chunks()).astype(np.float32)
+    answers = exact_nearest(found, some.column("vec_id").to_numpy(), x, k)
+    # at most CALIBRATION_QUERIES * k answers, each in at most MAX_REPLICAS lists
+    where = lists.select("list", "vec_id").join(F.broadcast(answers), "vec_id").select("query", "vec_id", "list").toArrow()
+    if not where.num_rows:
+        return probes, ratio
+    query, answer, at = (where.column(c).to_numpy() for c in ("query", "vec_id", "list"))
+    _, pair = np.unique(np.stack([query, answer], axis=1), axis=0, return_inverse=True)
+    pair = pair.reshape(-1)
+
+    def recall(bound: float) -> float:
+        ids, d = centroids.search(x, probes)
+        rows, cols = np.nonzero(chosen_lists(ids, d, filled, bound, least))
+        searched = np.zeros((len(x), n_lists), dtype=bool)
+        searched[rows, ids[rows, cols]] = True
+        return float((np.bincount(pair, weights=searched[query, at]) > 0).mean())
+
+    while recall(ratio) < CALIBRATION_RECALL:
+        if probes < n_lists and recall(np.inf) < CALIBRATION_RECALL:
+            probes = min(n_lists, probes + max(1, probes // 4))
+        else:
+            ratio = ratio * 1.1 if ratio < 10 else np.inf
+            if np.isinf(ratio) and recall(ratio) < CALIBRATION_RECALL and probes >= n_lists:
+                raise AssertionError("vectors are missing in the posting lists")
+    return probes, ratio
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 10, seed: int = 1) -> DataFrame:
     """The k nearest found for each query row: query_id, rank, vec_id, score (Euclidean distance)."""
     found = stash(usable(vectors.select("vec_id", "embedding")), "vectors")
@@ -199,22 +278,20 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, seed: int = 1) -> DataFra
     entries = {r["list"]: r["n"] for r in lists.groupBy("list").agg(F.count("*").alias("n")).collect()}
     filled = np.array([entries.get(c, 0) for c in range(len(shared.value.points))])
     least = ENOUGH * MAX_REPLICAS * (k + 1)
+    queries = found.filter(is_query(F.col("vec_id")))
+    probes_wanted, ratio = calibrate(found, queries, lists, shared.value, filled, k, least)
 
     def probe(it):
         for batch in it:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                ids, d = shared.value.search(matrix(part.column(1)).astype(np.float32), PROBES)
-                before = np.cumsum(filled[ids], axis=1) - filled[ids]
-                # lists within the ratio, and more as long as those before them hold too little
-                keep = np.isfinite(d) & (filled[ids] > 0) & ((d <= PROBE_RATIO ** 2 * d[:, :1]) | (before < least))
-                rows, cols = np.nonzero(keep)
+                ids, d = shared.value.search(matrix(part.column(1)).astype(np.float32), probes_wanted)
+                rows, cols = np.nonzero(chosen_lists(ids, d, filled, ratio, least))
                 taken = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[rows, cols].astype(np.int32)), part.column(0).take(taken), part.column(1).take(taken)],
                     names=["list", "query_id", "query"])
 
-    queries = found.filter(is_query(F.col("vec_id")))
     probes = stash(ship(queries).mapInArrow(probe, f"list int, query_id long, query {kind}"), "probes")
     # parts of lists by vectors and by queries: a small table, one row for each list
     asked = probes.groupBy("list").agg(F.count("*").alias("n_queries"))

@@ -84,3 +84,27 @@ def test_graph_search_finds_the_nearest_centroids():
     want = np.argsort(ps.distances(x, points), axis=1)[:, :8]
     assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(ids, want)]) > 0.9
     assert (np.diff(d, axis=1) >= 0).all() and all(len(set(r)) == 8 for r in ids.tolist())
+
+
+def unit_vectors(n, dim=64, seed=5):
+    """No direction is favoured, as in the given embeddings: most lists are about equally far."""
+    x = np.random.default_rng(seed).normal(size=(n, dim))
+    return [(i, v.tolist(), None) for i, v in enumerate(x / np.linalg.norm(x, axis=1, keepdims=True))]
+
+
+def test_recall_where_lists_are_many_and_equally_far(spark, monkeypatch):
+    monkeypatch.setattr(ps, "LIST_VECTORS", 16)     # 188 lists, far more than a search begins with
+    monkeypatch.setattr(ps, "PROBES", 12)
+    rows = unit_vectors(3000)
+    got = read(ps.nearest(spark.createDataFrame(rows, SCHEMA), lambda v: v % 100 == 0))
+    want = brute(rows, range(0, 3000, 100))
+    hits = sum(len({a for a, _ in got[q]} & {a for a, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+
+
+def test_exact_nearest_ranks_as_brute_force(spark):
+    rows = [(i, [float(i % 7), float(i % 3)], None) for i in range(300)]
+    x = np.array([rows[i][1] for i in (0, 100)], dtype=np.float32)
+    got = ps.exact_nearest(spark.createDataFrame(rows, SCHEMA), np.array([0, 100]), x, 10).collect()
+    want = brute(rows, [0, 100])
+    assert {(r["query"], r.vec_id) for r in got} == {(j, v) for j, q in enumerate((0, 100)) for v, _ in want[q]}
