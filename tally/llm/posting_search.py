@@ -133,16 +133,14 @@ class Centroids:
         return ids[rows, best], d[rows, best]
 
     def replicas(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the nearest list, and others near enough that no chosen list lies between."""
-        ids, d = self.search(x, MAX_REPLICAS * 2)
-        chosen = np.zeros(ids.shape, dtype=bool)
+        """(row, list) pairs: the nearest list, and others that are not much further, MAX_REPLICAS at most.
+
+        Whether a chosen list lies between does not count: in many dimensions centroids, being
+        means, lie nearer to each other than vectors lie to them.
+        """
+        ids, d = self.search(x, MAX_REPLICAS)
+        chosen = (d <= REPLICA_RATIO ** 2 * d[:, :1]) & np.isfinite(d)
         chosen[:, 0] = True
-        for j in range(1, ids.shape[1]):
-            ok = (d[:, j] <= REPLICA_RATIO ** 2 * d[:, 0]) & (chosen.sum(1) < MAX_REPLICAS) & np.isfinite(d[:, j])
-            for i in range(j):
-                between = ((self.points[ids[:, i]] - self.points[ids[:, j]]) ** 2).sum(1)
-                ok &= ~(chosen[:, i] & (between < d[:, j]))
-            chosen[:, j] = ok
         row, col = np.nonzero(chosen)
         return row, ids[row, col]
 

@@ -108,3 +108,15 @@ def test_exact_nearest_ranks_as_brute_force(spark):
     got = ps.exact_nearest(spark.createDataFrame(rows, SCHEMA), np.array([0, 100]), x, 10).collect()
     want = brute(rows, [0, 100])
     assert {(r["query"], r.vec_id) for r in got} == {(j, v) for j, q in enumerate((0, 100)) for v, _ in want[q]}
+
+
+def test_vectors_near_boundaries_are_in_several_lists():
+    x = np.array([r[1] for r in unit_vectors(2000)], dtype=np.float32)
+    rng = np.random.default_rng(0)
+    graph = ps.Centroids(ps.balanced_kmeans(x, 16, rng), rng)
+    rows, lists = graph.replicas(x)
+    copies = np.bincount(rows, minlength=len(x))
+    assert copies.min() >= 1 and copies.max() <= ps.MAX_REPLICAS and copies.mean() > 2
+    assert len(set(zip(rows.tolist(), lists.tolist()))) == len(rows)
+    centre = graph.replicas(graph.points)       # at a centroid no other list is near
+    assert (np.bincount(centre[0]) == 1).all()
