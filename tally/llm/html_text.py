@@ -70,6 +70,7 @@ TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 TAG_END = re.compile(r"(?>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+LABEL = re.compile(r'\sdata-label="([01])"')
 WORD_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -101,8 +102,13 @@ def hints_of(attributes: str) -> tuple:
     return tuple(sorted(found - {"body"} or found))       # "comment-body" is about comments
 
 
+class TemplatePage(str):
+    """A page whose ``data-label`` attributes are training labels; in other pages they are attributes like any."""
+
+
 def parse(page: str) -> list[Node]:
     """Block elements and runs of text in page order; a node's parent comes before it."""
+    labelled = isinstance(page, TemplatePage)
     nodes = [Node(-1, "html")]
     stack: list[tuple[str, int]] = [("html", 0)]       # open elements with the node that their text belongs to
     run, links, dropped = _Run(), 0, 0
@@ -219,8 +225,9 @@ def parse(page: str) -> list[Node]:
                 close(next(d for d, (t, _) in enumerate(stack) if t == "head"))
             flush()
             label = nodes[stack[-1][1]].label
-            if "data-label" in attributes:
-                label = int(re.search(r'data-label="([01])"', attributes)[1])
+            mark = LABEL.search(attributes) if labelled else None
+            if mark:
+                label = int(mark[1])
             nodes.append(Node(stack[-1][1], tag, hints_of(attributes) if "=" in attributes else (), label=label))
             stack.append((tag, len(nodes) - 1))
         else:
@@ -436,7 +443,8 @@ class Templates:
         foot = self.box("footer footer div", "footer site-footer copyright", r.choice(["", "<p>"]) + "&copy; " + self.sentence(2, 30))
         before = "".join(self.boilerplate() for _ in range(r.randint(0, 2)))
         after = "".join(self.boilerplate() for _ in range(r.randint(0, 3)))
-        return f'<html><head><title>x</title></head><body data-label="0">{head}{before}{article}{after}{foot}</body></html>'
+        return TemplatePage(
+            f'<html><head><title>x</title></head><body data-label="0">{head}{before}{article}{after}{foot}</body></html>')
 
 
 def own_labels(nodes: list[Node]) -> list[Node] | None:

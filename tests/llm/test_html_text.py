@@ -87,3 +87,13 @@ def test_frame(spark, model):
     assert got[2].text == got[3].text == "Some text is here. It goes on."
     assert got[4].n_chars == 20_000 * 38 - 1
     assert ht.extract(df.limit(0), ht.train(df.limit(0))).count() == 0
+
+
+def test_label_attributes_of_pages_are_no_training_marks(spark, model):
+    page = ("<article><p>Prices are listed in the table below. They change often.</p><table><tr><td data-label=\"Price\">"
+            "Ten pounds a piece, as of today.</td><td data-label=\"0\">Five for two.</td></tr></table></article>")
+    assert all(x.label is None for x in ht.parse(page))
+    assert ht.parse(ht.TemplatePage('<p data-label="Price">x'))[1].label is None
+    assert [x.label for x in ht.parse(ht.TemplatePage('<p data-label="1">x'))[1:]] == [1, 1]
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert "Ten pounds a piece, as of today." in ht.extract(df, ht.train(df)).first().text
