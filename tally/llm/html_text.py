@@ -69,7 +69,10 @@ HINT_OF = {word: hint for hint, words in HINTS.items() for word in words.split()
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 TAG_END = re.compile(r"(?>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+# any attribute, with a value or without; a quote that stays open ends with the tag
+NAME_VALUE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>\"']+)))?")
+MAYBE_HIDDEN = re.compile("hidden|display", re.I)
+NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none(?![-\w])", re.I)
 LABEL = re.compile(r'\sdata-label="([01])"')
 WORD_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -91,6 +94,17 @@ class _Run:
     link: int = 0
 
 
+def hidden(attributes: str) -> bool:
+    """Whether an element is hidden by an attribute of its own; words inside other values do not count."""
+    if not MAYBE_HIDDEN.search(attributes):
+        return False
+    values: dict[str, str] = {}
+    for m in NAME_VALUE.finditer(attributes):       # the first of a name counts
+        values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return ("hidden" in values or values.get("aria-hidden", "").strip().lower() == "true"
+            or NOT_DISPLAYED.search(html_lib.unescape(values.get("style", ""))) is not None)
+
+
 def hints_of(attributes: str) -> tuple:
     found = set()
     for m in ATTRIBUTE.finditer(attributes):
@@ -236,10 +250,9 @@ def parse(page: str) -> list[Node]:
             links += 1
         if tag in DROPPED:
             dropped += 1
-        elif "idden" in attributes or "isplay" in attributes:
-            if HIDDEN.search(attributes):
-                dropped += 1
-                stack.append(("!hidden", stack[-1][1]))
+        elif attributes and hidden(attributes):
+            dropped += 1
+            stack.append(("!hidden", stack[-1][1]))
     flush()
     for x in reversed(nodes[1:]):
         nodes[x.parent].chars += x.chars

@@ -97,3 +97,15 @@ def test_label_attributes_of_pages_are_no_training_marks(spark, model):
     assert [x.label for x in ht.parse(ht.TemplatePage('<p data-label="1">x'))[1:]] == [1, 1]
     df = spark.createDataFrame([(1, page)], "page_id long, html string")
     assert "Ten pounds a piece, as of today." in ht.extract(df, ht.train(df)).first().text
+
+
+def test_hidden_is_an_attribute_not_a_word_in_one():
+    texts = lambda p: [x.text for x in ht.parse(p) if x.text is not None]
+    for shown in ('data-title="The hidden life of trees"', 'title="a hidden gem"', "title='hidden'", 'class="is hidden now"',
+                  'title="display:none"', 'alt="aria-hidden=true"', 'aria-hidden="false"', 'style="color:red"',
+                  'data-hidden="1"', 'title="so hidden', 'href=/hidden', 'style="--display:none"'):
+        assert texts(f"<article {shown}>x</article>y" if shown[-1] != "n" else f"<article {shown}>x") == \
+            (["x", "y"] if shown[-1] != "n" else ["x"]), shown
+    for gone in ("hidden", 'class="a" hidden', 'hidden=""', "HIDDEN", 'hidden="until-found"', 'style="color:red; display : none"',
+                 "STYLE='DISPLAY:NONE'", 'aria-hidden="true"', "aria-hidden=true", 'title="x" hidden/'):
+        assert texts(f"<article {gone}>x</article>y") == ["y"], gone
