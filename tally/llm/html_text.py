@@ -36,6 +36,7 @@ TEMPLATE_PAGES = 1200
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object canvas xmp".split())
+RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
 DROPPED = frozenset("head select option button datalist audio video map label".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer"
@@ -127,7 +128,6 @@ def parse(page: str) -> list[Node]:
     stack: list[tuple[str, int]] = [("html", 0)]       # open elements with the node that their text belongs to
     run, links, dropped = _Run(), 0, 0
     pos, n = 0, len(page)
-    lower_page = None
 
     def flush():
         nonlocal run
@@ -203,13 +203,11 @@ def parse(page: str) -> list[Node]:
                     break       # an inline end tag does not reach out of its block
             continue
         if tag in RAW and not attributes.endswith("/"):
-            if lower_page is None:
-                lower_page = page.lower() if len(page.lower()) == n else page
-            end = lower_page.find("</" + tag, pos)
-            if end < 0:
+            end = RAW_END[tag].search(page, pos)
+            if end is None:
                 pos = n if tag in ("script", "style") else pos
                 continue
-            close_end = page.find(">", end)
+            close_end = page.find(">", end.start())
             pos = n if close_end < 0 else close_end + 1
             continue
         if tag == "br" or tag == "wbr" or tag == "img":

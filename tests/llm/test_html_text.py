@@ -109,3 +109,10 @@ def test_hidden_is_an_attribute_not_a_word_in_one():
     for gone in ("hidden", 'class="a" hidden', 'hidden=""', "HIDDEN", 'hidden="until-found"', 'style="color:red; display : none"',
                  "STYLE='DISPLAY:NONE'", 'aria-hidden="true"', "aria-hidden=true", 'title="x" hidden/'):
         assert texts(f"<article {gone}>x</article>y") == ["y"], gone
+
+
+def test_raw_elements_end_in_any_case():
+    texts = lambda p: [x.text for x in ht.parse(p) if x.text is not None]
+    for first in ("a", "\u0130"):       # lower-casing U+0130 makes a page longer
+        assert texts(f"<p>{first}<SCRIPT>x('<p>no')</SCRIPT><p>b<Style>p{{}}</sTYLE><p>c") == [first, "b", "c"]
+    assert texts("<script>no</\u017fcript><p>no</script><p>b") == ["b"]        # a long s is no s
