@@ -9,7 +9,9 @@ and every Hadoop file system will do: a row is one frame, and the line end is an
 skippable frame, which every Zstandard reader steps over.  An archive holds a set number of
 records, so its size is bounded.
 
-Cases: null html is an empty payload; a null url gives a record without target address.
+Cases: null html is an empty payload; a null url gives a record without target address; a null
+page_id gives the record id ``<urn:page:null>``, which reads back as null.  A null page_id is no
+payload's smallest: with the payload of a page that has one it is a revisit that refers to no id.
 Repeated pages make a record each (all rows with the smallest page_id of a payload are
 responses).  An empty table makes archives without records.  A damaged record makes an
 error row (`read_archives`) or ends the job (``strict``).
@@ -45,13 +47,13 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 # -- records ---------------------------------------------------------------
 
-def record_id(page_id: int) -> str:
-    return f"<urn:page:{page_id}>"
+def record_id(page_id: int | None) -> str:
+    return f"<urn:page:{'null' if page_id is None else page_id}>"
 
 
-def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
+def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, revisit: bool = False) -> bytes:
     """A response record with its payload, or a revisit record with the HTTP head alone."""
-    revisit = refers_to is not None
+    revisit = revisit or refers_to is not None
     head = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
     block = head if revisit else head + payload
     fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page_id)),
@@ -59,7 +61,9 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     if url is not None:
         fields.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
     if revisit:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to))]
+        fields.append(("WARC-Profile", PROFILE))
+        if refers_to is not None:
+            fields.append(("WARC-Refers-To", record_id(refers_to)))
     fields += [("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "application/http; msgtype=response"),
                ("Content-Length", str(len(block)))]
     lines = "".join(f"{k}: {v}\r\n" for k, v in fields)
@@ -87,7 +91,9 @@ def length_field(fields: dict[str, str], where: str) -> int:
     return int(value)
 
 
-def page_of(value: str | None) -> int:
+def page_of(value: str | None) -> int | None:
+    if value == record_id(None):
+        return None
     m = re.fullmatch(r"<urn:page:(-?\d+)>", value or "")
     if not m:
         raise BadRecord(f"record id {value!r}")
@@ -120,9 +126,14 @@ def parse_record(raw: bytes) -> dict:
         raise BadRecord("payload differs from its length or digest")
     if kind == "revisit" and payload:
         raise BadRecord("revisit with a payload")
-    return {"page_id": page_of(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"),
+    page_id, refers_to = page_of(fields.get("warc-record-id")), None
+    if kind == "revisit" and not (page_id is None and "warc-refers-to" not in fields):
+        refers_to = page_of(fields.get("warc-refers-to"))
+        if refers_to is None:
+            raise BadRecord("revisit of a record without page_id")
+    return {"page_id": page_id, "url": fields.get("warc-target-uri"),
             "payload_bytes": size, "payload_digest": digest, "record_type": kind,
-            "refers_to": page_of(fields.get("warc-refers-to")) if kind == "revisit" else None,
+            "refers_to": refers_to,
             "payload": payload if kind == "response" else None}
 
 
@@ -198,7 +209,7 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 # -- Spark -----------------------------------------------------------------
 
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """Add payload (bytes), payload_bytes, payload_digest and refers_to (null for responses) to page_id, url, html."""
+    """Add payload (bytes), payload_bytes, payload_digest, revisit and refers_to (null for responses) to page_id, url, html."""
     html = F.coalesce("html", F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                          F.to_binary(html, F.lit("utf-8")).alias("payload"),
@@ -209,11 +220,13 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     first = stash(narrow.groupBy("payload_digest").agg(F.min("page_id").alias("_first"), F.count("*").alias("_n"))
                   .filter("_n > 1").drop("_n"), "first-payloads")
     joined = pages.join(first, "payload_digest", "left")
-    return joined.withColumn("refers_to", F.when(F.col("_first") != F.col("page_id"), F.col("_first"))).drop("_first")
+    return joined.withColumns({
+        "revisit": F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col("page_id")),
+        "refers_to": F.when(F.col("_first") != F.col("page_id"), F.col("_first"))}).drop("_first")
 
 
 def write_archives(records: DataFrame, path: str, dictionary: bytes, per_archive: int) -> None:
-    """Write page_id, url, payload, payload_digest, refers_to as archives of ``per_archive`` records at most."""
+    """Write page_id, url, payload, payload_digest, refers_to, revisit as archives of ``per_archive`` records at most."""
     lead = dictionary_frame(dictionary)
 
     def frames(it):
@@ -223,16 +236,16 @@ def write_archives(records: DataFrame, path: str, dictionary: bytes, per_archive
         encoder, n = zstandard.ZstdCompressor(**options), 0
         for batch in it:
             out = []
-            columns = [batch.column(i) for i in range(5)]
-            for page_id, url, payload, digest, refers_to in zip(*columns):
+            columns = [batch.column(i) for i in range(6)]
+            for page_id, url, payload, digest, refers_to, revisit in zip(*columns):
                 if n % per_archive == 0:        # a file takes per_archive + 1 rows: each begins with the dictionary
                     out.append(lead)
                 n += 1
                 out.append(encoder.compress(record_bytes(page_id.as_py(), url.as_py(), payload.as_py(),
-                                                         digest.as_py(), refers_to.as_py())))
+                                                         digest.as_py(), refers_to.as_py(), revisit.as_py())))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
-    cols = records.select("page_id", "url", "payload", "payload_digest", "refers_to")
+    cols = records.select("page_id", "url", "payload", "payload_digest", "refers_to", "revisit")
     (ship(cols).mapInArrow(frames, "frame binary")
      .select(F.col("frame").cast("string").alias("value"))      # the bytes as they are; the text writer copies them
      .write.option("lineSep", EMPTY_FRAME.decode("ascii")).option("compression", "none")

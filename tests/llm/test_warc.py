@@ -118,3 +118,21 @@ def test_compressed_dictionary():
 
 def test_empty_table(spark):
     assert warc.read_archives(spark, write(spark, [])).count() == 0
+
+
+def test_null_page_ids_equal_the_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(None, "u", "one", None), (None, "u", "one", None), (None, "u", BIG, None), (5, "u", BIG, None), (9, "u", BIG, None),
+            (None, "u", "z" * 300, None), (None, None, "z" * 300, None), (None, "u", None, None)]
+    got = warc.read_archives(spark, write(spark, rows), strict=True, payloads=True).collect()
+    pages = pd.DataFrame({"page_id": pd.array([r[0] for r in rows], "Int64"), "html": [r[2] for r in rows]})  # noqa: F841
+    key = lambda t: tuple(str(x) for x in t)
+    facts = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=key)
+    assert facts == sorted(duckdb.sql(warc.SQL).fetchall(), key=key)
+    assert sum(r.page_id is None for r in got) == 6
+    for bad in (warc.record_bytes(1, "u", b"x" * 200, "0" * 64, None, True), warc.record_bytes(1, "u", b"x" * 200, "0" * 64, 7)
+                .replace(b"To: <urn:page:7>", b"To: <urn:page:null>")):
+        with pytest.raises(warc.BadRecord):
+            warc.parse_record(bad)
