@@ -17,6 +17,8 @@ predicted alike.  Very long texts are worked through in segments.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -141,8 +143,11 @@ class Filter:
         return total, np.clip((found - total[:, None] * fp) / (1 - fp), 0, None)
 
 
+ASCII_LETTER = re.compile(rb"[A-Za-z]")
+
+
 def has_letter(text: bytes) -> bool:
-    return any(c.isalpha() for c in text.decode("utf-8", "replace"))
+    return ASCII_LETTER.search(text) is not None or any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
 def held_out():
@@ -206,10 +211,12 @@ def predict(docs: DataFrame, model: Filter | None) -> DataFrame:
             score = found[np.arange(len(best)), best] / np.maximum(total, 1)
             langs = []
             for i in range(len(best)):
-                if found[i, best[i]] > 0:
-                    langs.append(own.languages[best[i]])
+                # marks can match n-grams too, so letters are asked for first
+                if not has_letter(data[offsets[i]:offsets[i + 1]].tobytes()):
+                    langs.append("und")
+                    score[i] = 0
                 else:
-                    langs.append(own.fallback if has_letter(data[offsets[i]:offsets[i + 1]].tobytes()) else "und")
+                    langs.append(own.languages[best[i]] if found[i, best[i]] > 0 else own.fallback)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs), pa.array(np.clip(score, 0, 1))],
                 names=[*others, "text", "lang_pred", "score"])

@@ -69,3 +69,13 @@ def test_segments_of_long_texts_count_alike(monkeypatch):
     monkeypatch.setattr(li, "SEGMENT_BYTES", 100)
     parts = f.count(data, offsets)
     assert whole[0] == parts[0] and np.allclose(whole[1], parts[1])
+
+
+def test_marks_without_letters_are_no_language(spark):
+    train = [(i, t, lang, "x") for i, (t, lang) in enumerate(
+        [("the cat — and the dog — ran • off € 5", "en"), ("der hund und die katze sind im garten", "de")] * 30)]
+    model = li.train(spark.createDataFrame(train, "doc_id long, text string, lang string, score string"))
+    odd = [(1, "12 — 34 — • €"), (2, " —"), (3, "— the cat —"), (4, " — 日")]
+    got = {r.doc_id: r for r in li.predict(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()}
+    assert [(got[i].lang_pred, got[i].score) for i in (1, 2)] == [("und", 0.0)] * 2
+    assert [got[i].lang_pred for i in (3, 4)] == ["en"] * 2 and got[3].score > 0
