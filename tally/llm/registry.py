@@ -11,6 +11,7 @@ from tally.llm import (
     posting_search,
     quality_rules,
     sharding,
+    substring_dedup,
     token_rollup,
     warc,
 )
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_html_extraction": html_text.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_quality_rules": quality_rules.query,
+    "op13_substring_dedup": substring_dedup.query,
 }
 
 SQL = {
@@ -33,4 +35,5 @@ SQL = {
     "op6_source_mixing": mixture.SQL,
     "op9_jaccard_join": jaccard_join.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op13_substring_dedup": substring_dedup.SQL,
 }
