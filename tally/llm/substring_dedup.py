@@ -1,16 +1,19 @@
 """Substring deduplication by super-k-mer partitioning.
 
-A window is ``WINDOW`` consecutive words of one document.  Its minimiser is the least of its
-runs of ``RUN_WORDS`` words, rarest first.  Consecutive windows with one minimiser travel as one
-packed string of words (a super-k-mer) to the minimiser's bucket, so equal windows meet there.  In
-a bucket the windows are numbered exactly, by words and not by hashes, and sorted; each learns the
-least document that has it.  What a document loses goes back to it by the digests of its strings.
+A window is ``WINDOW`` consecutive words of one document.  Its minimiser is the least hash of its
+runs of ``RUN_WORDS`` words.  Consecutive windows with one minimiser travel as one packed string of
+words (a super-k-mer) to the minimiser's bucket, so equal windows meet there.  In a bucket the windows are
+numbered exactly, by words and not by hashes, and sorted; each learns the least document that has
+it.  What a document loses goes back to it by the digests of its strings.
+
+Equal windows have equal minimisers, so a minimiser that one document alone has names no shared
+window.  Minimisers are counted first (`minimisers`); only strings of shared ones travel.
 
 Skew: equal strings of a task are one record with their least and greatest document, so a passage
-that many documents share sends a few records and not one for each of them.  Rare runs are preferred as
-minimisers, so common phrases name a bucket only for windows without a rarer run.  A bucket that still
-exceeds ``BUCKET_BYTES`` of distinct strings is not held in a task: its windows are grouped by an
-aggregate with partial sums on the way (`overflow_minima`).
+that many documents share sends a few records and not one for each of them.  Strings of minimisers that
+occur more than ``HOT`` times, and buckets of more than ``BUCKET_BYTES``, are not held in a task: their windows
+are grouped by an aggregate with partial sums on the way (`overflow_minima`).  The bitmaps that tasks get
+have a fixed size; where they cannot tell minimisers apart, more strings travel, none is lost.
 
 Cases: null and empty texts have no words and lose none.  A row without doc_id loses nothing and
 takes nothing from others.  Rows that share a doc_id take nothing from one another.  Words are kept as
@@ -35,15 +38,15 @@ from tally.llm.jaccard_join import _maybe_in, bitmap
 from tally.llm.wordbytes import FACTORS, byte_pieces, hash_spans, mix, word_array, word_segments
 
 WINDOW = 13
-RUN_WORDS = 3                   # of a minimiser
+RUN_WORDS = 4                   # of a minimiser
 LONGEST = 32                    # windows of a super-k-mer
-SKETCH_BITS = 18                # log2 of the counters that order minimisers; a task hands on 4 bytes for each
+HOT = 100_000                   # occurrences of a minimiser beyond which no bucket is made
 SEEN = 100_000                  # distinct strings that a task holds to merge equal ones
 CHUNK_BYTES = 4 << 20           # of strings whose windows are sorted at once
 BUCKET_BYTES = 32 << 20         # of one bucket's distinct strings that a task holds
 NEVER = np.iinfo(np.int64).max
 
-PACKED = "mini long, fp1 long, fp2 long, packed binary, lo long, hi long"
+PACKED = "mini long, packed binary, lo long, hi long, hot boolean"
 MINIMA = "fp1 long, fp2 long, minima array<long>, packed binary, lo long, hi long"
 
 
@@ -55,46 +58,35 @@ def run_hashes(w: np.ndarray) -> np.ndarray:
     return mix(h)
 
 
-def rarity_sketch(docs: DataFrame) -> np.ndarray:
-    """Levels (about 4 log2 of the count) of runs of words by the top bits of their hash, over all texts."""
-    cells = 1 << SKETCH_BITS
-    chunks = 64
-
-    def count(it):
-        total = np.zeros(cells, np.int64)
+def minimisers(docs: DataFrame) -> DataFrame:
+    """(mini, n): minimisers that two documents or more have, and how often they occur."""
+    def batches(it):
         for batch in it:
-            for _, _, _, words in word_segments(batch.column(0), WINDOW - 1):
-                if words:
-                    joined, i, j = word_array(words)
-                    h = run_hashes(hash_spans(np.frombuffer(joined, np.uint8), i, j))
-                    total += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells)
-        parts = np.minimum(total, 0xFFFFFFFF).astype(np.uint32).reshape(chunks, -1)
-        some = [c for c in range(chunks) if parts[c].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[c].tobytes() for c in some], pa.binary())],
-                                         names=["chunk", "counts"])
-
-    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(cells // chunks, np.int64)
-        for raw in pdf["counts"]:
-            total += np.frombuffer(raw, np.uint32)
-        return pd.DataFrame({"chunk": [key[0]], "counts": [np.round(4 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
-
-    found = ship(docs).select("text").mapInArrow(count, "chunk int, counts binary") \
-        .groupBy("chunk").applyInPandas(merge, "chunk int, counts binary")
-    out = np.zeros((chunks, cells // chunks), np.uint8)
-    for r in found.collect():           # 256 KiB in all
-        out[r["chunk"]] = np.frombuffer(r["counts"], np.uint8)
-    return out.reshape(-1)
-
-
-def super_kmers(w: np.ndarray, ends: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            ids, held = batch.column(0).to_numpy(zero_copy_only=False), []
+            for row, _, _, mini, _ in _strings(batch.column(1), packed=False):
+                held.append((mini, ids[row]))
+            if not held:
+                continue
+            mini, doc = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((doc, mini))
+            mini, doc = mini[order], doc[order]
+            start = np.flatnonzero(np.append(True, np.diff(mini) != 0)[:len(mini)])
+            end = np.append(start[1:], len(mini))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (mini[start], doc[start], doc[end - 1], end - start)],
+                                             names=["mini", "lo", "hi", "n"])
+
+    found = ship(docs).filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(batches, "mini long, lo long, hi long, n long")
+    return found.groupBy("mini").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")) \
+        .filter("lo < hi").select("mini", "n")
+
+
+def super_kmers(w: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, windows, minimiser) of the super-k-mers of parts that end before the words ``ends``."""
     n = len(w) - WINDOW + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none
-    h = run_hashes(w)
-    least = level[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | h >> np.uint64(8)
+    least = run_hashes(w)
     wide, span = 1, WINDOW - RUN_WORDS + 1
     while 2 * wide <= span:             # least of 2, 4, 8, ... neighbours
         least = np.minimum(least[:-wide], least[wide:])
@@ -113,18 +105,26 @@ def super_kmers(w: np.ndarray, ends: np.ndarray, level: np.ndarray) -> tuple[np.
     return window[start], np.diff(np.append(start, len(window))), least[start].view(np.int64)
 
 
-def _strings(column, level: np.ndarray):
-    """Super-k-mers of an Arrow text column: (row, first word, windows, minimiser, packed string) in turn."""
+def _strings(column, shared: np.ndarray | None = None, packed: bool = True):
+    """Super-k-mers of an Arrow text column: (row, first word, windows, minimiser, packed string) in turn.
+
+    Only those whose minimiser may be in the bitmap ``shared``, where it is given.
+    """
     for rows, bases, ends, words in word_segments(column, WINDOW - 1):
         if len(words) < WINDOW:
             continue
         joined, i, j = word_array(words)
         ends = np.array(ends)
-        first, n, mini = super_kmers(hash_spans(np.frombuffer(joined, np.uint8), i, j), ends, level)
+        first, n, mini = super_kmers(hash_spans(np.frombuffer(joined, np.uint8), i, j), ends)
+        if shared is not None:
+            keep = _maybe_in(mini, shared)
+            first, n, mini = first[keep], n[keep], mini[keep]
+        if not len(first):
+            continue
         part = np.searchsorted(ends, first, side="right")
         word = first - np.append(0, ends[:-1])[part] + np.array(bases)[part]
-        yield (np.array(rows)[part], word, n, mini,
-               [joined[a:b] for a, b in zip(i[first].tolist(), j[first + n + WINDOW - 2].tolist())])
+        strings = [joined[a:b] for a, b in zip(i[first].tolist(), j[first + n + WINDOW - 2].tolist())] if packed else None
+        yield np.array(rows)[part], word, n, mini, strings
 
 
 def _digests(strings: list[bytes]) -> np.ndarray:
@@ -132,33 +132,34 @@ def _digests(strings: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), np.int64).reshape(-1, 2)
 
 
-def packed_strings(docs: DataFrame, level: np.ndarray) -> DataFrame:
+def packed_strings(docs: DataFrame, shared: np.ndarray, hot: np.ndarray) -> DataFrame:
     """Distinct super-k-mers of each task, with the least and the greatest document that has them there."""
-    shared = docs.sparkSession.sparkContext.broadcast(level)
+    flags = docs.sparkSession.sparkContext.broadcast((shared, hot))
+    seen_limit = SEEN
 
     def batches(it):
         seen: dict[bytes, list] = {}
 
         def flush():
-            mini, strings, lo, hi = zip(*seen.values())
-            fp = np.frombuffer(b"".join(seen), np.int64).reshape(-1, 2)
+            mini, lo, hi = (np.array(x, np.int64) for x in zip(*seen.values()))
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(mini), pa.array(list(seen), pa.binary()), pa.array(lo), pa.array(hi), pa.array(_maybe_in(mini, flags.value[1]))],
+                names=["mini", "packed", "lo", "hi", "hot"])
             seen.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(mini, pa.int64()), pa.array(fp[:, 0]), pa.array(fp[:, 1]), pa.array(strings, pa.binary()),
-                 pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["mini", "fp1", "fp2", "packed", "lo", "hi"])
+            return out
 
         for batch in it:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, _, _, mini, strings in _strings(batch.column(1), shared.value):
-                for d, m, string, doc in zip(map(xxhash.xxh3_128_digest, strings), mini.tolist(), strings, ids[row].tolist()):
-                    known = seen.get(d)
+            for row, _, _, mini, strings in _strings(batch.column(1), flags.value[0]):
+                for m, string, doc in zip(mini.tolist(), strings, ids[row].tolist()):
+                    known = seen.get(string)
                     if known is None:
-                        seen[d] = [m, string, doc, doc]
-                    elif doc < known[2]:
+                        seen[string] = [m, doc, doc]
+                    elif doc < known[1]:
+                        known[1] = doc
+                    elif doc > known[2]:
                         known[2] = doc
-                    elif doc > known[3]:
-                        known[3] = doc
-                if len(seen) >= SEEN:
+                if len(seen) >= seen_limit:
                     yield flush()
         if seen:
             yield flush()
@@ -203,40 +204,38 @@ def window_minima(strings, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(t: pa.Table) -> pa.Table:
-    """Equal strings as one, with the least lo and the greatest hi."""
-    fp1, fp2, lo, hi = (t.column(c).to_numpy() for c in ("fp1", "fp2", "lo", "hi"))
-    order = np.lexsort((fp2, fp1))
-    first = np.append(True, (np.diff(fp1[order]) != 0) | (np.diff(fp2[order]) != 0))
-    starts = np.flatnonzero(first)
-    out = t.take(pa.array(order[starts]))
-    for name, values, least in (("lo", lo, np.minimum), ("hi", hi, np.maximum)):
-        out = out.set_column(out.schema.get_field_index(name), name, pa.array(least.reduceat(values[order], starts)))
-    return out.combine_chunks()
+    """Equal strings as one, with the least lo and the greatest hi; (packed, lo, hi)."""
+    packed = t.column("packed").combine_chunks()
+    code = packed.dictionary_encode()
+    own = code.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(own, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(own[order]) != 0))
+    lo, hi = (f.reduceat(t.column(c).to_numpy()[order], starts) for f, c in ((np.minimum, "lo"), (np.maximum, "hi")))
+    return pa.table({"packed": code.dictionary, "lo": lo, "hi": hi})
 
 
 def bucket_minima(packed: DataFrame) -> DataFrame:
     """``MINIMA`` of strings of which a document may lose words.  Buckets too large for a task come back as they are."""
-    rows = packed.repartition("mini").sortWithinPartitions("mini")
-    columns = ["mini", "fp1", "fp2", "packed", "lo", "hi"]
+    rows = packed.select("mini", "packed", "lo", "hi").repartition("mini").sortWithinPartitions("mini")
     chunk_bytes, bucket_bytes = CHUNK_BYTES, BUCKET_BYTES
 
     def judged(held: list[pa.RecordBatch]):
         t = _merged(pa.Table.from_batches(held))
-        minima, n = window_minima(t.column("packed").chunk(0), t.column("lo").to_numpy())
-        hi = t.column("hi").to_numpy()
+        packed, hi = t.column("packed").combine_chunks(), t.column("hi").to_numpy()
+        minima, n = window_minima(packed, t.column("lo").to_numpy())
         ends = np.cumsum(n)
-        use = np.minimum.reduceat(minima, ends - n) < hi
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(minima)).filter(pa.array(use))
-        k = len(lists)
+        use = pa.array(np.minimum.reduceat(minima, ends - n) < hi)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(minima)).filter(use)
+        fp, k = _digests(packed.filter(use).to_pylist()), len(lists)
         return pa.RecordBatch.from_arrays(
-            [t.column("fp1").chunk(0).filter(pa.array(use)), t.column("fp2").chunk(0).filter(pa.array(use)), lists,
-             pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
+            [pa.array(fp[:, 0]), pa.array(fp[:, 1]), lists, pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())],
             names=["fp1", "fp2", "minima", "packed", "lo", "hi"])
 
     def unjudged(held: list[pa.RecordBatch]):
         for batch in held:
+            k = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("fp1"), batch.column("fp2"), pa.nulls(batch.num_rows, pa.list_(pa.int64())),
+                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int64())),
                  batch.column("packed"), batch.column("lo"), batch.column("hi")],
                 names=["fp1", "fp2", "minima", "packed", "lo", "hi"])
 
@@ -244,38 +243,48 @@ def bucket_minima(packed: DataFrame) -> DataFrame:
         held, size, last, over = [], 0, None, None      # held: whole buckets, and the bucket ``last`` as far as it came
         for batch in it:
             mini = batch.column(0).to_numpy()
+            rest = batch.select(["packed", "lo", "hi"])
             cuts = [0, *(np.flatnonzero(np.diff(mini)) + 1).tolist(), len(mini)]
-            # runs of whole buckets up to a chunk at a time
             for a, b in zip(cuts[:-1], cuts[1:]):
-                piece = batch.slice(a, b - a)
-                if over is not None and mini[a] == over:
+                piece, own = rest.slice(a, b - a), int(mini[a])
+                if own == over:
                     yield from unjudged([piece])
                     continue
-                if size >= chunk_bytes and mini[a] != last:
-                    yield judged(held)
-                    held, size = [], 0
+                if own != last:
+                    if size >= chunk_bytes:
+                        yield judged(held)
+                        held, size = [], 0
+                    first, before = len(held), size     # where the bucket begins
+                    last, over = own, None
                 held.append(piece)
-                size += piece.column(3).nbytes
-                last, over = mini[a], None
-                if size >= bucket_bytes:
-                    t = pa.Table.from_batches(held)
-                    own = t.column(0).to_numpy() == last
-                    if not own.all():
-                        yield judged(t.filter(pa.array(~own)).to_batches())
-                    held = _merged(t.filter(pa.array(own))).to_batches()
-                    size = sum(x.column(3).nbytes for x in held)
-                    if 2 * size >= bucket_bytes:
-                        yield from unjudged(held)
-                        held, size, over = [], 0, last
+                size += _string_bytes(piece)
+                if size - before >= bucket_bytes:
+                    t = _merged(pa.Table.from_batches(held[first:]))
+                    held, size = held[:first] + t.to_batches(), before + t.column("packed").nbytes
+                    if 2 * (size - before) >= bucket_bytes:
+                        yield from unjudged(t.to_batches())
+                        held, size, over = held[:first], before, own
         if held:
             yield judged(held)
 
-    return ship(rows).select(*columns).mapInArrow(batches, MINIMA)
+    return ship(rows).mapInArrow(batches, MINIMA)
+
+
+def _string_bytes(batch: pa.RecordBatch) -> int:
+    column = batch.column(0)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[[column.offset, column.offset + len(column)]]
+    return int(ends[1] - ends[0])
 
 
 def overflow_minima(over: DataFrame) -> DataFrame:
-    """(fp1, fp2, minima) of strings of large buckets: an aggregate over windows, no bucket in one task."""
-    own = over.groupBy("fp1", "fp2").agg(F.min("packed").alias("packed"), F.min("lo").alias("lo"))
+    """(fp1, fp2, minima) of strings (packed, lo) of large buckets: an aggregate over windows, no bucket in one task."""
+    def digested(it):
+        for batch in it:
+            fp = _digests(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(fp[:, 0]), pa.array(fp[:, 1]), *batch.columns], names=["fp1", "fp2", "packed", "lo"])
+
+    own = over.groupBy("packed").agg(F.min("lo").alias("lo"))
+    own = stash(ship(own).mapInArrow(digested, "fp1 long, fp2 long, packed binary, lo long"), "large-buckets")
     words = F.split(F.col("packed").cast("string"), " ")
     own = own.select("fp1", "fp2", "lo", words.alias("w"))
     starts = F.sequence(F.lit(1), F.size("w") - (WINDOW - 1))
@@ -286,21 +295,19 @@ def overflow_minima(over: DataFrame) -> DataFrame:
     return joined.select("fp1", "fp2", F.col("m.m").alias("minima"))
 
 
-def covered_starts(docs: DataFrame, level: np.ndarray, minima: DataFrame) -> DataFrame:
+def covered_starts(docs: DataFrame, shared: np.ndarray, minima: DataFrame) -> DataFrame:
     """(doc_id, text_hash, starts): the windows of each document that a smaller doc_id has; starts lists (word, mask).
 
     The strings are cut again from the texts.  A bitmap of the digests in ``minima`` drops nearly all others
     before the join, which makes it exact.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((level, bitmap(minima.select("fp1"))))
+    flags = docs.sparkSession.sparkContext.broadcast((shared, bitmap(minima.select("fp1"))))
 
     def batches(it):
         for batch in it:
-            for row, word, _, _, strings in _strings(batch.column(2), shared.value[0]):
-                if not strings:
-                    continue
+            for row, word, _, _, strings in _strings(batch.column(2), flags.value[0]):
                 fp = _digests(strings)
-                keep = _maybe_in(fp[:, 0], shared.value[1])
+                keep = _maybe_in(fp[:, 0], flags.value[1])
                 at = pa.array(row[keep])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(fp[keep, 0]), pa.array(fp[keep, 1]), batch.column(0).take(at), batch.column(1).take(at),
@@ -341,29 +348,51 @@ def kept_words(raw: memoryview, word: np.ndarray, mask: np.ndarray) -> tuple[int
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of each row of ``docs`` (doc_id, text), a stable table."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    level = rarity_sketch(docs)
-    judged = stash(bucket_minima(packed_strings(docs, level)), "window-minima")
+    found = stash(minimisers(docs), "minimisers")
+    shared, hot = bitmap(found.select("mini")), bitmap(found.filter(F.col("n") > HOT).select("mini"))
+    packed = packed_strings(docs, shared, hot)
+    if hot.any():
+        packed = stash(packed, "packed-strings")
+    judged = stash(bucket_minima(packed.filter("NOT hot")), "window-minima")
     minima = judged.filter("packed IS NULL").select("fp1", "fp2", "minima")
-    over = judged.filter("packed IS NOT NULL")
-    if not over.isEmpty():
+    over = judged.filter("packed IS NOT NULL").select("packed", "lo")
+    if hot.any():
+        over = over.unionByName(packed.filter("hot").select("packed", "lo"))
+    if hot.any() or not over.isEmpty():
         minima = stash(minima.unionByName(overflow_minima(over)), "window-minima")
-    starts = covered_starts(docs, level, minima)
-    rows = docs.withColumn("text_hash", F.xxhash64("text")).join(starts, ["doc_id", "text_hash"], "left") \
-        .select("doc_id", "text", F.col("starts.word").alias("word"), F.col("starts.mask").alias("mask"))
+    starts = stash(covered_starts(docs, shared, minima), "covered-starts")
+    # only texts that lose words are joined with what they lose; a bitmap of them keeps the others from the shuffle
+    losing = docs.sparkSession.sparkContext.broadcast(bitmap(starts.select("text_hash")))
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    none = np.zeros(0, np.int64)
+
+    def stated(batch, columns):
+        out = []
+        for text, *lists in zip(*columns):
+            raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+            out.append(kept_words(raw, *[x.values.to_numpy() if x.is_valid else none for x in lists] or [none, none]))
+        n, removed, digest = zip(*out) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                                           pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+    def whole(it):
+        for batch in it:
+            batch = batch.filter(pa.array(~_maybe_in(batch.column(2).to_numpy(), losing.value)))
+            yield stated(batch, [batch.column(1)])
 
-    def batches(it):
-        none = np.zeros(0, np.int64)
+    def maybe(it):
         for batch in it:
-            out = []
-            for text, word, mask in zip(*(batch.column(c) for c in range(1, 4))):
-                raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
-                lists = [x.values.to_numpy() if x.is_valid else none for x in (word, mask)]
-                out.append(kept_words(raw, *lists))
-            n, removed, digest = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return ship(rows).mapInArrow(batches, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+            yield batch.filter(pa.array(_maybe_in(batch.column(2).to_numpy(), losing.value)))
+
+    def cut(it):
+        for batch in it:
+            yield stated(batch, [batch.column(c) for c in range(1, 4)])
+
+    result = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    rows = ship(hashed).mapInArrow(maybe, "doc_id long, text string, text_hash long") \
+        .join(starts, ["doc_id", "text_hash"], "left") \
+        .select("doc_id", "text", F.col("starts.word").alias("word"), F.col("starts.mask").alias("mask"))
+    return hashed.mapInArrow(whole, result).unionByName(rows.mapInArrow(cut, result))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -68,6 +68,9 @@ def test_large_buckets_go_through_the_aggregate(spark, monkeypatch):
     monkeypatch.setattr(sd, "BUCKET_BYTES", 2048)
     rows = texts_with_passages(random.Random(3), 80, vocabulary=3)
     assert run(spark, rows) == brute(rows)
+    monkeypatch.setattr(sd, "HOT", 20)
+    monkeypatch.setattr(sd, "SEEN", 10)
+    assert run(spark, rows) == brute(rows)
 
 
 def test_odd_rows(spark):
@@ -112,9 +115,8 @@ def test_super_kmers_share_their_minimiser():
     words = [b"%d" % x for x in rng.integers(0, 40, 500)]
     joined, i, j = word_array(words)
     w = hash_spans(np.frombuffer(joined, np.uint8), i, j)
-    level = rng.integers(0, 5, 1 << sd.SKETCH_BITS).astype(np.uint8)
     ends = np.array([0, 5, 130, 142, 142, 155, 500])
-    first, n, mini = sd.super_kmers(w, ends, level)
+    first, n, mini = sd.super_kmers(w, ends)
     windows = np.concatenate([np.arange(a, a + k) for a, k in zip(first, n)])
     starts = np.append(0, ends[:-1])
     assert windows.tolist() == [x for a, e in zip(starts, ends) for x in range(a, e - 12)]
