@@ -8,6 +8,7 @@ from tally.llm import (
     language_id,
     mixture,
     packing,
+    phrases,
     posting_search,
     quality_rules,
     sharding,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_html_extraction": html_text.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_quality_rules": quality_rules.query,
+    "op12_phrase_collocations": phrases.query,
     "op13_substring_dedup": substring_dedup.query,
 }
 
@@ -35,5 +37,6 @@ SQL = {
     "op6_source_mixing": mixture.SQL,
     "op9_jaccard_join": jaccard_join.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op12_phrase_collocations": phrases.SQL,
     "op13_substring_dedup": substring_dedup.SQL,
 }
