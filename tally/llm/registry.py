@@ -12,6 +12,7 @@ from tally.llm import (
     posting_search,
     quality_rules,
     sharding,
+    spelling,
     substring_dedup,
     token_rollup,
     warc,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_html_extraction": html_text.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_spelling_variants": spelling.query,
     "op12_phrase_collocations": phrases.query,
     "op13_substring_dedup": substring_dedup.query,
 }
@@ -37,6 +39,7 @@ SQL = {
     "op6_source_mixing": mixture.SQL,
     "op9_jaccard_join": jaccard_join.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op11_spelling_variants": spelling.SQL,
     "op12_phrase_collocations": phrases.SQL,
     "op13_substring_dedup": substring_dedup.SQL,
 }
