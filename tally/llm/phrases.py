@@ -4,10 +4,10 @@
 2. Candidates are Apriori-safe: pairs of frequent words, and triples of which both pairs may be frequent,
    whose 64-bit hash occurs ``least`` times or more.  Hashes are counted exactly, distributed by hash; they
    only choose candidates.
-3. Candidates become double-array tries over word numbers, at most ``TRIE_NODES`` nodes each, split by
+3. Candidates become double-array tries over word numbers, about ``TRIE_PHRASES`` phrases each, split by
    first word.  A task holds one trie at a time.  It moves the states of all text positions of a
-   segment one level at a time: next = base[state] + word, valid where check[next] is the state;
-   a bincount of the states adds up what is accepted.  Counts of all shards of the text are summed.
+   segment one level at a time: next = base[state] + label, valid where check[next] is the state;
+   a bincount of the accepting states adds up phrases.  Counts of all shards of the text are summed.
 
 Everything is by language (null: ``und``): a word's hash holds its language, so one trie serves all.
 All words that a run numbers are told apart by 64-bit hashes; the count of step 1 proves that no two words of
@@ -19,6 +19,8 @@ and words of any length are fine; other columns are ignored.  An empty table giv
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -34,7 +36,7 @@ LONGEST = 3                     # words of a phrase
 TOP = 2000                      # phrases reported for each language
 SCALE = 1_000_000
 MERGED = 16                     # segments whose words are merged before they leave a task
-TRIE_NODES = 1 << 21            # of one trie; a broadcast of 40 bytes a node
+TRIE_PHRASES = 1 << 20          # about, of one trie; a broadcast of some 50 bytes a phrase
 UNDETERMINED = "und"
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -92,20 +94,17 @@ def phrase_hashes(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def _tally(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct values, first place, count)."""
-    order = np.argsort(h, kind="stable")
+    """(distinct values, a place of each, count)."""
+    order = np.argsort(h)
     start = np.flatnonzero(np.append(True, np.diff(h[order]) != 0)[:len(h)])
     return h[order[start]], order[start], np.diff(np.append(start, len(h)))
 
 
-def unlike_words(low: np.ndarray, i: np.ndarray, j: np.ndarray, row: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places whose word or language is not that of the first place with the same hash."""
-    _, first, n = _tally(h)
-    like = np.empty(len(h), np.int64)
-    like[np.argsort(h, kind="stable")] = np.repeat(first, n)
+def unlike_words(low: np.ndarray, i: np.ndarray, j: np.ndarray, row: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Places whose word or language is not that of place ``like``, one with the same hash."""
     size = j - i
     odd = (size != size[like]) | (row != row[like])
-    at = np.flatnonzero(~odd & (like != np.arange(len(h))))
+    at = np.flatnonzero(~odd & (like != np.arange(len(i))))
     for p in range(0, len(at), BLOCK_WORDS):
         a = at[p:p + BLOCK_WORDS]
         begin = np.cumsum(size[a]) - size[a]
@@ -126,10 +125,14 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
             parts = []
             _, lang_no = np.unique(names.to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
             for low, i, j, h, _, row in token_segments(batch.column(1), batch.column(0), seed):
-                odd = unlike_words(low, i, j, lang_no[row], h)
-                clash = h[odd]
-                h, at, n = _tally(h)
-                h, at, n = np.append(h, clash), np.append(at, odd), np.append(n, np.zeros(len(odd), np.int64))
+                order = np.argsort(h)
+                start = np.flatnonzero(np.append(True, np.diff(h[order]) != 0))
+                at, n = order[start], np.diff(np.append(start, len(h)))
+                like = np.empty(len(h), np.int64)
+                like[order] = np.repeat(at, n)
+                odd = unlike_words(low, i, j, lang_no[row], like)
+                at, n = np.append(at, odd), np.append(n, np.zeros(len(odd), np.int64))
+                h = h[at]
                 raw = low.tobytes()
                 parts.append((h, n, row[at], [raw[a:b] for a, b in zip(i[at].tolist(), j[at].tolist())]))
             for k in range(0, len(parts), MERGED):
@@ -204,147 +207,159 @@ def candidates(docs: DataFrame, words: DataFrame, bits: list[np.ndarray], seed:
                     [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
                      pa.nulls(len(h1), pa.int64()) if h3 is None else pa.array(h3.view(np.int64))], names=["h1", "h2", "h3"])
 
-    rows = ship(docs).select("lang", "text").mapInArrow(batches, "h1 long, h2 long, h3 long").distinct()
+    rows = stash(ship(docs).select("lang", "text").mapInArrow(batches, "h1 long, h2 long, h3 long").distinct(), "candidates")
     known = words.select("h")
+    pairs, triples = rows.filter("h3 IS NULL"), rows.filter("h3 IS NOT NULL").join(known.withColumnRenamed("h", "h3"), "h3", "left_semi")
+    rows = pairs.select("h1", "h2", "h3").unionByName(triples.select("h1", "h2", "h3"))
     for c in ("h1", "h2"):
         rows = rows.join(known.withColumnRenamed("h", c), c, "left_semi")
-    pairs = rows.filter("h3 IS NULL")
-    triples = rows.filter("h3 IS NOT NULL").join(known.withColumnRenamed("h", "h3"), "h3", "left_semi")
-    return pairs.select("h1", "h2", "h3").unionByName(triples.select("h1", "h2", "h3"))
+    return rows.select("h1", "h2", "h3")
+
+
+def word_steps(ids: list[np.ndarray]):
+    """The labels of phrases, level by level: the first word's number, then three bytes of each further word; -1 for none."""
+    yield ids[0]
+    for word in ids[1:]:
+        for shift in (16, 8, 0):
+            yield np.where(word < 0, -1, word >> shift & 255)
 
 
 def build_trie(columns: list[np.ndarray], lengths: np.ndarray) -> dict[str, np.ndarray]:
     """Arrays of a double-array trie of phrases: columns[k] holds word hash k + 1 of each phrase (any value beyond its length).
 
-    ``codes`` are the sorted hashes of its words; word number x is codes[x].  ``state_of`` gives the accepting state
-    of each phrase.  Children of a node lie at base + word number; nodes with several children are placed
-    first, at the first base without collision, then all single children at once in the slots that are left.
+    ``codes`` are the sorted hashes of its words; word number x is codes[x].  The root's children lie at their word
+    numbers.  Each further word is three steps of one byte, so a node has at most 256 children, which lie
+    at base + label.  Nodes with many children get 256 places of their own; those with some draw bases until all
+    their places are free, larger ones first; single children fill the places left.  ``accept`` gives the phrase that
+    ends in a state, or -1.
     """
     n = len(lengths)
-    used = [c[lengths > k] for k, c in enumerate(columns)]
-    codes = np.unique(np.concatenate(used))
-    ids = [np.where(lengths > k, np.searchsorted(codes, np.where(lengths > k, c, codes[0])), -1) for k, c in enumerate(columns)]
-    # nodes level by level: (parent node, word number); node 0 is the root
-    node = np.zeros(n, np.int64)
-    parents, labels, total = [np.array([-1])], [np.array([-1])], 1
-    for level in ids:
-        here = np.flatnonzero(level >= 0)
-        key = node[here] * len(codes) + level[here]
-        distinct, back = np.unique(key, return_inverse=True)
-        parents.append(distinct // len(codes))
-        labels.append(distinct % len(codes))
+    codes = np.unique(np.concatenate([c[lengths > k] for k, c in enumerate(columns)]))
+    ids = [np.where(lengths > k, np.searchsorted(codes, c), -1).astype(np.int32) for k, c in enumerate(columns)]
+    width = max(len(codes), 256)
+    # nodes level by level, by parent and label; node 0 is the root
+    node = np.zeros(n, np.int32)
+    parents, labels, total = [], [], 1
+    for step in word_steps(ids):
+        here = np.flatnonzero(step >= 0)
+        distinct, back = np.unique(node[here] * np.int64(width) + step[here], return_inverse=True)
+        parents.append((distinct // width).astype(np.int32))
+        labels.append((distinct % width).astype(np.int32))
         node[here] = total + back
         total += len(distinct)
+    first = 1 + len(parents[0])                             # nodes from here on have a parent below the root
     parent, label = np.concatenate(parents), np.concatenate(labels)
-    order = np.argsort(parent, kind="stable")[1:]                   # children by parent, in order of their labels
-    holders, first, fan = np.unique(parent[order], return_index=True, return_counts=True)
-    base = np.zeros(total, np.int64)
-    slot = np.zeros(total, np.int64)                                # of each node; the root has none
-    size = 2 * total + 2 * len(codes) + 2
-    taken = np.zeros(size, dtype=bool)
-    free_from = 0
-    for k in np.argsort(-fan, kind="stable").tolist():
-        if fan[k] == 1:
-            break
-        children = order[first[k]:first[k] + fan[k]]
-        want = label[children]
-        b = free_from - int(want[0])
-        while True:
-            if b + int(want[-1]) >= len(taken):
-                taken = np.append(taken, np.zeros(len(taken), dtype=bool))
-            hit = taken[b + want]
-            if not hit.any():
-                break
-            # the next base that puts the first child on a free slot
-            gap = taken[b + want[0] + 1:b + want[0] + 4097]
-            step = int(np.argmin(gap)) if not gap.all() else len(gap) - 1
-            b += 1 + max(0, step)
-        taken[b + want] = True
-        base[holders[k]] = b
-        slot[children] = b + want
-        if fan[k] > 8:
-            while taken[free_from]:
-                free_from += 1
+    del ids, parents, labels
+    slot, base = np.full(total, -2, np.int32), np.zeros(total, np.int32)      # the root's number is -2
+    slot[1:first] = label[:first - 1]
+    # children of one parent have numbers in turn
+    start = first + np.flatnonzero(np.append(True, np.diff(parent[first - 1:]) != 0)[:total - first])
+    fan = np.diff(np.append(start, total))
+    holders = parent[start - 1]
+    taken = np.zeros(len(codes) + 3 * int(fan[(fan > 1) & (fan <= 16)].sum()) + 512, dtype=bool)
+    taken[:len(codes)] = True
+
+    def settle(some: np.ndarray, at: np.ndarray) -> None:
+        base[holders[some]] = at
+        own = _ranges(start[some], fan[some])
+        slot[own] = np.repeat(at, fan[some]) + label[own - 1]
+        taken[slot[own]] = True
+
+    rng = np.random.default_rng(3)
+    for least, most in ((17, 256), (9, 16), (5, 8), (3, 4), (2, 2)):
+        left = np.flatnonzero((fan >= least) & (fan <= most))
+        if least == 17:
+            end = len(taken)
+            taken = np.append(taken, np.zeros(256 * len(left), dtype=bool))
+            settle(left, end + 256 * np.arange(len(left)))
+            continue
+        while len(left):
+            at = rng.integers(len(codes), len(taken) - 256, len(left))
+            want = np.repeat(at, fan[left]) + label[_ranges(start[left], fan[left]) - 1]
+            free = ~taken[want]
+            order = np.argsort(want, kind="stable")
+            free[order[1:][want[order[1:]] == want[order[:-1]]]] = False        # drawn by an earlier one of this round
+            good = np.logical_and.reduceat(free, np.cumsum(fan[left]) - fan[left])
+            settle(left[good], at[good])
+            if 4 * good.sum() < len(left):
+                taken = np.append(taken, np.zeros(4 * int(fan[left].sum()), dtype=bool))
+            left = left[~good]
     single = np.flatnonzero(fan == 1)
-    children = order[first[single]]
     room = np.flatnonzero(~taken)
-    if len(room) < len(children):
-        room = np.append(room, np.arange(len(taken), len(taken) + len(children) - len(room)))
-    room = room[:len(children)]
-    slot[children] = room
-    base[holders[single]] = room - label[children]
-    length = int(slot.max()) + 1 if total > 1 else 1
-    check = np.full(length, -1, np.int64)                            # slot of the parent; the root is -2
-    at = np.zeros(length, np.int64)
-    slot_parent = np.where(parent == 0, -2, slot[parent])
-    check[slot[1:]] = slot_parent[1:]
-    at[slot[1:]] = base[1:]
-    return {"codes": codes, "check": check, "base": at, "root": np.array([base[0]]), "state_of": slot[node]}
-
-
-def advance(trie: dict[str, np.ndarray], state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places that go on, their next states): all positions move one level."""
-    root = state == -2
-    to = np.where(root, trie["root"][0], trie["base"][np.where(root, 0, state)]) + word
-    ok = (word >= 0) & (to >= 0) & (to < len(trie["check"]))
-    ok[ok] = trie["check"][to[ok]] == state[ok]
-    return np.flatnonzero(ok), to[ok]
-
-
-def trie_counts(trie: dict[str, np.ndarray], h: np.ndarray, room: np.ndarray) -> np.ndarray:
-    """Occurrences that end in each state, over all places of a segment."""
-    codes = trie["codes"]
-    k = np.minimum(np.searchsorted(codes, h.view(np.int64)), len(codes) - 1)
-    word = np.where(codes[k] == h.view(np.int64), k, -1)
-    place, state = np.arange(len(h)), np.full(len(h), -2)
-    total = np.zeros(len(trie["check"]), np.int64)
-    for level in range(LONGEST):
+    if len(room) < len(single):
+        room = np.append(room, len(taken) + np.arange(len(single) - len(room)))
+    own = start[single]
+    slot[own] = room[:len(single)]
+    base[holders[single]] = slot[own] - label[own - 1]
+    size = int(slot.max()) + 1
+    check, bases, accept = np.full(size, -1, np.int32), np.zeros(size, np.int32), np.full(size, -1, np.int32)
+    check[slot[1:]] = slot[parent]
+    bases[slot[1:]] = base[1:]
+    accept[slot[node]] = np.arange(n)
+    return {"codes": codes, "check": check, "base": bases, "accept": accept}
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers start[i] to start[i] + n[i] - 1 in turn."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def trie_counts(trie: dict[str, np.ndarray], h: np.ndarray, room: np.ndarray, n: int) -> np.ndarray:
+    """Occurrences of each of the trie's n phrases, over all places of a segment; all places move one level at a time."""
+    codes, check, base = trie["codes"], trie["check"], trie["base"]
+    h = h.view(np.int64)
+    k = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
+    word = np.where(codes[k] == h, k, -1)
+    total = np.zeros(n, np.int64)
+    place = np.flatnonzero(word >= 0)
+    place = place[check[word[place]] == -2]
+    state = word[place]
+    for level in range(1, LONGEST):
         on = np.flatnonzero(room[place] > level)
         place, state = place[on], state[on]
-        go, state = advance(trie, state, word[place + level])
-        place = place[go]
-        if not len(place):
-            break
-        total += np.bincount(state, minlength=len(total))
+        on = np.flatnonzero(word[place + level] >= 0)
+        place, state = place[on], state[on]
+        for shift in (16, 8, 0):
+            to = base[state] + (word[place + level] >> shift & 255)
+            on = np.flatnonzero((to >= 0) & (to < len(check)))
+            on = on[check[to[on]] == state[on]]
+            place, state = place[on], to[on]
+        ended = trie["accept"][state]
+        total += np.bincount(ended[ended >= 0], minlength=n)
     return total
 
 
 def phrase_counts(docs: DataFrame, found: DataFrame, seed: int) -> DataFrame:
-    """(h1, h2, h3, a): exact occurrences of candidates, by tries of at most about ``TRIE_NODES`` nodes."""
+    """(h1, h2, h3, a): exact occurrences of candidates, by tries of about ``TRIE_PHRASES`` phrases."""
     spark = docs.sparkSession
-    most = found.count()
-    shards = max(1, -(-most * LONGEST // TRIE_NODES))
+    shards = max(1, -(-found.count() // TRIE_PHRASES))
     found = found.withColumn("shard", F.pmod(F.xxhash64("h1"), F.lit(shards)).cast("int"))
     if shards > 1:
-        found = stash(found, "candidates", partition_by=["shard"])
+        found = stash(found.repartition("shard"), "candidates", partition_by=["shard"])
     out = []
     for shard in range(shards):
         own = found.filter(F.col("shard") == shard).select("h1", "h2", "h3").toArrow()        # one trie's candidates
-        if not own.num_rows:
+        n = own.num_rows
+        if not n:
             continue
-        h3 = own.column("h3")
-        lengths = np.where(h3.is_null().to_numpy(), 2, 3)
-        columns = [own.column(c).fill_null(0).to_numpy() for c in ("h1", "h2", "h3")]
-        trie = build_trie(columns, lengths)
-        state_of = trie.pop("state_of")
-        shared = spark.sparkContext.broadcast(trie)
-
-        def batches(it, shared=shared):
-            total = None
+        lengths = np.where(own.column("h3").is_null().to_numpy(), 2, 3)
+        shared = spark.sparkContext.broadcast(build_trie([own.column(c).fill_null(0).to_numpy() for c in ("h1", "h2", "h3")], lengths))
+
+        def batches(it, shared=shared, n=n):
+            total = np.zeros(n, np.int64)
             for batch in it:
                 for _, _, _, h, room, _ in token_segments(batch.column(1), batch.column(0), seed):
-                    counts = trie_counts(shared.value, h, room)
-                    total = counts if total is None else total + counts
-            if total is not None:
-                at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["state", "a"])
-
-        counts = ship(docs).select("lang", "text").mapInArrow(batches, "state long, a long").groupBy("state").agg(F.sum("a").alias("a"))
-        states = spark.createDataFrame(pa.table({"state": state_of, **{c: own.column(c) for c in ("h1", "h2", "h3")}}))
-        out.append(stash(states.join(counts, "state").select("h1", "h2", "h3", "a"), "phrase-counts"))
+                    total += trie_counts(shared.value, h, room, n)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["phrase", "a"])
+
+        counts = ship(docs).select("lang", "text").mapInArrow(batches, "phrase long, a long").groupBy("phrase").agg(F.sum("a").alias("a"))
+        names = spark.createDataFrame(pa.table({"phrase": np.arange(n), **{c: own.column(c) for c in ("h1", "h2", "h3")}}))
+        out.append(stash(names.join(counts, "phrase").select("h1", "h2", "h3", "a"), "phrase-counts"))
+        shared.unpersist()
     if not out:
         return spark.createDataFrame([], "h1 long, h2 long, h3 long, a long")
-    return spark.read.schema(out[0].schema).parquet(*[f for x in out for f in x.inputFiles()])
+    return reduce(DataFrame.unionByName, out)
 
 
 def score(a: str, l: str, r: str):
