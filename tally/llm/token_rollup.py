@@ -8,8 +8,13 @@ totals are the sum of all committed batches, so nothing is recounted.  Kinds of
 * ``revise``: 0 documents, n_tokens - old_tokens (same key; a moved document is delete + insert)
 
 Commits are idempotent.  A batch's rows are written to a folder of that attempt; one small
-commit file, created only if absent, then names the attempt.  A batch that has its commit
-file is skipped, a half-written attempt without one is never read.
+commit file then names the attempt.  It is written under a name of its own and renamed, which fails where
+the batch already has one: a file that can be seen is whole, and the first attempt stays.  A batch that
+has its commit file is skipped, an attempt without one is never read.
+
+A snapshot holds the sums of the batches that it lists, from one listing of the commits.  Snapshots lie in a folder
+apart, so any batch id is free for use.  Readers take the snapshot that covers most batches and add the
+batches that it does not list; what two compactions at a time write is right whichever of them is read.
 
 Cases: null source, language or text are values of their own (a null text has no tokens).  An empty
 batch commits and adds nothing.  Repeated change rows count as often as they come.  Null
@@ -22,6 +27,7 @@ import json
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,37 +66,55 @@ class TokenRollup:
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(f"{self.path}/commits"))
+        for folder in ("commits", "snapshots", "attempts"):
+            self._fs.mkdirs(self._path(f"{self.path}/{folder}"))
 
-    def _commits(self) -> dict[str, dict]:
-        """Commit files by batch id: one small file a batch."""
-        found = self._fs.listStatus(self._path(f"{self.path}/commits"))
-        names = sorted(s.getPath().getName() for s in found)
+    def _listed(self, folder: str) -> dict[str, dict]:
+        """The JSON files of a folder by name: one small file each."""
         out = {}
-        for name in names:
+        for name in sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/{folder}"))):
             if name.endswith(".json"):
-                stream = self._fs.open(self._path(f"{self.path}/commits/{name}"))
+                stream = self._fs.open(self._path(f"{self.path}/{folder}/{name}"))
                 try:
                     out[name[:-5]] = json.loads(bytes(stream.readAllBytes()).decode())
                 finally:
                     stream.close()
         return out
 
+    def _state(self) -> tuple[dict[str, dict], dict | None]:
+        """(commits by batch id, the snapshot that covers most of them)."""
+        snapshots = self._listed("snapshots")       # first, so that its batches are among the commits listed after it
+        return self._listed("commits"), max(snapshots.values(), key=lambda s: len(s["batches"]), default=None)
+
     def committed(self) -> set[str]:
-        found = self._commits()
-        return {b for c in found.values() for b in c["batches"]}
+        return set(self._listed("commits"))
 
-    def _publish(self, name: str, data: dict) -> bool:
-        """Create a commit file; False if another run was first."""
-        target = self._path(f"{self.path}/commits/{name}.json")
+    def _publish(self, folder: str, name: str, data: dict) -> bool:
+        """Write a file and rename it; False if another run was first."""
+        target = self._path(f"{self.path}/{folder}/{name}.json")
         if self._fs.exists(target):
             return False
-        stream = self._fs.create(target, False)
+        own = self._path(f"{self.path}/attempts/{uuid.uuid4().hex}")
+        stream = self._fs.create(own, False)
         try:
             stream.write(bytearray(json.dumps(data).encode()))
         finally:
             stream.close()
-        return True
+        return self._renamed(own, target)
+
+    def _renamed(self, own, target) -> bool:
+        """Rename without replacing: the file system's own check decides between two runs."""
+        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        files = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), conf)
+        try:
+            files.rename(own, target, options)
+            return True
+        except Py4JJavaError as e:
+            if self._fs.exists(target):
+                return False
+            raise e
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch once; True if this call added it."""
@@ -100,25 +124,27 @@ class TokenRollup:
             return False
         attempt = f"deltas/{batch_id}-{uuid.uuid4().hex[:12]}"
         signed(changes).write.parquet(f"{self.path}/{attempt}")
-        return self._publish(batch_id, {"batches": [batch_id], "data": attempt})
+        return self._publish("commits", batch_id, {"data": attempt})
 
     def compact(self) -> None:
-        """Replace what `totals` reads by one table of sums; batch ids stay known."""
-        done = sorted(self.committed())
-        snapshot = f"snapshots/{uuid.uuid4().hex[:12]}"
-        self.totals(drop_zero=False).write.parquet(f"{self.path}/{snapshot}")
-        self._publish(f"snapshot_{len(done):09d}_{snapshot[-12:]}", {"batches": done, "data": snapshot})
-
-    def totals(self, drop_zero: bool = True) -> DataFrame:
-        commits = self._commits()
-        snapshots = sorted(n for n in commits if n.startswith("snapshot_"))
-        covered = set(commits[snapshots[-1]]["batches"]) if snapshots else set()
-        parts = [commits[snapshots[-1]]["data"]] if snapshots else []
-        parts += [c["data"] for n, c in commits.items() if not n.startswith("snapshot_") and n not in covered]
+        """Write the sums of all batches of one listing as a snapshot; batch ids stay known."""
+        state = self._state()
+        snapshot = f"sums/{uuid.uuid4().hex[:12]}"
+        self._sums(state).write.parquet(f"{self.path}/{snapshot}")
+        self._publish("snapshots", snapshot[-12:], {"batches": sorted(state[0]), "data": snapshot})
+
+    def _sums(self, state: tuple[dict[str, dict], dict | None]) -> DataFrame:
+        commits, snapshot = state
+        covered = set(snapshot["batches"]) if snapshot else set()
+        parts = [snapshot["data"]] if snapshot else []
+        parts += [c["data"] for b, c in commits.items() if b not in covered]
         if not parts:
             return self.spark.createDataFrame([], SCHEMA)
         rows = self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/{p}" for p in parts])
-        out = rows.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+        return rows.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+    def totals(self, drop_zero: bool = True) -> DataFrame:
+        out = self._sums(self._state())
         return out.filter(" OR ".join(f"{m} <> 0" for m in MEASURES)) if drop_zero else out
 
 

@@ -62,6 +62,58 @@ def test_compaction_keeps_totals_and_batch_ids(spark, rollup):
     assert read(rollup)[("t", "de", "v1")] == (0, 0)
 
 
+def test_any_batch_id_is_free(spark, rollup):
+    for batch, n in (("snapshot_1", 10), ("snapshot_2", 100), ("x", 1000)):
+        assert rollup.commit(batch, change(spark, ("insert", "s", "en", "v1", n, None)))
+    assert read(rollup) == {("s", "en", "v1"): (3, 1110)}
+    rollup.compact()
+    assert read(rollup) == {("s", "en", "v1"): (3, 1110)}
+    assert rollup.committed() == {"snapshot_1", "snapshot_2", "x"}
+
+
+def test_commit_during_compaction(spark, rollup, monkeypatch):
+    """A batch that is committed while a snapshot is written counts once; so do two snapshots at a time."""
+    rollup.commit("a", change(spark, ("insert", "s", "en", "v1", 10, None)))
+    sums, other = rollup._sums, TokenRollup(spark, rollup.path)
+
+    def slow(state):
+        out = sums(state)
+        other.commit("b", change(spark, ("insert", "s", "en", "v1", 100, None)))
+        other.compact()
+        return out
+
+    monkeypatch.setattr(rollup, "_sums", slow)
+    rollup.compact()
+    assert read(other) == {("s", "en", "v1"): (2, 110)}
+    other.compact()
+    assert read(other) == {("s", "en", "v1"): (2, 110)}
+
+
+def test_crash_within_a_commit(spark, rollup, monkeypatch):
+    """A run that dies before the rename leaves no commit; the next one adds the batch."""
+    rows = change(spark, ("insert", "s", "en", "v1", 10, None))
+
+    def die(own, target):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(rollup, "_renamed", die)
+        with pytest.raises(KeyboardInterrupt):
+            rollup.commit("a", rows)
+    assert read(rollup) == {} and rollup.committed() == set()
+    assert rollup.commit("a", rows)
+    assert read(rollup) == {("s", "en", "v1"): (1, 10)}
+
+
+def test_two_runs_commit_one_batch(spark, rollup):
+    """Both saw no commit; the first rename stays."""
+    assert rollup._publish("commits", "a", {"data": "deltas/one"})
+    own = rollup._path(f"{rollup.path}/attempts/two")
+    rollup._fs.create(own, False).close()
+    assert not rollup._renamed(own, rollup._path(f"{rollup.path}/commits/a.json"))
+    assert rollup._listed("commits")["a"] == {"data": "deltas/one"}
+
+
 def test_empty_batch(spark, rollup):
     assert rollup.commit("e", spark.createDataFrame([], CHANGE))
     assert read(rollup) == {}
