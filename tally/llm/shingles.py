@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 from tally.llm.arrowbytes import SEGMENT_BYTES, flat_bytes, row_groups
+from tally.llm.wordbytes import hash_spans, mix
 
-BASE = 0x9E3779B97F4A7C15                       # odd, so that it has an inverse modulo 2**64
-INVERSE = pow(BASE, -1, 1 << 64)
-MIX_A, MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 WINDOW_FACTORS = tuple(np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64)) for i in range(16))
 SHORT = np.uint64(0xA0761D6478BD642F)           # sets a text shorter than a shingle apart from shingles
 
@@ -18,20 +14,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-BYTE_VALUES = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64)
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * MIX_A
-    h = (h ^ (h >> np.uint64(33))) * MIX_B
-    return h ^ (h >> np.uint64(33))
-
-
-@lru_cache(maxsize=2)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, BASE, dtype=np.uint64))), dtype=np.uint64)
-    down = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, INVERSE, dtype=np.uint64))), dtype=np.uint64)
-    return up, down
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,11 +30,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     last = inside.copy()
     last[:-1] &= ~inside[1:] | border[1:-1]
     i, j = np.flatnonzero(first), np.flatnonzero(last)
-    size = 1 << max(12, int(len(b) - 1).bit_length())
-    up, down = powers(size)
-    sums = np.cumsum(BYTE_VALUES[b] * up[:len(b)], dtype=np.uint64)
-    before = np.where(i > 0, sums[i - 1], np.uint64(0))
-    return mix((sums[j] - before) * down[i] + (j - i + 1).astype(np.uint64)), i
+    return hash_spans(b, i, j + 1), i
 
 
 def long_pieces(data: np.ndarray):
