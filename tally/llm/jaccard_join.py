@@ -119,7 +119,7 @@ PROFILE = ("row long, doc_id long, n long, fp1 long, fp2 long, matches int, typi
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text); the same numbers whenever the same stable table is read."""
+    """(row, doc_id, text); to be written before it is used, as numbers depend on how a table is split into tasks."""
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
@@ -140,7 +140,7 @@ def profiles(docs: DataFrame, sketch: np.ndarray, background: float, k: int, num
             if rows:
                 yield _profile_batch(rows)
 
-    return ship(docs).mapInArrow(batches, PROFILE)
+    return ship(docs).select("row", "doc_id", "text").mapInArrow(batches, PROFILE)
 
 
 def _profile_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -336,18 +336,20 @@ def cross_pairs(hits: DataFrame, facts: DataFrame, num: int, den: int) -> DataFr
     return ship(rows).select(*columns).mapInArrow(blocks, "a long, b long, na long, nb long").distinct()
 
 
-def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text); links at similarity >= num / den.
+def jaccard_components(docs: DataFrame, k: int, num: int, den: int, row: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, row, is_first) for each row of ``docs`` (doc_id, text); links at similarity >= num / den.
 
-    ``docs`` is a stable table (files): it is read several times.
+    ``row`` names a column that numbers the rows; without one they are numbered here.  One row of each component is
+    its first: the one of the least doc_id.  ``docs`` is a stable table (files): it is read several times.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text") if row is None else docs.select("doc_id", "text", F.col(row).alias("row"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about one counter for every 64 bytes of text, within bounds
     bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], int(size // 64).bit_length()))
     sketch = frequency_sketch(docs, k, bits)
     background = float(np.exp2(np.median(sketch) / 8.0) - 1)
-    docs = numbered(docs)
+    if row is None:     # written once, so that the numbers stay whatever happens to executors
+        docs = stash(numbered(docs), "numbered")
     found = stash(profiles(docs, sketch, background, k, num, den), "profiles")
 
     # equal sets are one node: the row that comes first
@@ -400,10 +402,14 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
             hits = stash(labelled.join(outside, "token").drop("hub", "hub_root").withColumnRenamed("_hub", "hub"), "postings")
 
     grouped = members.join(root, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).filter("c > 1").drop("c")
+        "row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root"))
+    # the first row of a group is that of its least doc_id, null ids last
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id"), F.col("row")))
+    least = grouped.groupBy("root").agg(first.alias("first"), F.count("*").alias("c")).filter("c > 1") \
+        .select("root", F.col("first.doc_id").alias("least"), F.col("first.row").alias("first_row"))
     return grouped.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "root")
+        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "row",
+        F.coalesce(F.col("row") == F.col("first_row"), F.lit(True)).alias("is_first"))
 
 
 def _labelled(hits: DataFrame, root: DataFrame) -> DataFrame:
@@ -416,23 +422,17 @@ def _labelled(hits: DataFrame, root: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op9: components of all documents that share 85 % of their 4-word shingles."""
-    return jaccard_components(table(spark, sf_dir, "documents"), 4, 85, 100).drop("root")
+    return jaccard_components(table(spark, sf_dir, "documents"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline: one document of each group of near duplicates stays (five words, similarity 0.8), the least doc_id.
+    """Pipeline: one row of each group of near duplicates stays (five words, similarity 0.8), that of the least doc_id.
 
-    Rows that repeat a document in all columns are one document.  Documents without words all stay.
+    Rows go by their number, so two rows with one doc_id, or none, are told apart.  Documents without words all stay.
     """
-    docs = docs.select(*DOCUMENT_COLUMNS)
-    found = stash(jaccard_components(docs, 5, 80, 100), "near-duplicates")
-    drop = found.filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
-    repeated = found.filter("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    again = kept["doc_id"].eqNullSafe(repeated["doc_id"])
-    return kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates())
+    docs = stash(docs.select(*DOCUMENT_COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+    found = jaccard_components(docs, 5, 80, 100, row="_row").filter("NOT is_first").select(F.col("row").alias("_row"))
+    return docs.join(found, "_row", "left_anti").select(*DOCUMENT_COLUMNS)
 
 
 SQL = r"""

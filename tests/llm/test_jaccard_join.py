@@ -137,3 +137,22 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000), (7, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[i] == 1000 for i in range(1000, 1100))
+
+
+def test_words_that_a_polynomial_confuses(spark):
+    morse = "a"
+    while len(morse) < 1024:
+        morse += morse.translate({97: "b", 98: "a"})
+    rows = [(1, morse, None), (2, morse.translate({97: "b", 98: "a"}), None)]
+    assert run(spark, rows) == [(1, 1, 1), (2, 1, 2)]
+
+
+def test_stage_drops_rows_not_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text, "en", "s", 9), (5, text, "en", "s", 9), (5, "a text of its own that no other document has", "en", "s", 9),
+            (None, text + " more", "en", "s", 9), (None, "another one that is alone in here too", "de", None, None),
+            (7, None, "en", "s", 0), (7, "", "en", "s", 0), (9, "twice the same row is one document", "en", "s", 1),
+            (9, "twice the same row is one document", "en", "s", 1)]
+    docs = stash(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2), "docs")
+    got = sorted((tuple(r) for r in jj.stage(spark, docs, "").collect()), key=str)
+    assert got == sorted([rows[0], rows[2], rows[4], rows[5], rows[6], rows[7]], key=str)
