@@ -39,6 +39,17 @@ def stash(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bytes of an Arrow batch that goes to Python.  Without it a batch is 10,000 texts, however long.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, where it has no smaller bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def ship(df: DataFrame) -> DataFrame:
     """Hand this package's source to the executors' Python (once a session); returns ``df``.
 
@@ -46,6 +57,7 @@ def ship(df: DataFrame) -> DataFrame:
     installed copy of it.  The archive lies in the shared checkpoint folder.
     """
     sc = df.sparkSession.sparkContext
+    bound_batches(df.sparkSession)
     if getattr(sc, "_tally_shipped", False):
         return df
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

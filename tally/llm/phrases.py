@@ -35,8 +35,9 @@ LEAST = 10                      # occurrences of a candidate
 LONGEST = 3                     # words of a phrase
 TOP = 2000                      # phrases reported for each language
 SCALE = 1_000_000
+HASHES_HELD = 1 << 22           # of phrases that a task counts before it hands them on
 MERGED = 16                     # segments whose words are merged before they leave a task
-TRIE_PHRASES = 1 << 20          # about, of one trie; a broadcast of some 50 bytes a phrase
+TRIE_PHRASES = 1 << 19          # about, of one trie; a broadcast of some 50 bytes a phrase
 UNDETERMINED = "und"
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -175,14 +176,21 @@ def frequent_hashes(docs: DataFrame, n: int, bits: list[np.ndarray], least: int,
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def batches(it):
+        held, size = [], 0
+
+        def counted():
+            h, _, count = _tally(np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(count)], names=["h", "n"])
+
         for batch in it:
-            held = []
             for _, _, _, h, room, _ in token_segments(batch.column(1), batch.column(0), seed):
-                at = may_be_frequent(h, room, n, shared.value)
-                held.append(phrase_hashes(h, n)[at])
-            if held:
-                h, _, count = _tally(np.concatenate(held))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(count)], names=["h", "n"])
+                held.append(phrase_hashes(h, n)[may_be_frequent(h, room, n, shared.value)])
+                size += len(held[-1])
+                if size >= HASHES_HELD:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
 
     rows = ship(docs).select("lang", "text").mapInArrow(batches, "h long, n long")
     return rows.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")

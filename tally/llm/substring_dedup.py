@@ -41,6 +41,7 @@ WINDOW = 13
 RUN_WORDS = 4                   # of a minimiser
 LONGEST = 32                    # windows of a super-k-mer
 HOT = 100_000                   # occurrences of a minimiser beyond which no bucket is made
+MINIS_HELD = 1 << 20            # minimisers that a task counts before it hands them on
 SEEN = 100_000                  # distinct strings that a task holds to merge equal ones
 CHUNK_BYTES = 4 << 20           # of strings whose windows are sorted at once
 BUCKET_BYTES = 32 << 20         # of one bucket's distinct strings that a task holds
@@ -61,19 +62,27 @@ def run_hashes(w: np.ndarray) -> np.ndarray:
 def minimisers(docs: DataFrame) -> DataFrame:
     """(mini, n): minimisers that two documents or more have, and how often they occur."""
     def batches(it):
-        for batch in it:
-            ids, held = batch.column(0).to_numpy(zero_copy_only=False), []
-            for row, _, _, mini, _ in _strings(batch.column(1), packed=False):
-                held.append((mini, ids[row]))
-            if not held:
-                continue
+        held, size = [], 0
+
+        def counted():
             mini, doc = (np.concatenate(x) for x in zip(*held))
             order = np.lexsort((doc, mini))
             mini, doc = mini[order], doc[order]
-            start = np.flatnonzero(np.append(True, np.diff(mini) != 0)[:len(mini)])
+            start = np.flatnonzero(np.append(True, np.diff(mini) != 0))
             end = np.append(start[1:], len(mini))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (mini[start], doc[start], doc[end - 1], end - start)],
-                                             names=["mini", "lo", "hi", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (mini[start], doc[start], doc[end - 1], end - start)],
+                                              names=["mini", "lo", "hi", "n"])
+
+        for batch in it:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, _, _, mini, _ in _strings(batch.column(1), packed=False):
+                held.append((mini, ids[row]))
+                size += len(mini)
+                if size >= MINIS_HELD:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
 
     found = ship(docs).filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(batches, "mini long, lo long, hi long, n long")
     return found.groupBy("mini").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")) \
