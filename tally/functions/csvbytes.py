@@ -28,6 +28,10 @@ CSV_WRITE_OPTIONS = {
 }
 
 
+# The same for lines made one at a time (`to_csv` writes neither header nor line end).
+CSV_LINE_OPTIONS = {k: v for k, v in CSV_WRITE_OPTIONS.items() if k not in ("header", "encoding", "lineSep")}
+
+
 def field_text(c: Column, dtype: T.DataType) -> Column:
     """The text the CSV writer emits for a value (templates hold text and numbers)."""
     if isinstance(dtype, T.StringType):
@@ -64,7 +68,15 @@ def _text_field_bytes(text: str, first: bool = False) -> int:
     return b
 
 
+def header_line(columns: list[str], bom: bool = True) -> str:
+    """The header as the sinks write it, with its line end."""
+    def quoted(i: int, c: str) -> str:
+        return '"' + c.replace('"', '""') + '"' if any(ch in c for ch in ',"\r\n') or (i == 0 and not bom and c.startswith("#")) else c
+
+    return (S.CSV_BOM if bom else "") + ",".join(quoted(i, c) for i, c in enumerate(columns)) + "\n"
+
+
 def header_bytes(columns: list[str], bom: bool = True) -> int:
     """Bytes of the header line, plus the 3-byte BOM when written with one."""
-    line = sum(_text_field_bytes(c, i == 0) for i, c in enumerate(columns)) + len(columns)
+    line = sum(_text_field_bytes(c, i == 0 and not bom) for i, c in enumerate(columns)) + len(columns)
     return line + (S.BOM_BYTES if bom else 0)

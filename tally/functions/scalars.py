@@ -191,4 +191,6 @@ def safe_label(c) -> Column:
 
 
 def part_number_text(c, width: int = 3) -> Column:
-    return F.lpad(_col(c).cast("string"), width, "0")
+    """A part's number with at least ``width`` digits; longer numbers stay whole."""
+    text = _col(c).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))

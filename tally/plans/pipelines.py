@@ -201,6 +201,7 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
     rows = impute(exported, dataset, as_of) if impute_rows else exported
     rows = conform(rows, template, renames)
     write_full(rows, f"{out_dir}/{name}_completo")
+    rows = t.PESSOA.sparkSession.read.schema(rows.schema).parquet(f"{out_dir}/{name}_completo")     # the export runs no second time
     header = cb.header_bytes(cols)
     if split == "template" and dataset != "contatos":
         parts = split_by_establishment_month(rows, template, limit or S.TEMPLATE_SPLIT_LIMIT, establishments,
@@ -241,23 +242,29 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
 def resplit_written_parts(spark, path: str, columns: Sequence[str], out_path: str,
                           threshold: float = S.RESPLIT_THRESHOLD, targets: Sequence[float] = S.RESPLIT_TARGETS,
                           limit: float = S.DATE_SPLIT_LIMIT, order: Sequence[Column] | None = None,
-                          multi_line: bool = False) -> DataFrame:
+                          multi_line: bool = False, known: DataFrame | None = None) -> DataFrame:
     """Second pass over written part files; files over ``threshold`` bytes are split again.
 
-    The file sizes come from the file metadata (``_part_size``), so only rows
-    of over-size files are re-split; rows keep their order in the file, unless
-    ``order`` gives another.  Writes every part (split
-    or not) under ``out_path`` as ``<file>``, ``<file>_parte_<i>`` or
-    ``<file>_parte_<i>_<j>`` and returns the manifest.
+    Sizes come from the listing: files up to ``threshold`` are not opened but stay where they are, and the
+    manifest refers to them.  A filter on the file size leaves them out of the scan, so the rows read are
+    those of over-size files; they keep their order in the file, unless ``order`` gives another.  New parts
+    are ``<out_path>/<file>_parte_<i>.csv`` or ``<file>_parte_<i>_<j>.csv``.  Returns the manifest: file_name, rows, bytes,
+    path.  Rows of files that stay come from ``known`` (file_name, rows), the manifest of the first pass; else they are null.
     """
     from tally.sinks.writers import write_parts
-    from tally.sources.tables import read_parts
+    from tally.sources.tables import part_headers, part_name, read_parts
 
     cols = list(columns)
     header = cb.header_bytes(cols)
-    rows = read_parts(spark, path, columns=cols, multi_line=multi_line).withColumn("_line", F.monotonically_increasing_id())
-    base = F.regexp_extract(F.col("_part_file"), r"file_name=([^/]+)/[^/]*$", 1)
-    rows = rows.withColumn("_base", F.when(base == "", F.col("_part_file")).otherwise(base))
+    listed = part_headers(spark, path).select(part_name("_part_file").alias("file_name"), F.col("_part_size").alias("bytes"),
+                                              F.col("_part_file").alias("path"))
+    stay = listed.where(F.col("bytes") <= threshold)
+    if known is not None:
+        stay = stay.join(known.select("file_name", "rows"), "file_name", "left")
+    else:
+        stay = stay.withColumn("rows", F.lit(None).cast("long"))
+    rows = read_parts(spark, path, columns=cols, multi_line=multi_line, larger_than=threshold)
+    rows = rows.withColumn("_line", F.monotonically_increasing_id()).withColumn("_base", part_name("_part_file"))
     rows = with_row_bytes(rows, cols).select(*[F.col(f"`{c}`") for c in cols], "_base", "_bytes", "_part_start", "_line")
     rows = rows.checkpoint(eager=True)                  # fixes the line numbers
     # a file's blocks in order, and the lines of a block as its one task met them
@@ -269,4 +276,6 @@ def resplit_written_parts(spark, path: str, columns: Sequence[str], out_path: st
         .otherwise(F.concat_ws("_", "_base", F.lit("parte"), sub, subsub))
     out = out.withColumn("file_name", name).checkpoint(eager=True)
     write_parts(out, out_path, ["file_name"], ["_pos"], columns=cols)
-    return pt.manifest(out, ["file_name"], "_bytes", header)
+    made = pt.manifest(out, ["file_name"], "_bytes", header).withColumn(
+        "path", F.concat(F.lit(out_path.rstrip("/") + "/"), F.col("file_name"), F.lit(".csv")))
+    return made.unionByName(stay).orderBy("file_name")

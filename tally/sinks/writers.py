@@ -1,9 +1,8 @@
 """Sinks: full dataset (K1), part files (K2-K4), BOM CSV (K5), violation reports (K6).
 
 Part files: rows are hash-partitioned on the part keys and sorted by (keys,
-order) inside each task, then written with ``partitionBy(keys)`` -- each part
-lands in exactly one task, so it becomes exactly one file, in row order, and
-the writer's own sort requirement is already met.
+order) inside each task, so each part lands in exactly one task.  Lines are made
+by ``to_csv`` in generated code; the data source of ``partfiles`` writes them under flat names.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally import schemas as S
-from tally.functions.csvbytes import CSV_WRITE_OPTIONS
+from tally.functions.csvbytes import CSV_LINE_OPTIONS, CSV_WRITE_OPTIONS, header_line
+from tally.sinks.partfiles import PartFiles
 
 
 def with_bom_header(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -36,14 +36,32 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), bom: b
     w.csv(path)
 
 
+# CSV bytes that a task of the part sink should write, where the rows' bytes are known.
+TASK_BYTES = 256 << 20
+
+
+def part_tasks(default: int, total_bytes: int | None) -> int:
+    """Tasks of the part sink: the session's number of shuffle partitions, or more where the bytes ask for it."""
+    return max(default, -(-(total_bytes or 0) // TASK_BYTES))
+
+
 def write_parts(df: DataFrame, path: str, part_cols: Sequence[str], order_cols: Sequence[Column | str],
-                columns: Sequence[str] | None = None, bom: bool = True) -> None:
-    """K2/K3/K4: one CSV file per distinct ``part_cols`` value, rows in ``order_cols`` order."""
+                columns: Sequence[str] | None = None, bom: bool = True, bytes_col: str = "_bytes") -> None:
+    """K2/K3/K4: one CSV file per distinct ``part_cols`` value, rows in ``order_cols`` order.
+
+    A part's file is ``<path>/<values joined by _>.csv``; ``path`` is replaced as a whole when all parts are written.
+    ``bytes_col``, where ``df`` has it, sets the number of tasks by the bytes to write.
+    """
+    spark = df.sparkSession
     keep = list(columns or [c for c in df.columns if c not in part_cols])
-    parts = (df.repartition(*[F.col(c) for c in part_cols])
-               .sortWithinPartitions(*part_cols, *order_cols)
-               .select(*[F.col(f"`{c}`") for c in keep], *part_cols))
-    write_csv(parts, path, partition_by=part_cols, bom=bom)
+    name = F.concat_ws("_", *[F.col(c).cast("string") for c in part_cols])
+    total = df.agg(F.sum(bytes_col)).first()[0] if bytes_col in df.columns else None
+    tasks = part_tasks(int(spark.conf.get("spark.sql.shuffle.partitions")), total)
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in keep]), CSV_LINE_OPTIONS)
+    parts = (df.withColumn("_file", name).repartition(tasks, "_file").sortWithinPartitions("_file", *order_cols)
+               .select(F.col("_file").alias("file_name"), line.alias("line")))
+    spark.dataSource.register(PartFiles)
+    parts.write.format("tally_parts").mode("overwrite").option("header", header_line(keep, bom)).save(path)
 
 
 def write_full(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.functions.csvbytes import CSV_WRITE_OPTIONS
+from tally.sources.headers import PartHeaders
 
 
 def read_table(spark: SparkSession, name: str | None = None, *, url: str | None = None, path: str | None = None,
@@ -95,7 +96,7 @@ def _relative(path_col, root: str):
 
 
 def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv", excluded: str = EXCLUDED,
-               recursive: bool = False, multi_line: bool = False) -> DataFrame:
+               recursive: bool = False, multi_line: bool = False, larger_than: float | None = None) -> DataFrame:
     """All part files under a folder as one DataFrame, columns matched by name.
 
     Files are grouped by their header; each group is read under its own
@@ -103,7 +104,8 @@ def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv"
     null.  ``columns`` picks and orders the result's columns (all are text).
     Partition folders (``key=value``) come back as columns.  Every row carries
     ``_part_file`` and ``_part_size`` from the file metadata.  Reports and full
-    copies are left out by name or folder; only ``glob`` matches are read.
+    copies are left out by name or folder; only ``glob`` matches are read.  With ``larger_than``, files up to so
+    many bytes are left out of the scan by their listed size.
     """
     headers = part_headers(spark, path, glob, excluded)
     groups = [r["columns"] for r in headers.select("columns").distinct().collect()]     # a few distinct headers
@@ -122,6 +124,8 @@ def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv"
             df = reader.schema(template_schema(header)).csv(files)
         df = df.withColumn("_part_file", F.col("_metadata.file_path")).withColumn("_part_size", F.col("_metadata.file_size")) \
                .withColumn("_part_start", F.col("_metadata.file_block_start"))
+        if larger_than is not None:
+            df = df.where(F.col("_metadata.file_size") > F.lit(int(larger_than)))
         return df.where(~_relative(F.col("_part_file"), path).rlike(excluded))
 
     if not groups:
@@ -136,20 +140,19 @@ def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv"
     return df.withColumns(lacking).select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`") for c in rest])
 
 
+def part_name(path_col: str):
+    """A part's name from its file's path: the file's name without ``.csv``, or the folder's ``file_name=`` value."""
+    folder = F.regexp_extract(F.col(path_col), r"(?:^|/)file_name=([^/]+)/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(F.col(path_col), r"([^/]+?)(?:\.csv)?$", 1))
+
+
 def part_headers(spark: SparkSession, path: str, glob: str = "*.csv", excluded: str = EXCLUDED) -> DataFrame:
-    """U3 input: the header line of every part file, as (_part_file, columns array).
+    """U3 input: the header of every part file, as (_part_file, _part_size, columns array, bytes_read).
 
-    Files are read line by line; of each only its first block's lines compete for the first one.
+    A data source reads the first block of each file, whatever its size.
     """
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path) \
-        .select("value", F.col("_metadata.file_path").alias("_part_file"),
-                F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_n"))
-    first = lines.where((F.col("_start") == 0) & ~_relative(F.col("_part_file"), path).rlike(excluded)) \
-        .groupBy("_part_file").agg(F.min_by("value", "_n").alias("value"))
-    header = F.regexp_replace(F.regexp_replace("value", "^\\uFEFF", ""), "\r$", "")
-    names = F.transform(F.split(header, ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"),
-                        lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
-    return first.select("_part_file", names.alias("columns"))
+    spark.dataSource.register(PartHeaders)
+    return spark.read.format("tally_part_headers").options(path=path, glob=glob, excluded=excluded).load()
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -165,5 +168,5 @@ def empty_frame(spark: SparkSession, columns, kinds=None) -> DataFrame:
         [T.StructField(c, types.get(kinds.get(c), T.StringType()), True) for c in columns]))
 
 
-__all__ = ["read_table", "read_sheet", "has_column", "list_columns", "read_parts", "part_headers",
+__all__ = ["read_table", "read_sheet", "has_column", "list_columns", "read_parts", "part_headers", "part_name",
            "is_empty", "empty_frame", "template_schema", "CSV_WRITE_OPTIONS"]

@@ -3,17 +3,19 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tally import schemas as S
 from tally.functions import csvbytes as cb
+from tally.functions import scalars as fx
 from tally.operators import verify as vf
 from tally.plans import pipelines as pl
 from tally.plans.catalog import AS_OF, QUERIES
 from tally.session import scratch_path
 from tally.sinks.writers import write_parts
 from tally.sources.ledger_view import from_driver_tables
-from tally.sources.tables import empty_frame, has_column, is_empty, part_headers, read_parts
+from tally.sources.tables import empty_frame, has_column, is_empty, part_headers, part_name, read_parts
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -25,16 +27,17 @@ def test_parts_round_trip(spark):
     cols = list(S.PAYABLES_TEMPLATE.columns)
     path = scratch_path(spark, "test-parts")
     write_parts(parts, path, ["file_name"], ["pos"], columns=cols)
-    files = glob.glob(os.path.join(path.replace("file:", ""), "file_name=*", "*.csv"))
-    n_parts = parts.select("file_name").distinct().count()
-    assert len(files) == n_parts                                      # one file per part
+    files = glob.glob(os.path.join(path.replace("file:", ""), "*"))
+    names = {r.file_name for r in parts.select("file_name").distinct().collect()}
+    assert {os.path.basename(f) for f in files} == {f"{n}.csv" for n in names}         # one flat file per part
     for f in files[:5]:
         assert open(f, "rb").read(3) == b"\xef\xbb\xbf"               # BOM
     back = read_parts(spark, path, columns=cols)
     original = rows.where(F.col("Estabelecimento_id").isin(2, 5))
     checks = {r.check: r.passed for r in vf.verify(original, back, "Id", ["Valor documento", "Saldo"]).collect()}
     assert all(checks.values()), checks
-    sizes = {r.file_name: r.b for r in back.groupBy("file_name").agg(F.max("_part_size").alias("b")).collect()}
+    sizes = {r.file_name: r.b for r in back.groupBy(part_name("_part_file").alias("file_name"))
+             .agg(F.max("_part_size").alias("b")).collect()}
     want = {r.file_name: r.bytes for r in pl.pt.part_sizes(parts, ["file_name"], "_bytes",
                                                              cb.header_bytes(cols)).collect()}
     assert sizes == want                                              # estimates are exact
@@ -135,15 +138,131 @@ def test_resplit_written_parts(spark):
     src = scratch_path(spark, "w11-src")
     write_parts(parts, src, ["file_name"], ["pos"], columns=cols)
     dst = scratch_path(spark, "w11-dst")
-    m = pl.resplit_written_parts(spark, src, cols, dst, threshold=3000, limit=5000)
-    got = m.collect()
+    first = pl.pt.manifest(parts, ["file_name"], "_bytes", cb.header_bytes(cols))
+    got = pl.resplit_written_parts(spark, src, cols, dst, threshold=3000, limit=5000, known=first).collect()
     assert sum(r.rows for r in got) == parts.count()
-    # re-split files are bounded by limit * 0.4 (single rows excepted); the rest were under the threshold
-    assert all(r.bytes <= 2000 or r.rows == 1 if "_parte_" in r.file_name else r.bytes <= 3000 for r in got)
-    assert any("_parte_" in r.file_name for r in got)
-    sizes = {r.file_name: r.b for r in read_parts(spark, dst, columns=cols).groupBy("file_name")
-             .agg(F.max("_part_size").alias("b")).collect()}
-    assert sizes == {r.file_name: r.bytes for r in got}
+    made = [r for r in got if "w11-dst" in r.path]
+    # re-split files are bounded by limit * 0.4 (single rows excepted); the others were under the threshold and stay in place
+    assert made and all(r.bytes <= 2000 or r.rows == 1 for r in made)
+    assert all(r.bytes <= 3000 and "w11-src" in r.path for r in got if r not in made)
+    for r in got:
+        assert os.path.getsize(r.path.replace("file:", "")) == r.bytes
+    assert {os.path.basename(f) for f in glob.glob(dst.replace("file:", "") + "/*")} == {f"{r.file_name}.csv" for r in made}
+
+
+def test_second_pass_reads_over_size_files_alone(spark):
+    folder = scratch_path(spark, "w11-prune").replace("file:", "")
+    for i in range(20):
+        _write_csv(folder, f"small_{i}.csv", "Id,Nome\n" + f"{i},a\n")
+    _write_csv(folder, "big.csv", "Id,Nome\n" + "".join(f"{i},nome\n" for i in range(500)))
+    df = read_parts(spark, folder, columns=["Id", "Nome"], larger_than=1000)
+    assert df.count() == 500
+    assert df.rdd.getNumPartitions() == 1 and "numFiles" not in _plan(df)
+    scanned = spark.read.csv(folder).where("_metadata.file_size > 1000")
+    assert scanned.rdd.getNumPartitions() == 1 < spark.read.csv(folder).rdd.getNumPartitions()      # pruned at listing
+    got = pl.resplit_written_parts(spark, folder, ["Id", "Nome"], scratch_path(spark, "w11-prune-out"), threshold=1000, limit=3000)
+    rows = {r.file_name: r.rows for r in got.collect()}
+    assert sum(n for n in rows.values() if n) == 500 and [rows[f"small_{i}"] for i in range(20)] == [None] * 20
+
+
+def _lines(path):
+    return open(path.replace("file:", ""), encoding="utf-8-sig").read().split("\n")[1:-1]
+
+
+def test_ten_thousand_parts(spark):
+    path = scratch_path(spark, "many")
+    df = spark.range(30_000).select(F.col("id").cast("string").alias("Id"), F.concat(F.lit("p_"), fx.part_number_text(
+        (F.col("id") % 10_000 + 1).cast("int"))).alias("file_name"))
+    write_parts(df, path, ["file_name"], ["Id"], columns=["Id"])
+    files = os.listdir(path.replace("file:", ""))
+    assert len(files) == 10_000 and {"p_001.csv", "p_999.csv", "p_1000.csv", "p_10000.csv"} <= set(files)
+    assert _lines(f"{path}/p_1000.csv") == ["10999", "20999", "999"]
+    heads = part_headers(spark, path)
+    assert heads.count() == 10_000 and heads.rdd.getNumPartitions() > 10
+
+
+def test_part_sink_replaces_the_folder_and_leaves_it_if_a_task_dies(spark):
+    path = scratch_path(spark, "replace")
+    one = spark.createDataFrame([("1", "a"), ("2", "b")], "Id string, file_name string")
+    write_parts(one, path, ["file_name"], ["Id"], columns=["Id"])
+    bad = spark.createDataFrame([("3", "c"), ("4", "x/y")], "Id string, file_name string")
+    with pytest.raises(Exception, match="plain file name"):
+        write_parts(bad, path, ["file_name"], ["Id"], columns=["Id"])
+    local = path.replace("file:", "")
+    assert sorted(os.listdir(local)) == ["a.csv", "b.csv"]
+    assert not [f for f in os.listdir(os.path.dirname(local)) if f.startswith("_staging-")]
+    write_parts(one.where("Id = '2'"), path, ["file_name"], ["Id"], columns=["Id"])
+    assert os.listdir(local) == ["b.csv"]
+    write_parts(one.where("false"), path, ["file_name"], ["Id"], columns=["Id"])
+    assert os.listdir(local) == []
+
+
+def test_a_killed_attempt_leaves_no_part(tmp_path):
+    """A writer that stops within a part has published the parts before it; the commit drops what it left."""
+    import pyarrow as pa
+    from tally.sinks.partfiles import PartWriter
+
+    w = PartWriter(f"{tmp_path}/out", "Id\n", True)
+
+    def rows(*parts):
+        return iter([pa.RecordBatch.from_arrays([pa.array([n]), pa.array([x])], names=["file_name", "line"]) for n, x in parts])
+
+    def dying():
+        yield from rows(("a", "1"), ("b", "2"))
+        raise KeyboardInterrupt
+
+    try:
+        w.write(dying())
+    except KeyboardInterrupt:
+        pass
+    assert [f for f in os.listdir(w.staging) if not f.startswith(".")] == ["a.csv"]
+    done = w.write(rows(("a", "1"), ("b", "2"), ("b", "3")))
+    assert done.files == 2
+    w.commit([done])
+    assert sorted(os.listdir(tmp_path / "out")) == ["a.csv", "b.csv"] and os.listdir(tmp_path) == ["out"]
+    assert (tmp_path / "out" / "b.csv").read_text() == "Id\n2\n3\n"
+
+
+def test_lines_are_those_of_the_csv_writer(spark):
+    from tally.sinks.writers import write_csv
+    rows = [("#a", 'q"uote', "c,omma"), ("", None, " space "), ("line\nbreak", "\ttab", "é"), ("\r", "a'b", '"')]
+    df = spark.createDataFrame(rows, "`#x` string, y string, `z,\"` string").coalesce(1).withColumn("v", F.lit("1.50").cast("decimal(10,2)"))
+    a, b = scratch_path(spark, "line-a"), scratch_path(spark, "line-b")
+    write_csv(df, a)
+    write_parts(df.withColumn("file_name", F.lit("p")), b, ["file_name"], [F.lit(1)], columns=df.columns)
+    raw = open(glob.glob(a.replace("file:", "") + "/*.csv")[0], "rb").read()
+    assert sorted(raw.split(b"\n")) == sorted(open(b.replace("file:", "") + "/p.csv", "rb").read().split(b"\n"))
+
+
+def test_header_bytes_do_not_depend_on_the_file(spark):
+    folder = scratch_path(spark, "heads").replace("file:", "")
+    _write_csv(folder, "a.csv", "\ufeffId,Nome\n1,x\n")
+    _write_csv(folder, "b.csv", "Id,Nome\n" + "1,nome\n" * 200_000)
+    _write_csv(folder, "c.csv", ",".join(f"coluna_{i}" for i in range(4000)) + "\n" + "1\n" * 100_000)
+    _write_csv(folder, "d.csv", "")
+    got = {os.path.basename(r._part_file): r for r in part_headers(spark, folder).collect()}
+    assert set(got) == {"a.csv", "b.csv", "c.csv"}
+    assert got["a.csv"].columns == got["b.csv"].columns == ["Id", "Nome"]
+    assert got["b.csv"].bytes_read == 16 << 10 and got["b.csv"]._part_size > 1_000_000
+    assert len(got["c.csv"].columns) == 4000 and got["c.csv"].bytes_read <= 64 << 10
+    assert part_headers(spark, folder + "-none").count() == 0
+
+
+def test_part_tasks_follow_the_bytes():
+    from tally.sinks.writers import TASK_BYTES, part_tasks
+    assert part_tasks(8, None) == 8 and part_tasks(8, 100 * TASK_BYTES + 1) == 101
+
+
+def test_equal_ids_are_not_joined(spark):
+    a = spark.range(5000).select(F.col("id").cast("string").alias("Id"))
+    assert vf.differing_ranges(a, a.repartition(7), "Id").isEmpty()
+    b = a.where("Id <> '17'").unionByName(spark.createDataFrame([("x",), ("18",)], "Id string"))
+    assert 1 <= vf.differing_ranges(a, b, "Id").count() <= 3
+    assert sorted(tuple(r) for r in vf.id_differences(a, b, "Id").collect()) == [("extra", "x"), ("missing", "17")]
+    none = a.where("false")
+    assert vf.id_differences(a, none, "Id").count() == 5000 and vf.differing_ranges(none, none, "Id").isEmpty()
+    nulls = spark.createDataFrame([(None,), ("1",)], "Id string")
+    assert vf.id_differences(nulls, nulls, "Id").isEmpty()
 
 
 def test_run_dataset_end_to_end(spark):
@@ -190,11 +309,11 @@ def test_overall(spark):
 def test_resplit_keeps_the_order_of_the_file(spark):
     folder = scratch_path(spark, "w11-order").replace("file:", "")
     ids = [(i * 7919) % 500 for i in range(500)]
-    _write_csv(folder, "file_name=p/x.csv", "Id,Nome\n" + "\n".join(f"{i},nome" for i in ids) + "\n")
+    _write_csv(folder, "p.csv", "Id,Nome\n" + "\n".join(f"{i},nome" for i in ids) + "\n")
     dst = scratch_path(spark, "w11-order-out")
     pl.resplit_written_parts(spark, folder, ["Id", "Nome"], dst, threshold=1000, limit=3000)
-    files = glob.glob(os.path.join(dst.replace("file:", ""), "file_name=*", "*.csv"))
-    number = lambda f: [int(x) for x in f.split("_parte_")[1].split("/")[0].split("_")]
+    files = glob.glob(os.path.join(dst.replace("file:", ""), "*.csv"))
+    number = lambda f: [int(x) for x in f.split("_parte_")[1].split(".")[0].split("_")]
     got = [int(x.split(",")[0]) for f in sorted(files, key=number) for x in open(f, encoding="utf-8-sig").read().split("\n")[1:-1]]
     assert len(files) > 2 and got == ids
 
