@@ -411,7 +411,7 @@ SQL["est_month_parts_receivables"] = _est_month_sql(16000, _EM_ROWS, REC_CTES, "
 SQL["part_manifest"] = _est_month_sql(16000, f"""
 SELECT "Estabelecimento_id" AS estabelecimento_id, mes, parte,
        'contas_a_pagar_est_' || CAST("Estabelecimento_id" AS VARCHAR) || '_' || mes_label ||
-       CASE WHEN n_parts > 1 THEN '_parte_' || lpad(CAST(parte AS VARCHAR), 3, '0') ELSE '' END AS file_name,
+       CASE WHEN n_parts > 1 THEN '_parte_' || printf('%03d', parte) ELSE '' END AS file_name,
        CAST(count(*) AS BIGINT) AS rows, CAST(sum(b) + {_PAY_HEADER} AS BIGINT) AS bytes
 FROM parts GROUP BY ALL""")
 
@@ -424,17 +424,22 @@ SELECT g.estabelecimento_id, g.mes, g.rows, g.bytes, m.meses, {_MES_LABEL} AS me
 FROM g JOIN m ON g.estabelecimento_id = m.estabelecimento_id"""
 
 _CON_HEADER = header_bytes(S.CONTACTS_TEMPLATE.columns)
-SQL["row_parts"] = CON_CTES.rstrip("\n") + f""",
+def _contacts_rows_sql(limit):
+    return CON_CTES.rstrip("\n") + f""",
 x AS (SELECT *, {row_bytes(S.CONTACTS_TEMPLATE)} AS b FROM cconf),
-kk AS (SELECT greatest(1, CAST(floor({16000 * S.TEMPLATE_FILL!r} / (CAST(sum(b) + {_CON_HEADER} AS DOUBLE) / count(*)))
+kk AS (SELECT greatest(1, CAST(floor({limit * S.TEMPLATE_FILL!r} / (CAST(sum(b) + {_CON_HEADER} AS DOUBLE) / count(*)))
                             AS BIGINT)) AS k, count(*) AS n FROM x),
 r AS (SELECT x.*, row_number() OVER (ORDER BY {_order(S.CONTACTS_TEMPLATE)}) AS pos FROM x),
 p AS (SELECT r.*, least(k, n) AS kg, n FROM r, kk)
 SELECT "ID" AS id, CAST(pos AS BIGINT) AS pos, CAST(floor((pos - 1) / kg) + 1 AS INTEGER) AS parte,
        CAST(ceil(n / kg) AS INTEGER) AS n_parts,
-       'contatos_parte_' || lpad(CAST(CAST(floor((pos - 1) / kg) + 1 AS INTEGER) AS VARCHAR), 3, '0') AS file_name
+       'contatos_parte_' || printf('%03d', CAST(floor((pos - 1) / kg) + 1 AS INTEGER)) AS file_name
 FROM p"""
 
+
+SQL["row_parts"] = _contacts_rows_sql(16000)
+SQL["row_parts_many"] = _contacts_rows_sql(400)
+
 # --- verification --------------------------------------------------------------------------------
 
 _VER = PAY_CTES.rstrip("\n") + """,
@@ -683,7 +688,7 @@ SQL["csv_roundtrip"] = _est_month_sql(16000, "\nUNION ALL ".join(
     + [f"SELECT 'sum:{c}', {_SUM.format(q(c))}, {_SUM.format(q(c))}, true FROM em" for c in ["Valor documento", "Saldo", "Taxas"]]))
 SQL["verify_columns"] = _est_month_sql(16000, """
 SELECT DISTINCT 'contas_a_pagar_est_' || CAST("Estabelecimento_id" AS VARCHAR) || '_' || mes_label ||
-       CASE WHEN n_parts > 1 THEN '_parte_' || lpad(CAST(parte AS VARCHAR), 3, '0') ELSE '' END AS file_name,
+       CASE WHEN n_parts > 1 THEN '_parte_' || printf('%03d', parte) ELSE '' END AS file_name,
        '' AS missing_columns, '' AS extra_columns, true AS passed
 FROM parts""")
 

@@ -35,17 +35,28 @@ def pk_duplicates(t: Ledger) -> DataFrame:
 
 
 def fk_orphans(t: Ledger) -> DataFrame:
-    """C-N2: child key values with no parent row (null keys ignored): (child, column, parent, key, n)."""
+    """C-N2: child key values with no parent row (null keys ignored): (child, column, parent, key, n).
+
+    All references are stacked as (reference, key): each child table is read once for all its references,
+    each parent's keys come as marks, and one aggregate with partial sums settles all of them.
+    """
+    refs = list(S.FOREIGN_KEYS)
     frames = []
-    for child, ccols, parent, pcols in S.FOREIGN_KEYS:
-        c = t.table(child)
-        keyed = c.where(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in ccols]))
-        counts = keyed.groupBy(*ccols).agg(F.count(F.lit(1)).alias("n"))
-        parents = t.table(parent).select(*[F.col(p).alias(cc) for p, cc in zip(pcols, ccols)]).distinct()
-        orphans = counts.join(parents, ccols, "left_anti")
-        frames.append(orphans.select(F.lit(child).alias("child"), F.lit(",".join(ccols)).alias("coluna"),
-                                     F.lit(parent).alias("parent"), _key_text(ccols).alias("key"), "n"))
-    return _union(frames)
+    for table in dict.fromkeys(r[0] for r in refs):
+        own = [(k, r[1]) for k, r in enumerate(refs) if r[0] == table]
+        keys = F.array(*[F.struct(F.lit(k).alias("ref"), F.when(
+            reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]), _key_text(cols)).alias("key")) for k, cols in own])
+        frames.append(t.table(table).select(F.explode(keys).alias("x")).select("x.ref", "x.key", F.lit(1).cast("long").alias("n")))
+    for parent in dict.fromkeys((r[2], tuple(r[3])) for r in refs):
+        own = [k for k, r in enumerate(refs) if (r[2], tuple(r[3])) == parent]
+        marks = F.explode(F.array(*[F.lit(k) for k in own])).alias("ref")
+        frames.append(t.table(parent[0]).select(marks, _key_text(parent[1]).alias("key"), F.lit(None).cast("long").alias("n")))
+    # a key with a parent has a row without n
+    met = _union(frames).where(F.col("key").isNotNull()).groupBy("ref", "key") \
+        .agg(F.sum("n").alias("n"), F.count_if(F.col("n").isNull()).alias("parents")).where((F.col("parents") == 0))
+    names = F.array(*[F.struct(F.lit(r[0]).alias("child"), F.lit(",".join(r[1])).alias("coluna"), F.lit(r[2]).alias("parent"))
+                      for r in refs])
+    return met.select(F.element_at(names, F.col("ref") + 1).alias("r"), "key", "n").select("r.*", "key", "n")
 
 
 def not_null_violations(t: Ledger) -> DataFrame:

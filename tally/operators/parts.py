@@ -59,9 +59,22 @@ def equal_row_parts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
 BLOCK = 16_384
 
 
-def running_total(df: DataFrame, g: Sequence[str], pos_col: str, value: str, out: str, levels: int = 1) -> DataFrame:
-    """``df`` plus ``out``: the sum of ``value`` up to each row's position within its group (positions dense from 1)."""
+def block_levels(n: int) -> int:
+    """Levels of blocks above ``n`` rows until one block holds the rest."""
+    levels = 0
+    while n > BLOCK:
+        n, levels = -(-n // BLOCK), levels + 1
+    return levels
+
+
+def running_total(df: DataFrame, g: Sequence[str], pos_col: str, value: str, out: str, levels: int | None = None) -> DataFrame:
+    """``df`` plus ``out``: the sum of ``value`` up to each row's position within its group (positions dense from 1).
+
+    A tree of block sums: no window sees more than ``BLOCK`` rows.  Its depth follows the longest group.
+    """
     g = list(g)
+    if levels is None:
+        levels = block_levels(df.agg(F.max(pos_col)).first()[0] or 0)
     if levels == 0:
         w = Window.partitionBy(*g).orderBy(pos_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(w))

@@ -426,6 +426,14 @@ def q_row_parts(spark, sf_dir):
     return out.select(F.col("ID").alias("id"), "pos", "parte", "n_parts", "file_name")
 
 
+@register("row_parts_many")
+def q_row_parts_many(spark, sf_dir):
+    """P-27: a row or two a part, so that part numbers pass 999."""
+    rows = pl.template_rows(ledger(spark, sf_dir), "contatos", AS_OF)
+    out = pl.split_contacts_rows(rows, limit=400)
+    return out.select(F.col("ID").alias("id"), "pos", "parte", "n_parts", "file_name")
+
+
 # --- R2, T7-T9, K8: data-dependent splits (recursive CTEs in the oracle) ----------------------
 
 @register("recursive_parts")
@@ -499,6 +507,7 @@ def q_resplit_parts(spark, sf_dir):
 
 def _verify_inputs(spark, sf_dir):
     rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    rows = rows.checkpoint(eager=True)          # both sides read it; the export join runs once
     original = rows.where(F.col("Estabelecimento_id").isin(*S.TARGET_ESTABLISHMENTS))
     parts = pl.split_by_establishment_month(rows, limit=SMALL_LIMIT)
     return original, parts
@@ -556,7 +565,7 @@ def q_csv_roundtrip(spark, sf_dir):
     """Write est x month parts as BOM CSV, read them back, verify."""
     from tally.session import scratch_path
     from tally.sinks.writers import write_parts
-    from tally.sources.tables import part_headers, read_parts
+    from tally.sources.tables import part_headers, part_name, read_parts
 
     original, parts = _verify_inputs(spark, sf_dir)
     cols = list(S.PAYABLES_TEMPLATE.columns)
@@ -564,7 +573,7 @@ def q_csv_roundtrip(spark, sf_dir):
     write_parts(parts, path, ["file_name"], ["pos"], columns=cols)
     back = read_parts(spark, path, columns=cols)
     checks = vf.verify(original, back, "Id", SUM_COLS)
-    sizes = back.groupBy("file_name").agg(F.max("_part_size").alias("bytes"))
+    sizes = back.groupBy(part_name("_part_file").alias("file_name")).agg(F.max("_part_size").alias("bytes"))
     expect = pt.part_sizes(parts, ["file_name"], "_bytes", cb.header_bytes(cols))
     size_ok = sizes.join(expect.withColumnRenamed("bytes", "expected"), "file_name", "full") \
         .agg(F.count_if(F.col("bytes") == F.col("expected")).cast("double").alias("actual"),
@@ -582,15 +591,14 @@ def q_verify_columns(spark, sf_dir):
     """Write the parts, read each file's header, compare with the template columns."""
     from tally.session import scratch_path
     from tally.sinks.writers import write_parts
-    from tally.sources.tables import part_headers
+    from tally.sources.tables import part_headers, part_name
 
     _, parts = _verify_inputs(spark, sf_dir)
     cols = list(S.PAYABLES_TEMPLATE.columns)
     path = scratch_path(spark, "columns")
     write_parts(parts, path, ["file_name"], ["pos"], columns=cols)
     checks = vf.column_checks(cols, part_headers(spark, path))
-    name = F.regexp_extract(F.col("_part_file"), r"file_name=([^/]+)/", 1)
-    return checks.select(name.alias("file_name"), F.array_join("missing_columns", ",").alias("missing_columns"),
+    return checks.select(part_name("_part_file").alias("file_name"), F.array_join("missing_columns", ",").alias("missing_columns"),
                          F.array_join("extra_columns", ",").alias("extra_columns"), "passed")
 
 

@@ -227,3 +227,24 @@ def test_no_valid_dates_falls_back_to_rows(spark):
     assert level == "rows"
     m = pt.part_sizes(out, ["parte"], "_bytes", cb.header_bytes(df.columns)).collect()
     assert sum(r.rows for r in m) == 40 and all(r.bytes <= 400 for r in m)
+
+
+def test_part_numbers_are_never_cut(spark):
+    from tally.functions import scalars as fx
+    got = spark.createDataFrame([(7,), (999,), (1000,), (12345,)], "n int").select(fx.part_number_text(F.col("n")).alias("t")).collect()
+    assert [r.t for r in got] == ["007", "999", "1000", "12345"]
+
+
+def test_running_totals_at_any_depth(spark, monkeypatch):
+    """Blocks of four rows: windows stay within a block, however many levels that takes."""
+    from tally.operators import parts as pt
+    monkeypatch.setattr(pt, "BLOCK", 4)
+    assert [pt.block_levels(n) for n in (0, 4, 5, 16, 17, 64, 65, 1000)] == [0, 0, 1, 1, 2, 2, 3, 4]
+    rows = [(g, p, (p * 37) % 11) for g, n in (("a", 300), ("b", 3), (None, 70)) for p in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "g string, p long, v long")
+    got = {(r.g, r.p): r.t for r in pt.running_total(df, ["g"], "p", "v", "t").collect()}
+    want, total = {}, {}
+    for g, p, v in rows:
+        total[g] = total.get(g, 0) + v
+        want[(g, p)] = total[g]
+    assert got == want

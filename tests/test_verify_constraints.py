@@ -72,3 +72,17 @@ def test_default_contact_cases(spark):
               "DT_CTT_NASC timestamp_ntz, DS_CTT_TTRM string, NO_CTT_CPF string, ID_CTT_PADR boolean")
     got = {r.PESSOA_ID: r.Fone for r in default_contact(spark.createDataFrame(rows, schema)).collect()}
     assert got == {1: "1111", 2: "2222"}                                        # person 3 and 4 (none): no row
+
+
+def test_orphans_settle_in_one_shuffle(spark):
+    """All references meet in one aggregate: one exchange, no join."""
+    from tally.operators import constraints as cn
+    from tally.sources.ledger_view import from_driver_tables
+    from tally.sources.ledger_view import from_parquet
+    from tally.session import scratch_path
+    t = from_driver_tables(spark, "/root/testdata/sf0.001")
+    folder = scratch_path(spark, "fk-ledger")
+    for name in t.names():
+        t.table(name).write.parquet(f"{folder}/{name}.parquet")
+    plan = cn.fk_orphans(from_parquet(spark, folder))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
