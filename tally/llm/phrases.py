@@ -351,7 +351,11 @@ def phrase_counts(docs: DataFrame, found: DataFrame, seed: int) -> DataFrame:
         if not n:
             continue
         lengths = np.where(own.column("h3").is_null().to_numpy(), 2, 3)
-        shared = spark.sparkContext.broadcast(build_trie([own.column(c).fill_null(0).to_numpy() for c in ("h1", "h2", "h3")], lengths))
+        columns = [own.column(c).fill_null(0).to_numpy() for c in ("h1", "h2", "h3")]
+        trie = build_trie(columns, lengths)
+        trie["phrases"] = columns + [lengths]
+        shared = spark.sparkContext.broadcast(trie)
+        del own, columns, lengths, trie
 
         def batches(it, shared=shared, n=n):
             total = np.zeros(n, np.int64)
@@ -359,12 +363,13 @@ def phrase_counts(docs: DataFrame, found: DataFrame, seed: int) -> DataFrame:
                 for _, _, _, h, room, _ in token_segments(batch.column(1), batch.column(0), seed):
                     total += trie_counts(shared.value, h, room, n)
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["phrase", "a"])
+            h1, h2, h3, k = (x[at] for x in shared.value["phrases"])
+            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(h3, mask=k < 3), pa.array(total[at])],
+                                             names=["h1", "h2", "h3", "a"])
 
-        counts = ship(docs).select("lang", "text").mapInArrow(batches, "phrase long, a long").groupBy("phrase").agg(F.sum("a").alias("a"))
-        names = spark.createDataFrame(pa.table({"phrase": np.arange(n), **{c: own.column(c) for c in ("h1", "h2", "h3")}}))
-        out.append(stash(names.join(counts, "phrase").select("h1", "h2", "h3", "a"), "phrase-counts"))
-        shared.unpersist()
+        counts = ship(docs).select("lang", "text").mapInArrow(batches, "h1 long, h2 long, h3 long, a long")
+        out.append(stash(counts.groupBy("h1", "h2", "h3").agg(F.sum("a").alias("a")), "phrase-counts"))
+        shared.destroy()                # the counts are written
     if not out:
         return spark.createDataFrame([], "h1 long, h2 long, h3 long, a long")
     return reduce(DataFrame.unionByName, out)
