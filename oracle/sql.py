@@ -714,6 +714,33 @@ SQL["verify_overall"] = _DAMAGED + 'SELECT bool_and(passed) AS passed, CAST(coun
 SQL["verify_id_listing"] = _DAMAGED + """SELECT kind, id FROM both_ids
 WHERE kind IN (SELECT kind FROM both_ids GROUP BY kind HAVING count(*) <= 10)"""
 
+# Each part's rows before and after the damage: ids compared as sorted lists, sums within a cent.
+_PART_NAME = f"""'contas_a_pagar_est_' || CAST("Estabelecimento_id" AS VARCHAR) || '_' || mes_label ||
+       CASE WHEN n_parts > 1 THEN '_parte_' || printf('%03d', parte) ELSE '' END"""
+_PART_SUMS = ", ".join(f"coalesce(sum(TRY_CAST({q(c)} AS DECIMAL(38,6))), 0) AS s{i}"
+                       for i, c in enumerate(["Valor documento", "Saldo", "Taxas"]))
+SQL["verify_manifest"] = _est_month_sql(16000, f"""
+, fn AS (SELECT {_PART_NAME} AS file_name, CAST("Id" AS BIGINT) AS n, "Id", "Valor documento", "Saldo", "Taxas" FROM parts),
+dm AS (SELECT file_name, CASE WHEN n % 4000 = 21 THEN '-' || "Id" ELSE "Id" END AS "Id", "Valor documento",
+              CASE WHEN n % 30 = 3 THEN "Saldo" + 0.5 ELSE "Saldo" END AS "Saldo", "Taxas" FROM fn WHERE n % 50 <> 1),
+a AS (SELECT file_name, count(*) AS n, list_sort(list("Id")) AS ids, {_PART_SUMS} FROM fn GROUP BY file_name),
+b AS (SELECT file_name, count(*) AS n, list_sort(list("Id")) AS ids, {_PART_SUMS} FROM dm GROUP BY file_name),
+c AS (SELECT file_name, CAST(coalesce(a.n, 0) AS BIGINT) AS rows_expected, CAST(coalesce(b.n, 0) AS BIGINT) AS rows_actual,
+             a.ids IS NOT DISTINCT FROM b.ids AS ids_equal,
+             """ + " AND ".join(f"abs(coalesce(a.s{i}, 0) - coalesce(b.s{i}, 0)) <= 0.01" for i in range(3)) + """ AS sums_equal
+      FROM a FULL JOIN b USING (file_name))
+SELECT *, rows_expected = rows_actual AND ids_equal AND sums_equal AS passed FROM c""")
+
+# Compression changes no row, and no file of more than one row is over the limit.
+SQL["measured_parts"] = PAY_CTES.rstrip("\n") + f""",
+em AS (SELECT *, {_MES} AS mes FROM pconf)
+SELECT mes, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT "Id") AS BIGINT) AS ids,
+       CAST(sum(CAST("Valor documento" AS DECIMAL(38,2))) AS DOUBLE) AS valor, CAST(0 AS BIGINT) AS files_over
+FROM em GROUP BY mes"""
+
+# A size index that batches extend gives what one pass gives.
+SQL["size_index_levels"] = SQL["adaptive_granularity"]
+
 # --- blank cells: missing as after a read from a file -----------------------------------------
 
 _BLANK_P = """

@@ -8,7 +8,10 @@ choice of level is the only driver round-trip: at most five rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally import schemas as S
@@ -57,6 +60,33 @@ def daily_sizes(df: DataFrame, date_col: Column, bytes_col: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.sum(bytes_col).alias("bytes"))
 
 
+def merge_daily(*tables: DataFrame) -> DataFrame:
+    """Daily tables added up: sizes are sums, so tables of disjoint rows merge in any order."""
+    return reduce(DataFrame.unionByName, tables).groupBy("day").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
+
+
+def index_batch(df: DataFrame, date_col: Column, bytes_col: str, path: str, batch: str) -> None:
+    """The batch's daily sizes into the size index at ``path``, one folder a batch.
+
+    A batch that is written again replaces itself, so a retried job counts once.  The index holds one row a day and
+    batch; ``compact_index`` brings it back to a row a day.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][-\w]*", batch):
+        raise ValueError(f"a batch's name is a plain word: {batch!r}")
+    daily_sizes(df, date_col, bytes_col).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def size_index(spark: SparkSession, path: str) -> DataFrame:
+    """(day, rows, bytes) of all batches of the index: what ``daily_sizes`` gives for all their rows, without them."""
+    stored = spark.read.schema("day date, rows long, bytes long, batch string").parquet(path)
+    return merge_daily(stored.select("day", "rows", "bytes"))
+
+
+def compact_index(spark: SparkSession, path: str, out_path: str, batch: str) -> None:
+    """The index's sums as one batch of a new index at ``out_path``; later batches go there."""
+    size_index(spark, path).coalesce(1).write.mode("overwrite").parquet(f"{out_path}/batch={batch}")
+
+
 def level_sizes(daily: DataFrame, header_bytes: int) -> DataFrame:
     """(level, label, start, rows, bytes) for every level, from the daily table.
 

@@ -106,6 +106,7 @@ def q_default_contact(spark, sf_dir):
 
 AS_OF = _dt.datetime(2001, 1, 1)
 SMALL_LIMIT = 16000  # a split limit small enough to give several parts per group on the test scales
+MEASURED_LIMIT = 4000  # bytes of a compressed file
 TINY_LIMIT = 1000    # a few rows per part: first-round slices overflow and get halved
 
 
@@ -362,6 +363,23 @@ for _lv, _name in [("5y", "bucket_5y"), ("year", "bucket_year"), ("month", "buck
     register(_name)(_bucket_query(_lv))
 
 
+@register("size_index_levels")
+def q_size_index_levels(spark, sf_dir):
+    """The level chosen from a size index that three batches extended, one of them written twice."""
+    from tally.session import scratch_path
+
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    x = pl.with_row_bytes(pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF), cols)
+    x = x.withColumn("_d", fx.parse_date(F.col("`Data Emissao`"))).select("Id", "_d", "_bytes").checkpoint(eager=True)
+    path = scratch_path(spark, "size-index")
+    batch = F.coalesce(F.pmod(F.col("Id").cast("long"), F.lit(3)), F.lit(0))
+    for k in (0, 1, 2, 1):
+        bk.index_batch(x.where(batch == k), F.col("_d"), "_bytes", path, f"b{k}")
+    daily = bk.size_index(spark, path).where(F.col("day").isNotNull())
+    return bk.level_summary(bk.level_sizes(daily, cb.header_bytes(cols)), S.TEMPLATE_SPLIT_LIMIT).select(
+        "level", "buckets", "max_bytes", F.col("rows").cast("long").alias("rows"), "fits", "chosen")
+
+
 @register("adaptive_granularity")
 def q_adaptive_granularity(spark, sf_dir):
     sizes = _bucket_input(spark, sf_dir)
@@ -534,15 +552,19 @@ def q_verify_sums(spark, sf_dir):
     return vf.verify(original, parts, "Id", SUM_COLS).where(F.col("check").startswith("sum:"))
 
 
-def _damaged_checks(spark, sf_dir):
-    """The original and a copy with rows lost, ids changed and balances changed."""
-    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
-    original = rows.where(F.col("Estabelecimento_id").isin(*S.TARGET_ESTABLISHMENTS))
+def _damage(df: DataFrame) -> DataFrame:
+    """Rows lost, ids changed and balances changed."""
     n = F.col("Id").cast("long")
-    damaged = original.where(n % 50 != 1).withColumns({
+    return df.where(n % 50 != 1).withColumns({
         "Id": F.when(n % 4000 == 21, F.concat(F.lit("-"), F.col("Id"))).otherwise(F.col("Id")),
         "Saldo": F.when(n % 30 == 3, F.col("Saldo") + F.lit("0.5").cast(S.MONEY)).otherwise(F.col("Saldo")).cast(S.MONEY)})
-    return original, damaged
+
+
+def _damaged_checks(spark, sf_dir):
+    """The original and a damaged copy."""
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    original = rows.where(F.col("Estabelecimento_id").isin(*S.TARGET_ESTABLISHMENTS))
+    return original, _damage(original)
 
 
 @register("verify_damaged")
@@ -560,6 +582,37 @@ def q_verify_id_listing(spark, sf_dir):
     return vf.id_listing(*_damaged_checks(spark, sf_dir), "Id")
 
 
+@register("verify_manifest")
+def q_verify_manifest(spark, sf_dir):
+    """V1/V3/V5: damaged parts against the digests and sums that the manifest keeps."""
+    from tally.session import scratch_path
+
+    _, parts = _verify_inputs(spark, sf_dir)
+    path = scratch_path(spark, "digests")
+    vf.part_digests(parts, ["file_name"], "Id", SUM_COLS).write.parquet(path)
+    found = vf.part_digests(_damage(parts), ["file_name"], "Id", SUM_COLS)
+    return vf.check_parts(spark.read.parquet(path), found, ["file_name"], SUM_COLS)
+
+
+@register("measured_parts")
+def q_measured_parts(spark, sf_dir):
+    """K7: gzip parts divided until their written files fit; by due month what they hold, and files over the limit."""
+    from tally.session import scratch_path
+    from tally.sources.tables import read_parts
+
+    rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
+    cols = list(S.PAYABLES_TEMPLATE.columns)
+    path = scratch_path(spark, "measured")
+    pl.split_measured(rows, path, MEASURED_LIMIT, cols)
+    back = read_parts(spark, path, columns=cols, glob="*.csv*")
+    over = back.groupBy("_part_file").agg(F.max("_part_size").alias("bytes"), F.count(F.lit(1)).alias("n")) \
+        .agg(F.count_if((F.col("bytes") > MEASURED_LIMIT) & (F.col("n") > 1)).alias("files_over"))
+    months = back.groupBy(fx.due_month(F.col("`Data vencimento`")).alias("mes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("Id").alias("ids"),
+        F.sum(F.col("`Valor documento`").cast(S.MONEY)).cast("double").alias("valor"))
+    return months.crossJoin(F.broadcast(over))          # one row
+
+
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """Write est x month parts as BOM CSV, read them back, verify."""

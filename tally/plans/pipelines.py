@@ -117,6 +117,26 @@ def split_by_rows(df: DataFrame, limit: float = S.DATE_SPLIT_LIMIT, columns: Seq
     return out.withColumn("file_name", F.concat(F.lit(f"{prefix}_parte_"), F.col("parte").cast("string")))
 
 
+# Plain bytes of a part before it is compressed, in units of the written limit; what a task measures is bounded by it.
+PLAIN_PER_WRITTEN = 16
+
+
+def split_measured(df: DataFrame, path: str, limit: float = S.DATE_SPLIT_LIMIT, columns: Sequence[str] | None = None,
+                   compression: str = "gzip", prefix: str = "parte", plain: float = PLAIN_PER_WRITTEN) -> DataFrame:
+    """K7: row parts as compressed CSV whose written files fit ``limit``; (file_name, bytes) of the files.
+
+    Parts are cut at ``plain * limit`` bytes of CSV, written, measured, and divided again where they are over.
+    """
+    from tally.sinks.writers import write_parts
+    from tally.sources.tables import part_headers, part_name
+
+    cols = list(columns or [c for c in df.columns if not c.startswith("_")])
+    parts = split_by_rows(df, plain * limit, cols, prefix=prefix)
+    write_parts(parts, path, ["file_name"], ["pos"], columns=cols, compression=compression, limit=limit)
+    return part_headers(df.sparkSession, path, glob="*.csv*").select(
+        part_name("_part_file").alias("file_name"), F.col("_part_size").alias("bytes"))
+
+
 # --- W8: adaptive date split --------------------------------------------------
 
 def split_by_date(df: DataFrame, date_col: str, limit: float = S.DATE_SPLIT_LIMIT,
@@ -187,12 +207,12 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
     contacts, at the template limit), 'date' (adaptive date ranges at the date
     limit) or 'rows' (recursive row split).  Writes under ``out_dir``:
     ``violations/`` (K6), ``<name>_completo/`` (K1), ``parts/`` (one CSV per part,
-    K2-K5) and ``manifest/`` (K9).  Returns the verification checks (W10), made
+    K2-K5) and ``manifest/`` (K9, with each part's id digests and sums, see ``verify.check_parts``).  Returns the verification checks (W10), made
     by reading the written part files back, and an ``overall`` row (V6).
     """
-    from tally.operators.verify import column_checks, overall, verify
+    from tally.operators.verify import check_parts, column_checks, overall, part_digests, verify
     from tally.sinks.writers import write_full, write_parts, write_violations
-    from tally.sources.tables import part_headers, read_parts
+    from tally.sources.tables import part_headers, part_name, read_parts
 
     _, template, renames, name = DATASETS[dataset]
     cols = list(template.columns)
@@ -220,20 +240,26 @@ def run_dataset(t: Ledger, dataset: str, out_dir: str, as_of: dt.datetime,
         original, order = rows, ["pos"]
     parts = parts.checkpoint(eager=True)  # written and reported from one materialisation
     write_parts(parts, f"{out_dir}/parts", ["file_name"], order, columns=cols)
-    pt.manifest(parts, ["file_name"], "_bytes", header).write.mode("overwrite").parquet(f"{out_dir}/manifest")
+    idc = cols[0]
+    sums = [c for c in cols if template.kind(c) == "money"]
+    sizes = pt.manifest(parts, ["file_name"], "_bytes", header).drop("rows")
+    sizes.join(part_digests(parts, ["file_name"], idc, sums), "file_name").write.mode("overwrite").parquet(f"{out_dir}/manifest")
     # fields with line breaks need a reader that does not cut files at lines
     text = [F.col(f"`{c}`") for c in cols if template.kind(c) not in ("money", "int", "flag")]
     broken = reduce(lambda a, b: a | b, [F.coalesce(c.rlike("[\\r\\n]"), F.lit(False)) for c in text])
     back = read_parts(t.PESSOA.sparkSession, f"{out_dir}/parts", columns=cols, multi_line=not parts.where(broken).isEmpty())
-    idc = cols[0]
-    sums = [c for c in cols if template.kind(c) == "money"]
     checks = verify(original, back, idc, sums)
     heads = column_checks(cols, part_headers(t.PESSOA.sparkSession, f"{out_dir}/parts"))
     col_check = heads.agg(F.count_if("passed").cast("double").alias("actual"),
                           F.count(F.lit(1)).cast("double").alias("expected")) \
         .select(F.lit("columns").alias("check"), "expected", "actual",
                 (F.col("expected") == F.col("actual")).alias("passed"))
-    checks = checks.unionByName(col_check).checkpoint(eager=True)
+    stored = t.PESSOA.sparkSession.read.parquet(f"{out_dir}/manifest")
+    found = part_digests(back.withColumn("file_name", part_name("_part_file")), ["file_name"], idc, sums)
+    part_check = check_parts(stored, found, ["file_name"], sums).agg(
+        F.count_if("passed").cast("double").alias("actual"), F.count(F.lit(1)).cast("double").alias("expected")) \
+        .select(F.lit("parts").alias("check"), "expected", "actual", (F.col("expected") == F.col("actual")).alias("passed"))
+    checks = checks.unionByName(col_check).unionByName(part_check).checkpoint(eager=True)
     return checks.unionByName(overall(checks).select(
         F.lit("overall").alias("check"), F.col("checks").cast("double").alias("expected"),
         F.col("passed_checks").cast("double").alias("actual"), "passed"))

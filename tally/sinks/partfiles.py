@@ -4,6 +4,9 @@ Rows come as (file_name, line), sorted by file within a task, each file in one t
 a name of its own and renames it when it is whole, in a staging folder beside the target; the job's commit renames
 the staging folder.  So a killed task leaves no partial part, a second attempt writes the same names again,
 and a failed job leaves the target as it was.  Folders are reached with ``pyarrow.fs`` (local, HDFS, S3, GCS).
+
+Compressed files have sizes that nobody knows before they are written.  With a limit, the task that wrote a file
+over it divides the file's rows again, at ``fill`` of the limit, measures those files, and so on down to single rows.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+from array import array
 from dataclasses import dataclass
 
 from pyarrow import fs as pafs
@@ -22,6 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PART_SCHEMA = "file_name string, line string"
 STAGING = "_staging-"
+SUFFIX = {"": ".csv", "gzip": ".csv.gz", "bz2": ".csv.bz2"}
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -33,6 +38,13 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def pieces(rows: int, size: int, limit: float, fill: float) -> list[int]:
+    """Rows of the files that ``rows`` rows of a file of ``size`` bytes, over the limit, are dealt into."""
+    wanted = min(rows, max(2, -(-size // max(1, int(limit * fill)))))
+    k = -(-rows // wanted)
+    return [min(k, rows - i) for i in range(0, rows, k)]
+
+
 @dataclass
 class PartsWritten(WriterCommitMessage):
     files: int
@@ -40,7 +52,8 @@ class PartsWritten(WriterCommitMessage):
 
 
 class PartFiles(DataSource):
-    """Sink ``tally_parts``; options: path, header (the first line, written as it is)."""
+    """Sink ``tally_parts``; options: path, header (the first line, written as it is), compression ('', gzip or bz2),
+    limit (bytes of a written file, 0 for none) and fill (share of the limit that a file over it is divided by)."""
 
     @classmethod
     def name(cls) -> str:
@@ -50,12 +63,15 @@ class PartFiles(DataSource):
         return PART_SCHEMA
 
     def writer(self, schema, overwrite: bool) -> PartWriter:
-        return PartWriter(self.options["path"], self.options.get("header", ""), overwrite)
+        o = self.options
+        return PartWriter(o["path"], o.get("header", ""), overwrite, o.get("compression", ""), float(o.get("limit", 0)),
+                          float(o.get("fill", 1)))
 
 
 class PartWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, header: str, overwrite: bool):
+    def __init__(self, path: str, header: str, overwrite: bool, compression: str = "", limit: float = 0, fill: float = 1):
         self.path, self.header, self.overwrite = path.rstrip("/"), header, overwrite
+        self.compression, self.limit, self.fill, self.suffix = compression or None, limit, fill, SUFFIX[compression]
         self.staging = f"{os.path.dirname(self.path)}/{STAGING}{uuid.uuid4().hex}"
         files, target = file_system(self.path)
         if not overwrite and files.get_file_info(target).type != pafs.FileType.NotFound:
@@ -64,14 +80,34 @@ class PartWriter(DataSourceArrowWriter):
 
     def write(self, iterator) -> PartsWritten:
         files, staging = file_system(self.staging)
-        own, name, out, n, size = f"{staging}/.{uuid.uuid4().hex}", None, None, 0, 0
+        name, own, out, n, size = None, None, None, 0, 0
+        lengths = array("q")                                # bytes of each row of the open file
 
-        def publish():
+        def start() -> tuple:
+            own = f"{staging}/.{uuid.uuid4().hex}"
+            out = files.open_output_stream(own, compression=self.compression)
+            out.write(self.header.encode())
+            return own, out
+
+        def publish(own: str, name: str, lengths: array):
             nonlocal n, size
-            out.close()
-            size += files.get_file_info(own).size
-            files.move(own, f"{staging}/{name}.csv")
-            n += 1
+            written = files.get_file_info(own).size
+            if self.limit and written > self.limit and len(lengths) > 1:
+                with files.open_input_stream(own, compression=self.compression) as back:
+                    back.read(len(self.header.encode()))
+                    at = 0
+                    for j, rows in enumerate(pieces(len(lengths), written, self.limit, self.fill), 1):
+                        share = lengths[at:at + rows]
+                        piece, out = start()
+                        for x in share:
+                            out.write(back.read(x))
+                        out.close()
+                        publish(piece, f"{name}_parte{j}", share)
+                        at += rows
+                files.delete_file(own)
+                return
+            files.move(own, f"{staging}/{name}{self.suffix}")
+            n, size = n + 1, size + written
 
         for batch in iterator:
             names, lines = batch.column(0), batch.column(1)
@@ -85,13 +121,18 @@ class PartWriter(DataSourceArrowWriter):
                     q += 1
                 if key != name:
                     if out is not None:
-                        publish()
-                    name, out = key, files.open_output_stream(own)
-                    out.write(self.header.encode())
-                out.write("".join(f"{x}\n" for x in lines.slice(p, q - p).to_pylist()).encode())
+                        out.close()
+                        publish(own, name, lengths)
+                    name, lengths = key, array("q")
+                    own, out = start()
+                rows = [f"{x}\n".encode() for x in lines.slice(p, q - p).to_pylist()]
+                if self.limit:
+                    lengths.extend(map(len, rows))
+                out.write(b"".join(rows))
                 p = q
         if out is not None:
-            publish()
+            out.close()
+            publish(own, name, lengths)
         return PartsWritten(n, size)
 
     def commit(self, messages) -> None:

@@ -1,4 +1,4 @@
-"""Sinks: full dataset (K1), part files (K2-K4), BOM CSV (K5), violation reports (K6).
+"""Sinks: full dataset (K1), part files (K2-K4), BOM CSV (K5), violation reports (K6), measured parts (K7).
 
 Part files: rows are hash-partitioned on the part keys and sorted by (keys,
 order) inside each task, so each part lands in exactly one task.  Lines are made
@@ -46,11 +46,17 @@ def part_tasks(default: int, total_bytes: int | None) -> int:
 
 
 def write_parts(df: DataFrame, path: str, part_cols: Sequence[str], order_cols: Sequence[Column | str],
-                columns: Sequence[str] | None = None, bom: bool = True, bytes_col: str = "_bytes") -> None:
+                columns: Sequence[str] | None = None, bom: bool = True, bytes_col: str = "_bytes",
+                compression: str = "", limit: float = 0, fill: float = S.TEMPLATE_FILL) -> None:
     """K2/K3/K4: one CSV file per distinct ``part_cols`` value, rows in ``order_cols`` order.
 
     A part's file is ``<path>/<values joined by _>.csv``; ``path`` is replaced as a whole when all parts are written.
-    ``bytes_col``, where ``df`` has it, sets the number of tasks by the bytes to write.
+    ``bytes_col``, where ``df`` has it, sets the number of tasks by the bytes to write.  ``compression`` 'gzip' or
+    'bz2' writes ``.csv.gz`` or ``.csv.bz2``.
+
+    K7: with ``limit``, a file that turns out larger once it is written is divided by rows at ``fill * limit`` into
+    ``<name>_parte1``, ``<name>_parte2``...; these are measured too.  Only single rows stay over the limit.  A part is
+    measured in one task, so parts are to be bounded by their plain bytes before (``pipelines.split_measured``).
     """
     spark = df.sparkSession
     keep = list(columns or [c for c in df.columns if c not in part_cols])
@@ -61,7 +67,8 @@ def write_parts(df: DataFrame, path: str, part_cols: Sequence[str], order_cols:
     parts = (df.withColumn("_file", name).repartition(tasks, "_file").sortWithinPartitions("_file", *order_cols)
                .select(F.col("_file").alias("file_name"), line.alias("line")))
     spark.dataSource.register(PartFiles)
-    parts.write.format("tally_parts").mode("overwrite").option("header", header_line(keep, bom)).save(path)
+    parts.write.format("tally_parts").mode("overwrite").options(
+        header=header_line(keep, bom), compression=compression, limit=limit, fill=fill).save(path)
 
 
 def write_full(df: DataFrame, path: str, fmt: str = "parquet") -> None:

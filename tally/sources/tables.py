@@ -141,9 +141,9 @@ def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv"
 
 
 def part_name(path_col: str):
-    """A part's name from its file's path: the file's name without ``.csv``, or the folder's ``file_name=`` value."""
+    """A part's name from its file's path: the file's name without ``.csv`` (and ``.gz``, ``.bz2``), or the folder's ``file_name=`` value."""
     folder = F.regexp_extract(F.col(path_col), r"(?:^|/)file_name=([^/]+)/[^/]*$", 1)
-    return F.when(folder != "", folder).otherwise(F.regexp_extract(F.col(path_col), r"([^/]+?)(?:\.csv)?$", 1))
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(F.col(path_col), r"([^/]+?)(?:\.csv(?:\.gz|\.bz2)?)?$", 1))
 
 
 def part_headers(spark: SparkSession, path: str, glob: str = "*.csv", excluded: str = EXCLUDED) -> DataFrame:

@@ -248,3 +248,24 @@ def test_running_totals_at_any_depth(spark, monkeypatch):
         total[g] = total.get(g, 0) + v
         want[(g, p)] = total[g]
     assert got == want
+
+
+def test_size_index_follows_appended_batches(spark):
+    from tally.session import scratch_path
+
+    df = spark.range(900).select(F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, cast(id % 700 as int))").alias("d"),
+                                 (F.col("id") % 50 + 1).alias("b"), F.col("id"))
+    df = df.withColumn("d", F.when(F.col("id") % 90 != 0, F.col("d")))      # some rows have no date
+    path, compact = scratch_path(spark, "index"), scratch_path(spark, "index-compact")
+    for name, cond in [("a", "id < 300"), ("b", "id between 300 and 599"), ("b", "id between 300 and 599")]:
+        bk.index_batch(df.where(cond), F.col("d"), "b", path, name)         # b's job ran twice
+    bk.compact_index(spark, path, compact, "ab")
+    bk.index_batch(df.where("id >= 600"), F.col("d"), "b", compact, "c")
+    bk.index_batch(df.where("false"), F.col("d"), "b", compact, "none")
+    whole = bk.daily_sizes(df, F.col("d"), "b")
+    assert sorted(map(tuple, bk.size_index(spark, compact).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    for limit in (100, 800, 5000, 10_000, 10**6):
+        a, b = (bk.choose_level(bk.level_sizes(x, 10), limit) for x in (whole, bk.size_index(spark, compact)))
+        assert a == b
+    with pytest.raises(ValueError):
+        bk.index_batch(df, F.col("d"), "b", path, "../x")
