@@ -95,6 +95,16 @@ def unit_interval(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") * F.lit(2.0 ** -53)
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns that clash with ``names`` renamed, and the renaming that brings them back."""
+    used = {n.lower() for n in names}
+    back: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in used:
+            back[free_name([*df.columns, *names, *back], c)] = c
+    return (df.withColumnsRenamed({c: n for n, c in back.items()}) if back else df), back
+
+
 def free_name(df_columns: list[str], wanted: str) -> str:
     """``wanted``, or a variant of it that clashes with no given column."""
     taken = {c.lower() for c in df_columns}

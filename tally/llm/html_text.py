@@ -21,7 +21,8 @@ import html as html_lib
 import math
 import random
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -35,9 +36,10 @@ SAMPLE_PAGES = 300          # of the given pages, for training
 TEMPLATE_PAGES = 1200
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas xmp".split())
+RAW = frozenset("script style noscript template textarea title iframe xmp".split())
 RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
-DROPPED = frozenset("head select option button datalist audio video map label".split())
+# never displayed: heads, choices of forms, descriptions inside drawings and formulas
+DROPPED = frozenset("head select option datalist desc metadata annotation annotation-xml".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr"
@@ -126,6 +128,8 @@ def parse(page: str) -> list[Node]:
     labelled = isinstance(page, TemplatePage)
     nodes = [Node(-1, "html")]
     stack: list[tuple[str, int]] = [("html", 0)]       # open elements with the node that their text belongs to
+    open_at: dict[str, list[int]] = defaultdict(list)   # of each tag and of "!block", the depths where one is open
+    endless: set[str] = set()                           # raw tags whose end does not come again
     run, links, dropped = _Run(), 0, 0
     pos, n = 0, len(page)
 
@@ -146,24 +150,44 @@ def parse(page: str) -> list[Node]:
         if links:
             run.link += len(text)
 
+    def push(tag: str, node: int):
+        open_at[tag].append(len(stack))
+        if tag in BLOCK:
+            open_at["!block"].append(len(stack))
+        stack.append((tag, node))
+
     def close(depth: int):
         nonlocal links, dropped
-        if any(tag in BLOCK for tag, _ in stack[depth:]):
+        if deepest("!block") >= depth:
             flush()
-        for tag, _ in stack[depth:]:
+        while len(stack) > depth:
+            tag, _ = stack.pop()
+            open_at[tag].pop()
+            if tag in BLOCK:
+                open_at["!block"].pop()
             links -= tag == "a"
             dropped -= tag in DROPPED or tag == "!hidden"
-        del stack[depth:]
 
-    def innermost(tags, borders) -> int | None:
+    def deepest(tag: str) -> int:
+        """Where the innermost open element of this tag is; 0 if none is."""
+        depths = open_at.get(tag)
+        return depths[-1] if depths else 0
+
+    def outermost(tags, borders) -> int | None:
+        """Where the first of ``tags`` is open inside the innermost open border."""
+        border = max(map(deepest, borders))
         found = None
-        for d in range(len(stack) - 1, 0, -1):
-            if stack[d][0] in borders:
-                break
-            if stack[d][0] in tags:
-                found = d
+        for tag in tags:
+            depths = open_at.get(tag)
+            if depths and depths[-1] > border:
+                d = depths[bisect_right(depths, border)]
+                found = d if found is None else min(found, d)
         return found
 
+    def close_head():       # a head that was never closed
+        if open_at.get("head"):
+            close(open_at["head"][0])
+
     while pos < n:
         lt = page.find("<", pos)
         if lt < 0:
@@ -192,19 +216,16 @@ def parse(page: str) -> list[Node]:
             end = page.find(">", m.end())
             attributes, pos = page[m.end():end if end >= 0 else n], (end + 1 if end >= 0 else n)
         if closing:
-            if tag == "p" and innermost(("p",), P_BORDERS) is None:
+            d = deepest(tag)
+            if tag == "p" and outermost(("p",), P_BORDERS) is None:
                 flush()
-                continue
-            for d in range(len(stack) - 1, 0, -1):
-                if stack[d][0] == tag:
-                    close(d)
-                    break
-                if stack[d][0] in BLOCK and tag not in BLOCK:
-                    break       # an inline end tag does not reach out of its block
+            elif d and (tag in BLOCK or deepest("!block") < d):     # an inline end tag does not reach out of its block
+                close(d)
             continue
         if tag in RAW and not attributes.endswith("/"):
-            end = RAW_END[tag].search(page, pos)
+            end = None if tag in endless else RAW_END[tag].search(page, pos)
             if end is None:
+                endless.add(tag)
                 pos = n if tag in ("script", "style") else pos
                 continue
             close_end = page.find(">", end.start())
@@ -214,11 +235,11 @@ def parse(page: str) -> list[Node]:
             add(" " if tag != "wbr" else "")
             continue
         if tag in ENDS_P:
-            d = innermost(("p",), P_BORDERS)
+            d = outermost(("p",), P_BORDERS)
             if d is not None:
                 close(d)
         if tag in CLOSES:
-            d = innermost(*CLOSES[tag])
+            d = outermost(*CLOSES[tag])
             if d is not None:
                 close(d)
         if tag in VOID:
@@ -229,28 +250,28 @@ def parse(page: str) -> list[Node]:
             flush()
             if "class" in attributes or "id" in attributes:
                 nodes[stack[-1][1]].hints = tuple(sorted(set(nodes[stack[-1][1]].hints) | set(hints_of(attributes))))
-            if any(t == "head" for t, _ in stack):
-                close(next(d for d, (t, _) in enumerate(stack) if t == "head"))
+            close_head()
+            continue
+        if tag in DROPPED and attributes.endswith("/"):
             continue
         if tag in BLOCK:
-            if any(t == "head" for t, _ in stack):      # a head that was never closed
-                close(next(d for d, (t, _) in enumerate(stack) if t == "head"))
+            close_head()
             flush()
             label = nodes[stack[-1][1]].label
             mark = LABEL.search(attributes) if labelled else None
             if mark:
                 label = int(mark[1])
             nodes.append(Node(stack[-1][1], tag, hints_of(attributes) if "=" in attributes else (), label=label))
-            stack.append((tag, len(nodes) - 1))
+            push(tag, len(nodes) - 1)
         else:
-            stack.append((tag, stack[-1][1]))
+            push(tag, stack[-1][1])
         if tag == "a":
             links += 1
         if tag in DROPPED:
             dropped += 1
         elif attributes and hidden(attributes):
             dropped += 1
-            stack.append(("!hidden", stack[-1][1]))
+            push("!hidden", stack[-1][1])
     flush()
     for x in reversed(nodes[1:]):
         nodes[x.parent].chars += x.chars

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.llm.common import DOCUMENT_COLUMNS, ship, stash, table, word_count
+from tally.llm.common import DOCUMENT_COLUMNS, set_aside, ship, stash, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -35,6 +35,7 @@ SHARD_WORDS = 1 << 20
 BLOCK_WORDS = (64, 1024)            # least and most
 BLOCKS_WANTED = 4000                # of a small corpus, for quotas fine enough
 SEED = "mix-1"
+WORKING = ["_key", "_shard", "_order", "_start", "_words", "_blocks", "_copies"]    # columns of mix() on its way
 
 
 def hash60(*parts: Column) -> Column:
@@ -75,8 +76,10 @@ def targets(sizes: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """Add size, source_size, target, taken and ``_spans`` to a stable table with doc_id, source and size.
 
-    ``_spans`` lists (first word, end word, copies) in document order; ``taken`` is their sum.
+    ``_spans`` lists (first word, end word, copies) in document order; ``taken`` is their sum.  Given columns
+    of the names added are replaced, all others stay.
     """
+    docs, back = set_aside(docs.drop("source_size", "target", "taken", "_spans"), WORKING)
     docs = docs.withColumn("_key", source_key(F.col("source")))
     sizes = stash(docs.groupBy(F.col("_key").alias("key"))
                   .agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "source-sizes")
@@ -134,7 +137,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     placed = placed.withColumn("_spans", F.when(F.col("size") > 0, spans).otherwise(empty))
     taken = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["first"]) * s["copies"])
     placed = placed.withColumn("taken", taken).drop("_shard", "_order", "_start", "_words", "_blocks", "_copies")
-    return placed.join(F.broadcast(goals) if _few(sizes) else goals, "_key").drop("_key")
+    return placed.join(F.broadcast(goals) if _few(sizes) else goals, "_key").drop("_key").withColumnsRenamed(back)
 
 
 def _few(sizes: DataFrame, limit: int = 10_000) -> bool:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.llm.common import ship, stash, table
+from tally.llm.common import free_name, ship, stash, table
 from tally.llm.tokens import default_path, encode_column
 
 CAPACITY = 1024
@@ -192,7 +192,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_I
     # dealt by row number, not by content: repeated rows spread over all blocks
     block = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(n_blocks)).cast("int")
     blocks = stash(
-        rest.select(block.alias("block"), F.struct((-F.col("length")).alias("_by"), *columns).alias("item"))
+        rest.select(block.alias("block"), F.struct((-F.col("length")).alias(free_name(columns, "_by")), *columns).alias("item"))
         .groupBy("block").agg(F.sort_array(F.collect_list("item")).alias("items"))
         .repartition(n_blocks, "block"), "blocks")
     sizes = F.transform("items", lambda x: x["length"].cast("int"))

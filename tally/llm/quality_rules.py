@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.common import SPACE_CHARS, words
+from tally.llm.common import SPACE_CHARS, set_aside, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -80,6 +80,10 @@ def line_fails(x: Column, rules: Rules) -> Column:
     )
 
 
+# Columns that are added on the way and dropped; given columns of these names come back as they were.
+WORKING = ["_words", "_lines", "_windows", "_sorted", "_with_word", "_judged"]
+
+
 def base_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the whole text."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -119,6 +123,8 @@ def clean(df: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFram
     ``cleaned`` is the text without its failing lines.  A document is kept if it passes the
     base rules and loses at most ``max_loss_percent`` of its words to the line rules.
     """
+    df, back = set_aside(df, WORKING)
+    text = next((n for n, c in back.items() if c == text), text)
     df = base_counts(df, text)
     facts = F.transform("_lines", lambda x: line_facts(x, rules))
     judged = F.transform(facts, lambda x: F.struct(x["line"].alias("line"), x["n"].alias("n"),
@@ -133,7 +139,7 @@ def clean(df: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFram
     verdict = ~F.col("base_failed") & (F.col("n_removed_words") * 100 <= F.col("n_words") * rules.max_loss_percent)
     # The random term (always 0) keeps a filter on ``kept`` above this projection: pushed below
     # it, the filter would spell out the word and line expressions inside their own lambdas.
-    return df.withColumn("kept", verdict.cast("int") + F.floor(F.rand(0)).cast("int") == 1)
+    return df.withColumn("kept", verdict.cast("int") + F.floor(F.rand(0)).cast("int") == 1).withColumnsRenamed(back)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

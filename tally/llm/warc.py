@@ -38,7 +38,7 @@ ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 EMPTY_FRAME = struct.pack("<II", MAGIC_SKIPPABLE, 0)
 
 REVISIT_MIN_BYTES = 100
-ARCHIVE_BYTES = 32 << 20                # payload bytes that an archive should hold
+ARCHIVE_BYTES = 16 << 20                # bytes of frames that an archive is closed at
 DICTIONARY_BYTES = 32 << 10
 DICTIONARY_PAGES = 400                  # bound of the sample that trains the dictionary
 DATE = "2024-01-01T00:00:00Z"
@@ -225,31 +225,35 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         "refers_to": F.when(F.col("_first") != F.col("page_id"), F.col("_first"))}).drop("_first")
 
 
-def write_archives(records: DataFrame, path: str, dictionary: bytes, per_archive: int) -> None:
-    """Write page_id, url, payload, payload_digest, refers_to, revisit as archives of ``per_archive`` records at most."""
+def write_archives(records: DataFrame, path: str, dictionary: bytes, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write page_id, url, payload, payload_digest, refers_to, revisit as archives, cut by bytes.
+
+    An archive ends with the record that brings its frames to ``archive_bytes`` or more, so it is larger than that by
+    one record at most, whatever the payloads of its task.  It is one row of the text sink, one row a file.
+    """
     lead = dictionary_frame(dictionary)
 
     def frames(it):
         options = {"level": 3, "write_content_size": True, "write_checksum": True}
         if dictionary:
             options["dict_data"] = zstandard.ZstdCompressionDict(dictionary)
-        encoder, n = zstandard.ZstdCompressor(**options), 0
+        encoder, held = zstandard.ZstdCompressor(**options), bytearray()
         for batch in it:
-            out = []
             columns = [batch.column(i) for i in range(6)]
             for page_id, url, payload, digest, refers_to, revisit in zip(*columns):
-                if n % per_archive == 0:        # a file takes per_archive + 1 rows: each begins with the dictionary
-                    out.append(lead)
-                n += 1
-                out.append(encoder.compress(record_bytes(page_id.as_py(), url.as_py(), payload.as_py(),
-                                                         digest.as_py(), refers_to.as_py(), revisit.as_py())))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+                held += (b"" if held else lead) + encoder.compress(record_bytes(
+                    page_id.as_py(), url.as_py(), payload.as_py(), digest.as_py(), refers_to.as_py(), revisit.as_py()))
+                if len(held) >= archive_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([bytes(held)], pa.binary())], names=["archive"])
+                    held = bytearray()
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([bytes(held)], pa.binary())], names=["archive"])
 
     cols = records.select("page_id", "url", "payload", "payload_digest", "refers_to", "revisit")
-    (ship(cols).mapInArrow(frames, "frame binary")
-     .select(F.col("frame").cast("string").alias("value"))      # the bytes as they are; the text writer copies them
+    (ship(cols).mapInArrow(frames, "archive binary")
+     .select(F.col("archive").cast("string").alias("value"))      # the bytes as they are; the text writer copies them
      .write.option("lineSep", EMPTY_FRAME.decode("ascii")).option("compression", "none")
-     .option("maxRecordsPerFile", per_archive + 1).text(path))
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 READ_SCHEMA = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
@@ -298,15 +302,14 @@ def _batch(rows: list[dict], names: list[str], types: dict) -> pa.RecordBatch:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: every page into archives and back."""
     records = with_revisits(table(spark, sf_dir, "pages"))
-    size = records.agg(F.count("*").alias("n"), F.sum("payload_bytes").alias("b")).first()
-    per_archive = max(1, int(ARCHIVE_BYTES // max(1, (size["b"] or 0) / max(1, size["n"]))))
-    share = min(1.0, 1.2 * DICTIONARY_PAGES / max(1, size["n"]))
+    n = records.count()
+    share = min(1.0, 1.2 * DICTIONARY_PAGES / max(1, n))
     sample = (records.filter(F.col("payload_bytes").between(1, 1 << 16)
                              & (unit_interval(F.lit("dictionary"), F.col("page_id"), F.col("payload_digest")) <= share))
               .select("payload").limit(DICTIONARY_PAGES))
     dictionary = train_dictionary([bytes(r[0]) for r in sample.collect()])
     path = scratch_path(spark, "warc")
-    write_archives(records, path, dictionary, per_archive)
+    write_archives(records, path, dictionary)
     return read_archives(spark, path, strict=True).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

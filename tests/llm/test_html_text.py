@@ -116,3 +116,23 @@ def test_raw_elements_end_in_any_case():
     for first in ("a", "\u0130"):       # lower-casing U+0130 makes a page longer
         assert texts(f"<p>{first}<SCRIPT>x('<p>no')</SCRIPT><p>b<Style>p{{}}</sTYLE><p>c") == [first, "b", "c"]
     assert texts("<script>no</\u017fcript><p>no</script><p>b") == ["b"]        # a long s is no s
+
+
+def test_formulas_drawings_and_controls_keep_their_text():
+    page = ("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>tex</annotation></math> here.</p>"
+            "<p>Seen in <svg><title>t</title><desc/><path d='x'/><text>a drawing</text></svg>, <label>a label</label>, "
+            "<object data='x'>an object</object>, <button>a button</button> and <audio>a sound</audio> <video>a film</video>.</p></article>")
+    runs = [x.text for x in ht.parse(page) if x.text is not None]
+    assert runs == ["Energy is E=m here.", "Seen in a drawing, a label, an object, a button and a sound a film."]
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    depth = 100_000
+    pages = ["<div>" * depth + "text", "<p><button>" + "<div>" * depth + "</section></b>" * depth + "text",
+             "<ul>" + "<li><span>" * depth + "text", "<b>" * depth + "</i>" * depth + "text", "<title>" * depth + "text"]
+    for page in pages:
+        start = time.process_time()
+        assert [x.text for x in ht.parse(page) if x.text is not None][-1].endswith("text")
+        assert time.process_time() - start < 5, page[:20]

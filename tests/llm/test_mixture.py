@@ -76,3 +76,14 @@ def test_stage_takes_what_the_mix_takes(spark):
     words = out.select(F.sum(mx.word_count(F.col("text")))).first()[0]
     plan = mx.query(spark, "/root/testdata/sf0.001").select(F.sum("taken")).first()[0]
     assert words == plan
+
+
+def test_columns_with_working_names_stay(spark):
+    names = ["_key", "_shard", "_order", "_start", "_words", "_blocks", "_copies", "extra"]
+    rows = [(i, f"s{i % 3}", 50 + i, *names, 0.5) for i in range(60)]
+    df = spark.createDataFrame(rows, ["doc_id", "source", "size", *names, "target"])
+    got = mx.mix(df)
+    plain = {r.doc_id: (r.taken, r.target) for r in mx.mix(df.select("doc_id", "source", "size")).collect()}
+    found = got.collect()
+    assert {r.doc_id: (r.taken, r.target) for r in found} == plain and len(found) == 60
+    assert all([r[n] for n in names] == names for r in found)

@@ -104,3 +104,10 @@ def test_other_columns_pass_through(spark):
     out = packing.pack(pieces).collect()
     assert sorted((r.doc_id, r.length, r.block, r["items"]) for r in out) == sorted(r[:4] for r in rows)
     assert all(isinstance(r.sequence_id, int) and isinstance(r.offset, int) for r in out)
+
+
+def test_a_column_named_like_the_sort_key(spark):
+    rows = [(i, 100 + 7 * i % 500, "mine") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, length long, _by string")
+    got = packing.pack(df).collect()
+    assert len(got) == 40 and {r["_by"] for r in got} == {"mine"}

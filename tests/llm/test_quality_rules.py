@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tally.llm import quality_rules as qr
 
 SCHEMA = "doc_id long, text string, kept string"
@@ -70,3 +72,13 @@ def test_no_python_in_the_plan(spark):
 
     for df in (qr.query(spark, "/root/testdata/sf0.001"), sharding.query(spark, "/root/testdata/sf0.001")):
         assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_columns_with_working_names_stay(spark):
+    names = ["_words", "_lines", "_windows", "_sorted", "_with_word", "_JUDGED", "__words"]
+    text = "One two three four five six seven eight nine ten eleven words."
+    df = spark.createDataFrame([(1, text, *names)], ["doc_id", "text", *names])
+    got = qr.clean(df).first()
+    assert [got[n] for n in names] == names and got["n_words"] == 12 and got["kept"]
+    by_name = qr.clean(df.drop("text").withColumn("_words", F.lit(text)), text="_words").first()
+    assert by_name["n_words"] == 12 and by_name["_words"] == text

@@ -17,10 +17,10 @@ def folder():
     return tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/archives"
 
 
-def write(spark, rows, per_archive=3, dictionary=b""):
+def write(spark, rows, archive_bytes=700, dictionary=b""):
     path = folder()
     pages = spark.createDataFrame(rows, SCHEMA).repartition(1)
-    warc.write_archives(warc.with_revisits(pages), path, dictionary, per_archive)
+    warc.write_archives(warc.with_revisits(pages), path, dictionary, archive_bytes)
     return path
 
 
@@ -50,22 +50,26 @@ def test_payloads_come_back(spark):
 
 
 def test_file_layout(spark):
-    """Each file: dictionary frame first, at most per_archive records, readable by any decoder with the dictionary."""
+    """Each file: dictionary frame first, closed by its bytes, readable by any decoder with the dictionary."""
     samples = [f"<html><body><p>page {i} of many, with common words</p></body></html>".encode() * 12 for i in range(200)]
     dictionary = warc.train_dictionary(samples)
     assert dictionary
-    path = write(spark, [(i, f"http://h/{i}", samples[i % 200].decode(), None) for i in range(20)], 8, dictionary)
+    path = write(spark, [(i, f"http://h/{i}", samples[i % 200].decode(), None) for i in range(20)], len(dictionary) + 2000, dictionary)
     files = glob.glob(path + "/part-*")
-    counts = []
+    counts, sizes, frames = [], [], []
     for f in files:
         data = open(f, "rb").read()
         assert struct.unpack_from("<II", data) == (warc.MAGIC_DICTIONARY, len(dictionary))
         assert data[8:8 + len(dictionary)] == dictionary
         counts.append(len(list(warc.archive_records(data))))
+        sizes.append(len(data) - len(warc.EMPTY_FRAME))
         decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
-        start = 8 + len(dictionary) + 8
+        start = 8 + len(dictionary)
+        frames.append(warc.frame_end(data, start) - start)
         assert decoder.decompress(data[start:warc.frame_end(data, start)]).startswith(b"WARC/1.1\r\n")
-    assert sorted(counts) == [4, 8, 8]
+    assert sum(counts) == 20 and len(files) > 2
+    limit = len(dictionary) + 2000
+    assert sum(size < limit for size in sizes) <= 1 and max(sizes) < limit + 2 * max(frames)
     assert warc.read_archives(spark, path, strict=True).count() == 20
 
 
@@ -136,3 +140,16 @@ def test_null_page_ids_equal_the_sql(spark):
                 .replace(b"To: <urn:page:7>", b"To: <urn:page:null>")):
         with pytest.raises(warc.BadRecord):
             warc.parse_record(bad)
+
+
+def test_large_pages_do_not_make_large_archives(spark):
+    """Small pages and large incompressible ones in one task: an archive passes its bytes by one record at most."""
+    import random
+
+    rng = random.Random(3)
+    big = lambda: "".join(rng.choices("0123456789abcdefghijklmnopqrstuv", k=40_000))
+    rows = [(i, "u", big() if i % 10 > 6 else f"small page {i}", None) for i in range(100)]
+    path = write(spark, rows, 60_000)
+    sizes = [len(open(f, "rb").read()) for f in glob.glob(path + "/part-*")]
+    assert len(sizes) >= 8 and max(sizes) < 60_000 + 42_000
+    assert sorted(r.page_id for r in warc.read_archives(spark, path, strict=True).collect()) == list(range(100))
