@@ -38,8 +38,9 @@ TEMPLATE_PAGES = 1200
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe xmp".split())
 RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
-# never displayed: heads, choices of forms, descriptions inside drawings and formulas
-DROPPED = frozenset("head select option datalist desc metadata annotation annotation-xml".split())
+# never displayed: descriptions inside drawings and formulas, where "/>" ends an element; heads, and choices of forms
+DESCRIPTIONS = frozenset("desc metadata annotation annotation-xml".split())
+DROPPED = DESCRIPTIONS | {"head", "select", "option", "datalist"}
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr"
@@ -252,7 +253,7 @@ def parse(page: str) -> list[Node]:
                 nodes[stack[-1][1]].hints = tuple(sorted(set(nodes[stack[-1][1]].hints) | set(hints_of(attributes))))
             close_head()
             continue
-        if tag in DROPPED and attributes.endswith("/"):
+        if tag in DESCRIPTIONS and attributes.endswith("/"):
             continue
         if tag in BLOCK:
             close_head()
