@@ -5,8 +5,8 @@
    whose 64-bit hash occurs ``least`` times or more.  Hashes are counted exactly, distributed by hash; they
    only choose candidates.
 3. Candidates become double-array tries over word numbers, about ``TRIE_PHRASES`` phrases each, split by
-   first word.  A task holds one trie at a time.  It moves the states of all text positions of a
-   segment one level at a time: next = base[state] + label, valid where check[next] is the state;
+   first word.  A pass over the text holds up to ``TRIES_HELD`` of them.  Each moves the states of all text
+   positions of a segment one level at a time: next = base[state] + label, valid where check[next] is the state;
    a bincount of the accepting states adds up phrases.  Counts of all shards of the text are summed.
 
 Everything is by language (null: ``und``): a word's hash holds its language, so one trie serves all.
@@ -37,7 +37,8 @@ TOP = 2000                      # phrases reported for each language
 SCALE = 1_000_000
 HASHES_HELD = 1 << 22           # of phrases that a task counts before it hands them on
 MERGED = 16                     # segments whose words are merged before they leave a task
-TRIE_PHRASES = 1 << 19          # about, of one trie; a broadcast of some 50 bytes a phrase
+TRIE_PHRASES = 1 << 19          # about, of one trie; a broadcast of some 70 bytes a phrase
+TRIES_HELD = 4                  # that a task counts by in one pass over the text
 UNDETERMINED = "und"
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -312,12 +313,14 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
-def trie_counts(trie: dict[str, np.ndarray], h: np.ndarray, room: np.ndarray, n: int) -> np.ndarray:
-    """Occurrences of each of the trie's n phrases, over all places of a segment; all places move one level at a time."""
+def trie_counts(trie: dict[str, np.ndarray], distinct: np.ndarray, back: np.ndarray, room: np.ndarray, n: int) -> np.ndarray:
+    """Occurrences of each of the trie's n phrases, over all places of a segment; all places move one level at a time.
+
+    The word hash of place p is distinct[back[p]].
+    """
     codes, check, base = trie["codes"], trie["check"], trie["base"]
-    h = h.view(np.int64)
-    k = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
-    word = np.where(codes[k] == h, k, -1)
+    k = np.minimum(np.searchsorted(codes, distinct), len(codes) - 1).astype(np.int32)
+    word = np.where(codes[k] == distinct, k, np.int32(-1))[back]
     total = np.zeros(n, np.int64)
     place = np.flatnonzero(word >= 0)
     place = place[check[word[place]] == -2]
@@ -338,38 +341,43 @@ def trie_counts(trie: dict[str, np.ndarray], h: np.ndarray, room: np.ndarray, n:
 
 
 def phrase_counts(docs: DataFrame, found: DataFrame, seed: int) -> DataFrame:
-    """(h1, h2, h3, a): exact occurrences of candidates, by tries of about ``TRIE_PHRASES`` phrases."""
+    """(h1, h2, h3, a): exact occurrences of candidates, by tries of about ``TRIE_PHRASES`` phrases, some in one pass."""
     spark = docs.sparkSession
     shards = max(1, -(-found.count() // TRIE_PHRASES))
     found = found.withColumn("shard", F.pmod(F.xxhash64("h1"), F.lit(shards)).cast("int"))
     if shards > 1:
         found = stash(found.repartition("shard"), "candidates", partition_by=["shard"])
-    out = []
-    for shard in range(shards):
+    def broadcast_trie(shard: int):
         own = found.filter(F.col("shard") == shard).select("h1", "h2", "h3").toArrow()        # one trie's candidates
-        n = own.num_rows
-        if not n:
-            continue
-        lengths = np.where(own.column("h3").is_null().to_numpy(), 2, 3)
+        if not own.num_rows:
+            return None
+        lengths = np.where(own.column("h3").is_null().to_numpy(), 2, 3).astype(np.int8)
         columns = [own.column(c).fill_null(0).to_numpy() for c in ("h1", "h2", "h3")]
-        trie = build_trie(columns, lengths)
-        trie["phrases"] = columns + [lengths]
-        shared = spark.sparkContext.broadcast(trie)
-        del own, columns, lengths, trie
+        return spark.sparkContext.broadcast(build_trie(columns, lengths) | {"phrases": columns + [lengths]})
+
+    out = []
+    for start in range(0, shards, TRIES_HELD):
+        tries = [x for x in map(broadcast_trie, range(start, min(start + TRIES_HELD, shards))) if x]
+        if not tries:
+            continue
 
-        def batches(it, shared=shared, n=n):
-            total = np.zeros(n, np.int64)
+        def batches(it, tries=tries):
+            totals = [np.zeros(len(x.value["phrases"][0]), np.int64) for x in tries]
             for batch in it:
                 for _, _, _, h, room, _ in token_segments(batch.column(1), batch.column(0), seed):
-                    total += trie_counts(shared.value, h, room, n)
-            at = np.flatnonzero(total)
-            h1, h2, h3, k = (x[at] for x in shared.value["phrases"])
-            yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(h3, mask=k < 3), pa.array(total[at])],
-                                             names=["h1", "h2", "h3", "a"])
+                    distinct, back = np.unique(h.view(np.int64), return_inverse=True)
+                    for x, total in zip(tries, totals):
+                        total += trie_counts(x.value, distinct, back, room, len(total))
+            for x, total in zip(tries, totals):
+                at = np.flatnonzero(total)
+                h1, h2, h3, k = (c[at] for c in x.value["phrases"])
+                yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(h3, mask=k < 3), pa.array(total[at])],
+                                                 names=["h1", "h2", "h3", "a"])
 
         counts = ship(docs).select("lang", "text").mapInArrow(batches, "h1 long, h2 long, h3 long, a long")
         out.append(stash(counts.groupBy("h1", "h2", "h3").agg(F.sum("a").alias("a")), "phrase-counts"))
-        shared.destroy()                # the counts are written
+        for x in tries:                 # the counts are written
+            x.destroy()
     if not out:
         return spark.createDataFrame([], "h1 long, h2 long, h3 long, a long")
     return reduce(DataFrame.unionByName, out)
