@@ -3,9 +3,9 @@
 Documents become pieces of at most ``capacity`` tokens.  Full pieces are sequences of their
 own.  The others are dealt at random into blocks of about ``block_items`` pieces, and each
 block is packed by islands: a population per island evolves by crossover that injects whole
-well-filled bins of one parent into the other, removes the bins that hold duplicates and
-best-fits the displaced pieces; after each epoch the elite of an island migrates to the next
-one.  An island is one group of one Spark task, an epoch one pass; blocks are bounded, so
+well-filled bins of one parent into the other, removes the bins that hold duplicates, exchanges
+displaced pieces for smaller ones where that fills a bin better and best-fits the rest; after
+each epoch the elite of an island migrates to the next one.  An island is one group of one Spark task, an epoch one pass; blocks are bounded, so
 memory is too, and the packing lost at block borders is below one bin in a block.
 
 Cases: null and empty texts are one piece with the end token alone.  Repeated rows are packed
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,9 @@ BLOCK_ITEMS = 16_384
 ISLANDS = 2
 POPULATION = 3
 EPOCHS = 2
-CROSSOVERS = 4      # for each island and epoch
+CROSSOVERS = 12     # for each island and epoch, unless the lower bound is reached
+INJECTED = 128      # bins that a crossover injects, on average at most
+DISSOLVED = 3       # emptiest bins of the host that it drops, at most
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -113,24 +116,121 @@ def fitness(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> tuple[int, fl
     return len(fill), -float((fill ** 2).mean())
 
 
+class Pool:
+    """Displaced items by size; bit masks tell which sizes, and which sums of two, are there."""
+
+    def __init__(self, sizes: list[int], items):
+        self.by_size: dict[int, list[int]] = {}
+        for i in items:
+            self.by_size.setdefault(sizes[i], []).append(i)
+        self.singles, self._pairs = sum(1 << s for s in self.by_size), None
+
+    def pairs(self) -> int:
+        if self._pairs is None:
+            self._pairs = 0
+            for s, items in self.by_size.items():
+                others = self.singles if len(items) > 1 else self.singles ^ (1 << s)
+                self._pairs |= others << s
+        return self._pairs
+
+    def most(self, least: int, most: int) -> int:
+        """The greatest sum of one or two items above ``least`` and up to ``most``; 0 if there is none."""
+        window = (1 << (most + 1)) - 1
+        one = (self.singles & window).bit_length() - 1
+        if one < most:
+            one = max(one, (self.pairs() & window).bit_length() - 1)
+        return one if one > least else 0
+
+    def add(self, size: int, item: int) -> None:
+        self.by_size.setdefault(size, []).append(item)
+        self.singles, self._pairs = self.singles | 1 << size, None
+
+    def pop(self, size: int) -> int:
+        items = self.by_size[size]
+        item = items.pop()
+        if not items:
+            del self.by_size[size]
+            self.singles ^= 1 << size
+        self._pairs = None
+        return item
+
+    def take(self, total: int) -> list[int]:
+        """One item of this size, or two that add up to it."""
+        if self.singles >> total & 1:
+            return [self.pop(total)]
+        for s, items in self.by_size.items():
+            rest = total - s
+            if 0 <= rest <= s and rest in self.by_size and (rest != s or len(items) > 1):
+                return [self.pop(s), self.pop(rest)]
+        raise KeyError(total)
+
+    def items(self) -> list[int]:
+        return [i for items in self.by_size.values() for i in items]
+
+
+def exchange(sizes: list[int], members: dict[int, list[int]], spaces: dict[int, int], pool: Pool, bins: np.ndarray,
+             order: list[int]) -> None:
+    """Fill bins from the pool: up to two items of a bin go for one or two that fill it better.
+
+    Each exchange makes its bin fuller, so the pool shrinks and is left with smaller items.
+    """
+    for b in order:
+        while spaces[b]:
+            space, held = spaces[b], members[b]
+            gain, out, total = 0, (), 0
+            for gone in chain(combinations(held, 1), combinations(held, 2), [()]):
+                t = sum(sizes[i] for i in gone)
+                found = pool.most(t, t + space)
+                if found - t > gain:
+                    gain, out, total = found - t, gone, found
+                    if gain == space:
+                        break
+            if not gain:
+                break
+            taken = pool.take(total)
+            for i in out:
+                held.remove(i)
+                pool.add(sizes[i], i)
+            held += taken
+            bins[taken] = b
+            spaces[b] = space - gain
+
+
 def crossover(sizes: np.ndarray, host: np.ndarray, donor: np.ndarray, rng: random.Random, capacity: int) -> np.ndarray:
-    """Inject a random half of the donor's best-filled bins into the host and repair it."""
-    fill = np.bincount(donor, weights=sizes)
+    """Inject well-filled bins of the donor into the host and repair it.
+
+    Donor bins that would break up a full bin of the host stay out; of the others a random part goes
+    in.  The host's bins with duplicates are dropped, its emptiest ones too.  What is displaced is
+    exchanged for smaller items of the bins that have room, and then best-fitted by falling size.
+    """
+    fill, host_fill = np.bincount(donor, weights=sizes), np.bincount(host, weights=sizes)
+    breaks = np.zeros(len(fill), dtype=bool)
+    breaks[donor[host_fill[host] >= capacity]] = True
     ranked = np.argsort(-fill, kind="stable")
-    well_filled = ranked[: max(1, int((fill >= fill.mean()).sum()))]
+    well_filled = [b for b in ranked[: max(1, int((fill >= fill.mean()).sum()))].tolist() if not breaks[b]]
+    share = min(0.5, INJECTED / max(1, len(well_filled)))
     chosen = np.zeros(len(fill), dtype=bool)
-    chosen[[b for b in well_filled.tolist() if rng.random() < 0.5] or well_filled[:1].tolist()] = True
+    chosen[[b for b in well_filled if rng.random() < share] or well_filled[:1]] = True
     injected = chosen[donor]
-    hit = np.zeros(int(host.max()) + 1, dtype=bool)
+    hit = np.zeros(len(host_fill), dtype=bool)
     hit[host[injected]] = True                       # host bins that hold an injected item go
+    hit[np.argsort(host_fill, kind="stable")[:rng.randint(1, DISSOLVED)]] = True
     displaced = np.flatnonzero(hit[host] & ~injected)
-    child = host.copy()
+    child = host.astype(np.int64)
     child[injected] = donor[injected] + len(hit)     # the donor's bins under new numbers
-    stays = ~hit[host] | injected
+    stays = np.flatnonzero(~hit[host] | injected)
     used = np.bincount(child[stays], weights=sizes[stays]).astype(np.int64)
     spaces = {int(b): capacity - int(used[b]) for b in np.flatnonzero(used) if used[b] < capacity}
-    order = displaced[np.argsort(-sizes[displaced], kind="stable")]
-    best_fit(sizes.tolist(), order.tolist(), child, spaces, len(hit) + len(fill), capacity)
+    members: dict[int, list[int]] = {b: [] for b in spaces}
+    for i, b in zip(stays.tolist(), child[stays].tolist()):
+        if b in members:
+            members[b].append(i)
+    plain, pool = sizes.tolist(), Pool(sizes.tolist(), displaced.tolist())
+    order = list(spaces)
+    rng.shuffle(order)
+    exchange(plain, members, spaces, pool, child, order)
+    rest = sorted(pool.items(), key=lambda i: (-plain[i], i))
+    best_fit(plain, rest, child, {b: s for b, s in spaces.items() if s}, len(hit) + len(fill), capacity)
     return renumber(child)
 
 
@@ -142,12 +242,30 @@ def first_packing(sizes: np.ndarray, rng: random.Random, capacity: int, noise: f
     return renumber(bins)
 
 
+def exact_filling(sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """Bin by bin: the largest item left, then the one or two items that fill the rest best, until nothing fits."""
+    bins, pool, b = np.zeros(len(sizes), dtype=np.int64), Pool(sizes.tolist(), range(len(sizes))), 0
+    while pool.by_size:
+        size = pool.singles.bit_length() - 1
+        held, space = [pool.pop(size)], capacity - size
+        while found := pool.most(0, space):
+            held += pool.take(found)
+            space -= found
+        bins[held] = b
+        b += 1
+    return renumber(bins)
+
+
 def evolve(sizes: np.ndarray, population: list[np.ndarray], rng: random.Random, capacity: int, size: int,
            rounds: int) -> list[np.ndarray]:
-    """``rounds`` crossovers; the child takes the place of the worst.  Ends early at the lower bound."""
+    """``rounds`` crossovers; the child takes the place of the worst.  Ends early at the lower bound.
+
+    A new population begins with best fit by size and exact filling, the others are blurred best fits.
+    """
     bound = -(-int(sizes.sum()) // capacity)
     while len(population) < size:
-        population.append(first_packing(sizes, rng, capacity, 0.25 * len(population)))
+        population.append(exact_filling(sizes, capacity) if len(population) == 1
+                          else first_packing(sizes, rng, capacity, 0.25 * len(population)))
         if int(population[-1].max()) + 1 <= bound:
             return [population[-1]]
     population.sort(key=lambda b: fitness(sizes, b, capacity))

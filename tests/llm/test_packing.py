@@ -78,9 +78,55 @@ def test_evolution_beats_best_fit():
         sizes += [a, b, 1024 - a - b]
     sizes = np.array(sorted(sizes, reverse=True))
     plain = int(packing.first_packing(sizes, rng, 1024, 0.0).max()) + 1
-    best = packing.evolve(sizes, [], random.Random(3), 1024, 8, 300)[0]
-    assert int(best.max()) + 1 <= plain
-    assert 60 <= int(best.max()) + 1
+    best = packing.evolve(sizes, [], random.Random(3), 1024, 3, 24)[0]
+    assert 60 <= int(best.max()) + 1 < plain
+    assert np.bincount(best, weights=sizes).max() <= 1024
+
+
+def test_evolution_reaches_the_bound_where_best_fit_does_not():
+    """Many pieces, as in a block of the documents: exact filling gets to the lower bound."""
+    rng = random.Random(7)
+    sizes = np.array([min(1023, 1 + int(rng.expovariate(1 / 430))) for _ in range(6000)])
+    plain = int(packing.first_packing(sizes, rng, 1024, 0.0).max()) + 1
+    best = packing.evolve(sizes, [], random.Random(1), 1024, 3, 12)[0]
+    fill = np.bincount(best, weights=sizes)
+    assert fill.max() <= 1024 and fill.sum() == sizes.sum()
+    assert len(fill) <= plain and len(fill) <= -(-int(sizes.sum()) // 1024) + 1
+
+
+def test_children_are_better_than_both_parents():
+    """Crossover itself improves: from two blurred packings, without exact filling."""
+    rng = random.Random(4)
+    sizes = np.array([rng.randint(20, 700) for _ in range(1500)])
+    parents = [packing.first_packing(sizes, rng, 1024, n) for n in (2.0, 2.5)]
+    better = min(packing.fitness(sizes, p, 1024) for p in parents)
+    assert better[0] > -(-int(sizes.sum()) // 1024)
+    best = packing.evolve(sizes, list(parents), rng, 1024, 2, 20)[0]
+    assert packing.fitness(sizes, best, 1024) < better
+
+
+def test_pool_finds_the_greatest_sums():
+    rng = random.Random(9)
+    for _ in range(200):
+        sizes = [rng.randint(1, 60) for _ in range(rng.randint(1, 8))]
+        least = rng.randint(0, 60)
+        most = least + rng.randint(0, 40)
+        sums = sizes + [a + b for i, a in enumerate(sizes) for b in sizes[:i]]
+        pool = packing.Pool(sizes, range(len(sizes)))
+        found = pool.most(least, most)
+        assert found == max([s for s in sums if least < s <= most], default=0)
+        if found:
+            taken = pool.take(found)
+            assert sum(sizes[i] for i in taken) == found
+            assert sorted(pool.items() + taken) == list(range(len(sizes)))
+
+
+def test_ties_and_pieces_without_length():
+    """Equal sizes, and sizes of zero, each stay one item of one bin."""
+    sizes = np.array([512] * 9 + [0] * 5 + [1024 - 512] * 4 + [1])
+    for bins in (packing.exact_filling(sizes, 1024), packing.evolve(sizes, [], random.Random(1), 1024, 3, 12)[0]):
+        fill = np.bincount(bins, weights=sizes)
+        assert len(bins) == len(sizes) and fill.max() <= 1024 and fill.sum() == sizes.sum()
 
 
 def test_fast_encoder_agrees(spark):
