@@ -35,7 +35,7 @@ ISLANDS = 2
 POPULATION = 3
 EPOCHS = 2
 CROSSOVERS = 12     # for each island and epoch, unless the lower bound is reached
-INJECTED = 128      # bins that a crossover injects, on average at most
+INJECTED = 4        # bins that a crossover injects on average: few, so that what they displace finds a better place
 DISSOLVED = 3       # emptiest bins of the host that it drops, at most
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
