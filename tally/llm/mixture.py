@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 1. Sources get target sizes: weights share the mix, no target is above twice its source.
-2. Documents are dealt into shards by a hash; in a shard each source's documents form one
-   stream of words, cut into equal blocks.
+2. A source spreads over as many shards as its words need, others share a shard; in a shard
+   each source's documents form one stream of words, cut into equal blocks (of a small stream
+   smaller ones, so that its quota is fine enough).
 3. Each shard gives its blocks to the sources by the highest quotients votes / (2k + 1), where
    a source's votes are the blocks its target asks for; that makes integer quotas.
 4. A quota is met by whole passes over the stream and then by blocks in a seeded order.
@@ -10,8 +11,12 @@
 A block may begin or end inside a document; the mix takes the words that blocks cover.
 
 Bounds: a shard holds about ``SHARD_WORDS`` words (rows count as one more), so windows by shard or
-by (source, shard) are bounded and a source of any size spreads over all shards.  One window
-runs over all sources, one row for each.
+by (source, shard) are bounded.  Documents are dealt by a hash of doc_id; streams that become far
+too large all the same, as many rows share a doc_id, are dealt again by doc_id and position.  One
+window runs over all sources, one row for each.
+
+A source's quota in a shard is off by about half a block, so the taken words come within some
+1 / ``LEAST_BLOCKS`` of the target; sources of fewer than ``LEAST_BLOCKS * SMALL_BLOCK`` words are coarser.
 
 Cases: null text has no words.  A null source is a source of its own, last in order.  Documents
 without words are never taken.  Repeated rows are taken each on its own.  An empty table gives
@@ -27,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.llm.common import DOCUMENT_COLUMNS, set_aside, ship, stash, table, word_count
+from tally.operators.positions import positions
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -34,8 +40,10 @@ MAX_REPEATS = 2
 SHARD_WORDS = 1 << 20
 BLOCK_WORDS = (64, 1024)            # least and most
 BLOCKS_WANTED = 4000                # of a small corpus, for quotas fine enough
+LEAST_BLOCKS, SMALL_BLOCK = 64, 16  # a small stream is cut into that many blocks, of so many words at least
+OVER = 4                            # streams of more than so many shards' words are dealt again
 SEED = "mix-1"
-WORKING = ["_key", "_shard", "_order", "_start", "_words", "_blocks", "_copies"]    # columns of mix() on its way
+WORKING = ["_key", "_shard", "_order", "_start", "_words", "_blocks", "_copies", "_parts", "_tie", "_place"]    # columns of mix() on its way
 
 
 def hash60(*parts: Column) -> Column:
@@ -87,16 +95,19 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     total, rows = whole["words"] or 0, whole["rows"] or 0
     n_shards = max(1, -(-(total + rows) // SHARD_WORDS))
     block = min(BLOCK_WORDS[1], max(BLOCK_WORDS[0], total // BLOCKS_WANTED))
-    goals = stash(targets(sizes.select("key", "source_size")), "targets").select(
-        F.col("key").alias("_key"), "source_size", "target")
+    parts = F.ceil((F.col("source_size") + F.col("n")) / SHARD_WORDS).cast("long").alias("_parts")
+    goals = stash(targets(sizes.select("key", "source_size")).join(sizes.select("key", parts), "key"), "targets")
+    goals = goals.withColumnRenamed("key", "_key")
 
+    docs = docs.join(F.broadcast(goals) if _few(sizes) else goals, "_key")
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    docs = docs.withColumns({"_shard": F.pmod(hash60(F.lit(seed), doc), F.lit(n_shards)).cast("long"),
-                             "_order": hash60(F.lit(seed), F.lit("order"), doc)})
-    streams = docs.groupBy("_key", "_shard").agg(F.sum("size").alias("_words")).filter("_words > 0")
-    streams = streams.join(F.broadcast(goals) if _few(sizes) else goals, "_key").withColumn(
-        "_blocks", F.greatest(F.lit(1).cast("long"), F.round(F.col("_words") / block).cast("long")))
-    streams = streams.withColumn("_votes", F.col("target") / F.col("source_size") * F.col("_blocks"))
+    docs = docs.withColumns({"_shard": shard_of(seed, n_shards, doc), "_order": hash60(F.lit(seed), F.lit("order"), doc)})
+    docs = deal_again(docs, seed, n_shards)
+    streams = docs.groupBy("_key", "_shard", "target", "source_size").agg(F.sum("size").alias("_words")).filter("_words > 0")
+    small = F.least(F.lit(LEAST_BLOCKS), F.floor(F.col("_words") / SMALL_BLOCK))
+    streams = streams.withColumn("_blocks", F.greatest(
+        F.lit(1), F.round(F.col("_words") / block), small).cast("long")).withColumn(
+        "_votes", F.col("target") / F.col("source_size") * F.col("_blocks"))
     # highest quotients in each shard; a source can hold at most MAX_REPEATS times its blocks
     by_shard = Window.partitionBy("_shard")
     seats = F.round(F.sum("_votes").over(by_shard)).cast("long")
@@ -136,8 +147,32 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     empty = F.array().cast("array<struct<first:bigint,end:bigint,copies:int>>")
     placed = placed.withColumn("_spans", F.when(F.col("size") > 0, spans).otherwise(empty))
     taken = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["first"]) * s["copies"])
-    placed = placed.withColumn("taken", taken).drop("_shard", "_order", "_start", "_words", "_blocks", "_copies")
-    return placed.join(F.broadcast(goals) if _few(sizes) else goals, "_key").drop("_key").withColumnsRenamed(back)
+    return placed.withColumn("taken", taken).drop(*WORKING).withColumnsRenamed(back)
+
+
+def shard_of(seed: str, n_shards: int, *parts: Column) -> Column:
+    """The shard of a row: a source's ``_parts`` shards follow one another, ``parts`` choose among them."""
+    part = F.pmod(hash60(F.lit(seed), *parts), F.col("_parts"))
+    return F.pmod(hash60(F.lit(seed), F.lit("source"), F.col("_key")) + part, F.lit(n_shards)).cast("long")
+
+
+def deal_again(docs: DataFrame, seed: str, n_shards: int) -> DataFrame:
+    """Deal rows of streams that are far too large by doc_id and position among the rows of that doc_id.
+
+    That happens where very many rows share a doc_id.  Rows alike in source, doc_id and size stand in any order.
+    """
+    if n_shards <= OVER:        # no stream can hold more than all words
+        return docs
+    stream = ["_key", "_shard"]
+    weights = docs.groupBy(*stream).agg((F.sum("size") + F.count("*")).alias("_words"))
+    over = stash(weights.filter(F.col("_words") > OVER * SHARD_WORDS).select(*stream), "large-streams")
+    if over.isEmpty():
+        return docs
+    large = docs.join(over, stream, "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    large = positions(large, ["_key", "doc_id"], ["size", "_tie"], "_place")
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    large = large.withColumn("_shard", shard_of(seed, n_shards, doc, F.col("_place").cast("string")))
+    return docs.join(over, stream, "left_anti").unionByName(large.select(*docs.columns))
 
 
 def _few(sizes: DataFrame, limit: int = 10_000) -> bool:
@@ -217,14 +252,23 @@ WITH d AS (
 ), l AS (
   SELECT first(per_weight ORDER BY need, k) AS level FROM y WHERE need > per_weight
 ), t AS (
-  SELECT k, source_size, coalesce(least(cap, weight * (SELECT level FROM l)), cap) AS target FROM y
+  SELECT k, source_size, coalesce(least(cap, weight * (SELECT level FROM l)), cap) AS target,
+         CAST(ceil((source_size + n) / 1048576.0) AS BIGINT) AS parts,
+         ('0x' || substr(md5('mix-1:source:' || k), 1, 15))::BIGINT AS first FROM y
+), p0 AS (
+  SELECT d.*, parts, first, coalesce(doc_id::VARCHAR, '') AS id,
+         (first + ('0x' || substr(md5('mix-1:' || id), 1, 15))::BIGINT % parts) % (SELECT shards FROM g) AS shard0,
+         ('0x' || substr(md5('mix-1:order:' || id), 1, 15))::BIGINT AS o FROM d JOIN t USING (k)
+), p1 AS (
+  SELECT *, sum(size + 1) OVER (PARTITION BY k, shard0) > 4 * 1048576 AS again FROM p0
 ), p AS (
-  SELECT d.*, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % (SELECT shards FROM g) AS shard,
-         ('0x' || substr(md5('mix-1:order:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS o FROM d
+  SELECT doc_id, k, size, o, CASE WHEN again THEN (first + ('0x' || substr(md5('mix-1:' || id || ':'
+           || row_number() OVER (PARTITION BY k, again, doc_id ORDER BY size)), 1, 15))::BIGINT % parts) % (SELECT shards FROM g)
+         ELSE shard0 END AS shard FROM p1
 ), st AS (
   SELECT k, shard, sum(size)::BIGINT AS w FROM p GROUP BY k, shard HAVING sum(size) > 0
 ), sv AS (
-  SELECT st.*, greatest(1, CAST(floor(w / (SELECT block FROM g) + 0.5) AS BIGINT)) AS n, target / source_size AS rate
+  SELECT st.*, greatest(1, CAST(floor(w / (SELECT block FROM g) + 0.5) AS BIGINT), least(64, w // 16)) AS n, target / source_size AS rate
   FROM st JOIN t USING (k)
 ), sq AS (
   SELECT *, rate * n AS votes, CAST(floor(sum(rate * n) OVER (PARTITION BY shard) + 0.5) AS BIGINT) AS seats FROM sv

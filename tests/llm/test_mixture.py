@@ -79,7 +79,7 @@ def test_stage_takes_what_the_mix_takes(spark):
 
 
 def test_columns_with_working_names_stay(spark):
-    names = ["_key", "_shard", "_order", "_start", "_words", "_blocks", "_copies", "extra"]
+    names = ["_key", "_shard", "_order", "_start", "_words", "_blocks", "_copies", "_parts", "_tie", "_place", "extra"]
     rows = [(i, f"s{i % 3}", 50 + i, *names, 0.5) for i in range(60)]
     df = spark.createDataFrame(rows, ["doc_id", "source", "size", *names, "target"])
     got = mx.mix(df)
@@ -87,3 +87,33 @@ def test_columns_with_working_names_stay(spark):
     found = got.collect()
     assert {r.doc_id: (r.taken, r.target) for r in found} == plain and len(found) == 60
     assert all([r[n] for n in names] == names for r in found)
+
+
+def nearness(df):
+    got = mx.mix(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    return [r.taken / r.target for r in got]
+
+
+def test_many_sources_over_many_shards_come_near_their_targets(spark):
+    """20 million words of 1,000 equal sources make 20 shards."""
+    df = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 1000).alias("source"), F.lit(200).cast("long").alias("size"))
+    shares = nearness(df)
+    assert len(shares) == 1000 and all(0.97 < x < 1.03 for x in shares)
+
+
+def test_one_doc_id_for_all_rows_is_dealt_over_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(mx, "SHARD_WORDS", 4096)
+    ids = F.lit(None).cast("long")
+    source = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40))
+    df = spark.range(6000).select(ids.alias("doc_id"), source.alias("source"), (F.col("id") % 90).alias("size"))
+    held = df.withColumns({"_key": mx.source_key(F.col("source")), "_parts": F.lit(60)})
+    held = held.withColumn("_shard", mx.shard_of("s", 70, F.lit("")))
+    assert held.select("_key", "_shard").distinct().count() == held.select("_key").distinct().count()
+    sizes = [r["count"] for r in mx.deal_again(held, "s", 70).filter("source = 'hot'").groupBy("_shard").count().collect()]
+    assert len(sizes) > 50 and sum(sizes) == 2000 and max(sizes) < 200
+    got = mx.mix(df).collect()
+    assert len(got) == 6000 and all(0 <= r.taken <= 2 * r.size for r in got)
+    assert all(0.9 < x < 1.1 for x in nearness(df))
+    key = lambda r: (r.source, r.size, r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, mx.mix(df.repartition(5)).collect()))
