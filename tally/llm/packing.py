@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.common import free_name, ship, stash, table
 from tally.llm.tokens import default_path, encode_column
+from tally.session import shuffle_partitions
 
 CAPACITY = 1024
 END_ID = 2
@@ -37,6 +38,7 @@ EPOCHS = 2
 CROSSOVERS = 12     # for each island and epoch, unless the lower bound is reached
 INJECTED = 4        # bins that a crossover injects on average: few, so that what they displace finds a better place
 DISSOLVED = 3       # emptiest bins of the host that it drops, at most
+ISLANDS_IN_TASK = 64    # where there are more islands than shuffle partitions
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -281,7 +283,7 @@ def evolve(sizes: np.ndarray, population: list[np.ndarray], rng: random.Random,
     return population
 
 
-def epoch(islands: DataFrame, number: int, capacity: int, size: int, rounds: int, seed: int) -> DataFrame:
+def epoch(islands: DataFrame, number: int, capacity: int, size: int, rounds: int, seed: int, tasks: int) -> DataFrame:
     """One pass over (block, island, rank, sizes, bins): each island evolves; rank 0 is its elite."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -294,7 +296,8 @@ def epoch(islands: DataFrame, number: int, capacity: int, size: int, rounds: int
         return pd.DataFrame({"block": block, "island": island, "rank": np.arange(len(found), dtype=np.int32),
                              "sizes": [sizes.tolist()] * len(found), "bins": [b.tolist() for b in found]})
 
-    return ship(islands).groupBy("block", "island").applyInPandas(
+    # tasks by number: islands are few bytes but much work, and AQE would merge them by bytes
+    return ship(islands).repartition(tasks, "block", "island").groupBy("block", "island").applyInPandas(
         run, "block int, island int, rank int, sizes array<int>, bins array<int>")
 
 
@@ -317,8 +320,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_I
     state = blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"),
                           F.lit(0).alias("rank"), sizes.alias("sizes"),
                           F.lit(None).cast("array<int>").alias("bins"))
+    tasks = min(n_blocks * islands, max(shuffle_partitions(pieces.sparkSession), n_blocks * islands // ISLANDS_IN_TASK))
     for k in range(epochs):
-        state = stash(epoch(state, k, capacity, size, rounds, seed), "islands")
+        state = stash(epoch(state, k, capacity, size, rounds, seed, tasks), "islands")
         if k < epochs - 1:      # the elite of each island joins the next island
             elite = state.filter("rank = 0").withColumn("island", (F.col("island") + 1) % islands)
             state = state.unionByName(elite.withColumn("rank", F.lit(size)))
