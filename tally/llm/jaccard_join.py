@@ -40,7 +40,8 @@ MOST_MATCHES = 4                # largest l
 VERIFY_COST = 8.0               # of a candidate, in postings
 STAR_ROUNDS = 2
 BLOCK_NODES = 1024              # of a group that meet in one task at a time
-BITMAP_BITS = 27                # most, log2 of the bits that tell rows apart when sets are made
+BITMAP_BITS = 27                # most, log2 of the bits of a bitmap
+NUMBER_BITS, NODE_BITS = 16, 512    # bits for each number, and for each row whose set is made again
 
 
 def frequency_sketch(docs: DataFrame, k: int, bits: int) -> np.ndarray:
@@ -153,10 +154,13 @@ def _profile_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[f.split()[0] for f in PROFILE.split(", ")])
 
 
-def bitmap(numbers: DataFrame) -> np.ndarray:
-    """Bits set at the hashes of a one-column table, built by the tasks and joined by chunk; 2**BITMAP_BITS bits at most."""
+def bitmap(numbers: DataFrame, each: int = NUMBER_BITS) -> np.ndarray:
+    """Bits set at the hashes of a one-column table, ``each`` bits or more for a number, built by the tasks and joined by chunk.
+
+    There are 2**BITMAP_BITS bits at most.
+    """
     n = numbers.count()
-    bits = min(BITMAP_BITS, max(16, int(16 * n).bit_length()))
+    bits = min(BITMAP_BITS, max(16, int(each * n).bit_length()))
     chunk_bits = 15
 
     def mark(it):
@@ -213,9 +217,10 @@ def sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, shingles) for the rows of `numbered` that ``nodes`` names, and some others.
 
     A bitmap of the wanted rows goes to the tasks, which read the texts again; no text is
-    shuffled.  When more rows are wanted than the bitmap can tell apart, more sets are made, none is lost.
+    shuffled.  A row that is not wanted is taken for one by 1 in ``NODE_BITS`` at most, as there are many more of them and
+    sets are wide.  When more rows are wanted than the bitmap can tell apart, more sets are made, none is lost.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select("node")))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select("node"), NODE_BITS))
 
     def batches(it):
         for batch in it:

@@ -156,3 +156,12 @@ def test_stage_drops_rows_not_ids(spark):
     docs = stash(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2), "docs")
     got = sorted((tuple(r) for r in jj.stage(spark, docs, "").collect()), key=str)
     assert got == sorted([rows[0], rows[2], rows[4], rows[5], rows[6], rows[7]], key=str)
+
+
+def test_few_sets_are_made_that_nobody_wants(spark):
+    """A bitmap of 16 bits a row took hundreds of the other rows for wanted ones; their sets were shuffled too."""
+    docs = spark.range(30_000, numPartitions=4).selectExpr("id AS row", "concat('a b c d', id) AS text")
+    wanted = spark.range(0, 4_100).selectExpr("id * 7 AS node")
+    made = {r.node for r in jj.sets_of(docs, wanted, 4).select("node").collect()}
+    assert made >= {7 * i for i in range(4_100)}
+    assert len(made) < 4_100 + 100
