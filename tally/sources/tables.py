@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.functions.csvbytes import CSV_WRITE_OPTIONS
+from tally.session import scratch_path
 from tally.sources.headers import PartHeaders
 
 
@@ -140,6 +141,19 @@ def read_parts(spark: SparkSession, path: str, columns=None, glob: str = "*.csv"
     return df.withColumns(lacking).select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`") for c in rest])
 
 
+def read_once(parts: DataFrame, columns) -> DataFrame:
+    """``columns`` of the rows of `read_parts` and their files, from a Parquet copy in the scratch folder.
+
+    For several passes over many small files: each file is opened and parsed once, and the tasks of a pass
+    follow the bytes, not the number of files.
+    """
+    spark = parts.sparkSession
+    copy = scratch_path(spark, "read-back")
+    rows = parts.select(*[F.col(f"`{c}`") for c in columns], "_part_file", "_part_size")
+    rows.write.parquet(copy)
+    return spark.read.schema(rows.schema).parquet(copy)
+
+
 def part_name(path_col: str):
     """A part's name from its file's path: the file's name without ``.csv`` (and ``.gz``, ``.bz2``), or the folder's ``file_name=`` value."""
     folder = F.regexp_extract(F.col(path_col), r"(?:^|/)file_name=([^/]+)/[^/]*$", 1)
@@ -168,5 +182,5 @@ def empty_frame(spark: SparkSession, columns, kinds=None) -> DataFrame:
         [T.StructField(c, types.get(kinds.get(c), T.StringType()), True) for c in columns]))
 
 
-__all__ = ["read_table", "read_sheet", "has_column", "list_columns", "read_parts", "part_headers", "part_name",
+__all__ = ["read_table", "read_sheet", "has_column", "list_columns", "read_parts", "read_once", "part_headers", "part_name",
            "is_empty", "empty_frame", "template_schema", "CSV_WRITE_OPTIONS"]
