@@ -598,13 +598,13 @@ def q_verify_manifest(spark, sf_dir):
 def q_measured_parts(spark, sf_dir):
     """K7: gzip parts divided until their written files fit; by due month what they hold, and files over the limit."""
     from tally.session import scratch_path
-    from tally.sources.tables import read_parts
+    from tally.sources.tables import read_once, read_parts
 
     rows = pl.template_rows(ledger(spark, sf_dir), "contas_pagar", AS_OF)
     cols = list(S.PAYABLES_TEMPLATE.columns)
     path = scratch_path(spark, "measured")
     pl.split_measured(rows, path, MEASURED_LIMIT, cols)
-    back = read_parts(spark, path, columns=cols, glob="*.csv*")
+    back = read_once(read_parts(spark, path, columns=cols, glob="*.csv*"), ["Id", "Data vencimento", "Valor documento"])
     over = back.groupBy("_part_file").agg(F.max("_part_size").alias("bytes"), F.count(F.lit(1)).alias("n")) \
         .agg(F.count_if((F.col("bytes") > MEASURED_LIMIT) & (F.col("n") > 1)).alias("files_over"))
     months = back.groupBy(fx.due_month(F.col("`Data vencimento`")).alias("mes")).agg(

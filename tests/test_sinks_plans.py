@@ -386,3 +386,8 @@ def test_csv_roundtrip_parses_its_files_once(spark):
     out = QUERIES["csv_roundtrip"](spark, "/root/testdata/sf0.001")
     assert "FileScan csv" not in out._jdf.queryExecution().executedPlan().toString()
     assert all(r.passed for r in out.collect())
+
+
+def test_measured_parts_parses_its_files_once(spark):
+    out = QUERIES["measured_parts"](spark, "/root/testdata/sf0.001")
+    assert "FileScan csv" not in out._jdf.queryExecution().executedPlan().toString()
